@@ -225,3 +225,48 @@ SQL.update({
                CAST(CAST(c_acctbal AS VARCHAR) AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment
         FROM customer""",
 })
+
+_CUST_TEXT = """
+    SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+           c_mktsegment, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS c_acctbal
+    FROM customer"""
+
+SQL.update({
+    "delimited_scan": _CUST_TEXT,
+    "tab_scan": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
+               coalesce(CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END, 'nan') AS open_priority
+        FROM orders""",
+    "bad_line_quarantine": f"""
+        SELECT c_custkey, c_name, c_nationkey, c_mktsegment,
+               CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_acctbal END AS c_acctbal
+        FROM ({_CUST_TEXT}) t WHERE c_mktsegment <> 'AUTOMOBILE'""",
+    "quarantine_count": """
+        SELECT CAST(6 AS INTEGER) AS n_fields, count(*) AS n_lines
+        FROM customer WHERE c_mktsegment = 'AUTOMOBILE' HAVING count(*) > 0""",
+    "stage_rebuild": "SELECT * FROM customer",
+    "multi_feed_origin": """
+        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
+               CASE WHEN CAST(c_acctbal AS DECIMAL(12,2)) >= 0 THEN 'mcr' ELSE 'mcd' END AS file_origin,
+               CASE WHEN CAST(c_acctbal AS DECIMAL(12,2)) >= 0 THEN 'medicare' ELSE 'medicaid' END
+                   AS CS_file_origin
+        FROM customer""",
+    "latest_file": """
+        SELECT 'orders_' || CAST(y AS VARCHAR) AS feed, count(*) AS n_rows
+        FROM (SELECT year(o_orderdate) AS y FROM orders)
+        WHERE y = (SELECT max(year(o_orderdate)) FROM orders) GROUP BY y""",
+    "archive_expand": """
+        SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING'""",
+    "lineage_columns": """
+        SELECT c_custkey, TIMESTAMP '2024-06-26 04:00:00' AS date_ingested,
+               'segment=' || c_mktsegment AS FileName
+        FROM customer""",
+    "row_reconcile": """
+        SELECT 'region' AS table_name, count(*) AS expected, count(*) AS loaded, CAST(0 AS BIGINT) AS diff FROM region
+        UNION ALL SELECT 'nation', count(*), count(*), 0 FROM nation
+        UNION ALL SELECT 'supplier', count(*), count(*), 0 FROM supplier
+        UNION ALL SELECT 'customer', count(*), count(*), 0 FROM customer
+        UNION ALL SELECT 'part', count(*), count(*), 0 FROM part
+        UNION ALL SELECT 'orders', count(*), count(*), 0 FROM orders
+        UNION ALL SELECT 'lineitem', count(*), count(*), 0 FROM lineitem""",
+})

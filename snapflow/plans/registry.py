@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from snapflow.plans import table_queries as tq
+from snapflow.plans import source_queries as sq, table_queries as tq
 from snapflow.plans.oracle import SQL
 
 QUERIES = {
@@ -35,6 +35,16 @@ QUERIES = {
     "persistent_view": tq.q_persistent_view,
     "numeric_profile": tq.q_numeric_profile,
     "enforce_schema": tq.q_enforce_schema,
+    "delimited_scan": sq.q_delimited_scan,
+    "tab_scan": sq.q_tab_scan,
+    "bad_line_quarantine": sq.q_bad_line_quarantine,
+    "quarantine_count": sq.q_quarantine_count,
+    "stage_rebuild": sq.q_stage_rebuild,
+    "multi_feed_origin": sq.q_multi_feed_origin,
+    "latest_file": sq.q_latest_file,
+    "archive_expand": sq.q_archive_expand,
+    "lineage_columns": sq.q_lineage_columns,
+    "row_reconcile": sq.q_row_reconcile,
 }
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}
