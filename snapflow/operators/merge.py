@@ -173,6 +173,12 @@ def snapshot_merge(target: DataFrame, source: DataFrame, ms: MergeSpec, as_of,
     changed = matched & change_predicate(sc, tc, list(ms.compare), ms.null_safe)
     if ms.reactivate:
         changed = changed | (matched & was_inactive)
+    # evaluate the branch flags once per row; every output column then reads a boolean
+    # instead of re-evaluating the (up to 117-term) change predicate
+    j = j.select("*", is_new.alias("_is_new"), gone.alias("_gone"), changed.alias("_changed"),
+                 was_inactive.alias("_was_inactive"))
+    is_new, gone, changed, was_inactive = (F.col("_is_new"), F.col("_gone"), F.col("_changed"),
+                                           F.col("_was_inactive"))
 
     out: list[Column] = []
     update = set(ms.update_cols)
@@ -230,3 +236,47 @@ def merge_summary(table: DataFrame, ms: MergeSpec) -> DataFrame:
     """M9: rows per status / sub-status of the merged table."""
     return (table.groupBy(ms.status_col, ms.substatus_col)
             .agg(F.count(F.lit(1)).cast("long").alias("n_rows")))
+
+
+def merge_into_table(spark, table, source: DataFrame, ms: MergeSpec, as_of,
+                     on_duplicate: str = "error", order_by=None, audit: bool = True) -> dict:
+    """Write-audit-publish merge of one snapshot into a ``sinks.VersionedTable``.
+
+    1. M8 guard on the source key (``on_duplicate='first'`` keeps the first row per key under
+       ``order_by`` instead of failing);  2. M7 identities for new keys;  3. the merge, with
+       per-action row counts observed while the new version is written (no second scan);
+    4. audit of the written version (key unique, row total = target + inserted);  5. publish.
+    A failure before 5 leaves the published version untouched.
+    """
+    from snapflow.operators import checks
+    from snapflow.operators.dedupe import top1_per_key
+    from snapflow.operators.keys import attach_surrogate
+
+    key = list(ms.key)
+    if on_duplicate == "first":
+        source = top1_per_key(source, key, order_by or key, keyless="keep")
+    checks.guard_keys(source, key, "source")
+    previous = table.read()
+    target = previous if previous is not None else empty_target(spark, ms, source.schema)
+    if ms.surrogate_col:
+        source = attach_surrogate(source, previous, key[0], ms.surrogate_col, ms.surrogate_start)
+    merged = snapshot_merge(target, source, ms, as_of, with_action=True)
+    from pyspark.sql import Observation
+    obs = Observation("merge")
+    a = F.col("merge_action")
+    observed = merged.observe(
+        obs, F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(a == F.lit(x)).alias(x) for x in
+          (ACTION_INSERT, ACTION_UPDATE, ACTION_KEEP, ACTION_DROP, ACTION_GONE)])
+    version, path = table.write_next(observed.drop("merge_action"), key)
+    metrics = dict(obs.get)
+    if audit:
+        written = spark.read.parquet(path)
+        bad = checks.key_violations(written, key).limit(5).collect()
+        if bad:
+            raise checks.DataCheckError(f"merged version {version} has duplicate keys {bad}")
+        before = 0 if previous is None else previous.count()
+        checks.reconcile(before + metrics[ACTION_INSERT], metrics["rows"], "merged rows")
+    table.publish(version)
+    metrics["version"] = version
+    return metrics

@@ -23,7 +23,8 @@ class Rule:
     (strict), ``try_int``/``try_bigint`` (lenient), ``int_text`` (via INT to text), ``bit``,
     ``date`` (strict, blank -> NULL), ``try_date`` (lenient), ``decimal`` (arg=(p, s), lenient),
     ``float_text`` (via DECIMAL(20) to VARCHAR(arg)), ``zip`` (blank -> NULL, '-' removed,
-    VARCHAR(arg)), ``ts_text`` (style 120), ``copy``.
+    VARCHAR(arg)), ``timestamp`` (19-character text to DATETIME), ``ts_text`` (style 120),
+    ``copy``.
     """
 
     src: str
@@ -62,6 +63,9 @@ def rule_expr(r: Rule, blank_bit_false: bool = False) -> Column:
         return C.float_text(c, r.arg or 10)
     if k == "zip":
         return C.text_n(X.remove_char(X.blank_to_null(c), "-"), r.arg or 10)
+    if k == "timestamp":
+        # style-120 text (first 19 characters) into DATETIME; blank is NULL, bad text raises
+        return F.trim(F.left(F.nullif(F.trim(c), F.lit("")), F.lit(19))).cast("timestamp_ntz")
     if k == "ts_text":
         return F.left(c.cast("string"), F.lit(19))
     if k == "copy":
@@ -71,9 +75,9 @@ def rule_expr(r: Rule, blank_bit_false: bool = False) -> Column:
 
 def typed_projection(df: DataFrame, rules, not_null: str | None = None,
                      blank_bit_false: bool = False, extra: dict | None = None) -> DataFrame:
-    """Apply ``rules`` in order; ``not_null`` drops rows whose source column is NULL (F1)."""
-    if not_null:
-        df = df.where(F.col(f"`{not_null}`").isNotNull())
+    """Apply ``rules`` in order; ``not_null`` drops rows whose *converted* column is NULL (F1:
+    missing or blank report month).  The filter is pushed below the projection by Catalyst."""
     cols = [rule_expr(r, blank_bit_false).alias(r.name) for r in rules]
     cols += [e.alias(n) for n, e in (extra or {}).items()]
-    return df.select(cols)
+    out = df.select(cols)
+    return out.where(F.col(f"`{not_null}`").isNotNull()) if not_null else out

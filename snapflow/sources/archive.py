@@ -76,3 +76,37 @@ def expand_pending(spark: SparkSession, folder: str, out_folder: str | None = No
         (lines.select(strip_extension(base_name("archive")).alias("base"), "line")
          .write.mode("append").partitionBy("base").text(out_folder))
     return lines
+
+
+def _unzip_next_to(batches):
+    import os
+    import pandas as pd
+    for pdf in batches:
+        rows = []
+        for path, content in zip(pdf["path"], pdf["content"]):
+            folder = os.path.dirname(path.replace("file:", "", 1))
+            with zipfile.ZipFile(io.BytesIO(content)) as zf:
+                for info in zf.infolist():
+                    if info.is_dir():
+                        continue
+                    target = os.path.join(folder, os.path.basename(info.filename))
+                    with zf.open(info) as src, open(target + ".part", "wb") as dst:
+                        while True:
+                            chunk = src.read(1 << 20)
+                            if not chunk:
+                                break
+                            dst.write(chunk)
+                    os.replace(target + ".part", target)
+                    rows.append((path, info.filename, info.file_size))
+        yield pd.DataFrame(rows, columns=["archive", "member", "bytes"])
+
+
+def expand_to_files(spark: SparkSession, folder: str, zip_pattern: str = "*.zip",
+                    txt_pattern: str = "*.txt") -> list:
+    """S5 as the reference does it: members of archives not yet expanded are written next to
+    the archive (one task per archive batch; needs the landing folder mounted on the workers).
+    Returns the (archive, member, bytes) list — one row per expanded member."""
+    pending = pending_archives(spark, folder, zip_pattern, txt_pattern)
+    out = pending.select("path", "content").mapInPandas(
+        _unzip_next_to, "archive string, member string, bytes long")
+    return out.collect()
