@@ -50,7 +50,7 @@ def count_over_window(df: DataFrame, parts: dict[str, Column], out: str) -> Data
 def _buckets(df: DataFrame, order_col: str, num_buckets: int) -> tuple[DataFrame, str]:
     """Assign ``_b``: range buckets (monotone in ``order_col``) for orderable numeric/temporal
     columns, hash buckets otherwise.  Range boundaries come from one approximate-quantile pass
-    and only ``num_buckets`` values reach the driver."""
+    and only ``num_buckets`` values reach the driver; rows find their bucket by binary search."""
     dt = df.schema[order_col].dataType
     numeric = isinstance(dt, (T.IntegralType, T.FractionalType, T.DateType,
                               T.TimestampType, T.TimestampNTZType))
@@ -61,14 +61,19 @@ def _buckets(df: DataFrame, order_col: str, num_buckets: int) -> tuple[DataFrame
         elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
             x = F.unix_micros(x.cast(T.TimestampType()))
         probs = [i / num_buckets for i in range(1, num_buckets)]
-        bounds = df.select(F.percentile_approx(x, probs, 10_000).alias("q")).first()["q"] or []
-        bounds = sorted(set(b for b in bounds if b is not None))
+        acc = max(10_000, 10 * num_buckets)
+        bounds = df.select(F.percentile_approx(x, probs, acc).alias("q")).first()["q"] or []
+        bounds = sorted(set(float(b) for b in bounds if b is not None))
         if not bounds:
             return df.withColumn("_b", F.lit(0)), "range"
-        # number of boundaries strictly below x: monotone non-decreasing in x
-        arr = F.array(*[F.lit(b) for b in bounds])
-        b = F.size(F.filter(arr, lambda q: q < x))
-        return df.withColumn("_b", b), "range"
+        # binary search in the JVM (Bucketizer); bucket number is monotone in the key, so the
+        # global order (bucket, key) equals the key order
+        from pyspark.ml.feature import Bucketizer
+        splits = [float("-inf")] + bounds + [float("inf")]
+        tmp = df.withColumn("_bx", x.cast(T.DoubleType()))
+        out = Bucketizer(splits=splits, inputCol="_bx", outputCol="_bd",
+                         handleInvalid="keep").transform(tmp)
+        return out.withColumn("_b", F.col("_bd").cast(T.IntegerType())).drop("_bx", "_bd"), "range"
     return df.withColumn("_b", F.pmod(F.xxhash64(order_col), F.lit(num_buckets))), "hash"
 
 
