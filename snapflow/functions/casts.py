@@ -24,6 +24,31 @@ def _blank_null(c: Column) -> Column:
     return F.when(F.trim(c) == F.lit(""), F.lit(None).cast(T.StringType())).otherwise(c)
 
 
+def _digit_guarded(c: Column, dtype) -> Column:
+    """``try_cast`` of text that holds no digit at all.  Such text can never become an integer
+    or a decimal, so it is NULL without calling the cast: a failing ``try_cast`` raises and
+    catches a JVM exception per row, which on a column of words costs far more than the scan.
+    Text with a digit still goes through ``try_cast``, so results are exactly ``try_cast``'s.
+    (Not for dates / timestamps: Spark also casts ``'today'``, ``'now'``, ``'epoch'``.)"""
+    # \p{Nd}: any Unicode decimal digit — Java's BigDecimal (decimal casts) accepts them all
+    return F.when(c.rlike(r"\p{Nd}"), c.try_cast(dtype))
+
+
+_DIGIT_TYPES = (T.IntegralType, T.DecimalType)
+_DIGIT_NAMES = ("tinyint", "byte", "smallint", "short", "int", "integer", "bigint", "long",
+                "decimal", "dec", "numeric")
+
+
+def _needs_digit(dtype) -> bool:
+    if isinstance(dtype, T.DataType):
+        return isinstance(dtype, _DIGIT_TYPES)
+    return dtype.strip().lower().split("(")[0].strip() in _DIGIT_NAMES
+
+
+def _try(c: Column, dtype) -> Column:
+    return _digit_guarded(c, dtype) if _needs_digit(dtype) else c.try_cast(dtype)
+
+
 def text_n(x, n: int) -> Column:
     """``CONVERT(VARCHAR(n), x)`` silently truncates; Spark's varchar cast does not."""
     return F.left(_c(x).cast(T.StringType()), F.lit(n))
@@ -42,20 +67,20 @@ def int_text(x) -> Column:
 
 def lenient(x, dtype: str) -> Column:
     """``TRY_CONVERT(t, x)``: blank or malformed text is NULL; surrounding blanks ignored."""
-    return _blank_null(_c(x)).try_cast(dtype)
+    return _try(_blank_null(_c(x)), dtype)
 
 
 def decimal_text(x, precision: int, scale: int, strict: bool = False) -> Column:
     """``CONVERT(DECIMAL(p,s), x)``: half-up rounding; overflow raises (strict) or is NULL."""
     c = _blank_null(_c(x))
     t = T.DecimalType(precision, scale)
-    return c.cast(t) if strict else c.try_cast(t)
+    return c.cast(t) if strict else _digit_guarded(c, t)
 
 
 def float_text(x, width: int = 10) -> Column:
     """Float-typed ZIP to text without exponent: via DECIMAL(20,0), then VARCHAR(width)."""
     c = _blank_null(_c(x))
-    return F.left(c.try_cast(T.DecimalType(20, 0)).cast(T.StringType()), F.lit(width))
+    return F.left(_digit_guarded(c, T.DecimalType(20, 0)).cast(T.StringType()), F.lit(width))
 
 
 def to_bit(x, blank_false: bool = False) -> Column:

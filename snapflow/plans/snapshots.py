@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapflow.operators import merge as M
+from snapflow.session import materialize
 
 # Fixed parameters of the two monthly runs used by the registered queries.
 WINDOW_1 = ("1997-01-01", "1998-01-01")
@@ -70,6 +71,6 @@ def two_runs(spark: SparkSession, sf_dir: str, ms: M.MergeSpec, with_action: boo
     t1 = M.snapshot_merge(empty, s1, ms, AS_OF_1)
     if surrogate:
         # M7: the first run's ids are needed to continue the sequence; cut lineage there
-        t1 = t1.checkpoint()
+        t1 = materialize(t1, "surrogate_run1")
         s2 = attach_surrogate(s2, t1, "c_custkey", ms.surrogate_col, ms.surrogate_start)
     return M.snapshot_merge(t1, s2, ms, AS_OF_2, with_action=with_action)

@@ -1,7 +1,7 @@
 """Session construction and the shared scratch location.
 
-Lineage is cut with ``DataFrame.checkpoint()`` or with tables written below the folder that
-the cluster names in ``spark.checkpoint.dir``.  That setting is read from the running session;
+Lineage is cut with tables written below the folder that the cluster names in
+``spark.checkpoint.dir`` (``materialize``) or with ``DataFrame.checkpoint()`` into it.  That setting is read from the running session;
 a private one is created only when it is unset (local tests).
 """
 
@@ -60,6 +60,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as a Parquet table under the shared checkpoint folder and
+    reading it back.  Unlike ``DataFrame.checkpoint()`` (which computes the plan once for the
+    action and again for the checkpoint files, and stores serialized rows), the plan runs once,
+    the copy is columnar, and later scans get column pruning, pushed filters and file-size
+    statistics for AQE.  The folder is shared, so the copy survives a lost executor."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for staged tables and round trips."""
     base = ensure_checkpoint_dir(spark)

@@ -59,3 +59,21 @@ def test_excel_serial(spark):
     assert str(_one(spark, D.excel_serial_to_date, [43734.75], "double")[0]) == "2019-09-26"
     assert str(_one(spark, lambda c: D.excel_serial_to_date(c, True), [42272.2], "double")[0]) \
         == "2019-09-26"
+
+
+def test_digit_guard_equals_try_cast(spark):
+    """The no-digit shortcut in lenient casts must give exactly ``try_cast``'s result."""
+    from hypothesis import given, settings, strategies as st
+    alphabet = st.sampled_from(list("0123456789+-.eE xn\t") + ["nan", "١", " ", "today"])
+    texts = st.lists(st.lists(alphabet, max_size=6).map("".join), min_size=1, max_size=40)
+
+    @settings(max_examples=15, deadline=None)
+    @given(texts)
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "x string")
+        for t in ("int", "bigint", "tinyint", "decimal(3,2)", "decimal(20,0)"):
+            got = df.select(C.lenient("x", t).alias("a"),
+                            F.when(F.trim("x") != "", F.col("x").try_cast(t)).alias("b")).collect()
+            assert all(r["a"] == r["b"] for r in got), t
+
+    check()
