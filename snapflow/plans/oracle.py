@@ -255,6 +255,11 @@ SQL.update({
         SELECT 'orders_' || CAST(y AS VARCHAR) AS feed, count(*) AS n_rows
         FROM (SELECT year(o_orderdate) AS y FROM orders)
         WHERE y = (SELECT max(year(o_orderdate)) FROM orders) GROUP BY y""",
+    "workbook_scan": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+               CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority,
+               'orders_' || CAST(o_orderkey // 5000 AS VARCHAR) || '.xlsx' AS FileName
+        FROM orders""",
     "archive_expand": """
         SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING'""",
     "lineage_columns": """

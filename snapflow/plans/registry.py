@@ -42,6 +42,7 @@ QUERIES = {
     "stage_rebuild": sq.q_stage_rebuild,
     "multi_feed_origin": sq.q_multi_feed_origin,
     "latest_file": sq.q_latest_file,
+    "workbook_scan": sq.q_workbook_scan,
     "archive_expand": sq.q_archive_expand,
     "lineage_columns": sq.q_lineage_columns,
     "row_reconcile": sq.q_row_reconcile,

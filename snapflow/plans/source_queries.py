@@ -7,6 +7,7 @@ returns a lazy DataFrame over what the reader produced, so the work grows with t
 
 from __future__ import annotations
 
+import io
 import os
 import zipfile
 
@@ -154,6 +155,94 @@ def q_archive_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
                        f.getItem(3).alias("c_mktsegment"))
 
 
+def _xlsx_bytes(header, rows, date1904: bool) -> bytes:
+    """Sheet 0 of a minimal workbook: numbers as number cells, text as inline strings, and
+    ``datetime`` values as date-styled serial numbers that keep their time of day."""
+    import datetime as dt
+    from xml.sax.saxutils import escape
+
+    epoch = dt.datetime(1904, 1, 1) if date1904 else dt.datetime(1899, 12, 30)
+
+    def ref(r, c):
+        s, c = "", c + 1
+        while c:
+            c, rem = divmod(c - 1, 26)
+            s = chr(65 + rem) + s
+        return f"{s}{r + 1}"
+
+    body = []
+    for r, row in enumerate([header] + rows):
+        cells = []
+        for c, v in enumerate(row):
+            if v is None:
+                continue
+            if isinstance(v, dt.datetime):
+                serial = (v - epoch).total_seconds() / 86400.0
+                cells.append(f'<c r="{ref(r, c)}" s="1"><v>{serial!r}</v></c>')
+            elif isinstance(v, (int, float)):
+                cells.append(f'<c r="{ref(r, c)}"><v>{v!r}</v></c>')
+            else:
+                cells.append(f'<c r="{ref(r, c)}" t="inlineStr"><is><t>{escape(str(v))}</t></is></c>')
+        body.append(f'<row r="{r + 1}">{"".join(cells)}</row>')
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rns = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/workbook.xml",
+                   f'<workbook {ns} {rns}><workbookPr date1904="{int(date1904)}"/>'
+                   f'<sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/'
+                   'relationships"><Relationship Id="rId1" Type="worksheet" '
+                   'Target="worksheets/sheet1.xml"/></Relationships>')
+        z.writestr("xl/styles.xml", f'<styleSheet {ns}><cellXfs count="2"><xf numFmtId="0"/>'
+                                    f'<xf numFmtId="14"/></cellXfs></styleSheet>')
+        z.writestr("xl/worksheets/sheet1.xml",
+                   f'<worksheet {ns}><sheetData>{"".join(body)}</sheetData></worksheet>')
+    return buf.getvalue()
+
+
+# one workbook per block of this many order keys: keys are unique, so a block is bounded
+WORKBOOK_BLOCK = 5000
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+              "o_orderpriority"]
+
+
+def _workbook_writer(folder: str):
+    local = folder.replace("file:", "", 1)
+
+    def write(g):
+        import pandas as pd
+        blk = int(g["blk"].iloc[0])
+        g = g.sort_values("o_orderkey")
+        rows = [[int(k), int(c), st, float(p), ts.to_pydatetime(), pr] for k, c, st, p, ts, pr in
+                zip(*[g[c] for c in ORDER_COLS])]
+        name = f"orders_{blk}.xlsx"
+        with open(os.path.join(local, name + ".part"), "wb") as fh:
+            fh.write(_xlsx_bytes(ORDER_COLS, rows, date1904=bool(blk % 2)))
+        os.replace(os.path.join(local, name + ".part"), os.path.join(local, name))
+        return pd.DataFrame({"workbook": [name], "n_rows": [len(g)]})
+    return write
+
+
+def q_workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed as workbooks (alternating 1900 / 1904 date systems, date cells
+    with their time of day), read back through the workbook reader and typed."""
+    folder = scratch_dir(spark, "workbooks")
+    o = read(spark, sf_dir, "orders").withColumn(
+        "blk", F.floor(F.col("o_orderkey") / WORKBOOK_BLOCK).cast("long"))
+    landed = o.groupBy("blk").applyInPandas(_workbook_writer(folder),
+                                             "workbook string, n_rows long")
+    landed.write.format("noop").mode("overwrite").save()
+    from snapflow.sources.workbook import read_workbooks
+    w = read_workbooks(spark, folder, ORDER_COLS)
+    return w.select(F.col("o_orderkey").cast("long").alias("o_orderkey"),
+                    F.col("o_custkey").cast("long").alias("o_custkey"), "o_orderstatus",
+                    F.col("o_totalprice").cast("double").alias("o_totalprice"),
+                    F.col("o_orderdate").cast("date").alias("o_orderdate"),
+                    "o_orderpriority", "FileName")
+
+
 def q_lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5: batch-constant ingest time and the feed (folder) each row came from."""
     root = scratch_dir(spark, "lineage")

@@ -27,16 +27,24 @@ _EPOCH_1900 = _dt.date(1899, 12, 30)
 _EPOCH_1904 = _dt.date(1904, 1, 1)
 
 
+_ROW, _CELL, _VAL, _INLINE, _T = (f"{{{_NS['m']}}}{t}" for t in ("row", "c", "v", "is", "t"))
+_WHOLE = re.compile(r"-?\d+\.0")
+_COLS: dict[str, int] = {}
+
+
 def _col_index(ref: str) -> int:
-    letters = re.match(r"[A-Z]+", ref).group(0)
-    n = 0
-    for ch in letters:
-        n = n * 26 + (ord(ch) - 64)
-    return n - 1
+    letters = ref.rstrip("0123456789")
+    n = _COLS.get(letters)
+    if n is None:
+        n = 0
+        for ch in letters:
+            n = n * 26 + (ord(ch) - 64)
+        n = _COLS.setdefault(letters, n - 1)
+    return n
 
 
 def _text(el) -> str:
-    return "".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t"))
+    return "".join(t.text or "" for t in el.iter(_T))
 
 
 def parse_workbook(content: bytes):
@@ -71,30 +79,45 @@ def parse_workbook(content: bytes):
                 if fid in _DATE_FMT_IDS or custom.get(fid, False):
                     date_styles.add(i)
         epoch = _EPOCH_1904 if date1904 else _EPOCH_1900
-        sheet = ET.fromstring(zf.read(sheet_path))
-        for row in sheet.iter(f"{{{_NS['m']}}}row"):
-            vals = {}
-            for c in row.findall("m:c", _NS):
-                t = c.get("t", "n")
-                v = c.find("m:v", _NS)
-                if t == "s":
-                    val = shared[int(v.text)] if v is not None else None
-                elif t == "inlineStr":
-                    is_ = c.find("m:is", _NS)
-                    val = _text(is_) if is_ is not None else None
-                elif t == "b":
-                    val = None if v is None else ("1" if v.text == "1" else "0")
-                elif v is None or v.text is None:
-                    val = None
-                elif t == "n" and int(c.get("s", "0")) in date_styles:
-                    val = (epoch + _dt.timedelta(days=int(float(v.text)))).isoformat()
-                else:
-                    val = v.text
-                    if t == "n" and re.fullmatch(r"-?\d+\.0", val):
-                        val = val[:-2]
-                vals[_col_index(c.get("r"))] = val
-            width = max(vals) + 1 if vals else 0
-            yield [vals.get(i) for i in range(width)]
+        # stream the sheet: each row element is cleared once read, so memory stays bounded by
+        # one row however large the sheet is
+        with zf.open(sheet_path) as fh:
+            for _, row in ET.iterparse(fh, events=("end",)):
+                if row.tag != _ROW:
+                    continue
+                vals = {}
+                nxt = 0
+                for c in row:
+                    if c.tag != _CELL:
+                        continue
+                    ref = c.get("r")
+                    idx = _col_index(ref) if ref else nxt
+                    nxt = idx + 1
+                    v = inline = None
+                    for ch in c:
+                        if ch.tag == _VAL:
+                            v = ch.text
+                        elif ch.tag == _INLINE:
+                            inline = _text(ch)
+                    t = c.get("t", "n")
+                    if t == "s":
+                        val = shared[int(v)] if v is not None else None
+                    elif t == "inlineStr":
+                        val = inline
+                    elif t == "b":
+                        val = None if v is None else ("1" if v == "1" else "0")
+                    elif v is None:
+                        val = None
+                    elif t == "n" and int(c.get("s", "0")) in date_styles:
+                        val = (epoch + _dt.timedelta(days=int(float(v)))).isoformat()
+                    else:
+                        val = v
+                        if t == "n" and _WHOLE.fullmatch(val):
+                            val = val[:-2]
+                    vals[idx] = val
+                row.clear()
+                width = max(vals) + 1 if vals else 0
+                yield [vals.get(i) for i in range(width)]
 
 
 def _parser(columns):
