@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from snapflow.plans import source_queries as sq, table_queries as tq
+from snapflow.plans import source_queries as sq, stream_queries as st, table_queries as tq
 from snapflow.plans.oracle import SQL
 
 QUERIES = {
@@ -46,6 +46,8 @@ QUERIES = {
     "archive_expand": sq.q_archive_expand,
     "lineage_columns": sq.q_lineage_columns,
     "row_reconcile": sq.q_row_reconcile,
+    "stream_arrival": st.q_stream_arrival,
 }
 
-ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}
+# the streamed table must equal the batch merge of the same two snapshots
+ORACLE = {k: v for k, v in {**SQL, "stream_arrival": SQL["snapshot_merge"]}.items() if k in QUERIES}

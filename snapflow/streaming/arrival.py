@@ -1,6 +1,12 @@
-"""Incremental file arrival (T1): each newly landed snapshot file is merged exactly once, in
+"""Incremental file arrival (T1): each newly landed snapshot is merged exactly once, in
 arrival order.
 
+Two forms.  ``snapshot_stream`` + ``merge_arrivals``: a snapshot is one delimited file, as the
+feeds arrive today.  ``marker_stream`` + ``merge_announced``: a snapshot is a folder of any
+number of files (what a distributed writer produces), announced by a one-line marker file
+``<folder>\t<as_of>`` once the folder is complete; the stream carries only markers and each
+micro-batch reads its snapshot folder as an ordinary parallel batch scan.
+
 A file source with ``maxFilesPerTrigger=1`` turns every landed file into its own micro-batch;
 ``foreachBatch`` runs the batch snapshot merge on it (a full snapshot per batch, not a delta),
 and the checkpoint records which files were processed, so a restart — or a lost executor —
@@ -46,3 +52,63 @@ def merge_arrivals(spark: SparkSession, stream: DataFrame, table_root: str, ms:
 
     return (stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+MARKER_SCHEMA = "value string"
+
+
+def announce(spark: SparkSession, marker_folder: str, name: str, snapshot_path: str,
+             as_of: str) -> None:
+    """Land the marker of a complete snapshot folder.  It is written under a hidden name (the
+    file source skips ``_``-prefixed files) and renamed, so the stream never sees half a marker;
+    its modification time is kept after every earlier marker so arrival order is unambiguous."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path
+    folder = Path(marker_folder)
+    fs = folder.getFileSystem(conf)
+    fs.mkdirs(folder)
+    latest = 0
+    for st in fs.listStatus(folder):
+        if st.getPath().getName().endswith(".ready"):
+            latest = max(latest, st.getModificationTime())
+    final, tmp = Path(folder, f"{name}.ready"), Path(folder, f"_{name}.ready.tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(f"{snapshot_path}\t{as_of}\n".encode()))
+    finally:
+        out.close()
+    fs.rename(tmp, final)
+    mtime = fs.getFileStatus(final).getModificationTime()
+    if mtime <= latest:
+        fs.setTimes(final, latest + 1, -1)
+
+
+def marker_stream(spark: SparkSession, marker_folder: str) -> DataFrame:
+    """One marker (one line) per micro-batch, oldest first."""
+    return (spark.readStream.schema(MARKER_SCHEMA).option("maxFilesPerTrigger", 1)
+            .option("pathGlobFilter", "*.ready").option("latestFirst", "false")
+            .text(marker_folder).withColumn("marker", F.col("_metadata.file_name")))
+
+
+def merge_announced(spark: SparkSession, markers: DataFrame, table_root: str, ms: M.MergeSpec,
+                    checkpoint: str, read_snapshot: Callable[[SparkSession, str], DataFrame]):
+    """Merge every announced snapshot into the versioned table at ``table_root``.
+
+    Only the marker lines (one per batch) reach the driver; the snapshot itself is read by
+    ``read_snapshot(spark, folder)`` as a distributed batch scan and merged with
+    write-audit-publish.  If a batch is replayed after a failure, merging the same snapshot
+    with the same ``as_of`` again changes nothing (matched rows compare equal, dropped rows
+    keep their first drop time), so the table ends as if every snapshot was merged once."""
+    table = VersionedTable(spark, table_root)
+
+    def on_batch(batch: DataFrame, epoch: int) -> None:
+        for m in sorted(batch.select("marker", "value").collect()):
+            if not m["value"]:
+                continue
+            folder, as_of = m["value"].split("\t")
+            src = read_snapshot(batch.sparkSession, folder)
+            M.merge_into_table(batch.sparkSession, table, src, ms, as_of.strip())
+
+    return (markers.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
