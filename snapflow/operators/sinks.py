@@ -26,6 +26,21 @@ def rebuild_stage(df: DataFrame, path: str, max_records_per_file: int | None = N
     return obs.get["rows"]
 
 
+def load_into_empty(df: DataFrame, path: str, fmt: str = "parquet") -> int:
+    """R2: load ``df`` into the stage at ``path`` only if that stage holds no rows yet; a stage
+    that already has rows is refused (``DataCheckError``) instead of being appended to twice.
+    The emptiness test reads at most one row; the load count is observed during the write."""
+    from snapflow.operators.checks import require_empty
+    spark = df.sparkSession
+    fs, p = _fs(spark, path)
+    if fs.exists(p) and any(not st.getPath().getName().startswith(("_", "."))
+                            for st in fs.listStatus(p)):
+        require_empty(spark.read.format(fmt).load(path), f"stage {path}")
+    obs_df, obs = counted(df, "load")
+    obs_df.write.mode("append").format(fmt).save(path)
+    return obs.get["rows"]
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

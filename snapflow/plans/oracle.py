@@ -266,6 +266,21 @@ SQL.update({
         SELECT c_custkey, TIMESTAMP '2024-06-26 04:00:00' AS date_ingested,
                'segment=' || c_mktsegment AS FileName
         FROM customer""",
+    "empty_guard": """
+        SELECT 'region' AS table_name, count(*) AS loaded, true AS refused, count(*) AS staged FROM region
+        UNION ALL SELECT 'nation', count(*), true, count(*) FROM nation
+        UNION ALL SELECT 'supplier', count(*), true, count(*) FROM supplier
+        UNION ALL SELECT 'customer', count(*), true, count(*) FROM customer
+        UNION ALL SELECT 'part', count(*), true, count(*) FROM part
+        UNION ALL SELECT 'orders', count(*), true, count(*) FROM orders
+        UNION ALL SELECT 'lineitem', count(*), true, count(*) FROM lineitem""",
+    "column_exclusion": """
+        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+               CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment
+        FROM customer""",
+    "incidents_load": """
+        SELECT *, TIMESTAMP '2024-07-26 04:00:00' AS Date_Ingested
+        FROM events WHERE event_type = 'error' AND user_id IN (8, 9)""",
     "row_reconcile": """
         SELECT 'region' AS table_name, count(*) AS expected, count(*) AS loaded, CAST(0 AS BIGINT) AS diff FROM region
         UNION ALL SELECT 'nation', count(*), count(*), 0 FROM nation

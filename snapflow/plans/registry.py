@@ -46,6 +46,9 @@ QUERIES = {
     "archive_expand": sq.q_archive_expand,
     "lineage_columns": sq.q_lineage_columns,
     "row_reconcile": sq.q_row_reconcile,
+    "empty_guard": sq.q_empty_guard,
+    "column_exclusion": sq.q_column_exclusion,
+    "incidents_load": sq.q_incidents_load,
     "stream_arrival": st.q_stream_arrival,
 }
 

@@ -14,7 +14,8 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapflow.operators import conform as CF
-from snapflow.operators.sinks import rebuild_stage
+from snapflow.operators.checks import DataCheckError
+from snapflow.operators.sinks import load_into_empty, rebuild_stage
 from snapflow.plans.snapshots import read
 from snapflow.session import scratch_dir
 from snapflow.sources import archive, files
@@ -265,3 +266,45 @@ def q_row_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
         loaded = spark.read.parquet(f"{root}/{name}").count()
         rows.append((name, int(written), int(loaded), int(written - loaded)))
     return spark.createDataFrame(rows, "table_name string, expected long, loaded long, diff long")
+
+
+STAGED_TABLES = ("region", "nation", "supplier", "customer", "part", "orders", "lineitem")
+
+
+def q_empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: each table loads into its empty stage; a second load into the now non-empty stage is
+    refused, so the stage holds exactly one copy."""
+    root = scratch_dir(spark, "guarded")
+    rows = []
+    for name in STAGED_TABLES:
+        path = f"{root}/{name}"
+        loaded = load_into_empty(read(spark, sf_dir, name), path)
+        try:
+            load_into_empty(read(spark, sf_dir, name), path)
+            refused = False
+        except DataCheckError:
+            refused = True
+        staged = spark.read.parquet(path).count()
+        rows.append((name, int(loaded), refused, int(staged)))
+    return spark.createDataFrame(
+        rows, "table_name string, loaded long, refused boolean, staged long")
+
+
+def q_column_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column excluded from the staged feed before insertion (header check still holds
+    for the remaining columns)."""
+    from snapflow.operators.clean import drop_columns
+    from snapflow.plans.table_queries import staged_customer
+    return drop_columns(staged_customer(spark, sf_dir), ["c_acctbal"])
+
+
+def q_incidents_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incidents job run twice on the events table (assignment = 'error',
+    reference in (8, 9)); the second run replaces the stage and both reconcile."""
+    from snapflow.plans import incidents
+    stage = f"{scratch_dir(spark, 'incidents')}/stage"
+    events = read(spark, sf_dir, "events")
+    for as_of in ("2024-06-26 04:00:00", "2024-07-26 04:00:00"):
+        incidents.run(spark, events, stage, "error", [8, 9], as_of,
+                      assignment_col="event_type", reference_col="user_id")
+    return spark.read.parquet(stage)
