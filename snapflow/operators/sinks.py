@@ -41,6 +41,18 @@ def load_into_empty(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     return obs.get["rows"]
 
 
+def default_buckets(spark: SparkSession) -> int:
+    """Bucket count for a new versioned table: the session's shuffle partition count, so the
+    bucketed side of a merge join is reused as is (Spark keeps an existing partitioning only
+    when it has at least ``spark.sql.shuffle.partitions`` partitions)."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def open_table(spark: SparkSession, root: str, buckets: int | None = None) -> "VersionedTable":
+    """A versioned table bucketed by its merge key; ``buckets=0`` keeps plain files."""
+    return VersionedTable(spark, root, default_buckets(spark) if buckets is None else buckets)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -48,49 +60,102 @@ def _fs(spark: SparkSession, path: str):
 
 
 class VersionedTable:
-    """Versions under ``root/v=<n>``; ``root/_CURRENT`` names the published one."""
+    """Versions under ``root/v=<n>``; ``root/_CURRENT`` names the published one.
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    With a bucket count (``buckets=``, or recorded in ``root/_LAYOUT`` by the first write) every
+    version is written with Spark's ``bucketBy(n, key)`` + ``sortBy(key)`` and read back as an
+    external catalog table declared with the same clustering (K6).  The scan then reports
+    hash partitioning on the key, so the next merge's join shuffles only the incoming
+    snapshot, never the accumulated table.  The bucket write itself needs no shuffle: the merge
+    output is already partitioned by the key with the same hash.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+        self.spark, self.root, self._buckets = spark, root.rstrip("/"), buckets
 
     def _pointer(self) -> str:
         return f"{self.root}/_CURRENT"
 
-    def current_version(self) -> int | None:
-        fs, p = _fs(self.spark, self._pointer())
+    def _read_small(self, path: str) -> str | None:
+        fs, p = _fs(self.spark, path)
         if not fs.exists(p):
             return None
         stream = fs.open(p)
         try:
             reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
                 self.spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-            return int(reader.readLine().strip())
+            return reader.readLine().strip()
         finally:
             stream.close()
 
+    def _write_small(self, path: str, text: str) -> None:
+        """Write a one-line file atomically (temporary name, then rename)."""
+        fs, p = _fs(self.spark, path)
+        _, tmp = _fs(self.spark, f"{path}.tmp")
+        stream = fs.create(tmp, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        if fs.exists(p):
+            fs.delete(p, False)
+        fs.rename(tmp, p)
+
+    def current_version(self) -> int | None:
+        v = self._read_small(self._pointer())
+        return None if v is None else int(v)
+
+    def layout(self) -> tuple[list[str], int] | None:
+        """``(key columns, bucket count)`` of a bucketed table, else ``None``."""
+        rec = self._read_small(f"{self.root}/_LAYOUT")
+        if rec is None:
+            return None
+        keys, n = rec.split("\t")
+        return keys.split(","), int(n)
+
     def path_of(self, version: int) -> str:
         return f"{self.root}/v={version:06d}"
 
+    def _table_name(self, version: int) -> str:
+        import hashlib
+        return f"snapflow_{hashlib.md5(self.root.encode()).hexdigest()[:12]}_v{version:06d}"
+
     def read(self) -> DataFrame | None:
         v = self.current_version()
-        return None if v is None else self.spark.read.parquet(self.path_of(v))
+        if v is None:
+            return None
+        lay = self.layout()
+        if lay is None:
+            return self.spark.read.parquet(self.path_of(v))
+        keys, n = lay
+        name = self._table_name(v)
+        if not self.spark.catalog.tableExists(name):
+            schema = self.spark.read.parquet(self.path_of(v)).schema
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            kl = ", ".join(f"`{k}`" for k in keys)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+                           f"CLUSTERED BY ({kl}) SORTED BY ({kl}) INTO {n} BUCKETS "
+                           f"LOCATION '{self.path_of(v)}'")
+        return self.spark.table(name)
 
     def write_next(self, df: DataFrame, key=None) -> tuple[int, str]:
         """Write a new, unpublished version; with ``key`` rows are clustered by key inside each
-        file (K6) — the merge output already is, so this adds no shuffle there."""
+        file (K6), and bucketed by key when the table has (or is given) a bucket count."""
         v = (self.current_version() or 0) + 1
-        out = df.sortWithinPartitions(*([key] if isinstance(key, str) else key)) if key else df
-        out.write.mode("overwrite").parquet(self.path_of(v))
-        return v, self.path_of(v)
+        keys = [key] if isinstance(key, str) else list(key or [])
+        lay = self.layout()
+        if lay is None and self._buckets and keys:
+            lay = (keys, int(self._buckets))
+            self._write_small(f"{self.root}/_LAYOUT", f"{','.join(keys)}\t{lay[1]}")
+        path = self.path_of(v)
+        if lay is not None:
+            bkeys, n = lay
+            (df.write.mode("overwrite").format("parquet").bucketBy(n, *bkeys).sortBy(*bkeys)
+             .option("path", path).saveAsTable(self._table_name(v)))
+        else:
+            out = df.sortWithinPartitions(*keys) if keys else df
+            out.write.mode("overwrite").parquet(path)
+        return v, path
 
     def publish(self, version: int) -> None:
-        fs, p = _fs(self.spark, self._pointer())
-        tmp_fs, tmp = _fs(self.spark, f"{self._pointer()}.tmp")
-        stream = tmp_fs.create(tmp, True)
-        try:
-            stream.write(bytearray(str(version).encode()))
-        finally:
-            stream.close()
-        if fs.exists(p):
-            fs.delete(p, False)
-        fs.rename(tmp, p)
+        self._write_small(self._pointer(), str(version))

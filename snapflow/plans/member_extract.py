@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapflow.operators import merge as M
 from snapflow.operators.project import Rule, typed_projection
-from snapflow.operators.sinks import VersionedTable, rebuild_stage
+from snapflow.operators.sinks import open_table, rebuild_stage
 from snapflow.sources import archive, files
 from snapflow.sources.delimited import read_delimited
 
@@ -197,6 +197,7 @@ class Config:
     stage: str            # staging table path (rebuilt each run)
     target: str           # versioned master table root
     parity: bool = False
+    buckets: int | None = None   # target bucket count (K6); None = shuffle partitions, 0 = off
 
 
 def run(spark: SparkSession, cfg: Config, as_of: str) -> dict:
@@ -213,7 +214,7 @@ def run(spark: SparkSession, cfg: Config, as_of: str) -> dict:
     from snapflow.operators.checks import reconcile
     reconcile(staged_rows, loaded, "member stage")
     source = typed_source(spark.read.parquet(cfg.stage), blank_bit_false=cfg.parity)
-    metrics = M.merge_into_table(spark, VersionedTable(spark, cfg.target), source,
+    metrics = M.merge_into_table(spark, open_table(spark, cfg.target, cfg.buckets), source,
                                  spec(cfg.parity), as_of)
     metrics.update({"staged": staged_rows, "quarantined": feed.quarantine.count(),
                     "file": newest[1]})

@@ -192,12 +192,13 @@ class Config:
     target: str
     parity: bool = False
     on_duplicate: str = "error"
+    buckets: int | None = None   # target bucket count (K6); None = shuffle partitions, 0 = off
 
 
 def run(spark: SparkSession, cfg: Config, as_of: str, readers=None) -> dict:
     """Read the five feeds (tab text for E&I, workbooks for M&R and C&S), build the
     source and merge it.  ``readers`` lets tests feed already-staged frames."""
-    from snapflow.operators.sinks import VersionedTable
+    from snapflow.operators.sinks import open_table
     if readers is None:
         from snapflow.sources.delimited import read_delimited
         from snapflow.sources.workbook import read_workbooks
@@ -212,6 +213,6 @@ def run(spark: SparkSession, cfg: Config, as_of: str, readers=None) -> dict:
     else:
         ei, aco, mr, cs = readers
     source = build_source(ei, aco, mr, cs, "collapse" if cfg.parity else "keep")
-    return M.merge_into_table(spark, VersionedTable(spark, cfg.target), source, spec(cfg.parity),
+    return M.merge_into_table(spark, open_table(spark, cfg.target, cfg.buckets), source, spec(cfg.parity),
                               as_of, on_duplicate=cfg.on_duplicate,
                               order_by=["LineOfBusiness", "Member_Key"])

@@ -21,7 +21,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapflow.operators import merge as M
-from snapflow.operators.sinks import VersionedTable
+from snapflow.operators.sinks import open_table
 
 
 def snapshot_stream(spark: SparkSession, folder: str, schema: T.StructType, sep: str = "|",
@@ -35,10 +35,10 @@ def snapshot_stream(spark: SparkSession, folder: str, schema: T.StructType, sep:
 
 def merge_arrivals(spark: SparkSession, stream: DataFrame, table_root: str, ms: M.MergeSpec,
                    checkpoint: str, prepare: Callable[[DataFrame], DataFrame] | None = None,
-                   as_of_fn: Callable[[int], str] | None = None):
+                   as_of_fn: Callable[[int], str] | None = None, buckets: int | None = None):
     """Start the stream; every micro-batch (one snapshot file) is prepared and merged with
     write-audit-publish.  Returns the StreamingQuery (call ``awaitTermination``)."""
-    table = VersionedTable(spark, table_root)
+    table = open_table(spark, table_root, buckets)
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
@@ -92,7 +92,8 @@ def marker_stream(spark: SparkSession, marker_folder: str) -> DataFrame:
 
 
 def merge_announced(spark: SparkSession, markers: DataFrame, table_root: str, ms: M.MergeSpec,
-                    checkpoint: str, read_snapshot: Callable[[SparkSession, str], DataFrame]):
+                    checkpoint: str, read_snapshot: Callable[[SparkSession, str], DataFrame],
+                    buckets: int | None = None):
     """Merge every announced snapshot into the versioned table at ``table_root``.
 
     Only the marker lines (one per batch) reach the driver; the snapshot itself is read by
@@ -100,7 +101,7 @@ def merge_announced(spark: SparkSession, markers: DataFrame, table_root: str, ms
     write-audit-publish.  If a batch is replayed after a failure, merging the same snapshot
     with the same ``as_of`` again changes nothing (matched rows compare equal, dropped rows
     keep their first drop time), so the table ends as if every snapshot was merged once."""
-    table = VersionedTable(spark, table_root)
+    table = open_table(spark, table_root, buckets)
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
         for m in sorted(batch.select("marker", "value").collect()):
