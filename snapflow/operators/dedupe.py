@@ -44,8 +44,11 @@ def top1_per_key(df: DataFrame, key, order_by, keyless: str = "keep",
         ranked = df.withColumn("_rn", F.row_number().over(w))
         return ranked.where("_rn = 1").drop("_rn")
     has_key = None
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     for k in key:
-        ok = F.col(k).isNotNull() & ~F.trim(F.col(k)).isin(*blank_keys)
+        ok = F.col(k).isNotNull()
+        if types.get(k) == "string":     # only text can be blank or the text 'nan'
+            ok = ok & ~F.trim(F.col(k)).isin(*blank_keys)
         has_key = ok if has_key is None else (has_key & ok)
     keyed = df.where(has_key)
     ranked = keyed.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
