@@ -281,6 +281,82 @@ SQL.update({
     "incidents_load": """
         SELECT *, TIMESTAMP '2024-07-26 04:00:00' AS Date_Ingested
         FROM events WHERE event_type = 'error' AND user_id IN (8, 9)""",
+    "super_users_job": """
+        WITH p AS (
+            SELECT c_custkey, c_nationkey, c_mktsegment AS seg, c_acctbal,
+                   'Name' || CAST(c_nationkey AS VARCHAR) AS fn,
+                   'Cust' || CAST(c_custkey AS VARCHAR) AS ln,
+                   make_date(1940 + c_nationkey, 6, 15) AS dob,
+                   lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip5,
+                   CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS pred,
+                   CASE WHEN c_acctbal > 5000 THEN '1' ELSE '0' END AS flag
+            FROM customer),
+        ei AS (
+            SELECT 'E' || CAST(c_custkey AS VARCHAR) AS MBR_ID,
+                   CASE WHEN c_acctbal < 0 THEN 'nan' ELSE CAST(c_custkey // 2 AS VARCHAR) END AS indv_id,
+                   * FROM p),
+        ei_first AS (
+            SELECT * EXCLUDE (rn) FROM (
+                SELECT *, row_number() OVER (PARTITION BY indv_id ORDER BY flag DESC, MBR_ID) AS rn
+                FROM ei WHERE indv_id <> 'nan') WHERE rn = 1
+            UNION ALL SELECT * FROM ei WHERE indv_id = 'nan'),
+        aco AS (
+            SELECT DISTINCT 'E' || CAST(c.c_custkey AS VARCHAR) AS MBR_ID,
+                   'Group' || CAST(c.c_nationkey AS VARCHAR) AS group_nm
+            FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+            WHERE c.c_mktsegment = 'BUILDING'),
+        u AS (
+            SELECT 'E&I' AS LineOfBusiness, e.MBR_ID AS Member_ID, fn AS MemberFirstName,
+                   ln AS MemberLastName, dob AS Member_DOB, CAST(NULL AS VARCHAR) AS Subscriber_ID,
+                   indv_id AS Indv_ID, 'nan' AS MemberGender, pred, flag, '5000' AS cutoff,
+                   CASE WHEN a.MBR_ID IS NOT NULL THEN '1' END AS aco_flag, a.group_nm AS ACO_Name,
+                   'nan' AS ExchangeInd, 'nan' AS CustomerSegmentNumber, a.group_nm AS GroupName,
+                   CASE WHEN a.MBR_ID IS NOT NULL THEN 'Y' END AS EI_Referral, 'nan' AS MarketRollup,
+                   seg AS MarketSegment, zip5 AS MemberZipCd, CAST(NULL AS VARCHAR) AS MemberZipPlus4Cd,
+                   'nan' AS MemberCityName, 'nan' AS MemberCounty, 'nan' AS MemberState,
+                   '1' AS RCT, CAST(NULL AS VARCHAR) AS MR_ContractNumber, CAST(NULL AS VARCHAR) AS chf,
+                   CAST(NULL AS VARCHAR) AS CS_MemberKey, CAST(NULL AS VARCHAR) AS CS_CompanyState,
+                   CAST(NULL AS VARCHAR) AS CS_file_origin
+            FROM ei_first e LEFT JOIN aco a ON e.MBR_ID = a.MBR_ID
+            UNION ALL
+            SELECT DISTINCT 'M&R', 'M' || CAST(p.c_custkey AS VARCHAR), upper(fn), upper(ln), dob, NULL,
+                   NULL, NULL, pred, flag, '5000', '0', NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+                   zip5, '1234', NULL, NULL, 'MN', NULL,
+                   'H' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0'),
+                   CASE WHEN c_acctbal > 0 THEN '1' ELSE '0' END, NULL, NULL, NULL
+            FROM p JOIN orders o ON o.o_custkey = p.c_custkey
+            WHERE seg IN ('AUTOMOBILE', 'MACHINERY')
+            UNION ALL
+            SELECT 'C&S', 'C' || CAST(c_custkey AS VARCHAR), fn, ln, dob, NULL, NULL, NULL, pred,
+                   flag, '5000', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, zip5, NULL, NULL,
+                   NULL, NULL, NULL, NULL, NULL, 'C' || CAST(c_custkey AS VARCHAR),
+                   'State' || CAST(c_nationkey AS VARCHAR),
+                   CASE WHEN c_acctbal >= 0 THEN 'medicare' ELSE 'medicaid' END
+            FROM p WHERE seg IN ('HOUSEHOLD', 'AUTOMOBILE'))
+        SELECT upper(md5(concat_ws('', lower(MemberFirstName), lower(MemberLastName),
+                                   CAST(Member_DOB AS VARCHAR), MemberZipCd))) AS Member_Key,
+               LineOfBusiness, '202406' AS YYYYMM, Member_ID, MemberFirstName, MemberLastName,
+               Member_DOB, Subscriber_ID, nullif(Indv_ID, 'nan') AS Indv_ID, CS_MemberKey,
+               CS_CompanyState, CS_file_origin, MemberGender,
+               CAST(pred AS DECIMAL(10,4)) AS HCE_PredictiveScore, flag = '1' AS Is_PSU,
+               CAST(cutoff AS DECIMAL(10,4)) AS PSU_Score_Cutoff,
+               CASE aco_flag WHEN '1' THEN true WHEN '0' THEN false END AS ACO_Flag, ACO_Name,
+               ExchangeInd, CustomerSegmentNumber, GroupName, EI_Referral, MarketRollup,
+               MarketSegment, MemberZipCd, MemberZipPlus4Cd, MemberCityName, MemberCounty,
+               nullif(MemberState, 'nan') AS MemberState, MR_ContractNumber,
+               CAST(NULL AS VARCHAR) AS MR_PBP, CAST(NULL AS VARCHAR) AS MR_Product,
+               CAST(NULL AS VARCHAR) AS MR_PMG_Name, CAST(NULL AS VARCHAR) AS GI,
+               CAST(chf AS INTEGER) AS CongestiveHeartFailure, CAST(NULL AS INTEGER) AS Diabetes,
+               CAST(NULL AS INTEGER) AS EndStageRenal, CAST(NULL AS INTEGER) AS TCM_eng,
+               CAST(NULL AS INTEGER) AS HRCM_eng, CAST(NULL AS INTEGER) AS AI_eng,
+               CAST(NULL AS INTEGER) AS Any_Optum_Program, CAST(RCT AS INTEGER) AS RCT,
+               TIMESTAMP '2024-06-26 04:00:00' AS Load_Date_Py,
+               CAST(count(*) OVER (PARTITION BY lower(MemberFirstName), lower(MemberLastName),
+                                   Member_DOB, MemberZipCd) AS INTEGER) AS CountOf_LOB,
+               1 AS CountOfFiles, TIMESTAMP '2024-06-26 04:00:00' AS InsertDate,
+               CAST(NULL AS TIMESTAMP) AS LastModifiedDate, CAST(NULL AS TIMESTAMP) AS DropDate,
+               'Active' AS SuperUser_Status, 'New' AS SuperUser_SubStatus
+        FROM u""",
     "row_reconcile": """
         SELECT 'region' AS table_name, count(*) AS expected, count(*) AS loaded, CAST(0 AS BIGINT) AS diff FROM region
         UNION ALL SELECT 'nation', count(*), count(*), 0 FROM nation

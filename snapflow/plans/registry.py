@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from snapflow.plans import source_queries as sq, stream_queries as st, table_queries as tq
+from snapflow.plans import (job_queries as jq, source_queries as sq, stream_queries as st,
+                            table_queries as tq)
 from snapflow.plans.oracle import SQL
 
 QUERIES = {
@@ -50,6 +51,7 @@ QUERIES = {
     "column_exclusion": sq.q_column_exclusion,
     "incidents_load": sq.q_incidents_load,
     "stream_arrival": st.q_stream_arrival,
+    "super_users_job": jq.q_super_users_job,
 }
 
 # the streamed table must equal the batch merge of the same two snapshots
