@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, functions as F, types as T
 
 # Fixed value: the text pandas writes for a missing value once a frame is forced to str.
@@ -27,10 +29,17 @@ def remove_char(x, ch: str = "-") -> Column:
     return F.replace(_c(x), F.lit(ch), F.lit(""))
 
 
+@functools.cache
+def python_whitespace() -> str:
+    """Every character Python's ``str.strip()`` removes (``str.isspace()``), built by rule."""
+    return "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+
+
 def strip_all(x) -> Column:
-    """Python ``str.strip()`` removes every kind of surrounding whitespace; ``trim`` only
-    spaces."""
-    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+    """Python ``str.strip()`` removes every kind of surrounding whitespace (Unicode
+    spaces included); ``trim`` removes only blanks and a regex ``\\s`` misses the Unicode ones.
+    ``btrim`` with the exact character set gives the Python result without a regex."""
+    return F.btrim(_c(x), F.lit(python_whitespace()))
 
 
 def len_rtrim(x) -> Column:

@@ -60,9 +60,12 @@ def read_delimited(spark: SparkSession, path: str, columns, sep: str = "|",
     header_line = sep.join(names)
     fields = F.split(line, re.escape(sep), -1)
     n = len(names)
-    header_norm = re.sub(r"\s", "", header_line)
-    parsed = (raw.where((line != F.lit("")) & (F.regexp_replace(line, r"\s", "")
-                                                != F.lit(header_norm)))
+    header_norm = re.sub(r"\s", "", header_line, flags=re.ASCII)   # Java \s is ASCII-only
+    # a header line contains the first header name; only such lines pay for the
+    # whitespace-insensitive comparison (``And`` short-circuits in generated code)
+    is_header = (F.contains(line, F.lit(names[0])) if names and names[0] else F.lit(True)) & \
+        (F.regexp_replace(line, r"\s", "") == F.lit(header_norm))
+    parsed = (raw.where((line != F.lit("")) & ~is_header)
               .select(fields.alias("_f"), line.alias("_line"),
                       (F.col("_metadata.file_name") if file_from == "name" else
                        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))

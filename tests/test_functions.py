@@ -51,6 +51,8 @@ def test_zip_rules(spark):
 def test_text_helpers(spark):
     assert _one(spark, lambda c: C.text_n(c, 3), ["abcdef"]) == ["abc"]
     assert _one(spark, X.strip_all, ["\t a b \n"]) == ["a b"]
+    odd = ["\xa0y\u3000", "\u2028z\u2029", "\x1cq\x1f", "\x85w", "\u200bzw\u200b", "   ", None]
+    assert _one(spark, X.strip_all, odd) == [None if v is None else v.strip() for v in odd]
     assert _one(spark, X.sentinel_to_null, ["nan", "x"]) == [None, "x"]
     assert _one(spark, C.int_text, ["123"]) == ["123"]
 
