@@ -67,7 +67,9 @@ def reconcile(expected: int, loaded: int, what: str = "rows") -> int:
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """A4: count rows as they stream through a write, without a second scan."""
-    obs = Observation(name)
+    import uuid
+    # unique per call: jobs observed under the same name may run concurrently
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:12]}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 

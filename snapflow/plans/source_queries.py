@@ -257,14 +257,18 @@ def q_lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_row_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each table is staged; rows counted on the way in (observed) and re-read."""
+    """Each table is staged; rows counted on the way in (observed) and re-read.
+    The stages are independent, so their jobs are submitted together and share the cluster."""
+    from concurrent.futures import ThreadPoolExecutor
     root = scratch_dir(spark, "reconcile")
-    rows = []
-    for name in ("region", "nation", "supplier", "customer", "part", "orders", "lineitem"):
-        src = read(spark, sf_dir, name)
-        written = rebuild_stage(src, f"{root}/{name}")
+
+    def stage(name):
+        written = rebuild_stage(read(spark, sf_dir, name), f"{root}/{name}")
         loaded = spark.read.parquet(f"{root}/{name}").count()
-        rows.append((name, int(written), int(loaded), int(written - loaded)))
+        return (name, int(written), int(loaded), int(written - loaded))
+
+    with ThreadPoolExecutor(max_workers=len(STAGED_TABLES)) as pool:
+        rows = list(pool.map(stage, STAGED_TABLES))
     return spark.createDataFrame(rows, "table_name string, expected long, loaded long, diff long")
 
 
