@@ -208,7 +208,7 @@ def run(spark: SparkSession, cfg: Config, as_of: str) -> dict:
     if newest is None:
         raise FileNotFoundError(f"no {FEED_PATTERN}.txt under {cfg.landing}")
     feed = read_delimited(spark, newest[0], FEED_COLUMNS, sep="|", lineage_as_of=as_of,
-                          ingest_col="Date_Ingested", file_col="FileName")
+                          ingest_col="Date_Ingested", file_col="FileName", observe=True)
     staged_rows = rebuild_stage(feed.good, cfg.stage)
     loaded = spark.read.parquet(cfg.stage).count()
     from snapflow.operators.checks import reconcile
@@ -216,6 +216,7 @@ def run(spark: SparkSession, cfg: Config, as_of: str) -> dict:
     source = typed_source(spark.read.parquet(cfg.stage), blank_bit_false=cfg.parity)
     metrics = M.merge_into_table(spark, open_table(spark, cfg.target, cfg.buckets), source,
                                  spec(cfg.parity), as_of)
-    metrics.update({"staged": staged_rows, "quarantined": feed.quarantine.count(),
+    # counted during the stage write: the feed is scanned once
+    metrics.update({"staged": staged_rows, "quarantined": feed.metrics.get["quarantined"],
                     "file": newest[1]})
     return metrics

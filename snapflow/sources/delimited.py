@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from snapflow.operators.clean import nan_literal, strip_values
 from snapflow.schemas import check_columns
@@ -25,6 +25,8 @@ from snapflow.schemas import check_columns
 class DelimitedRead:
     good: DataFrame        # rows that fit the layout (+ lineage columns)
     quarantine: DataFrame  # lines with surplus fields: file name, field count, raw line
+    # with ``observe=True``: ``lines`` / ``quarantined`` counted while ``good`` is consumed
+    metrics: Observation | None = None
 
 
 def header_of(spark: SparkSession, path: str, sep: str) -> list[str]:
@@ -39,7 +41,7 @@ def read_delimited(spark: SparkSession, path: str, columns, sep: str = "|",
                    header_names=None, strip: bool = True, nan_text: bool = False,
                    blank_as_null: bool = False, lineage_as_of: str | None = None,
                    file_col: str | None = "FileName", ingest_col: str = "date_ingested",
-                   file_from: str = "name") -> DelimitedRead:
+                   file_from: str = "name", observe: bool = False) -> DelimitedRead:
     """Read ``path`` (file, folder or glob) as text with ``columns`` as the declared layout.
 
     Lines are split on ``sep`` with every field kept (also trailing empty ones), so the field
@@ -52,6 +54,9 @@ def read_delimited(spark: SparkSession, path: str, columns, sep: str = "|",
     every value (P2); ``nan_text`` writes missing values as ``'nan'`` (P4 parity).  With
     ``lineage_as_of`` the batch-constant ingest time and the file name (``file_from='parent'``:
     the folder name, for feeds landed as dated folders) are appended (P5).
+
+    ``observe=True`` counts data lines and quarantined lines in the same pass that consumes
+    ``good`` (e.g. the stage write), so the quarantine needs no second scan of the feed.
     """
     names = header_names or header_of(spark, path, sep)
     check_columns(names, columns)
@@ -71,6 +76,12 @@ def read_delimited(spark: SparkSession, path: str, columns, sep: str = "|",
                        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
                       .alias("_file")))
     too_long = F.size("_f") > F.lit(n)
+    obs = None
+    if observe:
+        import uuid
+        obs = Observation(f"delimited_{uuid.uuid4().hex[:12]}")
+        parsed = parsed.observe(obs, F.count(F.lit(1)).alias("lines"),
+                                F.count_if(too_long).alias("quarantined"))
     pos = {c: i for i, c in enumerate(names)}
     vals = {c: F.try_element_at(F.col("_f"), F.lit(pos[c] + 1)) for c in columns}
     good = parsed.where(~too_long).select(
@@ -89,7 +100,7 @@ def read_delimited(spark: SparkSession, path: str, columns, sep: str = "|",
     quarantine = parsed.where(too_long).select(
         F.col("_file").alias("file_name"), F.size("_f").alias("n_fields"),
         F.col("_line").alias("line"))
-    return DelimitedRead(good, quarantine)
+    return DelimitedRead(good, quarantine, obs)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "|", header: bool = True,

@@ -101,3 +101,13 @@ def test_zip_expanded_when_newer(spark, tmp):
         zf.writestr("Master_Extract_Data_Mart_7.txt", body)
     m = ME.run(spark, cfg, "2019-09-26 04:00:00")
     assert m["file"] == "Master_Extract_Data_Mart_7.txt" and m["insert"] == 1
+
+
+def test_quarantine_counted_in_stage_pass(spark, tmp):
+    """R3 in the job: a line with a surplus field is quarantined and counted while staging."""
+    land, cfg = _cfg(tmp, "bad")
+    path = _land(land, "Master_Extract_Data_Mart_201910.txt", [_member("A1"), _member("B2")])
+    with open(path, "a") as fh:
+        fh.write(_line(_member("X9")) + "|surplus\n")
+    m = ME.run(spark, cfg, "2019-10-26 04:00:00")
+    assert m["staged"] == 2 and m["quarantined"] == 1 and m["insert"] == 2
