@@ -242,6 +242,7 @@ def merge_into_table(spark, table, source: DataFrame, ms: MergeSpec, as_of,
                      on_duplicate: str = "error", order_by=None, audit: bool = True) -> dict:
     """Write-audit-publish merge of one snapshot into a ``sinks.VersionedTable``.
 
+    0. the snapshot is written once to the shared checkpoint folder (lineage cut);
     1. M8 guard on the source key (``on_duplicate='first'`` keeps the first row per key under
        ``order_by`` instead of failing);  2. M7 identities for new keys;  3. the merge, with
        per-action row counts observed while the new version is written (no second scan);
@@ -252,9 +253,15 @@ def merge_into_table(spark, table, source: DataFrame, ms: MergeSpec, as_of,
     from snapflow.operators.dedupe import top1_per_key
     from snapflow.operators.keys import attach_surrogate
 
+    from snapflow.session import materialize
+
     key = list(ms.key)
     if on_duplicate == "first":
         source = top1_per_key(source, key, order_by or key, keyless="keep")
+    # the snapshot is computed once (parsing, cleaning, conforming) and read back from the
+    # shared checkpoint folder: the key guard and the identity step scan only its key column,
+    # and a lost executor later in the run re-reads the copy instead of recomputing the feed
+    source = materialize(source, "merge_source")
     checks.guard_keys(source, key, "source")
     previous = table.read()
     target = previous if previous is not None else empty_target(spark, ms, source.schema)
