@@ -156,3 +156,59 @@ def q_super_users_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     SU.run(spark, cfg, AS_OF)
     t = open_table(spark, cfg.target).read()
     return t.drop("Primary_Key", "FileName")
+
+
+# --- G1: member extract -----------------------------------------------------------------------
+
+def member_feed(snap: DataFrame, as_of: str) -> DataFrame:
+    """The 118-column member feed (all text) for one monthly customer snapshot.
+
+    Filled columns exercise each conversion: key and names (text widths), report month (blank
+    when the customer has no open order, so F1 drops the row), ids via int, dates in three
+    layouts, ZIP with a dash, a bit, a lenient bigint and a junk lenient int, a float ZIP, a
+    small int, a one-letter status, a decimal(3,2) that rounds, and a 23-character timestamp.
+    Every other column is blank."""
+    from snapflow.plans import member_extract as ME
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    dob = F.make_date(F.lit(1940) + n, F.lit(6), F.lit(15))
+    layout = F.pmod(n, F.lit(3))
+    vals = {
+        "MBR_HICN_NUM": F.concat(F.lit("H"), F.lpad(k.cast("string"), 10, "0")),
+        "RPT_MO_KEY": F.when(F.col("open_priority").isNull(), F.lit(""))
+                       .otherwise(F.col("snapshot_month")),
+        "MBR_INDV_ID": k.cast("string"),
+        "MBR_CRD_ID": (k * 7).cast("string"),
+        "MBR_LST_NM": F.col("c_name"),
+        "MBR_FST_NM": F.col("c_mktsegment"),
+        "MBR_DOB": F.when(layout == 0, F.date_format(dob, "yyyy-MM-dd"))
+                    .when(layout == 1, F.date_format(dob, "yyyyMMdd"))
+                    .otherwise(F.date_format(dob, "MM/dd/yyyy")),
+        "MBR_ADR_ZIP_FULL_CD": F.concat(F.lpad(n.cast("string"), 5, "0"), F.lit("-1234")),
+        "MBR_ANNL_CARE_VST_FLG": F.when(F.col("is_frequent"), F.lit("1")).otherwise(F.lit("0")),
+        "ASGN_PROV_NPI_NUM": F.concat(F.lit("1"), F.lpad(k.cast("string"), 9, "0")),
+        "ASGN_PROV_MPIN_NUM": F.concat(F.lit("X"), n.cast("string")),
+        "ASGN_PROV_ADR_ZIP_FULL_CD": F.concat((F.lit(10000) + n).cast("string"), F.lit(".0")),
+        "MSR_21_CBP_RSLT": F.substring("best_priority", 1, 1),
+        "MSR_49_HRM_CYR_STS": F.coalesce(F.substring("open_priority", 1, 1), F.lit("")),
+        "MSR_51_MAD_CURR_PDC": F.concat(F.lit("0."), F.lpad(F.pmod(k, F.lit(1000)).cast("string"), 3, "0")),
+        "ROW_INSRT_DT": F.lit(as_of + ".123"),
+        "SegmentID": n.cast("string"),
+    }
+    return _layout(snap, ME.FEED_COLUMNS, vals, blank="")
+
+
+def q_member_extract_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 end to end, two monthly runs: each run's feed lands as a folder named like the
+    reference's feed file; the job picks the newest feed, stages it, types it and merges it.
+    The table after the second run, without the source file names (part-file names)."""
+    from snapflow.operators.sinks import open_table
+    from snapflow.plans import member_extract as ME
+    from snapflow.plans import snapshots as S
+    root = scratch_dir(spark, "member_extract")
+    cfg = ME.Config(landing=f"{root}/landing", stage=f"{root}/stage", target=f"{root}/target")
+    for snap, as_of in zip(S.snapshots(spark, sf_dir), (S.AS_OF_1, S.AS_OF_2)):
+        month = as_of[:4] + as_of[5:7]
+        write_delimited(member_feed(snap, as_of),
+                        f"{cfg.landing}/Master_Extract_Data_Mart_{month}.txt", sep="|")
+        ME.run(spark, cfg, as_of)
+    return open_table(spark, cfg.target).read().drop("FileName")

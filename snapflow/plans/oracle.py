@@ -366,3 +366,77 @@ SQL.update({
         UNION ALL SELECT 'orders', count(*), count(*), 0 FROM orders
         UNION ALL SELECT 'lineitem', count(*), count(*), 0 FROM lineitem""",
 })
+
+
+# --- G1 member extract job: two monthly runs of the derived member feed ------------------------
+
+# SQL type of a blank (NULL) output per conversion rule; text rules keep the blank text ''.
+_BLANK_TYPE = {"int": "INTEGER", "try_int": "INTEGER", "bigint": "BIGINT",
+               "try_bigint": "BIGINT", "tinyint": "SMALLINT", "smallint": "SMALLINT",
+               "bit": "BOOLEAN", "date": "DATE", "try_date": "DATE", "timestamp": "TIMESTAMP",
+               "int_text": "VARCHAR", "float_text": "VARCHAR", "zip": "VARCHAR"}
+
+
+def _member_typed(snap: str, as_of: str) -> str:
+    from snapflow.plans.member_extract import RULES
+    filled = {
+        "MBR_HICN_NUM": "'H' || lpad(CAST(c_custkey AS VARCHAR), 10, '0')",
+        "RPT_MO_KEY": "CAST(snapshot_month AS INTEGER)",
+        "MBR_INDV_ID": "CAST(c_custkey AS INTEGER)",
+        "MBR_INDV_ID_STR": "CAST(c_custkey AS VARCHAR)",
+        "MBR_CRD_ID": "CAST(c_custkey * 7 AS VARCHAR)",
+        "MBR_LST_NM": "left(c_name, 100)",
+        "MBR_FST_NM": "left(c_mktsegment, 100)",
+        "MBR_DOB": "make_date(1940 + c_nationkey, 6, 15)",
+        "MBR_ADR_ZIP_FULL_CD": "lpad(CAST(c_nationkey AS VARCHAR), 5, '0') || '1234'",
+        "MBR_ANNL_CARE_VST_FLG": "is_frequent",
+        "ASGN_PROV_NPI_NUM": "CAST('1' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS BIGINT)",
+        "ASGN_PROV_ADR_ZIP_FULL_CD": "CAST(10000 + c_nationkey AS VARCHAR)",
+        "MSR_21_CBP_RSLT": "CAST(substr(best_priority, 1, 1) AS SMALLINT)",
+        "MSR_49_HRM_CYR_STS": "substr(open_priority, 1, 1)",
+        "MSR_51_MAD_CURR_PDC": "CAST('0.' || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') AS DECIMAL(3,2))",
+        "ROW_INSRT_DT": f"TIMESTAMP '{as_of}'",
+        "SegmentID": "CAST(c_nationkey AS SMALLINT)",
+    }
+    cols = []
+    for r in RULES:
+        if r.name in filled:
+            cols.append(f"{filled[r.name]} AS {r.name}")
+        elif r.kind == "text":
+            cols.append(f"'' AS {r.name}")
+        elif r.kind == "decimal":
+            cols.append(f"CAST(NULL AS DECIMAL({r.arg[0]},{r.arg[1]})) AS {r.name}")
+        else:
+            cols.append(f"CAST(NULL AS {_BLANK_TYPE[r.kind]}) AS {r.name}")
+    cols.append(f"TIMESTAMP '{as_of}' AS Load_Date_Py")
+    # a customer without an open order has a blank report month and is not loaded
+    return f"SELECT {', '.join(cols)} FROM ({snap}) WHERE open_priority IS NOT NULL"
+
+
+def _member_job_sql() -> str:
+    from snapflow.plans.member_extract import RULES
+    a1, a2 = "1998-01-01 04:00:00", "1998-07-01 04:00:00"
+    k = "MBR_HICN_NUM"
+    cols = [f"coalesce(t.{k}, s.{k}) AS {k}"]
+    for name in [r.name for r in RULES if r.name != k] + ["Load_Date_Py"]:
+        if name == "RPT_MO_KEY":                      # insert-only
+            cols.append(f"CASE WHEN t.{k} IS NULL THEN s.{name} ELSE t.{name} END AS {name}")
+        else:
+            # a new delivery has a new file name, and FileName is compared (Q2): every key
+            # present in both runs is updated from the second snapshot
+            cols.append(f"CASE WHEN s.{k} IS NOT NULL THEN s.{name} ELSE t.{name} END AS {name}")
+    cols += [
+        f"CASE WHEN t.{k} IS NOT NULL AND s.{k} IS NOT NULL THEN 2 ELSE 1 END AS CountOfFiles",
+        f"CASE WHEN t.{k} IS NULL THEN TIMESTAMP '{a2}' ELSE TIMESTAMP '{a1}' END AS InsertDate",
+        f"CASE WHEN t.{k} IS NOT NULL AND s.{k} IS NOT NULL THEN TIMESTAMP '{a2}' END"
+        f" AS LastModifiedDate",
+        f"CASE WHEN s.{k} IS NULL THEN TIMESTAMP '{a2}' END AS DropDate",
+        f"CASE WHEN s.{k} IS NULL THEN 'Inactive' ELSE 'Active' END AS MnR_Status",
+        f"CASE WHEN t.{k} IS NULL THEN 'New' WHEN s.{k} IS NULL THEN 'Dropped' ELSE 'Updated' END"
+        f" AS MnR_SubStatus",
+    ]
+    return (f"SELECT {', '.join(cols)} FROM ({_member_typed(SNAP1, a1)}) t "
+            f"FULL OUTER JOIN ({_member_typed(SNAP2, a2)}) s ON t.{k} = s.{k}")
+
+
+SQL["member_extract_job"] = _member_job_sql()

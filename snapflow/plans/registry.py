@@ -52,6 +52,7 @@ QUERIES = {
     "incidents_load": sq.q_incidents_load,
     "stream_arrival": st.q_stream_arrival,
     "super_users_job": jq.q_super_users_job,
+    "member_extract_job": jq.q_member_extract_job,
 }
 
 # the streamed table must equal the batch merge of the same two snapshots

@@ -42,3 +42,25 @@ def latest_file(spark: SparkSession, folder: str, pattern: str, by: str = "mtime
     if r is None or r["path"] is None:
         return None
     return r["path"], r["file_name"]
+
+
+def latest_feed(spark: SparkSession, folder: str, pattern: str):
+    """S1 for feeds that are either one file or a folder of part files (what a distributed
+    writer lands): the entries directly under ``folder`` whose name matches ``pattern`` are
+    the feeds; a feed's time is the newest modification time of its files.  Metadata only, one
+    aggregate; returns ``(path, name)`` of the newest feed or ``None``."""
+    import fnmatch
+    import re
+    top = folder.rstrip("/").rsplit("/", 1)[-1]
+    files = list_files(spark, folder, "*", recursive=True)
+    entry = F.regexp_extract("path", "/" + re.escape(top) + "/([^/]+)", 1)
+    feeds = (files.select(entry.alias("feed"), "path", "modificationTime")
+             .where(F.col("feed").rlike(fnmatch.translate(pattern)))
+             .select("feed", F.regexp_extract("path", "^(.*/" + re.escape(top) + "/[^/]+)", 1)
+                     .alias("feed_path"), "modificationTime")
+             .groupBy("feed", "feed_path").agg(F.max("modificationTime").alias("t")))
+    r = feeds.agg(F.max_by(F.struct("feed_path", "feed"), F.struct("t", "feed")).alias("f")) \
+        .select("f.*").first()
+    if r is None or r["feed_path"] is None:
+        return None
+    return r["feed_path"], r["feed"]
