@@ -30,17 +30,23 @@ def null_key_count(df: DataFrame, key) -> int:
     return df.where(cond).count()
 
 
-def guard_keys(df: DataFrame, key, name: str = "source", sample: int = 10) -> None:
+def guard_keys(df: DataFrame, key, name: str = "source", sample: int = 10,
+               collation: str | None = None) -> None:
     """M8: a merge needs a unique, non-null key; raise naming up to ``sample`` offenders.
 
     One aggregate over the key columns only: partial counts before the shuffle, so even a
-    key (or NULL) holding a third of the rows reaches the reducer as one row per map task."""
+    key (or NULL) holding a third of the rows reaches the reducer as one row per map task.
+    With ``collation``, text keys that compare equal under it (e.g. ``'ab'`` / ``'AB '``) are
+    one key."""
     key = [key] if isinstance(key, str) else list(key)
     is_null = None
     for k in key:
         c = F.col(k).isNull()
         is_null = c if is_null is None else (is_null | c)
-    bad = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    text = {f.name for f in df.schema.fields if f.dataType.simpleString().startswith("string")}
+    grp = [F.collate(F.col(k), collation).alias(k) if collation and k in text else F.col(k)
+           for k in key]
+    bad = (df.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n"))
            .where((F.col("_n") > 1) | is_null).limit(sample).collect())
     nulls = [r for r in bad if any(r[k] is None for k in key)]
     if nulls:

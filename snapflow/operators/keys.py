@@ -102,17 +102,24 @@ def dense_index(df: DataFrame, order_col: str, out: str, start: int = 1,
 
 
 def attach_surrogate(source: DataFrame, target: DataFrame | None, key: str, col: str,
-                     start: int = 10_000_000_000, num_buckets: int | None = None) -> DataFrame:
+                     start: int = 10_000_000_000, num_buckets: int | None = None,
+                     collation: str | None = None) -> DataFrame:
     """M7 before a merge: keys of ``source`` absent from ``target`` get the next identity values
     (``max(target.col) + 1, ...``); keys already in the target get NULL here and keep their
     issued value in the merge.  Only key columns are shuffled for the anti join; the final
-    left join is on the merge key, so its partitioning is reused by the merge's join."""
+    left join is on the merge key, so its partitioning is reused by the merge's join.
+    ``collation`` matches text keys as the merge does."""
     base = start
     if target is not None:
         mx = target.agg(F.max(col).alias("m")).first()["m"]
         if mx is not None:
             base = max(start, mx + 1)
-        new_keys = source.select(key).join(target.select(key), key, "left_anti")
+        sk, tk = source.select(key), target.select(F.col(key).alias("_tk"))
+        if collation and isinstance(source.schema[key].dataType, T.StringType):
+            cond = F.collate(sk[key], collation) == F.collate(tk["_tk"], collation)
+        else:
+            cond = sk[key] == tk["_tk"]
+        new_keys = sk.join(tk, cond, "left_anti")
     else:
         new_keys = source.select(key)
     issued = dense_index(new_keys, key, col, start=base, num_buckets=num_buckets)

@@ -66,6 +66,10 @@ class MergeSpec:
     surrogate_col: str | None = None
     surrogate_start: int = 10_000_000_000
     extra_cols: tuple[str, ...] = field(default_factory=tuple)
+    # §1.4: text keys and text change columns compared under this collation (e.g.
+    # "UTF8_LCASE_RTRIM": case and trailing blanks ignored, as SQL Server's usual default);
+    # None = binary comparison
+    collation: str | None = None
 
     @property
     def compare(self) -> tuple[str, ...]:
@@ -158,7 +162,13 @@ def snapshot_merge(target: DataFrame, source: DataFrame, ms: MergeSpec, as_of,
     s = source.select(s_cols)
     t = target.select([F.col(f"`{c}`").alias(a) for c, a in t_alias.items()])
 
-    cond = reduce(operator.and_, [F.col(t_alias[k]) == F.col(s_alias[k]) for k in ms.key])
+    text = {f.name for f in source.schema.fields if isinstance(f.dataType, T.StringType)}
+
+    def cmp(c: str, e: Column) -> Column:
+        return F.collate(e, ms.collation) if ms.collation and c in text else e
+
+    cond = reduce(operator.and_, [cmp(k, F.col(t_alias[k])) == cmp(k, F.col(s_alias[k]))
+                                  for k in ms.key])
     j = t.join(s, cond, "full_outer")
 
     sc = {c: F.col(a) for c, a in s_alias.items()}
@@ -170,7 +180,10 @@ def snapshot_merge(target: DataFrame, source: DataFrame, ms: MergeSpec, as_of,
     gone = ~in_s
     matched = in_t & in_s
     was_inactive = F.coalesce(tc[ms.status_col] == F.lit(INACTIVE), F.lit(False))
-    changed = matched & change_predicate(sc, tc, list(ms.compare), ms.null_safe)
+    compare = list(ms.compare)
+    changed = matched & change_predicate({c: cmp(c, sc[c]) for c in compare},
+                                         {c: cmp(c, tc[c]) for c in compare}, compare,
+                                         ms.null_safe)
     if ms.reactivate:
         changed = changed | (matched & was_inactive)
     # evaluate the branch flags once per row; every output column then reads a boolean
@@ -262,11 +275,12 @@ def merge_into_table(spark, table, source: DataFrame, ms: MergeSpec, as_of,
     # shared checkpoint folder: the key guard and the identity step scan only its key column,
     # and a lost executor later in the run re-reads the copy instead of recomputing the feed
     source = materialize(source, "merge_source")
-    checks.guard_keys(source, key, "source")
+    checks.guard_keys(source, key, "source", collation=ms.collation)
     previous = table.read()
     target = previous if previous is not None else empty_target(spark, ms, source.schema)
     if ms.surrogate_col:
-        source = attach_surrogate(source, previous, key[0], ms.surrogate_col, ms.surrogate_start)
+        source = attach_surrogate(source, previous, key[0], ms.surrogate_col, ms.surrogate_start,
+                                  collation=ms.collation)
     merged = snapshot_merge(target, source, ms, as_of, with_action=True)
     from pyspark.sql import Observation
     obs = Observation("merge")

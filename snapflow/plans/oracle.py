@@ -31,12 +31,22 @@ T2 = "TIMESTAMP '1998-07-01 04:00:00'"
 ATTRS = ["c_name", "c_nationkey", "c_mktsegment", "best_priority", "is_frequent", "open_priority"]
 
 
-def _merge_sql(insert_only=("snapshot_month",), null_safe=False, pk=False) -> str:
-    """Run 1 into an empty table is a plain insert; run 2 is the FULL OUTER JOIN below."""
+TEXT_ATTRS = {"c_name", "c_mktsegment", "best_priority", "open_priority", "snapshot_month"}
+
+
+def _merge_sql(insert_only=("snapshot_month",), null_safe=False, pk=False, collated=False,
+               snap2=None) -> str:
+    """Run 1 into an empty table is a plain insert; run 2 is the FULL OUTER JOIN below.
+    ``collated``: text columns compare case-insensitively and ignoring trailing blanks."""
     upd = [c for c in ATTRS + ["snapshot_month"] if c not in insert_only]
     op = "IS DISTINCT FROM" if null_safe else "<>"
+
+    def ne(c):
+        if collated and c in TEXT_ATTRS:
+            return f"lower(rtrim(s.{c})) {op} lower(rtrim(t.{c}))"
+        return f"s.{c} {op} t.{c}"
     changed = ("(t.c_custkey IS NOT NULL AND s.c_custkey IS NOT NULL AND ("
-               + "coalesce(" + " OR ".join(f"s.{c} {op} t.{c}" for c in upd) + ", false)"
+               + "coalesce(" + " OR ".join(ne(c) for c in upd) + ", false)"
                + " OR t.Status = 'Inactive'))")
     cols = ["coalesce(t.c_custkey, s.c_custkey) AS c_custkey"]
     for c in ATTRS + ["snapshot_month"]:
@@ -70,7 +80,7 @@ def _merge_sql(insert_only=("snapshot_month",), null_safe=False, pk=False) -> st
                  " END AS Primary_Key")
     return f"""
     WITH s1 AS ({SNAP1}),
-         s2raw AS ({SNAP2}),
+         s2raw AS ({snap2 or SNAP2}),
          t1 AS (SELECT *, CAST(1 AS INTEGER) AS CountOfFiles, {T1} AS InsertDate,
                        CAST(NULL AS TIMESTAMP) AS LastModifiedDate,
                        CAST(NULL AS TIMESTAMP) AS DropDate,
@@ -84,6 +94,15 @@ def _merge_sql(insert_only=("snapshot_month",), null_safe=False, pk=False) -> st
 
 SNAPSHOT_MERGE = _merge_sql()
 
+SNAP2_RECASED = f"""
+    SELECT c_custkey,
+           CASE WHEN c_mktsegment = 'BUILDING' THEN upper(c_name) || '  ' ELSE c_name END AS c_name,
+           c_nationkey,
+           CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN lower(c_mktsegment) ELSE c_mktsegment END
+               AS c_mktsegment,
+           best_priority, is_frequent, open_priority, snapshot_month
+    FROM ({SNAP2})"""
+
 SQL = {
     "snapshot_merge": SNAPSHOT_MERGE,
     "merge_summary": f"""
@@ -91,6 +110,7 @@ SQL = {
         GROUP BY Status, SubStatus""",
     "merge_insert_only": _merge_sql(insert_only=("snapshot_month", "best_priority")),
     "merge_null_safe": _merge_sql(null_safe=True),
+    "merge_collated": _merge_sql(collated=True, snap2=SNAP2_RECASED),
     "surrogate_key": f"""
         SELECT Primary_Key, c_custkey, Status, SubStatus FROM ({_merge_sql(pk=True)}) m""",
     "change_predicate": f"""

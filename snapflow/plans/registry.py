@@ -11,6 +11,7 @@ QUERIES = {
     "merge_summary": tq.q_merge_summary,
     "merge_insert_only": tq.q_merge_insert_only,
     "merge_null_safe": tq.q_merge_null_safe,
+    "merge_collated": tq.q_merge_collated,
     "change_predicate": tq.q_change_predicate,
     "surrogate_key": tq.q_surrogate_key,
     "key_violations": tq.q_key_violations,

@@ -38,6 +38,21 @@ def q_merge_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return two_runs(spark, sf_dir, customer_spec(null_safe=True))
 
 
+def q_merge_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """§1.4: the second snapshot arrives with names upper-cased and blank-padded (BUILDING) and
+    segments lower-cased (AUTOMOBILE); under ``UTF8_LCASE_RTRIM`` those are not changes."""
+    from snapflow.plans.snapshots import AS_OF_1, AS_OF_2
+    s1, s2 = snapshots(spark, sf_dir)
+    seg = F.col("c_mktsegment")
+    s2 = s2.withColumns({
+        "c_name": F.when(seg == "BUILDING", F.concat(F.upper("c_name"), F.lit("  ")))
+                   .otherwise(F.col("c_name")),
+        "c_mktsegment": F.when(seg == "AUTOMOBILE", F.lower(seg)).otherwise(seg)})
+    ms = customer_spec(collation="UTF8_LCASE_RTRIM")
+    t1 = M.snapshot_merge(M.empty_target(spark, ms, s1.schema), s1, ms, AS_OF_1)
+    return M.snapshot_merge(t1, s2, ms, AS_OF_2)
+
+
 def q_change_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """changed rows among matched keys, three-valued and null-safe."""
     s1, s2 = snapshots(spark, sf_dir)

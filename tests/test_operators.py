@@ -97,3 +97,28 @@ def test_enforce_schema(spark):
     with pytest.raises(Exception):
         enforce_schema(df.drop("bogus").withColumn("c_custkey", F.lit(None).cast("string")),
                        CUSTOMER_TYPED).collect()
+
+
+def test_collated_keys_and_changes(spark):
+    """§1.4: under UTF8_LCASE_RTRIM 'ab' and 'AB ' are one key, and re-cased or blank-padded
+    text is not a change; binary comparison sees a new key and a change."""
+    ms = M.spec("k", ["k", "a"], ["a"], collation="UTF8_LCASE_RTRIM")
+    binary = M.spec("k", ["k", "a"], ["a"])
+    s1 = spark.createDataFrame([("ab", "x"), ("cd", "y")], "k string, a string")
+    s2 = spark.createDataFrame([("AB ", "X  "), ("cd", "z")], "k string, a string")
+    for spec, exp in ((ms, {"ab": "unchanged", "cd": "update"}),
+                      (binary, {"ab": "drop", "AB ": "insert", "cd": "update"})):
+        t1 = M.snapshot_merge(M.empty_target(spark, spec, s1.schema), s1, spec, "2024-01-01")
+        got = {r["k"]: r["merge_action"]
+               for r in M.snapshot_merge(t1, s2, spec, "2024-02-01", with_action=True).collect()}
+        assert got == exp
+    dup = spark.createDataFrame([("ab", "x"), ("AB ", "y")], "k string, a string")
+    checks.guard_keys(dup, "k")                                    # binary: two keys
+    with pytest.raises(checks.DataCheckError, match="duplicate"):
+        checks.guard_keys(dup, "k", collation="UTF8_LCASE_RTRIM")
+    t = spark.createDataFrame([("ab", 10_000_000_000)], "k string, pk long")
+    src = spark.createDataFrame([("AB ",), ("new",)], "k string")
+    ids = {r["k"]: r["pk"] for r in keys.attach_surrogate(src, t.withColumnRenamed("pk", "pk"),
+                                                          "k", "pk",
+                                                          collation="UTF8_LCASE_RTRIM").collect()}
+    assert ids == {"AB ": None, "new": 10_000_000_001}
