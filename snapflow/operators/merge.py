@@ -273,8 +273,13 @@ def merge_into_table(spark, table, source: DataFrame, ms: MergeSpec, as_of,
         source = top1_per_key(source, key, order_by or key, keyless="keep")
     # the snapshot is computed once (parsing, cleaning, conforming) and read back from the
     # shared checkpoint folder: the key guard and the identity step scan only its key column,
-    # and a lost executor later in the run re-reads the copy instead of recomputing the feed
-    source = materialize(source, "merge_source")
+    # and a lost executor later in the run re-reads the copy instead of recomputing the feed.
+    # With a bucketed target the copy is bucketed the same way (its one shuffle replaces the
+    # guard's, the anti-join's and the merge join's)
+    layout = table.layout() if hasattr(table, "layout") else None
+    n = layout[1] if layout else getattr(table, "_buckets", None)
+    # bucketed like the target: guard, identity anti-join and merge join need no exchange
+    source = materialize(source, "merge_source", bucket_by=(key, n) if n else None)
     checks.guard_keys(source, key, "source", collation=ms.collation)
     previous = table.read()
     target = previous if previous is not None else empty_target(spark, ms, source.schema)

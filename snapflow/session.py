@@ -60,16 +60,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, bucket_by: tuple[list[str], int] | None = None):
     """Cut lineage by writing ``df`` as a Parquet table under the shared checkpoint folder and
     reading it back.  Unlike ``DataFrame.checkpoint()`` (which computes the plan once for the
     action and again for the checkpoint files, and stores serialized rows), the plan runs once,
     the copy is columnar, and later scans get column pruning, pushed filters and file-size
-    statistics for AQE.  The folder is shared, so the copy survives a lost executor."""
+    statistics for AQE.  The folder is shared, so the copy survives a lost executor.
+    ``bucket_by=(keys, n)`` writes the copy bucketed (an external catalog table), so key
+    aggregates and joins against tables bucketed the same way need no exchange."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    if bucket_by is None:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    # bucketed copy: later aggregates and joins on the key reuse its hash partitioning
+    keys, n = bucket_by
+    table = f"snapflow_{name}_{uuid.uuid4().hex[:12]}"
+    (df.write.mode("overwrite").format("parquet").bucketBy(n, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(table))
+    return spark.table(table)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -35,3 +35,24 @@ def test_bucketed_target_is_not_reshuffled(spark, tmp):
         assert m["insert"] == 60 and m["drop"] == 50
         results[buckets] = sorted(map(tuple, table.read().collect()))
     assert results[None] == results[n]
+
+
+def test_bucketed_snapshot_copy_needs_no_exchange(spark, tmp):
+    """The snapshot copy written bucketed like the target: the merge join and the key guard's
+    aggregate run without any shuffle."""
+    from snapflow.operators import checks
+    from snapflow.session import materialize
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = VersionedTable(spark, os.path.join(tmp, "t"), buckets=n)
+    M.merge_into_table(spark, table, _snap(spark, [(i, "a") for i in range(100)]), SPEC,
+                       "2024-01-26 04:00:00")
+    src = materialize(_snap(spark, [(i, "b") for i in range(50, 150)]), "snap",
+                      bucket_by=(["k"], n))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert _exchanges(M.snapshot_merge(table.read(), src, SPEC, "2024-02-26 04:00:00")) == 0
+        assert _exchanges(checks.key_violations(src, "k")) == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    m = M.merge_into_table(spark, table, src, SPEC, "2024-02-26 04:00:00")
+    assert (m["insert"], m["update"], m["drop"]) == (50, 50, 50)
