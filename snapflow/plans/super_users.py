@@ -216,3 +216,13 @@ def run(spark: SparkSession, cfg: Config, as_of: str, readers=None) -> dict:
     return M.merge_into_table(spark, open_table(spark, cfg.target, cfg.buckets), source, spec(cfg.parity),
                               as_of, on_duplicate=cfg.on_duplicate,
                               order_by=["LineOfBusiness", "Member_Key"])
+
+
+def persistent_super_users(spark: SparkSession, cfg: Config) -> DataFrame:
+    """the consumer view of the merged table — members flagged ``Is_PSU`` — registered as
+    the temporary view ``persistent_super_users`` and returned (a filter over the bucketed
+    table: no shuffle, only the scan)."""
+    from snapflow.operators.sinks import open_table
+    view = open_table(spark, cfg.target, cfg.buckets).read().where(F.col("Is_PSU"))
+    view.createOrReplaceTempView("persistent_super_users")
+    return view

@@ -83,6 +83,9 @@ def test_merge_runs_and_surrogates(spark, tmp):
     assert t2["E2"]["SuperUser_SubStatus"] == "Updated" and t2["E2"]["CountOfFiles"] == 2
     assert t2["C2"]["SuperUser_Status"] == "Inactive"
     assert t2["E2"]["Primary_Key"] == t["E2"]["Primary_Key"]
+    flagged = {r["Member_ID"] for r in SU.persistent_super_users(spark, cfg).collect()}
+    assert flagged == {k for k, r in t2.items() if r["Is_PSU"]} and "E2" in flagged
+    assert spark.table("persistent_super_users").count() == len(flagged)
 
 
 def test_fan_out_guard(spark, tmp):
