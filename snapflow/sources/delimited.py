@@ -18,7 +18,7 @@ import re
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from snapflow.operators.clean import nan_literal, strip_values
+from snapflow.functions.text import NAN_TEXT, strip_all
 from snapflow.schemas import check_columns
 
 @dataclass
@@ -84,19 +84,22 @@ def read_delimited(spark: SparkSession, path: str, columns, sep: str = "|",
                                 F.count_if(too_long).alias("quarantined"))
     pos = {c: i for i, c in enumerate(names)}
     vals = {c: F.try_element_at(F.col("_f"), F.lit(pos[c] + 1)) for c in columns}
-    good = parsed.where(~too_long).select(
-        *[v.alias(c) for c, v in vals.items()], *(["_file"] if file_col else []))
-    if strip:
-        good = strip_values(good, columns)
-    if blank_as_null:
-        good = good.select([F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) if c in columns
-                            else F.col(c) for c in good.columns])
-    if nan_text:
-        good = nan_literal(good, columns)
-    if lineage_as_of is not None:
-        good = good.withColumn(ingest_col, F.lit(lineage_as_of).cast(T.TimestampNTZType()))
+    # every cleaning step is folded into one expression per column: one projection to analyse
+    # and to run, however wide the feed
+    exprs = []
+    for c, v in vals.items():
+        if strip:
+            v = strip_all(v)
+        if blank_as_null:
+            v = F.nullif(v, F.lit(""))
+        if nan_text:
+            v = F.coalesce(v, F.lit(NAN_TEXT))
+        exprs.append(v.alias(c))
     if file_col:
-        good = good.withColumnRenamed("_file", file_col)
+        exprs.append(F.col("_file").alias(file_col))
+    if lineage_as_of is not None:
+        exprs.append(F.lit(lineage_as_of).cast(T.TimestampNTZType()).alias(ingest_col))
+    good = parsed.where(~too_long).select(*exprs)
     quarantine = parsed.where(too_long).select(
         F.col("_file").alias("file_name"), F.size("_f").alias("n_fields"),
         F.col("_line").alias("line"))
