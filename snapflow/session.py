@@ -44,9 +44,46 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``snapflow`` importable in Python workers (``applyInPandas`` / ``mapInPandas``
+    steps): the package is zipped in memory, written to the shared checkpoint folder through
+    the Hadoop file system API and added with ``addPyFile`` — the same thing ``--py-files``
+    does at submit time.  Once per application."""
+    import io
+    import zipfile
+    import snapflow
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(snapflow.__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for d, dirs, files in os.walk(root):
+            dirs[:] = [x for x in dirs if x != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    zf.write(full, os.path.join("snapflow", os.path.relpath(full, root)))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/snapflow-py/{uuid.uuid4().hex[:12]}/snapflow.zip"
+    jvm = sc._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(p.toString())
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: the cluster's setting, or a private one for local runs."""
     sc = spark.sparkContext
