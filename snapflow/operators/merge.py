@@ -297,7 +297,8 @@ def merge_into_table(spark, table, source: DataFrame, ms: MergeSpec, as_of,
     version, path = table.write_next(observed.drop("merge_action"), key)
     metrics = dict(obs.get)
     if audit:
-        written = spark.read.parquet(path)
+        written = (table.read_version(version) if hasattr(table, "read_version")
+                   else spark.read.parquet(path))
         bad = checks.key_violations(written, key).limit(5).collect()
         if bad:
             raise checks.DataCheckError(f"merged version {version} has duplicate keys {bad}")

@@ -121,9 +121,13 @@ class VersionedTable:
         return f"snapflow_{hashlib.md5(self.root.encode()).hexdigest()[:12]}_v{version:06d}"
 
     def read(self) -> DataFrame | None:
+        """The published version (``None`` before the first publish)."""
         v = self.current_version()
-        if v is None:
-            return None
+        return None if v is None else self.read_version(v)
+
+    def read_version(self, v: int) -> DataFrame:
+        """Any written version, published or not (the audit reads the new one this way, so
+        its key check runs on the bucketed layout without a shuffle)."""
         lay = self.layout()
         if lay is None:
             return self.spark.read.parquet(self.path_of(v))

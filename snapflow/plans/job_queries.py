@@ -118,13 +118,15 @@ def land_super_user_feeds(spark: SparkSession, sf_dir: str, root: str) -> SU.Con
     # member's own workbook, so the job's DISTINCT (which includes the file name) collapses them
     statuses = read(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus").distinct()
     cst = c.join(statuses, c["c_custkey"] == statuses["o_custkey"], "inner")
-    mr = _layout(cst.where(seg.isin("AUTOMOBILE", "MACHINERY")), SU.MR_COLUMNS + ["c_custkey", "o_orderstatus"], {
+    mr_people = cst.where(seg.isin("AUTOMOBILE", "MACHINERY"))
+    mr = _layout(mr_people, SU.MR_COLUMNS + ["c_custkey", "o_orderstatus"], {
         "hicn": F.concat(F.lit("M"), key), "bth_dt": p["dob"],
         "GPS_FIRST_NAME": F.upper(p["fn"]), "GPS_LAST_NAME": F.upper(p["ln"]),
         "gps_zip_cd": F.concat(p["zip5"], F.lit("1234")), "FIN_STATE": F.lit("MN"),
         "pred": p["pred"], "pred_flag": p["flag"], "pred_cutoff": F.lit("5000"),
         "aco_flag": F.lit("0"),
-        "FIN_CONTRACT_NBR": F.concat(F.lit("H"), F.lpad(F.col("c_nationkey").cast("string"), 4, "0")),
+        "FIN_CONTRACT_NBR": F.concat(F.lit("H"),
+                                     F.lpad(F.col("c_nationkey").cast("string"), 4, "0")),
         "CHF_eng": F.when(F.col("c_acctbal") > 0, F.lit("1")).otherwise(F.lit("0")),
         "c_custkey": F.col("c_custkey"), "o_orderstatus": F.col("o_orderstatus")})
     land_workbooks(mr, f"{root}/mr", SU.MR_COLUMNS,
@@ -190,7 +192,8 @@ def member_feed(snap: DataFrame, as_of: str) -> DataFrame:
         "ASGN_PROV_ADR_ZIP_FULL_CD": F.concat((F.lit(10000) + n).cast("string"), F.lit(".0")),
         "MSR_21_CBP_RSLT": F.substring("best_priority", 1, 1),
         "MSR_49_HRM_CYR_STS": F.coalesce(F.substring("open_priority", 1, 1), F.lit("")),
-        "MSR_51_MAD_CURR_PDC": F.concat(F.lit("0."), F.lpad(F.pmod(k, F.lit(1000)).cast("string"), 3, "0")),
+        "MSR_51_MAD_CURR_PDC": F.concat(F.lit("0."),
+                                        F.lpad(F.pmod(k, F.lit(1000)).cast("string"), 3, "0")),
         "ROW_INSRT_DT": F.lit(as_of + ".123"),
         "SegmentID": n.cast("string"),
     }
