@@ -266,7 +266,7 @@ def merge_into_table(spark, table, source: DataFrame, ms: MergeSpec, as_of,
     from snapflow.operators.dedupe import top1_per_key
     from snapflow.operators.keys import attach_surrogate
 
-    from snapflow.session import materialize
+    from snapflow.session import materialize, release
 
     key = list(ms.key)
     if on_duplicate == "first":
@@ -279,7 +279,7 @@ def merge_into_table(spark, table, source: DataFrame, ms: MergeSpec, as_of,
     layout = table.layout() if hasattr(table, "layout") else None
     n = layout[1] if layout else getattr(table, "_buckets", None)
     # bucketed like the target: guard, identity anti-join and merge join need no exchange
-    source = materialize(source, "merge_source", bucket_by=(key, n) if n else None)
+    source = copy = materialize(source, "merge_source", bucket_by=(key, n) if n else None)
     checks.guard_keys(source, key, "source", collation=ms.collation)
     previous = table.read()
     target = previous if previous is not None else empty_target(spark, ms, source.schema)
@@ -305,5 +305,8 @@ def merge_into_table(spark, table, source: DataFrame, ms: MergeSpec, as_of,
         before = 0 if previous is None else previous.count()
         checks.reconcile(before + metrics[ACTION_INSERT], metrics["rows"], "merged rows")
     table.publish(version)
+    # the published version no longer depends on the snapshot copy: drop it (a failed run
+    # keeps its copy for inspection)
+    release(copy)
     metrics["version"] = version
     return metrics

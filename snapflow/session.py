@@ -109,13 +109,36 @@ def materialize(df, name: str, bucket_by: tuple[list[str], int] | None = None):
     path = scratch_dir(spark, name)
     if bucket_by is None:
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        out = spark.read.parquet(path)
+        _COPIES[id(out)] = (path, None)
+        return out
     # bucketed copy: later aggregates and joins on the key reuse its hash partitioning
     keys, n = bucket_by
     table = f"snapflow_{name}_{uuid.uuid4().hex[:12]}"
     (df.write.mode("overwrite").format("parquet").bucketBy(n, *keys).sortBy(*keys)
      .option("path", path).saveAsTable(table))
-    return spark.table(table)
+    out = spark.table(table)
+    _COPIES[id(out)] = (path, table)
+    return out
+
+
+# materialized copies by DataFrame identity: folder and catalog table, for ``release``
+_COPIES: dict[int, tuple[str, str | None]] = {}
+
+
+def release(df) -> None:
+    """Delete a copy made by ``materialize`` once nothing reads it any more (its catalog entry
+    and its folder in the shared checkpoint location)."""
+    entry = _COPIES.pop(id(df), None)
+    if entry is None:
+        return
+    path, table = entry
+    spark = df.sparkSession
+    if table:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")       # external table: data stays until below
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -59,3 +59,24 @@ def test_bucketed_snapshot_copy_needs_no_exchange(spark, tmp):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     m = M.merge_into_table(spark, table, src, SPEC, "2024-02-26 04:00:00")
     assert (m["insert"], m["update"], m["drop"]) == (50, 50, 50)
+
+
+def test_snapshot_copy_released_after_publish(spark, tmp):
+    """The merge's snapshot copy is deleted once the new version is published."""
+    from snapflow import session
+    table = VersionedTable(spark, os.path.join(tmp, "t"), buckets=4)
+    made = []
+    orig = session.materialize
+
+    def spy(df, name, bucket_by=None):
+        out = orig(df, name, bucket_by)
+        made.append(session._COPIES[id(out)][0])
+        return out
+    session.materialize = spy
+    try:
+        M.merge_into_table(spark, table, _snap(spark, [(i, "a") for i in range(20)]), SPEC,
+                           "2024-01-26 04:00:00")
+    finally:
+        session.materialize = orig
+    assert len(made) == 1 and not os.path.exists(made[0].replace("file:", "", 1))
+    assert table.read().count() == 20
