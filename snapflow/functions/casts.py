@@ -45,8 +45,24 @@ def _needs_digit(dtype) -> bool:
     return dtype.strip().lower().split("(")[0].strip() in _DIGIT_NAMES
 
 
+_FLOAT_NAMES = ("double", "float", "real")
+
+
+def try_double(c: Column, dtype="double") -> Column:
+    """``try_cast`` to double / float, skipping text that cannot parse: only text with a digit
+    or with ``nan`` / ``inf`` in it (Spark's special literals, any case, optional sign) is
+    handed to the cast, so words and flags cost no JVM exception.  Same results as
+    ``try_cast``."""
+    return F.when(c.rlike(r"\p{Nd}|(?i:nan|inf)"), c.try_cast(dtype))
+
+
 def _try(c: Column, dtype) -> Column:
-    return _digit_guarded(c, dtype) if _needs_digit(dtype) else c.try_cast(dtype)
+    if _needs_digit(dtype):
+        return _digit_guarded(c, dtype)
+    name = dtype.simpleString() if isinstance(dtype, T.DataType) else dtype.strip().lower()
+    if name in _FLOAT_NAMES:
+        return try_double(c, dtype)
+    return c.try_cast(dtype)
 
 
 def text_n(x, n: int) -> Column:
@@ -90,7 +106,7 @@ def to_bit(x, blank_false: bool = False) -> Column:
     """
     raw = _c(x).cast(T.StringType())
     c = _blank_null(raw)
-    num = c.try_cast(T.DoubleType())
+    num = try_double(c)
     bit = F.when(num.isNotNull(), num != F.lit(0.0)).otherwise(c.try_cast(T.BooleanType()))
     if blank_false:
         bit = F.when(raw.isNotNull() & (F.trim(raw) == F.lit("")), F.lit(False)).otherwise(bit)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from snapflow.functions.casts import try_double
 from snapflow.functions.text import NAN_TEXT, strip_all
 
 
@@ -36,7 +37,7 @@ def numeric_profile(df: DataFrame, cols=None) -> DataFrame:
     aggs = []
     for c in cols:
         v = F.trim(F.col(f"`{c}`"))
-        bad = v.isNotNull() & (v != F.lit("")) & v.try_cast("double").isNull()
+        bad = v.isNotNull() & (v != F.lit("")) & try_double(v).isNull()
         aggs.append((F.count_if(bad) == F.lit(0)).alias(c))
     return df.agg(*aggs)
 

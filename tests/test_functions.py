@@ -64,18 +64,21 @@ def test_excel_serial(spark):
 
 
 def test_digit_guard_equals_try_cast(spark):
-    """The no-digit shortcut in lenient casts must give exactly ``try_cast``'s result."""
+    """The shortcuts in lenient casts (no digit; for doubles no digit and no nan/inf) must give
+    exactly ``try_cast``'s result."""
     from hypothesis import given, settings, strategies as st
-    alphabet = st.sampled_from(list("0123456789+-.eE xn\t") + ["nan", "١", " ", "today"])
+    alphabet = st.sampled_from(list("0123456789+-.eE xn\t") + ["nan", "١", " ", "today",
+                                                                  "NaN", "Inf", "inity", "d", "f"])
     texts = st.lists(st.lists(alphabet, max_size=6).map("".join), min_size=1, max_size=40)
 
     @settings(max_examples=15, deadline=None)
     @given(texts)
     def check(values):
         df = spark.createDataFrame([(v,) for v in values], "x string")
-        for t in ("int", "bigint", "tinyint", "decimal(3,2)", "decimal(20,0)"):
+        for t in ("int", "bigint", "tinyint", "decimal(3,2)", "decimal(20,0)", "double", "float"):
             got = df.select(C.lenient("x", t).alias("a"),
                             F.when(F.trim("x") != "", F.col("x").try_cast(t)).alias("b")).collect()
-            assert all(r["a"] == r["b"] for r in got), t
+            same = [r["a"] == r["b"] or (r["a"] != r["a"] and r["b"] != r["b"]) for r in got]
+            assert all(same), t                                  # NaN compares unequal to itself
 
     check()
