@@ -116,7 +116,22 @@ def to_bit(x, blank_false: bool = False) -> Column:
 def parse_date(x, formats=DATE_FORMATS) -> Column:
     """X10 lenient: first layout that parses; blank, ``nan`` or malformed text is NULL (Q7, Q20)."""
     c = F.trim(_blank_null(_c(x)))
-    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
+    return F.coalesce(*[_layout_guard(c, f) for f in formats])
+
+
+def _layout_guard(c: Column, fmt: str) -> Column:
+    """``try_to_date(c, fmt)`` only for text that could fit the layout — it contains every
+    literal separator of ``fmt``, or, for a layout of pattern letters only, it is digits and
+    signs — so text in another layout costs no JVM parse exception.  Same results."""
+    literals = sorted({ch for ch in fmt if not ch.isalpha()})
+    if literals:
+        cond = None
+        for ch in literals:
+            t = F.contains(c, F.lit(ch))
+            cond = t if cond is None else cond & t
+    else:
+        cond = c.rlike(r"^[\p{Nd}+-]+$")
+    return F.when(cond, F.try_to_date(c, fmt))
 
 
 def strict_date(x, formats=DATE_FORMATS) -> Column:

@@ -82,3 +82,22 @@ def test_digit_guard_equals_try_cast(spark):
             assert all(same), t                                  # NaN compares unequal to itself
 
     check()
+
+
+def test_date_layout_guard_equals_unguarded(spark):
+    """Skipping layouts whose separators are absent gives exactly the unguarded result."""
+    from hypothesis import given, settings, strategies as st
+    alphabet = st.sampled_from(list("0123456789-/+ x") + ["2019", "09", "26", "12/31/", "-02-"])
+    texts = st.lists(st.lists(alphabet, max_size=5).map("".join), min_size=1, max_size=40)
+
+    @settings(max_examples=15, deadline=None)
+    @given(texts)
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "x string")
+        c = F.trim(F.when(F.trim("x") != "", F.col("x")))
+        plain = F.coalesce(*[F.try_to_date(c, f) for f in C.DATE_FORMATS])
+        # compared inside Spark: a year-0 date cannot be collected into Python
+        differ = df.select(F.count_if(~C.parse_date("x").eqNullSafe(plain)).alias("n")).first()
+        assert differ["n"] == 0
+
+    check()
