@@ -107,7 +107,10 @@ def to_bit(x, blank_false: bool = False) -> Column:
     raw = _c(x).cast(T.StringType())
     c = _blank_null(raw)
     num = try_double(c)
-    bit = F.when(num.isNotNull(), num != F.lit(0.0)).otherwise(c.try_cast(T.BooleanType()))
+    # Spark's text booleans are t/true/y/yes/1 and f/false/n/no/0 (any case): text without any
+    # of those letters is NULL without the cast (a failing cast raises per row)
+    as_bool = F.when(c.rlike("(?i)[tyfn01]"), c.try_cast(T.BooleanType()))
+    bit = F.when(num.isNotNull(), num != F.lit(0.0)).otherwise(as_bool)
     if blank_false:
         bit = F.when(raw.isNotNull() & (F.trim(raw) == F.lit("")), F.lit(False)).otherwise(bit)
     return bit

@@ -101,3 +101,23 @@ def test_date_layout_guard_equals_unguarded(spark):
         assert differ["n"] == 0
 
     check()
+
+
+def test_bit_guard_equals_unguarded(spark):
+    """``to_bit``'s shortcut for text that cannot be a boolean keeps the unguarded result."""
+    from hypothesis import given, settings, strategies as st
+    alphabet = st.sampled_from(["t", "T", "rue", "y", "es", "f", "alse", "n", "o", "0", "1",
+                                "2", " ", "A", "R", "x", "nan", "."])
+    texts = st.lists(st.lists(alphabet, max_size=4).map("".join), min_size=1, max_size=40)
+
+    @settings(max_examples=15, deadline=None)
+    @given(texts)
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "x string")
+        c = F.when(F.trim("x") != "", F.col("x"))
+        num = c.try_cast("double")
+        plain = F.when(num.isNotNull(), num != F.lit(0.0)).otherwise(c.try_cast("boolean"))
+        differ = df.select(F.count_if(~C.to_bit("x").eqNullSafe(plain)).alias("n")).first()
+        assert differ["n"] == 0
+
+    check()
