@@ -7,24 +7,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapflow.llm import bottom_k, hilbert, line_rules
+from snapflow.llm import (bottom_k, covering_simhash, hilbert, line_dedup, line_rules,
+                          residual_packing, token_matrix)
 from snapflow.llm.common import read_table
 
 DIMENSIONS = [hilbert.Dimension("source"), hilbert.Dimension("lang"),
               hilbert.Dimension("n_chars", numeric=True)]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = line_dedup.line_report(read_table(spark, sf_dir, "documents"))
+    return report.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.hilbert_shards(read_table(spark, sf_dir, "documents"), DIMENSIONS)
 
 
+def op4_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covering_simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op5_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottom_k.edit_likeness(read_table(spark, sf_dir, "documents"))
 
 
+def op6_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_matrix.packed_matrix(read_table(spark, sf_dir, "documents"))
+
+
+def op7_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residual_packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(read_table(spark, sf_dir, "documents")).drop("kept_chars")
 
 
-QUERIES = {f.__name__: f for f in (op3_hilbert_shards, op5_bottom_k, op9_line_rules)}
+QUERIES = {f.__name__: f for f in (
+    op1_line_dedup, op3_hilbert_shards, op4_covering_simhash, op5_bottom_k, op6_token_matrix,
+    op7_residual_packing, op9_line_rules)}
 SQL: dict[str, str] = {}
