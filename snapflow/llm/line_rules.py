@@ -174,10 +174,12 @@ def judge(docs: DataFrame, rules: LineRules = LineRules(), id_col: str = DOC_ID,
 
 
 def keep_clean(docs: DataFrame, rules: LineRules = LineRules(), text_col: str = "text") -> DataFrame:
-    """The documents that the rules keep, all columns and whole texts as they came."""
-    return docs.filter(judgement(docs[text_col], rules)["kept"])
+    """The documents that the rules keep, without their failing lines; other columns as they came."""
+    kept = docs.filter(judgement(docs[text_col], rules)["kept"])
+    return kept.select(*[(cleaned_text(docs[c], rules) if c == text_col else docs[c]).alias(c) for c in docs.columns])
 
 
 def cleaned_text(text: Column, rules: LineRules = LineRules()) -> Column:
-    """The text with its failing and blank lines removed."""
-    return F.array_join(F.transform(clean_lines(split_lines(text), rules), lambda x: x["line"]), "\n")
+    """The text without its failing lines; blank lines stay."""
+    left = F.filter(split_lines(text), lambda x: (F.size(x["words"]) == 0) | line_passes(x["line"], x["words"], rules))
+    return F.array_join(F.transform(left, lambda x: x["line"]), "\n")
