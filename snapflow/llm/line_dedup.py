@@ -175,9 +175,14 @@ def repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, max_
     shared = d.sparkSession.sparkContext.broadcast(twice_seen(d, min_chars, bits))
     suspects = materialize(d.mapInArrow(_suspects(min_chars, bits, shared),
                                         "doc_id long, th long, line int, key binary, first boolean"), "suspect-lines")
-    held = (suspects.filter("first").groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
-            .filter(F.col("n") >= min_docs).select("key", "keeper"))
-    return (suspects.join(held, "key").filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    held = materialize(suspects.filter("first").groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
+                       .filter(F.col("n") >= min_docs), "held-lines")
+    # lines of a thousandth of all suspects or more: a thousand keys at most, sent to every task
+    common = suspects.count() / 1000
+    hot = F.broadcast(held.filter(F.col("n") >= common))
+    met = (suspects.join(hot, "key").unionByName(
+        suspects.join(hot.select("key"), "key", "left_anti").join(held.filter(F.col("n") < common), "key")))
+    return (met.filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
             .groupBy("doc_id", "th").agg(F.collect_set("line").alias("lines")))
 
 
