@@ -97,13 +97,15 @@ def _range_of(key: Column, cuts: list[int]) -> Column:
                        narrowed, lambda a: a["lo"])
 
 
-def with_next(d: DataFrame, order: str, columns: list[str], ties: str) -> DataFrame:
+def with_next(d: DataFrame, order: str, columns: list[str], ties: str,
+              derived: dict[str, Column] | None = None) -> DataFrame:
     """Each row with ``next_<column>`` of the row that follows by ``order`` (long, not null), then
     ``ties``; the last row is followed by the first.
 
     Rows go to as many ranges of ``order`` as there are shuffle partitions, in one exchange.  The
     rows that open a range also travel, marked, to the end of the range before it, so each range
-    is complete by itself.  The driver sees one cut and one first value a range.
+    is complete by itself.  The driver sees one cut and one first value a range.  ``derived``
+    columns are added once the travelling rows are chosen, so that they are not made twice.
     """
     spark = d.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -116,7 +118,8 @@ def with_next(d: DataFrame, order: str, columns: list[str], ties: str) -> DataFr
     visiting = (d.join(F.broadcast(guests), F.col(order) == F.col("__first"))
                 .select(*d.columns, F.col("__to").alias("__rng"), F.lit(1).alias("__guest")))
     w = Window.partitionBy("__rng").orderBy("__guest", order, ties)
-    return (ranged.withColumn("__guest", F.lit(0)).unionByName(visiting)
+    return (ranged.withColumn("__guest", F.lit(0)).withColumns(derived or {})
+            .unionByName(visiting.withColumns(derived or {}))
             .select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in columns])
             .filter("__guest = 0").drop("__rng", "__guest"))
 
@@ -125,8 +128,8 @@ def edit_likeness(docs: DataFrame, k: int = K, id_col: str = DOC_ID, text_col: s
     """Each text against its half-edited form and against the next document's text."""
     d = narrow(docs, id_col, text_col)
     d = d.select(DOC_ID, F.coalesce(F.col(DOC_ID).cast("long"), F.lit(-2 ** 63)).alias("__key"),
-                 "text", sketch(F.col("text"), k).alias("sketch"), F.xxhash64("text").alias("__th"))
-    d = with_next(d, "__key", ["text", "sketch"], "__th")
+                 "text", F.xxhash64("text").alias("__th"))
+    d = with_next(d, "__key", ["text", "sketch"], "__th", {"sketch": sketch(F.col("text"), k)})
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
