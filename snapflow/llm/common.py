@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from snapflow.session import ensure_checkpoint_dir, materialize, ship_package
 
 __all__ = ["ASCII_SPACE", "DOC_ID", "let", "materialize", "narrow", "prepare", "read_table",
-           "without", "words_of"]
+           "slices", "without", "words_of"]
 
 # fixed values: the six ASCII white space characters, 0x20 and 0x09-0x0D
 ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -39,6 +39,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches in parts of at most ``rows`` rows, so that a task holds few texts as objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def without(text: Column, chars: str) -> Column:
     """``text`` with every character of ``chars`` removed (plain search, much faster than ``translate``)."""
     for ch in chars:

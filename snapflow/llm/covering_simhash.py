@@ -35,7 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from snapflow.llm.common import DOC_ID, materialize, narrow
+from snapflow.llm.common import DOC_ID, materialize, narrow, slices
 
 WORDS = 4
 DISTANCE = 4
@@ -65,7 +65,7 @@ def simhash(text: bytes, words: int = WORDS) -> int:
 
 def _fingerprints(words: int):
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             fp = np.array([simhash(t, words) for t in b.column("text").cast(pa.binary()).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
     return run

@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from snapflow.llm.common import DOC_ID, let, materialize, narrow
+from snapflow.llm.common import DOC_ID, let, materialize, narrow, slices
 
 _STRIP = b" \t\n\x0b\x0c\r"
 _SEGMENT = 1 << 16               # bits of a segment; positions inside fit 16 bits
@@ -64,7 +64,7 @@ def _segments(hashes: np.ndarray, bits: int) -> dict[int, bytes]:
 _FILTER = pa.schema([("segment", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
 
 
-def _local_filters(min_chars: int, bits: int, flush: int = 4_000_000):
+def _local_filters(min_chars: int, bits: int, flush: int = 1_000_000):
     """Filters of a task's own documents; every ``flush`` hashes it sends what it has and starts
     anew (as if another task went on), so memory is bounded however large the partition is."""
     def rows(hashes: list[np.ndarray]) -> pa.RecordBatch:
@@ -77,7 +77,7 @@ def _local_filters(min_chars: int, bits: int, flush: int = 4_000_000):
 
     def run(batches):
         held, n = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 h = {xxhash.xxh3_64_intdigest(k) for _, k in line_keys(text, min_chars)}
                 if h:
@@ -138,7 +138,7 @@ def _suspects(min_chars: int, bits: int, shared):
 
     def run(batches):
         seen = np.frombuffer(shared.value, np.uint8)
-        for batch in batches:
+        for batch in slices(batches):
             row, line, keys = [], [], []
             for r, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
                 for i, k in line_keys(text, min_chars):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from snapflow.llm.common import DOC_ID, materialize, narrow
+from snapflow.llm.common import DOC_ID, materialize, narrow, slices
 from snapflow.llm.tokens import default_vocabulary, loaded
 
 CAPACITY = 2048
@@ -47,7 +47,7 @@ def _cut(vocabulary, capacity: int):
     def run(batches):
         tokenizer = loaded(vocabulary.value)
         step = 4 * capacity
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column("doc_id")
             row, piece, length, crc = [], [], [], []
             for r, data in enumerate(tokenizer.encode_all(batch.column("text").cast(pa.binary()).to_pylist())):
@@ -62,6 +62,7 @@ def _cut(vocabulary, capacity: int):
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array(row, pa.int64())), pa.array(piece), pa.array(piece.astype(np.int64) * capacity),
                  pa.array(length, pa.int32()), pa.array(crc, pa.int64())], schema=_PIECE_SCHEMA)
+        tokenizer.cache.forget()             # the process lives on for other tasks
     return run
 
 

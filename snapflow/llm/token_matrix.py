@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from snapflow.llm.common import DOC_ID, narrow
+from snapflow.llm.common import DOC_ID, narrow, slices
 from snapflow.llm.tokens import default_vocabulary, loaded
 
 CAPACITY = 2048
@@ -116,7 +116,7 @@ def _rows(vocabulary, capacity: int, window_tokens: int, full: int, width: str):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*rows[i:i + 512]), _SCHEMA)], schema=_SCHEMA)
 
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column("doc_id").to_pylist()
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for lo in range(0, len(texts), 256):
@@ -126,6 +126,7 @@ def _rows(vocabulary, capacity: int, window_tokens: int, full: int, width: str):
                     tokens += len(data) // 4
                     if tokens >= window_tokens:
                         yield from emit(False)
+        tokenizer.cache.forget()             # the process lives on for other tasks
         if held:
             yield from emit(True)
     return run

@@ -14,22 +14,36 @@ import os
 import numpy as np
 
 _LOADED: dict[int, "WordTokenizer"] = {}
-_CACHE_LIMIT = 1_500_000         # chunks; beyond it the cache starts anew
+_CACHE_LIMIT = 200_000           # chunks of a generation
 _GROUP = 500                     # new chunks that are encoded as one text
 
 
 class _Cache(dict):
     """Chunk -> ids.  Asked for a chunk it lacks, it gives an empty buffer, which it notes and which
-    is filled later: every chunk of a text is looked up once."""
+    is filled later: every chunk of a text is looked up once.  Two generations bound it: a full one
+    becomes the old one, from which chunks that are met again move back."""
 
     def __init__(self):
         super().__init__()
+        self.old: dict[bytes, bytearray] = {}
         self.open: dict[bytes, bytearray] = {}
 
     def __missing__(self, chunk: bytes) -> bytearray:
-        self[chunk] = self.open[chunk] = buffer = bytearray()
+        buffer = self.old.get(chunk)
+        if buffer is None:
+            buffer = self.open[chunk] = bytearray()
+        self[chunk] = buffer
         return buffer
 
+    def age(self, limit: int) -> None:
+        if len(self) > limit:
+            self.old = dict(self)
+            self.clear()
+
+    def forget(self) -> None:
+        self.old = {}
+        self.clear()
+
 
 def _byte_letters() -> str:
     """The printable stand-in of each byte in byte-level vocabularies: visible Latin-1 characters
@@ -106,8 +120,7 @@ class WordTokenizer:
         out: list[bytes] = []
         cache = self.cache
         for i in range(0, len(texts), 256):
-            if len(cache) > _CACHE_LIMIT:
-                cache.clear()
+            cache.age(_CACHE_LIMIT)
             found = [list(map(cache.__getitem__, (t if b"<|" in t else t.lower()).split()))
                      for t in texts[i:i + 256]]
             self._learn()
