@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame, functions as F
 from snapflow.llm.common import DOC_ID, narrow
 
 BLANK = "▁"
-_CACHE_LIMIT = 1_000_000
-_PAIR_LIMIT = 2_000_000
+_CACHE_LIMIT = 600_000
+_PAIR_LIMIT = 1_000_000
 
 
 class Model:
