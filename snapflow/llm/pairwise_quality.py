@@ -73,7 +73,7 @@ class PairwiseModel:
     decide_at: float
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return steps(x, self.cuts) @ self.weights
+        return (steps(x, self.cuts) @ self.weights).astype(np.float64)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         if not len(x):

@@ -1,0 +1,311 @@
+"""Operators against brute force on small tables with nulls, empty and long texts, copies, repeated
+rows and columns whose names clash with the operators' own."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from snapflow.llm import (bottom_k, covering_simhash, hilbert, host_words, line_dedup, line_rules,
+                          pairwise_quality, residual_packing, suffix_pieces, token_matrix, tokens)
+
+SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, shard int, score double, "
+          "fp long, v long, u long, line int, h long, bin long, th long")
+_SPACES = " \t\n\x0b\x0c\r"
+
+
+def words_of(text):
+    return [w.decode() for w in (text or "").encode().split()]
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(5)
+    vocab = ["".join(rng.choice("abcdefgéñ") for _ in range(rng.randint(1, 8))) for _ in range(300)]
+
+    def prose(n):
+        return " ".join(rng.choice(vocab) for _ in range(n)).capitalize() + "."
+
+    shared = prose(20)
+    out = [None, "", "   \n\t ", "one", "Don't, 'S <|endoftext|> ¶ x\x00y 日本語。", "a b c d e f g h " * 40]
+    out += [prose(rng.randint(3, 90)) for _ in range(30)]
+    out += [f"{prose(12)}\n{shared.upper()}  \n{prose(9)}\n{shared}\n" for _ in range(7)]
+    base = prose(400)
+    out += [base, base, base + " tail.", base.replace(" ", "  ", 3)]
+    out += ["MENU | home | about | " * 6, "BUY!! NOW!! CHEAP!! " * 9, "### *** $$$ %%% " * 10, prose(9000)]
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [(i, t, "en", f"s{i % 3}", None if t is None else len(t), 1, 0.5, 7, 8, 9, 1, 2, 3, 4) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows + [rows[8], (None, "a text without id " * 8, None, None, None, *rows[0][5:])], SCHEMA).repartition(5)
+
+
+def rows_of(df, *keys):
+    return sorted((r.asDict() for r in df.collect()), key=lambda r: tuple((r[k] is not None, r[k]) for k in keys or ("doc_id",)))
+
+
+def in_order(docs):
+    return [(r["doc_id"], r["text"] or "") for r in rows_of(docs.select("doc_id", "text"), "doc_id")]
+
+
+def test_line_rules(docs):
+    got = rows_of(line_rules.judge(docs))
+    for (doc, text), r in zip(in_order(docs), got):
+        w = words_of(text)
+        win = [tuple(w[i:i + 8]) for i in range(len(w) - 7)]
+        covered = {i + j for i, x in enumerate(win) if win.count(x) > 1 for j in range(8)} if len(w) < 2000 else set()
+        full = [ln for ln in text.split("\n") if words_of(ln)]
+        want = (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(full) - len(set(full)))
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"]) == want, doc
+        if len(w) < 2000:
+            assert r["n_repeat_words"] == len(covered)
+            assert r["base_failed"] == (len(w) < 20 or 100 * len(covered) > 30 * len(w))
+        assert not (r["base_failed"] and r["kept"])
+    kept = line_rules.keep_clean(docs)
+    assert kept.columns == docs.columns
+    assert not [r for r in kept.collect() if "MENU" in r["text"] or "!!" in r["text"] or "###" in r["text"]]
+
+
+def test_line_dedup(docs):
+    table = in_order(docs)
+    keys = [[ln.strip(_SPACES).encode().lower().decode() for ln in t.split("\n")] for _, t in table]
+    seen = {}
+    for (doc, _), ks in zip(table, keys):
+        for k in set(ks):
+            seen.setdefault(k, []).append(-1 if doc is None else doc)
+    got = rows_of(line_dedup.line_report(docs))
+    dropped = 0
+    for (doc, text), ks, r in zip(table, keys, got):
+        keep = [ln for ln, k in zip(text.split("\n"), ks)
+                if not (len(k) >= 40 and len(seen[k]) >= 5 and max(seen[k]) != (-1 if doc is None else doc))]
+        assert (r["n_lines"], r["kept_text"]) == (len(ks), "\n".join(keep)), doc
+        dropped += r["n_dropped"]
+    assert dropped == 12                                       # 7 documents, two lines each, one keeps them
+    full = line_dedup.repeated_lines(docs, max_bits=1 << 16)   # a crowded filter changes nothing
+    assert {(r["doc_id"], tuple(sorted(r["lines"]))) for r in full.collect()} == \
+        {(r["doc_id"], tuple(sorted(r["lines"]))) for r in line_dedup.repeated_lines(docs).collect()}
+    assert line_dedup.drop_repeated_lines(docs).columns == docs.columns
+
+
+def _simhash(text):
+    w = [x.decode() for x in text.encode().lower().split()]
+    s = [" ".join(w[i:i + 4]) for i in range(max(1, len(w) - 3))] if w else []
+    h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in s]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def _components(fps, ids, distance=4):
+    group = list(range(len(fps)))
+    for i in range(len(fps)):
+        for j in range(i):
+            if bin(fps[i] ^ fps[j]).count("1") <= distance and group[i] != group[j]:
+                a, b = group[i], group[j]
+                group = [b if g == a else g for g in group]
+    least = {}
+    for g, d in zip(group, ids):
+        if d is not None:
+            least[g] = min(least.get(g, d), d)
+    return [least.get(g) for g in group]
+
+
+def test_simhash(docs):
+    table = in_order(docs)
+    fps = [_simhash(t) for _, t in table]
+    got = rows_of(covering_simhash.near_duplicates(docs))
+    assert [r["fingerprint"] for r in got] == [f"{x:016x}" for x in fps]
+    assert [r["component_id"] for r in got] == _components(fps, [d for d, _ in table])
+
+
+@pytest.mark.parametrize("layout", ["small", "wide"])
+def test_links_in_crowded_anchors(spark, layout):
+    """Clouds of near fingerprints, cut into tiles of 16: every link is found, in both layouts."""
+    rng = random.Random(3)
+    fps = set()
+    for _ in range(12):
+        c = rng.getrandbits(64)
+        fps.update(c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))) for _ in range(25))
+    fps = sorted(fps)
+    nodes = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)),) for f in fps], "fp long")
+    root = {r["u"]: r["v"] for r in covering_simhash.components(covering_simhash.linked(nodes, layout=layout, tile=16)).collect()}
+    signed = [int(np.uint64(f).astype(np.int64)) for f in fps]
+    assert [root.get(s, s) for s in signed] == _components(fps, signed)
+
+
+def test_hilbert(docs):
+    dims = [hilbert.Dimension("source"), hilbert.Dimension("lang"), hilbert.Dimension("n_chars", numeric=True)]
+    got = hilbert.hilbert_shards(docs, dims, shards=6).collect()
+    assert len(got) == docs.count()
+    by = {}
+    for r in got:
+        by.setdefault(r["shard"], []).append(r)
+    sizes = [len(v) for v in by.values()]
+    assert len(by) == 6 and max(sizes) - min(sizes) <= 1
+    assert all(sorted(r["slot"] for r in v) == list(range(len(v))) for v in by.values())
+    order = sorted(got, key=lambda r: (r["shard"], r["slot"]))
+    assert [r["curve_index"] for r in order] == sorted(r["curve_index"] for r in got)
+    text = dict(in_order(docs))
+    assert all(r["size"] == len(text[r["doc_id"]].encode()) + 8 and r["text_crc32"] == zlib.crc32(text[r["doc_id"]].encode()) for r in got)
+
+
+def test_curve_steps_are_neighbours():
+    import itertools
+    for n, bits in ((2, 3), (3, 2), (4, 2)):
+        place, after = hilbert.curve_tables(n)
+
+        def index(cell):
+            state = at = 0
+            for level in reversed(range(bits)):
+                o = sum((c >> level & 1) << j for j, c in enumerate(cell))
+                at, state = at * (1 << n) + place[state * (1 << n) + o], after[state * (1 << n) + o]
+            return at
+
+        path = sorted(itertools.product(range(1 << bits), repeat=n), key=index)
+        assert all(sum(abs(a - b) for a, b in zip(p, q)) == 1 for p, q in zip(path, path[1:]))
+
+
+def test_bottom_k(docs, spark):
+    d = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    table = in_order(d)
+    got = rows_of(bottom_k.edit_likeness(d))
+
+    def shingles(t):
+        w = words_of(t)
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+    def likeness(a, b):
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    for i, ((_, t), r) in enumerate(zip(table, got)):
+        nxt = table[(i + 1) % len(table)][1]
+        half = len(t) // 2
+        edited = t[:len(t) - half] + nxt[:half]
+        assert r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert abs(r["near_edited"] - likeness(shingles(t), shingles(edited))) < 0.25
+        assert abs(r["near_next"] - likeness(shingles(t), shingles(nxt))) < 0.25
+    parts = d.withColumn("sketch", bottom_k.sketch(F.col("text"))).withColumn("g", F.lit(1))
+    whole = bottom_k.merged(parts, ["g"]).first()["sketch"]
+    every = sorted({h for r in parts.collect() for h in r["sketch"]})
+    assert whole == every[:bottom_k.K]
+
+
+def _reference_ids(texts):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokens.default_vocabulary())
+    return [np.array(e.ids + [0], "<u4") for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_packing(docs):
+    d = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    table = in_order(d)
+    want = {}
+    for (doc, _), ids in zip(table, _reference_ids([t for _, t in table])):
+        for p, at in enumerate(range(0, len(ids), 2048)):
+            want[doc, p] = (at, len(ids[at:at + 2048]), zlib.crc32(ids[at:at + 2048].tobytes()))
+    for limits in ({}, {"task_items": 9, "fan_in": 2}):
+        got = residual_packing.pack_documents(d, **limits).collect()
+        assert {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in got} == want
+        seqs = {}
+        for r in sorted(got, key=lambda r: r["offset"]):
+            assert seqs.get(r["sequence_id"], 0) == r["offset"]
+            seqs[r["sequence_id"]] = r["offset"] + r["length"]
+        assert max(seqs.values()) <= 2048 and len(seqs) <= -(-sum(seqs.values()) // 2048) + 2
+    seen = {}
+    for r in token_matrix.packed_matrix(d, window_tokens=3000).collect():
+        ids = np.frombuffer(r["input_ids"], "<u2").astype("<u4")
+        assert len(ids) == 2048 and r["position_resets"] == r["cu_seqlens"][:-1] and r["cu_seqlens"][-1] == r["n_tokens"]
+        for k, key in enumerate(zip(r["doc_ids"], r["pieces"])):
+            seen[key] = zlib.crc32(ids[r["cu_seqlens"][k]:r["cu_seqlens"][k + 1]].tobytes())
+    assert seen == {k: v[2] for k, v in want.items()}
+
+
+def test_room_tree_equals_scan():
+    rng = random.Random(1)
+    tree, rooms = token_matrix.RoomTree(50), []
+    for _ in range(400):
+        size = rng.randint(0, 50)
+        assert tree.least(size) == min((r for r in rooms if r >= size), default=None)
+        if rooms and rng.random() < 0.4:
+            tree.add(rooms.pop(rng.randrange(len(rooms))), -1)
+        else:
+            rooms.append(rng.randint(0, 50))
+            tree.add(rooms[-1], 1)
+
+
+def test_suffix_pieces_equal_the_library(docs, texts):
+    import sentencepiece
+    data = open(suffix_pieces.default_model(), "rb").read()
+    sp, encoder, rng = sentencepiece.SentencePieceProcessor(model_proto=data), suffix_pieces.Encoder(data, 2000), random.Random(2)
+    letters = "abcdefghinorstu      \n.,éñßABC▁😀"
+    mixed = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 50))) for _ in range(600)]
+    mixed += [t or "" for t in texts] + ["  a  b ", "\n", " \n a\n", "a ", " ", "x" * 700]
+    for t, ids in zip(mixed, encoder.encode_all([t.encode() for t in mixed])):
+        assert np.frombuffer(ids, "<u4").tolist() == sp.encode(t), t
+        assert encoder.decode(ids).decode() == sp.decode(sp.encode(t))
+    got = rows_of(suffix_pieces.encoded(docs))
+    assert all(r["round_trip"] for r in got) and len(got) == docs.count()
+
+
+def test_pairwise_quality(spark):
+    base = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
+    model = pairwise_quality.train(docs, labels)
+    seen = pairwise_quality.scored(docs, model).join(labels, "doc_id").filter("held_out").collect()
+    good, bad = ([r["score"] for r in seen if r["quality"] == q] for q in (1, 0))
+    assert np.mean([[g > b for b in bad] for g in good]) > 0.97
+    assert np.mean([r["predicted"] == r["quality"] for r in seen]) > 0.95
+    odd = spark.createDataFrame([(None, None), (1, ""), (1, "x " * 50000)], "doc_id long, text string")
+    assert all(0 <= r["score"] <= 1 for r in pairwise_quality.scored(odd, model).collect())
+    none = pairwise_quality.train(docs, labels.limit(0))
+    assert all(r["score"] == pytest.approx(0.3, abs=1e-12) and r["predicted"] == 1 for r in pairwise_quality.scored(odd, none).collect())
+
+
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "com", "/de/")]
+
+
+def test_host_words(spark):
+    urls = ["http://a.example.org/es/1", "https://EXAMPLE.org/en?x", "http://org", "x", None, "", "http://b.com/de/2#t",
+            "http://cheappills.net/a", "http://fineharbor.net/a"] * 2
+    pages = spark.createDataFrame([(i, u, "<b>cheap pills fine harbor</b>", "x") for i, u in enumerate(urls)],
+                                  "page_id long, url string, html string, host string")
+    got = {r["page_id"]: r for r in host_words.judge_urls(pages, RULES).collect()}
+    assert len(got) == len(urls)
+    assert [(got[i]["host"], got[i]["path"], got[i]["rule"]) for i in range(7)] == [
+        ("a.example.org", "/es/1", "example.org/es/"), ("example.org", "/en", "org/"), ("org", "", None), ("", "", None),
+        ("", "", None), ("", "", None), ("b.com", "/de/2", "com/de/")]
+    assert got[0]["verdict"] == "block" and got[1]["verdict"] == "allow" and got[7]["verdict"] == "block"
+    edges = [{"i": 0, "len": 5, "n": 9}, {"i": 5, "len": 5, "n": 9}, {"i": 0, "len": 3, "n": 2}]
+    assert host_words.best_split("cheappills", edges, 100.0) == ["cheap", "pills"]
+    assert host_words.best_split("zz", [], 100.0) == ["z", "z"]
+
+
+def test_empty_tables(docs, spark):
+    none = docs.limit(0)
+    dims = [hilbert.Dimension("lang"), hilbert.Dimension("n_chars", numeric=True)]
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    for out in (line_rules.judge(none), line_dedup.line_report(none), covering_simhash.near_duplicates(none), bottom_k.edit_likeness(none),
+                hilbert.hilbert_shards(none, dims), residual_packing.pack_documents(none), token_matrix.packed_matrix(none),
+                suffix_pieces.encoded(none), host_words.judge_urls(pages, RULES)):
+        assert out.count() == 0
+
+
+def test_pipeline(spark):
+    import corpus_pipeline as cp
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert [n for n, _ in cp.STAGES] == ["quality rules", "quality classifier", "line dedup", "SimHash near-dedup", "best-fit packing"]
+    clean = cp.quality_rules(spark, docs, sf)
+    kept = {r["doc_id"] for r in line_rules.judge(docs).filter("kept").collect()}
+    assert {r["doc_id"] for r in clean.collect()} == kept and clean.columns == docs.columns
+    lone = cp.near_duplicates(spark, clean, sf)
+    found = covering_simhash.near_duplicates(clean).collect()
+    assert {r["doc_id"] for r in lone.collect()} == {r["component_id"] for r in found}
+    packed = cp.run(spark, sf).collect()
+    assert {r["doc_id"] for r in packed} <= kept and packed
+    for _, stage in cp.STAGES[:-1]:
+        assert stage(spark, docs.limit(0), sf).count() == 0
