@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 # Date layouts accepted by the lenient date parse (ISO, compact, US).
-DATE_FORMATS = ("yyyy-MM-dd", "yyyyMMdd", "MM/dd/yyyy")
+DATE_FORMATS = ("yyyy-MM-dd", "yyyyMMdd", "MM/dd/yyyy",
+                "M/d/yyyy", "yyyy-M-d", "yyyy-M-d H:m:s", "M/d/yyyy H:m:s")
 
 
 def _c(x) -> Column:
@@ -70,15 +71,24 @@ def text_n(x, n: int) -> Column:
     return F.left(_c(x).cast(T.StringType()), F.lit(n))
 
 
+def _integral(c: Column, dtype: str) -> Column:
+    """Whole numbers as text, with or without a fraction of zeros or an exponent (``123.0``,
+    ``1.23E8``: the text of a float column).  Other fractions and other text raise."""
+    text = c.cast(T.StringType())
+    exact = text.cast(T.DecimalType(38, 6))
+    whole = F.when(exact != F.floor(exact), F.raise_error(
+        F.concat(F.lit("not a whole number: "), text)).cast(dtype)).otherwise(exact.cast(dtype))
+    return F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), text.cast(dtype)).otherwise(whole)
+
+
 def strict_int(x, dtype: str = "int") -> Column:
     """``CONVERT(INT|TINYINT|SMALLINT, x)``; bad text raises (ANSI).  Blank is NULL."""
-    return _blank_null(_c(x)).cast(dtype)
+    return _integral(_blank_null(_c(x)), dtype)
 
 
 def int_text(x) -> Column:
     """Id via integer to text, so ``123.0`` / ``1.23E8`` print as plain digits."""
-    c = _c(x)
-    return c.cast(T.IntegerType()).cast(T.StringType())
+    return _integral(_c(x), "int").cast(T.StringType())
 
 
 def lenient(x, dtype: str) -> Column:
@@ -110,7 +120,9 @@ def to_bit(x, blank_false: bool = False) -> Column:
     # Spark's text booleans are t/true/y/yes/1 and f/false/n/no/0 (any case): text without any
     # of those letters is NULL without the cast (a failing cast raises per row)
     as_bool = F.when(c.rlike("(?i)[tyfn01]"), c.try_cast(T.BooleanType()))
-    bit = F.when(num.isNotNull(), num != F.lit(0.0)).otherwise(as_bool)
+    # the missing-value text ``nan`` and infinities are no numbers: NULL, never TRUE
+    finite = ~F.isnan(num) & (F.abs(num) != F.lit(float("inf")))
+    bit = F.when(num.isNotNull(), F.when(finite, num != F.lit(0.0))).otherwise(as_bool)
     if blank_false:
         bit = F.when(raw.isNotNull() & (F.trim(raw) == F.lit("")), F.lit(False)).otherwise(bit)
     return bit

@@ -301,6 +301,8 @@ def merge_into_table(spark, table, source: DataFrame, ms: MergeSpec, as_of,
                    else spark.read.parquet(path))
         bad = checks.key_violations(written, key).limit(5).collect()
         if bad:
+            if hasattr(table, "drop_unpublished"):
+                table.drop_unpublished()
             raise checks.DataCheckError(f"merged version {version} has duplicate keys {bad}")
         before = 0 if previous is None else previous.count()
         checks.reconcile(before + metrics[ACTION_INSERT], metrics["rows"], "merged rows")

@@ -60,7 +60,12 @@ def _fs(spark: SparkSession, path: str):
 
 
 class VersionedTable:
-    """Versions under ``root/v=<n>``; ``root/_CURRENT`` names the published one.
+    """Versions under ``root/v=<n>``; the highest ``root/_CURRENT.<n>`` names the published one.
+
+    A version is published by creating its pointer file, which fails if it exists: nothing is ever
+    deleted to publish, so readers always see a whole version, and of two writers that prepare the
+    same version one fails.  A version folder is never written twice.  Folders left by a failed
+    writer stop the next one until ``drop_unpublished()`` removes them.
 
     With a bucket count (``buckets=``, or recorded in ``root/_LAYOUT`` by the first write) every
     version is written with Spark's ``bucketBy(n, key)`` + ``sortBy(key)`` and read back as an
@@ -73,8 +78,16 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark, self.root, self._buckets = spark, root.rstrip("/"), buckets
 
-    def _pointer(self) -> str:
-        return f"{self.root}/_CURRENT"
+    def _pointer(self, version: int) -> str:
+        return f"{self.root}/_CURRENT.{version:06d}"
+
+    def _names(self, prefix: str) -> list[int]:
+        """Numbers of the entries ``root/<prefix><n>``."""
+        fs, p = _fs(self.spark, self.root)
+        if not fs.exists(p):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit())
 
     def _read_small(self, path: str) -> str | None:
         fs, p = _fs(self.spark, path)
@@ -89,21 +102,45 @@ class VersionedTable:
             stream.close()
 
     def _write_small(self, path: str, text: str) -> None:
-        """Write a one-line file atomically (temporary name, then rename)."""
+        """Create a one-line file; an existing one is an error."""
         fs, p = _fs(self.spark, path)
-        _, tmp = _fs(self.spark, f"{path}.tmp")
-        stream = fs.create(tmp, True)
+        stream = fs.create(p, False)
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
-        if fs.exists(p):
-            fs.delete(p, False)
-        fs.rename(tmp, p)
 
     def current_version(self) -> int | None:
-        v = self._read_small(self._pointer())
-        return None if v is None else int(v)
+        """The published version; ``None`` for a table without any version.  Versions without a
+        pointer are a damaged or unfinished table, never an empty one."""
+        published = self._names("_CURRENT.")
+        if published:
+            return published[-1]
+        if self._names("v="):
+            raise RuntimeError(f"{self.root} has versions but none is published; "
+                               "restore a pointer or call drop_unpublished()")
+        return None
+
+    def _drop(self, version: int) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(version)}")
+        for path in (self._pointer(version), self.path_of(version)):
+            fs, p = _fs(self.spark, path)
+            fs.delete(p, True)
+
+    def drop_unpublished(self) -> list[int]:
+        """Remove versions above the published one, left by writers that failed."""
+        published = self._names("_CURRENT.")
+        gone = [v for v in self._names("v=") if not published or v > published[-1]]
+        for v in gone:
+            self._drop(v)
+        return gone
+
+    def drop_versions(self, keep: int = 2) -> list[int]:
+        """Remove all but the ``keep`` newest published versions; the current one always stays."""
+        gone = self._names("_CURRENT.")[:-max(1, keep)]
+        for v in gone:
+            self._drop(v)
+        return gone
 
     def layout(self) -> tuple[list[str], int] | None:
         """``(key columns, bucket count)`` of a bucketed table, else ``None``."""
@@ -152,14 +189,20 @@ class VersionedTable:
             lay = (keys, int(self._buckets))
             self._write_small(f"{self.root}/_LAYOUT", f"{','.join(keys)}\t{lay[1]}")
         path = self.path_of(v)
+        fs, p = _fs(self.spark, path)
+        if fs.exists(p):
+            raise FileExistsError(f"{path} exists: another writer is at it, or one failed "
+                                  "(then call drop_unpublished())")
         if lay is not None:
             bkeys, n = lay
-            (df.write.mode("overwrite").format("parquet").bucketBy(n, *bkeys).sortBy(*bkeys)
+            # one file a bucket: without this each input task writes a file for each bucket
+            df = df.repartition(n, *bkeys)
+            (df.write.mode("errorifexists").format("parquet").bucketBy(n, *bkeys).sortBy(*bkeys)
              .option("path", path).saveAsTable(self._table_name(v)))
         else:
             out = df.sortWithinPartitions(*keys) if keys else df
-            out.write.mode("overwrite").parquet(path)
+            out.write.mode("errorifexists").parquet(path)
         return v, path
 
     def publish(self, version: int) -> None:
-        self._write_small(self._pointer(), str(version))
+        self._write_small(self._pointer(version), str(version))

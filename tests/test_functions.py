@@ -1,5 +1,6 @@
 """Scalar conversions: the FIXTURES edge-case matrix."""
 
+import pytest
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -116,8 +117,26 @@ def test_bit_guard_equals_unguarded(spark):
         df = spark.createDataFrame([(v,) for v in values], "x string")
         c = F.when(F.trim("x") != "", F.col("x"))
         num = c.try_cast("double")
-        plain = F.when(num.isNotNull(), num != F.lit(0.0)).otherwise(c.try_cast("boolean"))
+        finite = ~F.isnan(num) & (F.abs(num) != F.lit(float("inf")))
+        plain = F.when(num.isNotNull(), F.when(finite, num != F.lit(0.0))).otherwise(c.try_cast("boolean"))
         differ = df.select(F.count_if(~C.to_bit("x").eqNullSafe(plain)).alias("n")).first()
         assert differ["n"] == 0
 
     check()
+
+
+def test_to_bit_missing_text_is_null(spark):
+    assert _one(spark, C.to_bit, ["nan", "NaN", "inf", "-Infinity", "0.0", "2.5"]) == \
+        [None, None, None, None, False, True]
+
+
+def test_whole_numbers_of_float_text(spark):
+    assert _one(spark, C.int_text, ["123.0", "1.23E8", "7", "-4.000", None]) == \
+        ["123", "123000000", "7", "-4", None]
+    with pytest.raises(Exception, match="not a whole number|CAST_INVALID"):
+        _one(spark, C.int_text, ["1.5"])
+
+
+def test_dates_without_padding_and_with_time(spark):
+    got = _one(spark, C.parse_date, ["1/5/1950", "1950-1-5", "1950-01-05 00:00:00", "1/5/1950 12:30:00"])
+    assert [str(d) for d in got] == ["1950-01-05"] * 4

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from snapflow.operators import merge as M
 from snapflow.operators.sinks import VersionedTable
 
@@ -80,3 +81,35 @@ def test_snapshot_copy_released_after_publish(spark, tmp):
         session.materialize = orig
     assert len(made) == 1 and not os.path.exists(made[0].replace("file:", "", 1))
     assert table.read().count() == 20
+
+
+def test_publish_never_loses_a_version(spark, tmp):
+    a, b = (VersionedTable(spark, os.path.join(tmp, "p")) for _ in range(2))
+    for n in (4, 6):
+        v, _ = a.write_next(spark.range(n), "id")
+        a.publish(v)
+    # a writer that died before publishing: readers see the last version, the next writer stops
+    a.write_next(spark.range(9), "id")
+    assert b.read().count() == 6
+    with pytest.raises(FileExistsError):
+        b.write_next(spark.range(1), "id")
+    assert b.drop_unpublished() == [3]
+    v, _ = b.write_next(spark.range(7), "id")
+    b.publish(v)
+    with pytest.raises(Exception):           # the second of two writers of one version
+        a.publish(v)
+    assert a.read().count() == 7
+    assert a.drop_versions(keep=1) == [1, 2] and a.read().count() == 7
+
+
+def test_versions_without_pointer_are_not_an_empty_table(spark, tmp):
+    t = VersionedTable(spark, os.path.join(tmp, "q"))
+    t.write_next(spark.range(3), "id")
+    with pytest.raises(RuntimeError):
+        t.read()
+
+
+def test_bucketed_write_has_one_file_a_bucket(spark, tmp):
+    t = VersionedTable(spark, os.path.join(tmp, "b"), buckets=4)
+    _, path = t.write_next(spark.range(0, 1000, 1, 16), "id")
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) <= 4
