@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 # Date layouts accepted by the lenient date parse (ISO, compact, US).
-DATE_FORMATS = ("yyyy-MM-dd", "yyyyMMdd", "MM/dd/yyyy",
-                "M/d/yyyy", "yyyy-M-d", "yyyy-M-d H:m:s", "M/d/yyyy H:m:s")
+# one letter takes one or two digits, so padded and unpadded dates share a layout
+DATE_FORMATS = ("yyyy-M-d", "yyyyMMdd", "M/d/yyyy", "yyyy-M-d H:m:s", "M/d/yyyy H:m:s")
 
 
 def _c(x) -> Column:
