@@ -47,52 +47,23 @@ def count_over_window(df: DataFrame, parts: dict[str, Column], out: str) -> Data
     return df.withColumn(out, F.count(F.lit(1)).over(w).cast(T.IntegerType()))
 
 
-def _buckets(df: DataFrame, order_col: str, num_buckets: int) -> tuple[DataFrame, str]:
-    """Assign ``_b``: range buckets (monotone in ``order_col``) for orderable numeric/temporal
-    columns, hash buckets otherwise.  Range boundaries come from one approximate-quantile pass
-    and only ``num_buckets`` values reach the driver; rows find their bucket by binary search."""
-    dt = df.schema[order_col].dataType
-    numeric = isinstance(dt, (T.IntegralType, T.FractionalType, T.DateType,
-                              T.TimestampType, T.TimestampNTZType))
-    if numeric and num_buckets > 1:
-        x = F.col(order_col)
-        if isinstance(dt, (T.DateType,)):
-            x = F.unix_date(x)
-        elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-            x = F.unix_micros(x.cast(T.TimestampType()))
-        probs = [i / num_buckets for i in range(1, num_buckets)]
-        acc = max(10_000, 10 * num_buckets)
-        bounds = df.select(F.percentile_approx(x, probs, acc).alias("q")).first()["q"] or []
-        bounds = sorted(set(float(b) for b in bounds if b is not None))
-        if not bounds:
-            return df.withColumn("_b", F.lit(0)), "range"
-        # binary search in the JVM (Bucketizer); bucket number is monotone in the key, so the
-        # global order (bucket, key) equals the key order
-        from pyspark.ml.feature import Bucketizer
-        splits = [float("-inf")] + bounds + [float("inf")]
-        tmp = df.withColumn("_bx", x.cast(T.DoubleType()))
-        out = Bucketizer(splits=splits, inputCol="_bx", outputCol="_bd",
-                         handleInvalid="keep").transform(tmp)
-        return out.withColumn("_b", F.col("_bd").cast(T.IntegerType())).drop("_bx", "_bd"), "range"
-    return df.withColumn("_b", F.pmod(F.xxhash64(order_col), F.lit(num_buckets))), "hash"
-
-
 def dense_index(df: DataFrame, order_col: str, out: str, start: int = 1,
                 num_buckets: int | None = None) -> DataFrame:
-    """Consecutive ids ``start, start+1, ...`` with no single-partition window (M7).
-
-    Rows are spread over ``num_buckets`` buckets; per-bucket counts (one row per bucket, a
-    bounded table) give each bucket's offset, and a ``row_number`` inside each bucket gives the
-    local position.  For numeric keys the buckets are key ranges, so ids follow key order; for
-    text keys they are hash buckets, so ids are unique and deterministic but ordered by
-    (bucket, key).  ``order_col`` should be unique (a merge key after ``guard_keys``).
+    """Consecutive ids ``start, start+1, ...`` in key order, with no single-partition window (M7).
+
+    Rows are range-partitioned by the key (numbers and text alike) and written once with their
+    range number, so that a lost executor cannot draw the ranges anew.  Counts a range (one row
+    each, a bounded table) give each range's offset, and a ``row_number`` inside each range gives
+    the local position.  The id is the key's rank: it depends on no setting, neither on the number
+    of ranges (``num_buckets``, default the shuffle partitions).  ``order_col`` should be unique (a
+    merge key after ``guard_keys``).
     """
-    spark = df.sparkSession
-    if num_buckets is None:
-        num_buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * 4)
-    b, _ = _buckets(df, order_col, num_buckets)
+    from snapflow.session import materialize
+    n = [] if num_buckets is None else [num_buckets]
+    ranged = df.repartitionByRange(*n, F.col(order_col))
+    b = materialize(ranged.withColumn("_b", F.spark_partition_id()), "key_ranges")
     counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per bucket: the running total over this tiny table is cheap in one task
+    # one row a range: the running total over this tiny table is cheap in one task
     offsets = counts.select(
         "_b", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_off"))
     w = Window.partitionBy("_b").orderBy(F.col(order_col))

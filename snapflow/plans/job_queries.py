@@ -13,6 +13,10 @@ MACHINERY customers are M&R members, HOUSEHOLD and AUTOMOBILE customers are C&S
 for a non-negative balance, mcd otherwise).  ACO rows are emitted once per order and M&R rows
 once per order status of the member, so the job's DISTINCT steps have real duplicates to
 remove.
+
+The job runs twice.  Run 1 has the customers with a balance up to 9000; run 2 those outside 0 to 500,
+with the score of nations below 10 raised by one.  Nation 3 has a blank flag.  The E&I landing
+folder also holds an older delivery, and lines with a surplus field that must stay out.
 """
 
 from __future__ import annotations
@@ -26,20 +30,21 @@ from snapflow.plans.snapshots import read
 from snapflow.session import scratch_dir
 from snapflow.sources.delimited import write_delimited
 
-AS_OF = "2024-06-26 04:00:00"
+AS_OF, AS_OF_2 = "2024-06-26 04:00:00", "2024-07-26 04:00:00"
 # workbooks hold at most this many keys each (keys are unique, so every block is bounded)
 BLOCK = 5000
 
 
-def _person() -> dict[str, Column]:
+def _person(run: int) -> dict[str, Column]:
     k, n, bal = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_acctbal")
+    raised = F.when(n < 10, bal + 1).otherwise(bal) if run == 2 else bal
     return {
         "fn": F.concat(F.lit("Name"), n.cast("string")),
         "ln": F.concat(F.lit("Cust"), k.cast("string")),
         "dob": F.make_date(F.lit(1940) + n, F.lit(6), F.lit(15)),
         "zip5": F.lpad(n.cast("string"), 5, "0"),
-        "pred": bal.cast("decimal(12,2)").cast("string"),
-        "flag": F.when(bal > 5000, F.lit("1")).otherwise(F.lit("0")),
+        "pred": raised.cast("decimal(12,2)").cast("string"),
+        "flag": F.when(n == 3, F.lit("")).when(bal > 5000, F.lit("1")).otherwise(F.lit("0")),
     }
 
 
@@ -90,10 +95,12 @@ def land_workbooks(df: DataFrame, folder: str, columns, block: Column, order: li
         .write.format("noop").mode("overwrite").save()
 
 
-def land_super_user_feeds(spark: SparkSession, sf_dir: str, root: str) -> SU.Config:
+def land_super_user_feeds(spark: SparkSession, sf_dir: str, root: str, run: int) -> SU.Config:
+    target, root = f"{root}/target", f"{root}/run{run}"
     c = read(spark, sf_dir, "customer")
+    c = c.where("c_acctbal <= 9000" if run == 1 else "not c_acctbal between 0 and 500")
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    p = _person()
+    p = _person(run)
     key = F.col("c_custkey").cast("string")
     seg = F.col("c_mktsegment")
 
@@ -102,10 +109,15 @@ def land_super_user_feeds(spark: SparkSession, sf_dir: str, root: str) -> SU.Con
         "indv_id": F.when(F.col("c_acctbal") < 0, F.lit(""))
                     .otherwise(F.expr("c_custkey div 2").cast("string")),
         "dob": F.date_format(p["dob"], "yyyy-MM-dd"), "MBR_FST_NM": p["fn"],
-        "MBR_LST_NM": p["ln"], "MKT_SEG_CD": seg, "MBR_ZIP_CD": p["zip5"],
+        "MBR_LST_NM": p["ln"], "MKT_SEG_CD": F.left(seg, F.lit(3)),
+        "Exchange_Ind": F.lit("N"), "MBR_ZIP_CD": p["zip5"],
         "pred": p["pred"], "pred_flag": p["flag"], "pred_cutoff": F.lit("5000"),
         "RCT": F.lit("1")}, blank="")
-    write_delimited(ei, f"{root}/ei", sep="\t")
+    write_delimited(ei.withColumn("MBR_FST_NM", F.lit("Older")), f"{root}/ei/ei_delivery_1.txt", sep="\t")
+    write_delimited(ei, f"{root}/ei/ei_delivery_2.txt", sep="\t")
+    surplus = ei.where("MKT_SEG_CD = 'FUR'").withColumn("MBR_ID", F.concat(F.lit("X"), "MBR_ID"))
+    surplus.select(F.concat_ws("\t", *SU.EI_COLUMNS, F.lit("surplus"))).write.mode("append").text(
+        f"{root}/ei/ei_delivery_2.txt")
 
     co = c.join(o, c["c_custkey"] == o["o_custkey"], "inner")
     aco = _layout(co.where(seg == "BUILDING"), SU.EI_ACO_COLUMNS, {
@@ -146,18 +158,19 @@ def land_super_user_feeds(spark: SparkSession, sf_dir: str, root: str) -> SU.Con
                        F.floor(F.col("c_custkey") / BLOCK).cast("long"), [F.col("c_custkey")],
                        origin)
     return SU.Config(ei=f"{root}/ei", ei_aco=f"{root}/aco", mr=f"{root}/mr",
-                     cs_mcr=f"{root}/mcr", cs_mcd=f"{root}/mcd", target=f"{root}/target")
+                     cs_mcr=f"{root}/mcr", cs_mcd=f"{root}/mcd", target=target,
+                     patterns={"ei": "ei_delivery_*.txt"}, stage=f"{root}/stage")
 
 
 def q_super_users_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G2 end to end on feeds landed from the driver's tables; the merged table after one run
-    (surrogate ids and source file names are left out: both depend on file layout)."""
+    """G2 end to end, twice, on feeds landed from the driver's tables; the merged table after both
+    runs.  Every delivery has the same file names, so the other columns decide what changed."""
     from snapflow.operators.sinks import open_table
     root = scratch_dir(spark, "super_users")
-    cfg = land_super_user_feeds(spark, sf_dir, root)
-    SU.run(spark, cfg, AS_OF)
-    t = open_table(spark, cfg.target).read()
-    return t.drop("Primary_Key", "FileName")
+    for run, as_of in ((1, AS_OF), (2, AS_OF_2)):
+        cfg = land_super_user_feeds(spark, sf_dir, root, run)
+        SU.run(spark, cfg, as_of)
+    return open_table(spark, cfg.target).read().drop("FileName")
 
 
 # --- G1: member extract -----------------------------------------------------------------------
@@ -194,24 +207,24 @@ def member_feed(snap: DataFrame, as_of: str) -> DataFrame:
         "MSR_49_HRM_CYR_STS": F.coalesce(F.substring("open_priority", 1, 1), F.lit("")),
         "MSR_51_MAD_CURR_PDC": F.concat(F.lit("0."),
                                         F.lpad(F.pmod(k, F.lit(1000)).cast("string"), 3, "0")),
-        "ROW_INSRT_DT": F.lit(as_of + ".123"),
+        "ROW_INSRT_DT": F.concat(F.lit("1998-01-"), F.lpad((n + 1).cast("string"), 2, "0"),
+                                  F.lit(" 04:00:00.123")),
         "SegmentID": n.cast("string"),
     }
     return _layout(snap, ME.FEED_COLUMNS, vals, blank="")
 
 
 def q_member_extract_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G1 end to end, two monthly runs: each run's feed lands as a folder named like the
-    reference's feed file; the job picks the newest feed, stages it, types it and merges it.
-    The table after the second run, without the source file names (part-file names)."""
+    """G1 end to end, two monthly runs: each run's feed lands in its own folder under the same
+    delivered name, so the other compared columns decide what was updated; the job stages it,
+    types it and merges it.  The table after the second run."""
     from snapflow.operators.sinks import open_table
     from snapflow.plans import member_extract as ME
     from snapflow.plans import snapshots as S
     root = scratch_dir(spark, "member_extract")
-    cfg = ME.Config(landing=f"{root}/landing", stage=f"{root}/stage", target=f"{root}/target")
-    for snap, as_of in zip(S.snapshots(spark, sf_dir), (S.AS_OF_1, S.AS_OF_2)):
-        month = as_of[:4] + as_of[5:7]
+    for run, (snap, as_of) in enumerate(zip(S.snapshots(spark, sf_dir), (S.AS_OF_1, S.AS_OF_2)), 1):
+        cfg = ME.Config(landing=f"{root}/landing{run}", stage=f"{root}/stage", target=f"{root}/target")
         write_delimited(member_feed(snap, as_of),
-                        f"{cfg.landing}/Master_Extract_Data_Mart_{month}.txt", sep="|")
+                        f"{cfg.landing}/Master_Extract_Data_Mart_1998.txt", sep="|")
         ME.run(spark, cfg, as_of)
-    return open_table(spark, cfg.target).read().drop("FileName")
+    return open_table(spark, cfg.target).read()

@@ -202,13 +202,13 @@ class Config:
 
 def run(spark: SparkSession, cfg: Config, as_of: str) -> dict:
     """G1 end to end; returns row counts for reconciliation."""
-    archive.expand_to_files(spark, cfg.landing, zip_pattern=FEED_PATTERN + ".zip",
-                            txt_pattern=FEED_PATTERN + ".txt")
+    archive.expand_newest(spark, cfg.landing, zip_pattern=FEED_PATTERN + ".zip",
+                          txt_pattern=FEED_PATTERN + ".txt")
     newest = files.latest_feed(spark, cfg.landing, FEED_PATTERN + ".txt")
     if newest is None:
         raise FileNotFoundError(f"no {FEED_PATTERN}.txt under {cfg.landing}")
     feed = read_delimited(spark, newest[0], FEED_COLUMNS, sep="|", lineage_as_of=as_of,
-                          ingest_col="Date_Ingested", file_col="FileName", observe=True)
+                          ingest_col="Date_Ingested", observe=True, feed_name=newest[1])
     staged_rows = rebuild_stage(feed.good, cfg.stage)
     loaded = spark.read.parquet(cfg.stage).count()
     from snapflow.operators.checks import reconcile

@@ -301,82 +301,6 @@ SQL.update({
     "incidents_load": """
         SELECT *, TIMESTAMP '2024-07-26 04:00:00' AS Date_Ingested
         FROM events WHERE event_type = 'error' AND user_id IN (8, 9)""",
-    "super_users_job": """
-        WITH p AS (
-            SELECT c_custkey, c_nationkey, c_mktsegment AS seg, c_acctbal,
-                   'Name' || CAST(c_nationkey AS VARCHAR) AS fn,
-                   'Cust' || CAST(c_custkey AS VARCHAR) AS ln,
-                   make_date(1940 + c_nationkey, 6, 15) AS dob,
-                   lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip5,
-                   CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS pred,
-                   CASE WHEN c_acctbal > 5000 THEN '1' ELSE '0' END AS flag
-            FROM customer),
-        ei AS (
-            SELECT 'E' || CAST(c_custkey AS VARCHAR) AS MBR_ID,
-                   CASE WHEN c_acctbal < 0 THEN 'nan' ELSE CAST(c_custkey // 2 AS VARCHAR) END AS indv_id,
-                   * FROM p),
-        ei_first AS (
-            SELECT * EXCLUDE (rn) FROM (
-                SELECT *, row_number() OVER (PARTITION BY indv_id ORDER BY flag DESC, MBR_ID) AS rn
-                FROM ei WHERE indv_id <> 'nan') WHERE rn = 1
-            UNION ALL SELECT * FROM ei WHERE indv_id = 'nan'),
-        aco AS (
-            SELECT DISTINCT 'E' || CAST(c.c_custkey AS VARCHAR) AS MBR_ID,
-                   'Group' || CAST(c.c_nationkey AS VARCHAR) AS group_nm
-            FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-            WHERE c.c_mktsegment = 'BUILDING'),
-        u AS (
-            SELECT 'E&I' AS LineOfBusiness, e.MBR_ID AS Member_ID, fn AS MemberFirstName,
-                   ln AS MemberLastName, dob AS Member_DOB, CAST(NULL AS VARCHAR) AS Subscriber_ID,
-                   indv_id AS Indv_ID, 'nan' AS MemberGender, pred, flag, '5000' AS cutoff,
-                   CASE WHEN a.MBR_ID IS NOT NULL THEN '1' END AS aco_flag, a.group_nm AS ACO_Name,
-                   'nan' AS ExchangeInd, 'nan' AS CustomerSegmentNumber, a.group_nm AS GroupName,
-                   CASE WHEN a.MBR_ID IS NOT NULL THEN 'Y' END AS EI_Referral, 'nan' AS MarketRollup,
-                   seg AS MarketSegment, zip5 AS MemberZipCd, CAST(NULL AS VARCHAR) AS MemberZipPlus4Cd,
-                   'nan' AS MemberCityName, 'nan' AS MemberCounty, 'nan' AS MemberState,
-                   '1' AS RCT, CAST(NULL AS VARCHAR) AS MR_ContractNumber, CAST(NULL AS VARCHAR) AS chf,
-                   CAST(NULL AS VARCHAR) AS CS_MemberKey, CAST(NULL AS VARCHAR) AS CS_CompanyState,
-                   CAST(NULL AS VARCHAR) AS CS_file_origin
-            FROM ei_first e LEFT JOIN aco a ON e.MBR_ID = a.MBR_ID
-            UNION ALL
-            SELECT DISTINCT 'M&R', 'M' || CAST(p.c_custkey AS VARCHAR), upper(fn), upper(ln), dob, NULL,
-                   NULL, NULL, pred, flag, '5000', '0', NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-                   zip5, '1234', NULL, NULL, 'MN', NULL,
-                   'H' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0'),
-                   CASE WHEN c_acctbal > 0 THEN '1' ELSE '0' END, NULL, NULL, NULL
-            FROM p JOIN orders o ON o.o_custkey = p.c_custkey
-            WHERE seg IN ('AUTOMOBILE', 'MACHINERY')
-            UNION ALL
-            SELECT 'C&S', 'C' || CAST(c_custkey AS VARCHAR), fn, ln, dob, NULL, NULL, NULL, pred,
-                   flag, '5000', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, zip5, NULL, NULL,
-                   NULL, NULL, NULL, NULL, NULL, 'C' || CAST(c_custkey AS VARCHAR),
-                   'State' || CAST(c_nationkey AS VARCHAR),
-                   CASE WHEN c_acctbal >= 0 THEN 'medicare' ELSE 'medicaid' END
-            FROM p WHERE seg IN ('HOUSEHOLD', 'AUTOMOBILE'))
-        SELECT upper(md5(concat_ws('', lower(MemberFirstName), lower(MemberLastName),
-                                   CAST(Member_DOB AS VARCHAR), MemberZipCd))) AS Member_Key,
-               LineOfBusiness, '202406' AS YYYYMM, Member_ID, MemberFirstName, MemberLastName,
-               Member_DOB, Subscriber_ID, nullif(Indv_ID, 'nan') AS Indv_ID, CS_MemberKey,
-               CS_CompanyState, CS_file_origin, MemberGender,
-               CAST(pred AS DECIMAL(10,4)) AS HCE_PredictiveScore, flag = '1' AS Is_PSU,
-               CAST(cutoff AS DECIMAL(10,4)) AS PSU_Score_Cutoff,
-               CASE aco_flag WHEN '1' THEN true WHEN '0' THEN false END AS ACO_Flag, ACO_Name,
-               ExchangeInd, CustomerSegmentNumber, GroupName, EI_Referral, MarketRollup,
-               MarketSegment, MemberZipCd, MemberZipPlus4Cd, MemberCityName, MemberCounty,
-               nullif(MemberState, 'nan') AS MemberState, MR_ContractNumber,
-               CAST(NULL AS VARCHAR) AS MR_PBP, CAST(NULL AS VARCHAR) AS MR_Product,
-               CAST(NULL AS VARCHAR) AS MR_PMG_Name, CAST(NULL AS VARCHAR) AS GI,
-               CAST(chf AS INTEGER) AS CongestiveHeartFailure, CAST(NULL AS INTEGER) AS Diabetes,
-               CAST(NULL AS INTEGER) AS EndStageRenal, CAST(NULL AS INTEGER) AS TCM_eng,
-               CAST(NULL AS INTEGER) AS HRCM_eng, CAST(NULL AS INTEGER) AS AI_eng,
-               CAST(NULL AS INTEGER) AS Any_Optum_Program, CAST(RCT AS INTEGER) AS RCT,
-               TIMESTAMP '2024-06-26 04:00:00' AS Load_Date_Py,
-               CAST(count(*) OVER (PARTITION BY lower(MemberFirstName), lower(MemberLastName),
-                                   Member_DOB, MemberZipCd) AS INTEGER) AS CountOf_LOB,
-               1 AS CountOfFiles, TIMESTAMP '2024-06-26 04:00:00' AS InsertDate,
-               CAST(NULL AS TIMESTAMP) AS LastModifiedDate, CAST(NULL AS TIMESTAMP) AS DropDate,
-               'Active' AS SuperUser_Status, 'New' AS SuperUser_SubStatus
-        FROM u""",
     "row_reconcile": """
         SELECT 'region' AS table_name, count(*) AS expected, count(*) AS loaded, CAST(0 AS BIGINT) AS diff FROM region
         UNION ALL SELECT 'nation', count(*), count(*), 0 FROM nation
@@ -415,7 +339,7 @@ def _member_typed(snap: str, as_of: str) -> str:
         "MSR_21_CBP_RSLT": "CAST(substr(best_priority, 1, 1) AS SMALLINT)",
         "MSR_49_HRM_CYR_STS": "substr(open_priority, 1, 1)",
         "MSR_51_MAD_CURR_PDC": "CAST('0.' || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') AS DECIMAL(3,2))",
-        "ROW_INSRT_DT": f"TIMESTAMP '{as_of}'",
+        "ROW_INSRT_DT": "CAST(make_date(1998, 1, 1 + c_nationkey) AS TIMESTAMP) + INTERVAL 4 HOUR",
         "SegmentID": "CAST(c_nationkey AS SMALLINT)",
     }
     cols = []
@@ -429,6 +353,7 @@ def _member_typed(snap: str, as_of: str) -> str:
         else:
             cols.append(f"CAST(NULL AS {_BLANK_TYPE[r.kind]}) AS {r.name}")
     cols.append(f"TIMESTAMP '{as_of}' AS Load_Date_Py")
+    cols.append("'Master_Extract_Data_Mart_1998.txt' AS FileName")
     # a customer without an open order has a blank report month and is not loaded
     return f"SELECT {', '.join(cols)} FROM ({snap}) WHERE open_priority IS NOT NULL"
 
@@ -438,25 +363,141 @@ def _member_job_sql() -> str:
     a1, a2 = "1998-01-01 04:00:00", "1998-07-01 04:00:00"
     k = "MBR_HICN_NUM"
     cols = [f"coalesce(t.{k}, s.{k}) AS {k}"]
-    for name in [r.name for r in RULES if r.name != k] + ["Load_Date_Py"]:
+    names = [r.name for r in RULES if r.name != k] + ["Load_Date_Py", "FileName"]
+    # fixed values: the columns that are not compared
+    changed = " OR ".join(f"coalesce(s.{c} <> t.{c}, false)" for c in names
+                          if c not in ("RPT_MO_KEY", "MBR_INDV_ID_STR", "Load_Date_Py"))
+    for name in names:
         if name == "RPT_MO_KEY":                      # insert-only
             cols.append(f"CASE WHEN t.{k} IS NULL THEN s.{name} ELSE t.{name} END AS {name}")
         else:
-            # a new delivery has a new file name, and FileName is compared (Q2): every key
-            # present in both runs is updated from the second snapshot
-            cols.append(f"CASE WHEN s.{k} IS NOT NULL THEN s.{name} ELSE t.{name} END AS {name}")
+            cols.append(f"CASE WHEN t.{k} IS NULL OR {changed} THEN s.{name} ELSE t.{name} END AS {name}")
     cols += [
-        f"CASE WHEN t.{k} IS NOT NULL AND s.{k} IS NOT NULL THEN 2 ELSE 1 END AS CountOfFiles",
+        f"CASE WHEN {changed} THEN 2 ELSE 1 END AS CountOfFiles",
         f"CASE WHEN t.{k} IS NULL THEN TIMESTAMP '{a2}' ELSE TIMESTAMP '{a1}' END AS InsertDate",
-        f"CASE WHEN t.{k} IS NOT NULL AND s.{k} IS NOT NULL THEN TIMESTAMP '{a2}' END"
-        f" AS LastModifiedDate",
+        f"CASE WHEN {changed} THEN TIMESTAMP '{a2}' END AS LastModifiedDate",
         f"CASE WHEN s.{k} IS NULL THEN TIMESTAMP '{a2}' END AS DropDate",
         f"CASE WHEN s.{k} IS NULL THEN 'Inactive' ELSE 'Active' END AS MnR_Status",
-        f"CASE WHEN t.{k} IS NULL THEN 'New' WHEN s.{k} IS NULL THEN 'Dropped' ELSE 'Updated' END"
-        f" AS MnR_SubStatus",
+        f"CASE WHEN t.{k} IS NULL THEN 'New' WHEN s.{k} IS NULL THEN 'Dropped'"
+        f" WHEN {changed} THEN 'Updated' ELSE 'New' END AS MnR_SubStatus",
     ]
     return (f"SELECT {', '.join(cols)} FROM ({_member_typed(SNAP1, a1)}) t "
             f"FULL OUTER JOIN ({_member_typed(SNAP2, a2)}) s ON t.{k} = s.{k}")
 
 
 SQL["member_extract_job"] = _member_job_sql()
+
+
+# The source of one run, from the customers it delivers
+_SUPER_USERS_SOURCE = """
+        WITH p AS (
+            SELECT c_custkey, c_nationkey, c_mktsegment AS seg, c_acctbal,
+                   'Name' || CAST(c_nationkey AS VARCHAR) AS fn,
+                   'Cust' || CAST(c_custkey AS VARCHAR) AS ln,
+                   make_date(1940 + c_nationkey, 6, 15) AS dob,
+                   lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip5,
+                   CAST(CAST({score} AS DECIMAL(12,2)) AS VARCHAR) AS pred,
+                   CASE WHEN c_nationkey = 3 THEN 'nan' WHEN c_acctbal > 5000 THEN '1' ELSE '0' END AS flag
+            FROM customer WHERE {who}),
+        ei AS (
+            SELECT 'E' || CAST(c_custkey AS VARCHAR) AS MBR_ID,
+                   CASE WHEN c_acctbal < 0 THEN 'nan' ELSE CAST(c_custkey // 2 AS VARCHAR) END AS indv_id,
+                   * FROM p),
+        ei_first AS (
+            SELECT * EXCLUDE (rn) FROM (
+                SELECT *, row_number() OVER (PARTITION BY indv_id ORDER BY flag DESC, MBR_ID) AS rn
+                FROM ei WHERE indv_id <> 'nan') WHERE rn = 1
+            UNION ALL SELECT * FROM ei WHERE indv_id = 'nan'),
+        aco AS (
+            SELECT DISTINCT 'E' || CAST(c.c_custkey AS VARCHAR) AS MBR_ID,
+                   'Group' || CAST(c.c_nationkey AS VARCHAR) AS group_nm
+            FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+            WHERE c.c_mktsegment = 'BUILDING' AND c.c_custkey IN (SELECT c_custkey FROM p)),
+        u AS (
+            SELECT 'E&I' AS LineOfBusiness, e.MBR_ID AS Member_ID, fn AS MemberFirstName,
+                   ln AS MemberLastName, dob AS Member_DOB, CAST(NULL AS VARCHAR) AS Subscriber_ID,
+                   indv_id AS Indv_ID, 'nan' AS MemberGender, pred, flag, '5000' AS cutoff,
+                   CASE WHEN a.MBR_ID IS NOT NULL THEN '1' END AS aco_flag, a.group_nm AS ACO_Name,
+                   'N' AS ExchangeInd, 'nan' AS CustomerSegmentNumber, a.group_nm AS GroupName,
+                   CASE WHEN a.MBR_ID IS NOT NULL THEN 'Y' END AS EI_Referral, 'nan' AS MarketRollup,
+                   left(seg, 3) AS MarketSegment, zip5 AS MemberZipCd, CAST(NULL AS VARCHAR) AS MemberZipPlus4Cd,
+                   'nan' AS MemberCityName, 'nan' AS MemberCounty, 'nan' AS MemberState,
+                   '1' AS RCT, CAST(NULL AS VARCHAR) AS MR_ContractNumber, CAST(NULL AS VARCHAR) AS chf,
+                   CAST(NULL AS VARCHAR) AS CS_MemberKey, CAST(NULL AS VARCHAR) AS CS_CompanyState,
+                   CAST(NULL AS VARCHAR) AS CS_file_origin
+            FROM ei_first e LEFT JOIN aco a ON e.MBR_ID = a.MBR_ID
+            UNION ALL
+            SELECT DISTINCT 'M&R', 'M' || CAST(p.c_custkey AS VARCHAR), upper(fn), upper(ln), dob, NULL,
+                   NULL, NULL, pred, flag, '5000', '0', NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+                   zip5, '1234', NULL, NULL, 'MN', NULL,
+                   'H' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0'),
+                   CASE WHEN c_acctbal > 0 THEN '1' ELSE '0' END, NULL, NULL, NULL
+            FROM p JOIN orders o ON o.o_custkey = p.c_custkey
+            WHERE seg IN ('AUTOMOBILE', 'MACHINERY')
+            UNION ALL
+            SELECT 'C&S', 'C' || CAST(c_custkey AS VARCHAR), fn, ln, dob, NULL, NULL, NULL, pred,
+                   flag, '5000', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, zip5, NULL, NULL,
+                   NULL, NULL, NULL, NULL, NULL, 'C' || CAST(c_custkey AS VARCHAR),
+                   'State' || CAST(c_nationkey AS VARCHAR),
+                   CASE WHEN c_acctbal >= 0 THEN 'medicare' ELSE 'medicaid' END
+            FROM p WHERE seg IN ('HOUSEHOLD', 'AUTOMOBILE'))
+        SELECT upper(md5(concat_ws('', lower(MemberFirstName), lower(MemberLastName),
+                                   CAST(Member_DOB AS VARCHAR), MemberZipCd))) AS Member_Key,
+               LineOfBusiness, '{month}' AS YYYYMM, Member_ID, MemberFirstName, MemberLastName,
+               Member_DOB, Subscriber_ID, nullif(Indv_ID, 'nan') AS Indv_ID, CS_MemberKey,
+               CS_CompanyState, CS_file_origin, MemberGender,
+               CAST(pred AS DECIMAL(10,4)) AS HCE_PredictiveScore, CASE flag WHEN '1' THEN true WHEN '0' THEN false END AS Is_PSU,
+               CAST(cutoff AS DECIMAL(10,4)) AS PSU_Score_Cutoff,
+               CASE aco_flag WHEN '1' THEN true WHEN '0' THEN false END AS ACO_Flag, ACO_Name,
+               ExchangeInd, CustomerSegmentNumber, GroupName, EI_Referral, MarketRollup,
+               MarketSegment, MemberZipCd, MemberZipPlus4Cd, MemberCityName, MemberCounty,
+               nullif(MemberState, 'nan') AS MemberState, MR_ContractNumber,
+               CAST(NULL AS VARCHAR) AS MR_PBP, CAST(NULL AS VARCHAR) AS MR_Product,
+               CAST(NULL AS VARCHAR) AS MR_PMG_Name, CAST(NULL AS VARCHAR) AS GI,
+               CAST(chf AS INTEGER) AS CongestiveHeartFailure, CAST(NULL AS INTEGER) AS Diabetes,
+               CAST(NULL AS INTEGER) AS EndStageRenal, CAST(NULL AS INTEGER) AS TCM_eng,
+               CAST(NULL AS INTEGER) AS HRCM_eng, CAST(NULL AS INTEGER) AS AI_eng,
+               CAST(NULL AS INTEGER) AS Any_Optum_Program, CAST(RCT AS INTEGER) AS RCT,
+               TIMESTAMP '{as_of}' AS Load_Date_Py,
+               CAST(count(*) OVER (PARTITION BY lower(MemberFirstName), lower(MemberLastName),
+                                   Member_DOB, MemberZipCd) AS INTEGER) AS CountOf_LOB
+        FROM u"""
+
+
+def _super_users_sql() -> str:
+    a1, a2 = "2024-06-26 04:00:00", "2024-07-26 04:00:00"
+    one = _SUPER_USERS_SOURCE.format(who="c_acctbal <= 9000", score="c_acctbal", month="202406", as_of=a1)
+    two = _SUPER_USERS_SOURCE.format(who="NOT c_acctbal BETWEEN 0 AND 500", month="202407", as_of=a2,
+                                     score="CASE WHEN c_nationkey < 10 THEN c_acctbal + 1 ELSE c_acctbal END")
+    # fixed values: columns that only an insert sets, and those that an update sets but does not compare
+    insert_only = ["Member_Key", "LineOfBusiness", "YYYYMM", "Load_Date_Py"]
+    compared = """MemberFirstName MemberLastName Member_DOB Subscriber_ID Indv_ID MemberGender
+        HCE_PredictiveScore Is_PSU PSU_Score_Cutoff ACO_Flag ACO_Name ExchangeInd CustomerSegmentNumber
+        GroupName EI_Referral MarketRollup MarketSegment MemberZipCd MemberZipPlus4Cd MemberCityName
+        MemberCounty MemberState RCT MR_ContractNumber MR_PBP MR_Product MR_PMG_Name GI
+        CongestiveHeartFailure Diabetes EndStageRenal TCM_eng HRCM_eng AI_eng Any_Optum_Program
+        CS_MemberKey CS_CompanyState CS_file_origin""".split()
+    cols = ["coalesce(t.Member_ID, s.Member_ID) AS Member_ID"]
+    cols += [f"CASE WHEN t.Member_ID IS NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in insert_only]
+    cols += [f"CASE WHEN t.Member_ID IS NULL OR changed THEN s.{c} ELSE t.{c} END AS {c}"
+             for c in [*compared, "CountOf_LOB"]]
+    changed = " OR ".join(f"s.{c} <> t.{c}" for c in compared)
+    return f"""
+        WITH one AS ({one}), two AS ({two}),
+        t AS (SELECT *, 9999999999 + row_number() OVER (ORDER BY Member_ID) AS Primary_Key FROM one),
+        new AS (SELECT Member_ID, (SELECT max(Primary_Key) FROM t) + row_number() OVER (ORDER BY Member_ID) AS pk
+                FROM two WHERE Member_ID NOT IN (SELECT Member_ID FROM one)),
+        m AS (SELECT t, s, coalesce({changed}, false) AS changed
+              FROM t FULL OUTER JOIN two s ON t.Member_ID = s.Member_ID)
+        SELECT {', '.join(cols)},
+               CASE WHEN changed THEN 2 ELSE 1 END AS CountOfFiles,
+               CASE WHEN t.Member_ID IS NULL THEN TIMESTAMP '{a2}' ELSE TIMESTAMP '{a1}' END AS InsertDate,
+               CASE WHEN changed THEN TIMESTAMP '{a2}' END AS LastModifiedDate,
+               CASE WHEN s.Member_ID IS NULL THEN TIMESTAMP '{a2}' END AS DropDate,
+               CASE WHEN s.Member_ID IS NULL THEN 'Inactive' ELSE 'Active' END AS SuperUser_Status,
+               CASE WHEN s.Member_ID IS NULL THEN 'Dropped' WHEN changed THEN 'Updated' ELSE 'New' END AS SuperUser_SubStatus,
+               coalesce(t.Primary_Key, new.pk) AS Primary_Key
+        FROM m LEFT JOIN new ON new.Member_ID = s.Member_ID"""
+
+
+SQL["super_users_job"] = _super_users_sql()

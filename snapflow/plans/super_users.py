@@ -9,13 +9,20 @@ person group is split), then is merged on ``Member_ID`` with surrogate identitie
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapflow.functions import casts as C, dates as D, text as X
 from snapflow.operators import conform as CF, keys, merge as M
+from snapflow.operators.checks import reconcile
 from snapflow.operators.dedupe import top1_per_key
+from snapflow.operators.sinks import rebuild_stage
+from snapflow.schemas import enforce_schema, layout
+from snapflow.session import scratch_dir
+from snapflow.sources import files
+from snapflow.sources.delimited import read_delimited
+from snapflow.sources.workbook import read_workbooks
 
 # Staging layouts of the four feeds (header names as delivered).
 MR_COLUMNS = """hicn bth_dt GPS_FIRST_NAME GPS_LAST_NAME FIN_GENDER gps_zip_cd GPS_ADDRESS_LINE_1
@@ -99,6 +106,56 @@ MemberCounty MemberState MR_ContractNumber MR_PBP MR_Product MR_PMG_Name GI Cong
 Diabetes EndStageRenal TCM_eng HRCM_eng AI_eng Any_Optum_Program RCT Load_Date_Py CountOf_LOB
 FileName""".split()
 
+# Types, widths and NOT NULL of the target's columns.
+TARGET = layout("""
+Member_Key varchar(32) not null
+LineOfBusiness varchar(3) not null
+YYYYMM varchar(6)
+Member_ID varchar(50) not null
+MemberFirstName varchar(255)
+MemberLastName varchar(255)
+Member_DOB date
+Subscriber_ID varchar(50)
+Indv_ID varchar(50)
+CS_MemberKey varchar(50)
+CS_CompanyState varchar(50)
+CS_file_origin varchar(20)
+MemberGender varchar(3)
+HCE_PredictiveScore decimal(10,4)
+Is_PSU boolean
+PSU_Score_Cutoff decimal(10,4)
+ACO_Flag boolean
+ACO_Name varchar(255)
+ExchangeInd varchar(1)
+CustomerSegmentNumber varchar(20)
+GroupName varchar(255)
+EI_Referral varchar(10)
+MarketRollup varchar(255)
+MarketSegment varchar(3)
+MemberZipCd varchar(10)
+MemberZipPlus4Cd varchar(10)
+MemberCityName varchar(255)
+MemberCounty varchar(255)
+MemberState varchar(2)
+MR_ContractNumber varchar(10)
+MR_PBP varchar(10)
+MR_Product varchar(50)
+MR_PMG_Name varchar(50)
+GI varchar(10)
+CongestiveHeartFailure int
+Diabetes int
+EndStageRenal int
+TCM_eng int
+HRCM_eng int
+AI_eng int
+Any_Optum_Program int
+RCT int
+Load_Date_Py timestamp_ntz
+CountOf_LOB int
+CountOfFiles int
+FileName varchar(255)
+""")
+
 
 def conform_ei(ei: DataFrame, aco: DataFrame, keyless: str = "keep") -> DataFrame:
     """cte_ei: first row per individual by flag (Q3 tie-break on member id; Q5 keyless rows
@@ -184,6 +241,8 @@ def build_source(ei: DataFrame, aco: DataFrame, mr: DataFrame, cs: DataFrame,
 
 @dataclass
 class Config:
+    """Feeds are files or folders of part files.  Where ``patterns`` has a pattern for a feed, its
+    path is a landing folder instead and the newest match in it is read (S1)."""
     ei: str
     ei_aco: str
     mr: str
@@ -193,29 +252,60 @@ class Config:
     parity: bool = False
     on_duplicate: str = "error"
     buckets: int | None = None   # target bucket count (K6); None = shuffle partitions, 0 = off
+    patterns: dict[str, str] = field(default_factory=dict)
+    stage: str | None = None     # staged feeds and quarantined lines; None = the shared scratch folder
+
+
+FEEDS = {"ei": EI_COLUMNS, "ei_aco": EI_ACO_COLUMNS, "mr": MR_COLUMNS, "cs_mcr": CS_COLUMNS,
+         "cs_mcd": CS_COLUMNS}
+
+
+def stage_feeds(spark: SparkSession, cfg: Config, as_of: str) -> tuple[dict[str, DataFrame], dict]:
+    """Every feed is read once, written to its stage and counted there.  Lines that the
+    delimited reader refuses (R3) are kept below ``quarantine/`` and counted as well."""
+    root = (cfg.stage or scratch_dir(spark, "super_users_stage")).rstrip("/")
+    staged, metrics = {}, {"staged": {}, "quarantined": {}}
+    for feed, columns in FEEDS.items():
+        path, name = getattr(cfg, feed), None
+        if feed in cfg.patterns:
+            newest = files.latest_feed(spark, path, cfg.patterns[feed])
+            if newest is None:
+                raise FileNotFoundError(f"no {cfg.patterns[feed]} under {path}")
+            path, name = newest
+        if feed in ("ei", "ei_aco"):
+            read = read_delimited(spark, path, columns, sep="\t", nan_text=True, blank_as_null=True,
+                                  lineage_as_of=as_of, observe=True, feed_name=name)
+            rows = read.good
+        else:
+            read, rows = None, read_workbooks(spark, path, columns, as_of)
+        written = rebuild_stage(rows, f"{root}/{feed}")
+        staged[feed] = spark.read.parquet(f"{root}/{feed}")
+        reconcile(written, staged[feed].count(), f"stage {feed}")
+        metrics["staged"][feed] = written
+        if read:
+            bad = metrics["quarantined"][feed] = read.metrics.get["quarantined"]
+            if bad:
+                read.quarantine.write.mode("overwrite").parquet(f"{root}/quarantine/{feed}")
+    return staged, metrics
 
 
 def run(spark: SparkSession, cfg: Config, as_of: str, readers=None) -> dict:
-    """Read the five feeds (tab text for E&I, workbooks for M&R and C&S), build the
-    source and merge it.  ``readers`` lets tests feed already-staged frames."""
+    """Stage the five feeds (tab text for E&I, workbooks for M&R and C&S), build the source,
+    hold it against the target layout (K4) and merge it.  Returns the merge's counts and those of
+    the stages and the quarantine.  ``readers`` lets tests feed already-staged frames."""
     from snapflow.operators.sinks import open_table
+    metrics: dict = {}
     if readers is None:
-        from snapflow.sources.delimited import read_delimited
-        from snapflow.sources.workbook import read_workbooks
-        ei = read_delimited(spark, cfg.ei, EI_COLUMNS, sep="\t", nan_text=True,
-                            blank_as_null=True, lineage_as_of=as_of).good
-        aco = read_delimited(spark, cfg.ei_aco, EI_ACO_COLUMNS, sep="\t", nan_text=True,
-                             blank_as_null=True, lineage_as_of=as_of).good
-        mr = read_workbooks(spark, cfg.mr, MR_COLUMNS, as_of)
-        cs = CF.union_all([
-            read_workbooks(spark, cfg.cs_mcr, CS_COLUMNS, as_of).withColumn("file_origin", F.lit("mcr")),
-            read_workbooks(spark, cfg.cs_mcd, CS_COLUMNS, as_of).withColumn("file_origin", F.lit("mcd"))])
-    else:
-        ei, aco, mr, cs = readers
-    source = build_source(ei, aco, mr, cs, "collapse" if cfg.parity else "keep")
-    return M.merge_into_table(spark, open_table(spark, cfg.target, cfg.buckets), source, spec(cfg.parity),
-                              as_of, on_duplicate=cfg.on_duplicate,
-                              order_by=["LineOfBusiness", "Member_Key"])
+        f, metrics = stage_feeds(spark, cfg, as_of)
+        cs = CF.union_all([f["cs_mcr"].withColumn("file_origin", F.lit("mcr")),
+                           f["cs_mcd"].withColumn("file_origin", F.lit("mcd"))])
+        readers = f["ei"], f["ei_aco"], f["mr"], cs
+    source = build_source(*readers, "collapse" if cfg.parity else "keep")
+    source = enforce_schema(source, TARGET)
+    merged = M.merge_into_table(spark, open_table(spark, cfg.target, cfg.buckets), source, spec(cfg.parity),
+                                as_of, on_duplicate=cfg.on_duplicate,
+                                order_by=["LineOfBusiness", "Member_Key"])
+    return {**merged, **metrics}
 
 
 def persistent_super_users(spark: SparkSession, cfg: Config) -> DataFrame:

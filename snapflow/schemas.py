@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 
@@ -25,17 +27,44 @@ def check_columns(actual, expected, allow_missing: bool = False) -> None:
         raise SchemaError(f"missing columns {missing}")
 
 
+_TYPES = {"date": T.DateType(), "boolean": T.BooleanType(), "int": T.IntegerType(),
+          "bigint": T.LongType(), "timestamp_ntz": T.TimestampNTZType()}
+
+
+def _type(kind: str) -> T.DataType:
+    decimal = re.fullmatch(r"decimal\((\d+),(\d+)\)", kind)
+    return T.DecimalType(int(decimal[1]), int(decimal[2])) if decimal else _TYPES[kind]
+
+
+def layout(text: str) -> T.StructType:
+    """A target layout from lines ``name type [not null]``; ``varchar(n)`` keeps its width as
+    ``max_chars`` in the field's metadata."""
+    fields = []
+    for ln in text.strip().splitlines():
+        name, kind, *rest = ln.split()
+        width = re.fullmatch(r"varchar\((\d+)\)", kind)
+        fields.append(T.StructField(
+            name, T.StringType() if width else _type(kind), rest != ["not", "null"],
+            {"max_chars": int(width[1])} if width else {}))
+    return T.StructType(fields)
+
+
 def enforce_schema(df: DataFrame, schema: T.StructType, allow_missing: bool = False,
                    check_not_null: bool = True) -> DataFrame:
     """K4: select by name in declared order, cast to declared types, fill allowed-missing
-    columns with typed NULLs, and fail the job (``raise_error``) on NULL in a NOT NULL column.
-    The NOT NULL test is an expression in the same projection, so it costs no extra pass."""
+    columns with typed NULLs, and fail the job (``raise_error``) on NULL in a NOT NULL column or
+    on a text wider than its column (blanks at the end do not count and are cut).  The tests are
+    expressions in the same projection, so they cost no extra pass."""
     check_columns(df.columns, schema.fieldNames(), allow_missing)
     present = set(df.columns)
     cols = []
     for f in schema.fields:
         c = F.col(f"`{f.name}`").cast(f.dataType) if f.name in present \
             else F.lit(None).cast(f.dataType)
+        if "max_chars" in f.metadata:
+            n = f.metadata["max_chars"]
+            wide = F.raise_error(F.lit(f"text wider than {n} in column {f.name}")).cast("string")
+            c = F.when(F.char_length(F.rtrim(c)) > n, wide).otherwise(F.left(c, F.lit(n)))
         if check_not_null and not f.nullable:
             c = F.when(c.isNull(), F.raise_error(F.lit(f"NULL in NOT NULL column {f.name}"))
                        .cast(f.dataType)).otherwise(c)

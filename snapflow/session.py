@@ -92,6 +92,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="snapflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
@@ -110,28 +112,26 @@ def materialize(df, name: str, bucket_by: tuple[list[str], int] | None = None):
     if bucket_by is None:
         df.write.mode("overwrite").parquet(path)
         out = spark.read.parquet(path)
-        _COPIES[id(out)] = (path, None)
+        out._snapflow_copy = (path, None)
         return out
-    # bucketed copy: later aggregates and joins on the key reuse its hash partitioning
+    # bucketed copy: later aggregates and joins on the key reuse its hash partitioning; one task
+    # holds one bucket, so there is one file a bucket however many tasks made the rows
     keys, n = bucket_by
     table = f"snapflow_{name}_{uuid.uuid4().hex[:12]}"
-    (df.write.mode("overwrite").format("parquet").bucketBy(n, *keys).sortBy(*keys)
+    (df.repartition(n, *keys).write.mode("overwrite").format("parquet").bucketBy(n, *keys).sortBy(*keys)
      .option("path", path).saveAsTable(table))
     out = spark.table(table)
-    _COPIES[id(out)] = (path, table)
+    out._snapflow_copy = (path, table)      # folder and catalog table, for ``release``
     return out
 
 
-# materialized copies by DataFrame identity: folder and catalog table, for ``release``
-_COPIES: dict[int, tuple[str, str | None]] = {}
-
-
 def release(df) -> None:
     """Delete a copy made by ``materialize`` once nothing reads it any more (its catalog entry
     and its folder in the shared checkpoint location)."""
-    entry = _COPIES.pop(id(df), None)
+    entry = getattr(df, "_snapflow_copy", None)
     if entry is None:
         return
+    df._snapflow_copy = None
     path, table = entry
     spark = df.sparkSession
     if table:
@@ -145,6 +145,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for staged tables and round trips."""
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/snapflow/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
     return path

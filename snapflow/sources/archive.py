@@ -10,12 +10,15 @@ as lines, so the output is an ordinary line table that Spark can write as text.
 
 from __future__ import annotations
 
+import fnmatch
 import io
+import itertools
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapflow.functions.text import base_name, strip_extension
+from snapflow.sources.files import latest_file
 
 LINES = T.StructType([
     T.StructField("archive", T.StringType()),
@@ -25,10 +28,10 @@ LINES = T.StructType([
 ])
 
 
-def _expand(batches):
+def _expand(batches, rows: int = 20_000):
+    """At most ``rows`` lines are held at a time, whatever the size of a member."""
     import pandas as pd
     for pdf in batches:
-        out = {"archive": [], "member": [], "line_no": [], "line": []}
         for path, content in zip(pdf["path"], pdf["content"]):
             with zipfile.ZipFile(io.BytesIO(content)) as zf:
                 for info in zf.infolist():
@@ -36,16 +39,19 @@ def _expand(batches):
                         continue
                     with zf.open(info) as fh:
                         text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")
-                        for i, ln in enumerate(text):
-                            out["archive"].append(path)
-                            out["member"].append(info.filename)
-                            out["line_no"].append(i)
-                            out["line"].append(ln.rstrip("\r\n"))
-            if len(out["line"]) >= 100_000:
-                yield pd.DataFrame(out)
-                out = {k: [] for k in out}
-        if out["line"]:
-            yield pd.DataFrame(out)
+                        numbered = enumerate(text)
+                        while part := list(itertools.islice(numbered, rows)):
+                            yield pd.DataFrame({
+                                "archive": path, "member": info.filename,
+                                "line_no": [i for i, _ in part],
+                                "line": [ln.rstrip("\r\n") for _, ln in part]})
+
+
+def expanded_base(path: str, txt_pattern: str):
+    """Base name of the text that a file belongs to: the file itself, or the feed folder it lies in."""
+    like = fnmatch.translate(txt_pattern)
+    file, parent = base_name(path), F.element_at(F.split(path, "/"), -2)
+    return F.when(parent.rlike(like), strip_extension(parent)).when(file.rlike(like), strip_extension(file))
 
 
 def pending_archives(spark: SparkSession, folder: str, zip_pattern: str = "*.zip",
@@ -54,12 +60,8 @@ def pending_archives(spark: SparkSession, folder: str, zip_pattern: str = "*.zip
     zips = (spark.read.format("binaryFile").option("pathGlobFilter", zip_pattern)
             .option("recursiveFileLookup", "true").load(folder)
             .withColumn("base", strip_extension(base_name("path"))))
-    try:
-        txts = (spark.read.format("binaryFile").option("pathGlobFilter", txt_pattern)
-                .option("recursiveFileLookup", "true").load(folder)
-                .select(strip_extension(base_name("path")).alias("base")))
-    except Exception:  # noqa: BLE001 - no text file landed yet
-        txts = spark.createDataFrame([], "base string")
+    txts = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+            .select(expanded_base("path", txt_pattern).alias("base")).filter("base is not null").distinct())
     return zips.join(txts, "base", "left_anti")
 
 
@@ -68,45 +70,19 @@ def expand(archives: DataFrame) -> DataFrame:
     return archives.select("path", "content").mapInPandas(_expand, LINES)
 
 
-def expand_pending(spark: SparkSession, folder: str, out_folder: str | None = None,
-                   zip_pattern: str = "*.zip", txt_pattern: str = "*.txt") -> DataFrame:
-    """Expand archives not yet expanded; optionally land each member's lines as text."""
-    lines = expand(pending_archives(spark, folder, zip_pattern, txt_pattern))
-    if out_folder:
-        (lines.select(strip_extension(base_name("archive")).alias("base"), "line")
-         .write.mode("append").partitionBy("base").text(out_folder))
-    return lines
-
-
-def _unzip_next_to(batches):
-    import os
-    import pandas as pd
-    for pdf in batches:
-        rows = []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            folder = os.path.dirname(path.replace("file:", "", 1))
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                for info in zf.infolist():
-                    if info.is_dir():
-                        continue
-                    target = os.path.join(folder, os.path.basename(info.filename))
-                    with zf.open(info) as src, open(target + ".part", "wb") as dst:
-                        while True:
-                            chunk = src.read(1 << 20)
-                            if not chunk:
-                                break
-                            dst.write(chunk)
-                    os.replace(target + ".part", target)
-                    rows.append((path, info.filename, info.file_size))
-        yield pd.DataFrame(rows, columns=["archive", "member", "bytes"])
-
-
-def expand_to_files(spark: SparkSession, folder: str, zip_pattern: str = "*.zip",
-                    txt_pattern: str = "*.txt") -> list:
-    """S5 as the reference does it: members of archives not yet expanded are written next to
-    the archive (one task per archive batch; needs the landing folder mounted on the workers).
-    Returns the (archive, member, bytes) list — one row per expanded member."""
-    pending = pending_archives(spark, folder, zip_pattern, txt_pattern)
-    out = pending.select("path", "content").mapInPandas(
-        _unzip_next_to, "archive string, member string, bytes long")
-    return out.collect()
+def expand_newest(spark: SparkSession, folder: str, zip_pattern: str = "*.zip",
+                  txt_pattern: str = "*.txt") -> str | None:
+    """S5 as the reference does it: the newest archive, chosen by metadata before any is opened, is
+    expanded if its text has not landed yet; older archives stay closed.  The text lands as the feed
+    folder ``<base>.txt`` beside the archive, written by Spark, so any store will do.  Returns that
+    path, or None if there was nothing to expand."""
+    newest = latest_file(spark, folder, zip_pattern)
+    if newest is None:
+        return None
+    path, name = newest
+    pending = pending_archives(spark, folder, name, txt_pattern).filter(F.col("path") == path)
+    if pending.isEmpty():
+        return None
+    out = path[:path.rindex("/") + 1] + name[:name.rindex(".")] + ".txt"
+    expand(pending).select("line").write.mode("overwrite").text(out)
+    return out

@@ -2,21 +2,27 @@
 
 Feeds are read with an explicit all-string schema (no inference: inference loses leading
 zeros, Q6).  Header names are matched after trimming (P1), and order may differ from the
-declared layout (P9).  A line with *more* fields than the header is quarantined, a line with
-fewer is kept with NULLs for the missing fields, which is the rule the reference's pandas reader
-applied (R3).  Spark's CSV modes alone do not give that rule (DROPMALFORMED drops short lines,
-PERMISSIVE silently truncates long ones, and an empty surplus field reads as NULL, Q8), so lines
-are read as text and split with every field kept; the field count is then exact.
+declared layout and from file to file (P9).  A line with *more* fields than its header is
+quarantined, a line with fewer is kept with NULLs for the missing fields, which is the rule the
+reference's pandas reader applied (R3).  Spark's CSV modes alone do not give that rule
+(DROPMALFORMED drops short lines, PERMISSIVE silently truncates long ones, and an empty surplus
+field reads as NULL, Q8), so lines are read as text and split with every field kept; the field
+count is then exact.
+
+Quotes: a field that begins with ``"`` runs to its closing quote, separators included; ``""``
+inside is one quote.  A quote inside an unquoted field is an ordinary character.  A record is a
+line (files stay splittable), so a line that ends inside a quoted field is quarantined.
 
 Files are split by size across tasks; compressed archives are expanded first (``archive``).
 """
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass
 import re
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from snapflow.functions.text import NAN_TEXT, strip_all
 from snapflow.schemas import check_columns
@@ -29,78 +35,154 @@ class DelimitedRead:
     metrics: Observation | None = None
 
 
-def header_of(spark: SparkSession, path: str, sep: str) -> list[str]:
-    """First line of the first file, split and trimmed (P1).  Reads a single line."""
-    first = spark.read.text(path).limit(1).first()
-    if first is None:
-        return []
-    return [h.strip() for h in first[0].split(sep)]
+QUOTE = '"'
+# Texts that the reference's reader takes as missing.
+MISSING_TEXTS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+                 "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
+def _quoted_parts(line: Column, sep: str) -> Column:
+    """Fields of a line with quotes, each with the separator before it.  A field that does not
+    close leaves a gap: the parts then no longer add up to the line."""
+    s = re.escape(sep)
+    field = rf'{s}("[^"]*+(?:""[^"]*+)*+"[^{s}]*+|[^{s}"][^{s}]*+|(?={s}|$))'
+    return F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(field), F.lit(0))
+
+
+def _unquoted(part: Column) -> Column:
+    field = F.substring(part, 2, 2 ** 31 - 1)
+    whole = r'(?s)^"((?:[^"]|"")*+)"(.*)$'
+    inner = F.replace(F.regexp_extract(field, whole, 1), F.lit('""'), F.lit(QUOTE))
+    return F.when(F.startswith(field, F.lit(QUOTE)),
+                  F.concat(inner, F.regexp_extract(field, whole, 2))).otherwise(field)
+
+
+def split_fields(line: Column, sep: str) -> Column:
+    """All fields of a line, quotes resolved.  Lines without a quote take the plain split."""
+    return F.when(F.contains(line, F.lit(QUOTE)), F.transform(_quoted_parts(line, sep), _unquoted)) \
+        .otherwise(F.split(line, re.escape(sep), -1))
+
+
+def open_quote(line: Column, sep: str) -> Column:
+    """Whether a line ends inside a quoted field."""
+    return F.contains(line, F.lit(QUOTE)) & \
+        (F.array_join(_quoted_parts(line, sep), "") != F.concat(F.lit(sep), line))
+
+
+def _header_fields(line: str, sep: str) -> list[str]:
+    return [h.strip() for h in next(csv.reader([line], delimiter=sep), [])]
+
+
+def headers_of(spark: SparkSession, path: str, sep: str, columns) -> list[tuple[list[str], list[str]]]:
+    """``(header, files)`` of every header layout below ``path``, the layout of most files first.
+
+    Reads one line a file through the file system API.  A file whose first line names none of
+    ``columns`` has no header and follows the first layout."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    found: dict[tuple, list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = p.getFileSystem(conf).open(p)
+        codec = codecs.getCodec(p)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+            codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            first = lines.readLine()
+        finally:
+            lines.close()
+        header = _header_fields(first, sep) if first else []
+        if set(header) & set(columns):
+            found.setdefault(tuple(header), []).append(file)
+    return sorted(((list(h), f) for h, f in found.items()), key=lambda x: (-len(x[1]), x[0]))
 
 
 def read_delimited(spark: SparkSession, path: str, columns, sep: str = "|",
                    header_names=None, strip: bool = True, nan_text: bool = False,
                    blank_as_null: bool = False, lineage_as_of: str | None = None,
                    file_col: str | None = "FileName", ingest_col: str = "date_ingested",
-                   file_from: str = "name", observe: bool = False) -> DelimitedRead:
+                   file_from: str = "name", observe: bool = False,
+                   feed_name: str | None = None) -> DelimitedRead:
     """Read ``path`` (file, folder or glob) as text with ``columns`` as the declared layout.
 
-    Lines are split on ``sep`` with every field kept (also trailing empty ones), so the field
-    count is exact: more fields than the header -> quarantine; fewer -> missing fields NULL.
+    Lines are split on ``sep`` (one character) with every field kept (also trailing empty ones),
+    so the field count is exact: more fields than the header -> quarantine, as is a line that ends
+    inside quotes; fewer -> missing fields NULL.
     Empty fields stay ``''`` (the reference keeps blanks and converts them in SQL) unless
     ``blank_as_null``.  Header lines (one per file) and blank lines are skipped.
 
-    ``header_names`` defaults to the trimmed header of the first file; columns are selected by
+    ``header_names`` defaults to the trimmed header of each file; columns are selected by
     name into declared order and an unknown header column is an error (P9).  ``strip`` trims
-    every value (P2); ``nan_text`` writes missing values as ``'nan'`` (P4 parity).  With
+    every value (P2); ``nan_text`` writes missing values (``MISSING_TEXTS``, before trimming) as
+    ``'nan'`` (P4 parity).  With
     ``lineage_as_of`` the batch-constant ingest time and the file name (``file_from='parent'``:
-    the folder name, for feeds landed as dated folders) are appended (P5).
+    the folder name, for feeds landed as dated folders; ``feed_name``: that text, the same on every
+    delivery of a folder whose part files have other names each time) are appended (P5).
 
     ``observe=True`` counts data lines and quarantined lines in the same pass that consumes
     ``good`` (e.g. the stage write), so the quarantine needs no second scan of the feed.
     """
-    names = header_names or header_of(spark, path, sep)
-    check_columns(names, columns)
+    if len(sep) != 1:
+        raise ValueError(f"separator must be one character: {sep!r}")
+    layouts = [(list(header_names), [])] if header_names else headers_of(spark, path, sep, columns)
+    names = layouts[0][0] if layouts else []
+    for header, _ in layouts or [(names, [])]:
+        check_columns(header, columns)
     raw = spark.read.text(path)
     line = F.col("value")
-    header_line = sep.join(names)
-    fields = F.split(line, re.escape(sep), -1)
-    n = len(names)
-    header_norm = re.sub(r"\s", "", header_line, flags=re.ASCII)   # Java \s is ASCII-only
     # a header line contains the first header name; only such lines pay for the
     # whitespace-insensitive comparison (``And`` short-circuits in generated code)
-    is_header = (F.contains(line, F.lit(names[0])) if names and names[0] else F.lit(True)) & \
-        (F.regexp_replace(line, r"\s", "") == F.lit(header_norm))
+    is_header = F.lit(False)
+    for header, _ in layouts:
+        norm = re.sub(r"\s", "", sep.join(header), flags=re.ASCII)     # Java \s is ASCII-only
+        bare = F.replace(F.regexp_replace(line, r"\s", ""), F.lit(QUOTE), F.lit(""))
+        is_header = is_header | ((F.contains(line, F.lit(header[0])) if header[0] else F.lit(True))
+                                 & (bare == F.lit(norm)))
+    file = F.col("_metadata.file_path")
     parsed = (raw.where((line != F.lit("")) & ~is_header)
-              .select(fields.alias("_f"), line.alias("_line"),
-                      (F.col("_metadata.file_name") if file_from == "name" else
-                       F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
-                      .alias("_file")))
-    too_long = F.size("_f") > F.lit(n)
+              .select(split_fields(line, sep).alias("_f"), line.alias("_line"),
+                      open_quote(line, sep).alias("_open"), F.input_file_name().alias("_path"),
+                      (F.lit(feed_name) if feed_name else
+                       F.col("_metadata.file_name") if file_from == "name" else
+                       F.element_at(F.split(file, "/"), -2)).alias("_file")))
+    surplus = F.size("_f") > F.lit(len(names))
+    ordered = F.col("_f")
+    # files with another header: their own field count, their fields in the order of ``names``
+    for header, files in layouts[1:]:
+        here = F.col("_path").isin(files)
+        surplus = F.when(here, F.size("_f") > F.lit(len(header))).otherwise(surplus)
+        ordered = F.when(here, F.array(*[F.get("_f", F.lit(header.index(c))) if c in header else
+                                         F.lit(None).cast("string") for c in names])).otherwise(ordered)
+    if len(layouts) > 1:
+        parsed = parsed.select("_f", "_line", "_open", "_file", ordered.alias("_fields"),
+                               (surplus | F.col("_open")).alias("_bad"))
+    else:
+        parsed = parsed.withColumn("_fields", F.col("_f")).withColumn("_bad", surplus | F.col("_open"))
     obs = None
     if observe:
         import uuid
         obs = Observation(f"delimited_{uuid.uuid4().hex[:12]}")
         parsed = parsed.observe(obs, F.count(F.lit(1)).alias("lines"),
-                                F.count_if(too_long).alias("quarantined"))
+                                F.count_if(F.col("_bad")).alias("quarantined"))
     pos = {c: i for i, c in enumerate(names)}
-    vals = {c: F.try_element_at(F.col("_f"), F.lit(pos[c] + 1)) for c in columns}
+    vals = {c: F.try_element_at(F.col("_fields"), F.lit(pos[c] + 1)) for c in columns}
     # every cleaning step is folded into one expression per column: one projection to analyse
     # and to run, however wide the feed
     exprs = []
-    for c, v in vals.items():
-        if strip:
-            v = strip_all(v)
+    for c, raw_value in vals.items():
+        v = strip_all(raw_value) if strip else raw_value
         if blank_as_null:
             v = F.nullif(v, F.lit(""))
         if nan_text:
-            v = F.coalesce(v, F.lit(NAN_TEXT))
+            v = F.coalesce(F.when(~raw_value.isin([t for t in MISSING_TEXTS if t]), v), F.lit(NAN_TEXT))
         exprs.append(v.alias(c))
     if file_col:
         exprs.append(F.col("_file").alias(file_col))
     if lineage_as_of is not None:
         exprs.append(F.lit(lineage_as_of).cast(T.TimestampNTZType()).alias(ingest_col))
-    good = parsed.where(~too_long).select(*exprs)
-    quarantine = parsed.where(too_long).select(
+    good = parsed.where(~F.col("_bad")).select(*exprs)
+    quarantine = parsed.where("_bad").select(
         F.col("_file").alias("file_name"), F.size("_f").alias("n_fields"),
         F.col("_line").alias("line"))
     return DelimitedRead(good, quarantine, obs)
@@ -108,8 +190,9 @@ def read_delimited(spark: SparkSession, path: str, columns, sep: str = "|",
 
 def write_delimited(df: DataFrame, path: str, sep: str = "|", header: bool = True,
                     mode: str = "overwrite") -> None:
-    """Land a frame as delimited text (used to stage feeds and by round-trip checks)."""
+    """Land a frame as delimited text (used to stage feeds and by round-trip checks).  Values
+    with a separator or a quote are quoted."""
     (df.write.mode(mode).option("sep", sep).option("header", str(header).lower())
-     .option("quote", "\u0000").option("nullValue", "").option("emptyValue", "")
+     .option("quote", QUOTE).option("escape", QUOTE).option("nullValue", "").option("emptyValue", "")
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .csv(path))

@@ -50,13 +50,18 @@ def latest_feed(spark: SparkSession, folder: str, pattern: str):
     the feeds; a feed's time is the newest modification time of its files.  Metadata only, one
     aggregate; returns ``(path, name)`` of the newest feed or ``None``."""
     import fnmatch
-    import re
-    top = folder.rstrip("/").rsplit("/", 1)[-1]
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    top = fs.makeQualified(root).toUri().getPath().rstrip("/") + "/"
     files = list_files(spark, folder, "*", recursive=True)
-    entry = F.regexp_extract("path", "/" + re.escape(top) + "/([^/]+)", 1)
-    feeds = (files.select(entry.alias("feed"), "path", "modificationTime")
+    # the part of the path below the listed folder, whatever its parents are called
+    at = F.locate(top, F.col("path"))
+    below = F.substring(F.col("path"), at + F.lit(len(top)), F.lit(2 ** 31 - 1))
+    entry = F.substring_index(below, "/", 1)
+    feeds = (files.where(at > 0).select(entry.alias("feed"), at.alias("at"), "path", "modificationTime")
              .where(F.col("feed").rlike(fnmatch.translate(pattern)))
-             .select("feed", F.regexp_extract("path", "^(.*/" + re.escape(top) + "/[^/]+)", 1)
+             .select("feed", F.concat(F.substring(F.col("path"), F.lit(1), F.col("at") + F.lit(len(top) - 1)), "feed")
                      .alias("feed_path"), "modificationTime")
              .groupBy("feed", "feed_path").agg(F.max("modificationTime").alias("t")))
     r = feeds.agg(F.max_by(F.struct("feed_path", "feed"), F.struct("t", "feed")).alias("f")) \

@@ -21,28 +21,60 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapflow.operators import merge as M
+from snapflow.operators.checks import DataCheckError
 from snapflow.operators.sinks import open_table
+from snapflow.sources.delimited import open_quote, split_fields
+
+
+BAD_LINE = "_bad_line"
 
 
 def snapshot_stream(spark: SparkSession, folder: str, schema: T.StructType, sep: str = "|",
                     pattern: str = "*") -> DataFrame:
-    """Rows of newly landed delimited files, with the file name, one file per micro-batch."""
-    return (spark.readStream.schema(schema).option("sep", sep).option("header", "true")
-            .option("maxFilesPerTrigger", 1).option("pathGlobFilter", pattern)
-            .option("latestFirst", "false").csv(folder)
-            .withColumn("FileName", F.col("_metadata.file_name")))
+    """Rows of newly landed delimited files, with the file name, one file per micro-batch.
+
+    Lines are split by the rule of ``read_delimited``.  ``schema`` is the header's layout; a header
+    with the same names in another order fails the batch.  A line with surplus fields, or one that
+    ends inside quotes, has itself in ``_bad_line``; ``merge_arrivals`` never merges it."""
+    names = [f.name for f in schema.fields]
+    lines = (spark.readStream.schema("value string").option("maxFilesPerTrigger", 1)
+             .option("pathGlobFilter", pattern).option("latestFirst", "false").text(folder))
+    line = F.col("value")
+    rows = lines.where(line != "").select(
+        line, split_fields(line, sep).alias("_f"), open_quote(line, sep).alias("_open"),
+        F.col("_metadata.file_name").alias("FileName"))
+    fields = F.transform("_f", F.trim)
+    is_header = F.contains(line, F.lit(names[0])) & \
+        (F.array_sort(fields) == F.array(*[F.lit(n) for n in sorted(names)]))
+    wrong = F.raise_error(F.concat(F.lit("header in another order: "), line)).cast("boolean")
+    is_row = F.when(~is_header, F.lit(True)) \
+        .when(fields == F.array(*[F.lit(n) for n in names]), F.lit(False)).otherwise(wrong)
+    bad = (F.size("_f") > len(names)) | F.col("_open")
+    return rows.where(is_row).select(
+        *[F.nullif(F.get("_f", F.lit(i)), F.lit("")).cast(f.dataType).alias(f.name)
+          for i, f in enumerate(schema.fields)], "FileName", F.when(bad, line).alias(BAD_LINE))
 
 
 def merge_arrivals(spark: SparkSession, stream: DataFrame, table_root: str, ms: M.MergeSpec,
                    checkpoint: str, prepare: Callable[[DataFrame], DataFrame] | None = None,
-                   as_of_fn: Callable[[int], str] | None = None, buckets: int | None = None):
+                   as_of_fn: Callable[[int], str] | None = None, buckets: int | None = None,
+                   quarantine: str | None = None):
     """Start the stream; every micro-batch (one snapshot file) is prepared and merged with
-    write-audit-publish.  Returns the StreamingQuery (call ``awaitTermination``)."""
+    write-audit-publish.  Bad lines go to the Parquet folder ``quarantine``, one subfolder a batch;
+    without one, a batch with a bad line fails.  Returns the StreamingQuery (call
+    ``awaitTermination``)."""
     table = open_table(spark, table_root, buckets)
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
             return
+        if BAD_LINE in batch.columns:
+            bad = batch.where(F.col(BAD_LINE).isNotNull()).select("FileName", F.col(BAD_LINE).alias("line"))
+            if quarantine:
+                bad.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch={epoch}")
+            elif not bad.isEmpty():
+                raise DataCheckError(f"batch {epoch}: lines with surplus fields or an open quote, and no quarantine folder")
+            batch = batch.where(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
         src = prepare(batch) if prepare else batch
         as_of = as_of_fn(epoch) if as_of_fn else None
         if as_of is None:

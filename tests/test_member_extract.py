@@ -103,6 +103,21 @@ def test_zip_expanded_when_newer(spark, tmp):
     assert m["file"] == "Master_Extract_Data_Mart_7.txt" and m["insert"] == 1
 
 
+def test_newest_of_two_archives_is_loaded(spark, tmp):
+    """The older archive is larger; only the newer one is opened."""
+    import zipfile
+    land, cfg = _cfg(tmp, "zips")
+    head = "|".join(ME.FEED_COLUMNS) + "\n"
+    for month, n, t in (("202401", 300, 1_700_000_000), ("202402", 2, 1_700_000_100)):
+        path = os.path.join(land, f"Master_Extract_Data_Mart_{month}.zip")
+        with zipfile.ZipFile(path, "w") as zf:
+            zf.writestr(f"Master_Extract_Data_Mart_{month}.txt",
+                        head + "".join(_line(_member(f"{month}-{i}")) + "\n" for i in range(n)))
+        os.utime(path, (t, t))
+    m = ME.run(spark, cfg, "2024-02-26 04:00:00")
+    assert m["file"] == "Master_Extract_Data_Mart_202402.txt" and m["insert"] == 2
+
+
 def test_quarantine_counted_in_stage_pass(spark, tmp):
     """R3 in the job: a line with a surplus field is quarantined and counted while staging."""
     land, cfg = _cfg(tmp, "bad")

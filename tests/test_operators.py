@@ -69,6 +69,19 @@ def test_dense_index_numeric_and_text(spark):
     assert b == list(range(1, 1001))
 
 
+def test_dense_index_is_the_rank_whatever_the_settings(spark):
+    """Ids of text keys follow key order and depend on neither ranges nor shuffle partitions."""
+    df = spark.createDataFrame([(f"k{i * 37 % 101}",) for i in range(101)], "k string")
+    want = {k: i for i, k in enumerate(sorted(r["k"] for r in df.collect()), 1)}
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts, ranges in (("8", None), ("5", None), ("8", 3)):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            assert {r["k"]: r["i"] for r in keys.dense_index(df, "k", "i", 1, ranges).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
 def test_count_over_matches_window(spark):
     df = spark.createDataFrame([("A", None), ("a", None), ("b", 1), (None, None)], "n string, z int")
     parts = {"n": F.lower("n"), "z": F.col("z")}

@@ -71,7 +71,7 @@ def test_snapshot_copy_released_after_publish(spark, tmp):
 
     def spy(df, name, bucket_by=None):
         out = orig(df, name, bucket_by)
-        made.append(session._COPIES[id(out)][0])
+        made.append(out._snapflow_copy[0])
         return out
     session.materialize = spy
     try:

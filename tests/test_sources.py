@@ -25,3 +25,81 @@ def test_latest_feed_file_or_folder(spark, tmp):
     _touch(os.path.join(land, "Feed_201910.txt"), "a\n", now - 50)               # newer file
     assert files.latest_feed(spark, land, "Feed_*.txt")[1] == "Feed_201910.txt"
     assert files.latest_feed(spark, land, "Nothing_*.txt") is None
+
+
+def _put(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as fh:
+        fh.write(text)
+
+
+def test_quoted_fields(spark, tmp):
+    from snapflow.sources.delimited import read_delimited
+    _put(tmp, "f.txt", 'a|b|c\n1|"x|y"|2\n3|"say ""hi"""tail|\n4|in "the" middle|""\n5|"a|b|c\n6|x|y|z\n')
+    r = read_delimited(spark, tmp, ["a", "b", "c"], file_col=None)
+    assert sorted(map(tuple, r.good.collect())) == [
+        ("1", "x|y", "2"), ("3", 'say "hi"tail', ""), ("4", 'in "the" middle', "")]
+    assert sorted(x["line"] for x in r.quarantine.collect()) == ['5|"a|b|c', "6|x|y|z"]
+
+
+def test_quotes_agree_with_pandas(spark, tmp):
+    import io
+    import random
+    import pandas as pd
+    from snapflow.sources.delimited import read_delimited
+    rnd = random.Random(3)
+    fields = ["x", "", '"p|q"', '"a""b"', 'm"id', '""', '"t"ail', '"|"', " s "]
+    lines = ["a|b|c"] + ["|".join(rnd.choices(fields, k=3)) for _ in range(300)]
+    lines = [ln for ln in lines if ln.strip("|")]
+    _put(tmp, "f.txt", "\n".join(lines) + "\n")
+    want = pd.read_csv(io.StringIO("\n".join(lines)), sep="|", dtype=str, keep_default_na=False)
+    got = read_delimited(spark, tmp, ["a", "b", "c"], file_col=None, strip=False)
+    assert sorted(map(tuple, got.good.collect())) == sorted(want.itertuples(index=False, name=None))
+    assert got.quarantine.isEmpty()
+
+
+def test_header_order_differs_by_file(spark, tmp):
+    from snapflow.sources.delimited import read_delimited
+    _put(tmp, "f1.txt", "a|b\n1|x\n2|y|surplus\n")
+    _put(tmp, "f2.txt", "b|a\nz|3\n")
+    _put(tmp, "f3.txt", "a|b\n4\n")
+    r = read_delimited(spark, tmp, ["a", "b"])
+    assert sorted((x["a"], x["b"], x["FileName"]) for x in r.good.collect()) == [
+        ("1", "x", "f1.txt"), ("3", "z", "f2.txt"), ("4", None, "f3.txt")]
+    assert [x["line"] for x in r.quarantine.collect()] == ["2|y|surplus"]
+
+
+def test_missing_texts(spark, tmp):
+    from snapflow.sources.delimited import read_delimited
+    _put(tmp, "f.txt", "a\tb\nNA\tN/A\nNULL\tx\n\tnone\n")
+    got = read_delimited(spark, tmp, ["a", "b"], sep="\t", nan_text=True, blank_as_null=True, file_col=None).good
+    assert sorted(map(tuple, got.collect())) == [("nan", "nan"), ("nan", "none"), ("nan", "x")]
+
+
+def test_written_feed_reads_back(spark, tmp):
+    from snapflow.sources.delimited import read_delimited, write_delimited
+    rows = [("1", "x|y"), ("2", 'q"r'), ("3", '"'), ("4", "plain"), ("5", "")]
+    write_delimited(spark.createDataFrame(rows, "k string, v string"), os.path.join(tmp, "f"))
+    got = read_delimited(spark, os.path.join(tmp, "f"), ["k", "v"], file_col=None).good
+    assert sorted(map(tuple, got.collect())) == rows
+
+
+def test_latest_feed_below_folder_of_same_name(spark, tmp):
+    land = os.path.join(tmp, "land", "x", "land")
+    _put(land, "Feed_1.txt", "a\n1\n")
+    assert files.latest_feed(spark, land, "Feed_*.txt")[1] == "Feed_1.txt"
+
+
+def test_newest_archive_only(spark, tmp):
+    import zipfile
+    from snapflow.sources import archive
+    for name, n, t in (("Feed_202401", 5000, 1_700_000_000), ("Feed_202402", 3, 1_700_000_100)):
+        path = os.path.join(tmp, name + ".zip")
+        with zipfile.ZipFile(path, "w") as zf:
+            zf.writestr(name + ".txt", "a\n" + "1\n" * n)
+        os.utime(path, (t, t))
+    out = archive.expand_newest(spark, tmp, "Feed_*.zip", "Feed_*.txt")
+    assert out.endswith("/Feed_202402.txt") and spark.read.text(out).count() == 4
+    assert not os.path.exists(os.path.join(tmp, "Feed_202401.txt"))
+    assert archive.expand_newest(spark, tmp, "Feed_*.zip", "Feed_*.txt") is None
+    assert files.latest_feed(spark, tmp, "Feed_*.txt")[1] == "Feed_202402.txt"

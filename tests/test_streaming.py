@@ -74,3 +74,33 @@ def test_markers_merge_folders_once(spark, tmp):
     M.merge_into_table(spark, table, read_snap(spark, os.path.join(tmp, "s2")), spec,
                        snaps[1][2])
     assert sorted(map(tuple, table.read().collect())) == before
+
+
+def test_long_line_is_never_cut(spark, tmp):
+    """A surplus field goes to the quarantine, or fails the batch; a quoted separator is text."""
+    import pytest
+    land = os.path.join(tmp, "land"); os.makedirs(land)
+    _land(land, "snap_1.txt", [("a", 1), ("b", "1|2"), ("c", '"x|y"')])
+    stream = lambda: snapshot_stream(spark, land, all_string(COLS), pattern="snap_*.txt")
+    q = merge_arrivals(spark, stream(), os.path.join(tmp, "t1"), SPEC, os.path.join(tmp, "ck1"),
+                       as_of_fn=lambda e: "2024-01-26 04:00:00", quarantine=os.path.join(tmp, "bad"))
+    q.awaitTermination(120)
+    t = {r["k"]: r["v"] for r in VersionedTable(spark, os.path.join(tmp, "t1")).read().collect()}
+    assert t == {"a": "1", "c": "x|y"}
+    assert [r["line"] for r in spark.read.parquet(os.path.join(tmp, "bad")).collect()] == ["b|1|2"]
+    q = merge_arrivals(spark, stream(), os.path.join(tmp, "t2"), SPEC, os.path.join(tmp, "ck2"),
+                       as_of_fn=lambda e: "2024-01-26 04:00:00")
+    with pytest.raises(Exception, match="surplus"):
+        q.awaitTermination(120)
+
+
+def test_header_in_another_order_fails(spark, tmp):
+    import pytest
+    land = os.path.join(tmp, "land"); os.makedirs(land)
+    with open(os.path.join(land, "snap_1.txt"), "w") as fh:
+        fh.write("v|k\n1|a\n")
+    q = merge_arrivals(spark, snapshot_stream(spark, land, all_string(COLS), pattern="snap_*.txt"),
+                       os.path.join(tmp, "t"), SPEC, os.path.join(tmp, "ck"),
+                       as_of_fn=lambda e: "2024-01-26 04:00:00")
+    with pytest.raises(Exception, match="another order"):
+        q.awaitTermination(120)

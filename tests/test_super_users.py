@@ -116,3 +116,58 @@ def test_workbook_unknown_header(spark, tmp):
     write_xlsx(os.path.join(tmp, "bad.xlsx"), ["Member_Key", "nope"], [["K", "x"]])
     with pytest.raises(Exception, match="unknown columns"):
         read_workbooks(spark, tmp, SU.CS_COLUMNS).collect()
+
+
+def _land_feeds(tmp, ei_lines):
+    def text(folder, name, cols, lines):
+        os.makedirs(os.path.join(tmp, folder), exist_ok=True)
+        with open(os.path.join(tmp, folder, name), "w") as fh:
+            fh.write("\t".join(cols) + "\n" + "".join(ln + "\n" for ln in lines))
+
+    def book(folder, cols, rows):
+        os.makedirs(os.path.join(tmp, folder), exist_ok=True)
+        write_xlsx(os.path.join(tmp, folder, folder + ".xlsx"), cols, [[r.get(c) for c in cols] for r in rows])
+    text("ei", "ei_2.txt", SU.EI_COLUMNS, ei_lines)
+    text("aco", "aco.txt", SU.EI_ACO_COLUMNS, [])
+    book("mr", SU.MR_COLUMNS, MR)
+    book("mcr", SU.CS_COLUMNS, CS[:1])
+    book("mcd", SU.CS_COLUMNS, CS[1:])
+    at = lambda n: os.path.join(tmp, n)
+    return SU.Config(ei=at("ei"), ei_aco=at("aco"), mr=at("mr"), cs_mcr=at("mcr"), cs_mcd=at("mcd"),
+                     target=at("t"), stage=at("stage"), patterns={"ei": "ei_*.txt", "mr": "mr*.xlsx"})
+
+
+def _ei_line(**v):
+    v = {"Exchange_Ind": "N", **v}          # one character wide: a blank would become the text nan
+    return "\t".join(str(v.get(c, "")) for c in SU.EI_COLUMNS)
+
+
+def test_staged_counted_and_quarantined(spark, tmp):
+    """Feeds are staged and counted, a surplus line is kept apart, an older delivery and
+    older month of a workbook are not read, and a blank flag is no flag."""
+    cfg = _land_feeds(tmp, [_ei_line(MBR_ID="E1", indv_id=1), _ei_line(MBR_ID="E2", indv_id=2, pred_flag=1),
+                            _ei_line(MBR_ID="E9", indv_id=9) + "\tsurplus"])
+    old = os.path.join(tmp, "ei", "ei_1.txt")
+    with open(old, "w") as fh:
+        fh.write("\t".join(SU.EI_COLUMNS) + "\n" + _ei_line(MBR_ID="E0", indv_id=0) + "\n")
+    write_xlsx(os.path.join(tmp, "mr", "mr_old.xlsx"), SU.MR_COLUMNS, [["M0"] + [None] * (len(SU.MR_COLUMNS) - 1)])
+    for f in (old, os.path.join(tmp, "mr", "mr_old.xlsx")):
+        os.utime(f, (1_600_000_000, 1_600_000_000))
+    m = SU.run(spark, cfg, AS_OF)
+    assert m["staged"] == {"ei": 2, "ei_aco": 0, "mr": 2, "cs_mcr": 1, "cs_mcd": 1}
+    assert m["quarantined"] == {"ei": 1, "ei_aco": 0}
+    kept = spark.read.parquet(os.path.join(tmp, "stage", "quarantine", "ei")).collect()
+    assert len(kept) == 1 and kept[0]["line"].endswith("surplus")
+    t = {r["Member_ID"]: r for r in VersionedTable(spark, cfg.target).read().collect()}
+    assert set(t) == {"E1", "E2", "M1", "C1", "C2"}
+    assert t["E1"]["Is_PSU"] is None and t["E2"]["Is_PSU"] is True
+
+
+def test_target_layout_enforced(spark, tmp):
+    """K4: a text wider than its column and a NULL in a NOT NULL column stop the job."""
+    cfg = SU.Config(ei="", ei_aco="", mr="", cs_mcr="", cs_mcd="", target=os.path.join(tmp, "t"))
+    with pytest.raises(Exception, match="wider than 3 in column MarketSegment"):
+        SU.run(spark, cfg, AS_OF, readers=_feeds(spark, [dict(EI[1], MKT_SEG_CD="LONG")], ACO, MR, CS))
+    with pytest.raises(Exception, match="NOT NULL column Member_ID"):
+        SU.run(spark, cfg, AS_OF, readers=_feeds(spark, [dict(EI[1], MBR_ID=None)], ACO, MR, CS))
+    assert VersionedTable(spark, cfg.target).read() is None
