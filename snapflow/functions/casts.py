@@ -13,7 +13,8 @@ from pyspark.sql import Column, functions as F, types as T
 
 # Date layouts accepted by the lenient date parse (ISO, compact, US).
 # one letter takes one or two digits, so padded and unpadded dates share a layout
-DATE_FORMATS = ("yyyy-M-d", "yyyyMMdd", "M/d/yyyy", "yyyy-M-d H:m:s", "M/d/yyyy H:m:s")
+DATE_FORMATS = ("yyyy-M-d", "yyyyMMdd", "M/d/yyyy")
+_TIME_OF_DAY = r" +([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$"
 
 
 def _c(x) -> Column:
@@ -130,10 +131,17 @@ def to_bit(x, blank_false: bool = False) -> Column:
 
 def parse_date(x, formats=DATE_FORMATS) -> Column:
     """X10 lenient: first layout that parses; blank, ``nan`` or malformed text is NULL (Q7, Q20)."""
-    c = F.trim(_blank_null(_c(x)))
+    c = _date_part(x)
     return F.coalesce(*[_layout_guard(c, f) for f in formats])
 
 
+def _date_part(x) -> Column:
+    """The text without blanks around it and without a time of day (taken off once, so that no
+    layout is needed twice)."""
+    c = F.trim(_blank_null(_c(x)))
+    return F.when(F.contains(c, F.lit(":")), F.regexp_replace(c, _TIME_OF_DAY, "")).otherwise(c)
+
+
 def _layout_guard(c: Column, fmt: str) -> Column:
     """``try_to_date(c, fmt)`` only for text that could fit the layout — it contains every
     literal separator of ``fmt``, or, for a layout of pattern letters only, it is digits and
@@ -151,8 +159,6 @@ def _layout_guard(c: Column, fmt: str) -> Column:
 
 def strict_date(x, formats=DATE_FORMATS) -> Column:
     """X10 strict: like ``parse_date`` but non-blank text that fits no layout raises."""
-    c = F.trim(_blank_null(_c(x)))
-    parsed = parse_date(x, formats)
-    return F.when(c.isNotNull() & parsed.isNull(),
-                  F.raise_error(F.concat(F.lit("unparseable date: "), c)).cast(T.DateType())
-                  ).otherwise(parsed)
+    raw = _c(x).cast(T.StringType())
+    fail = F.raise_error(F.concat(F.lit("unparseable date: "), raw)).cast(T.DateType())
+    return F.coalesce(parse_date(raw, formats), F.when(_blank_null(raw).isNotNull(), fail))

@@ -48,7 +48,7 @@ def rule_expr(r: Rule, blank_bit_false: bool = False) -> Column:
     if k in ("try_int", "try_bigint"):
         return C.lenient(c, k[4:])
     if k == "int_text":
-        out = C.int_text(C.strict_int(c, "int"))
+        out = C.int_text(c)
         return C.text_n(out, r.arg) if r.arg else out
     if k == "bit":
         return C.to_bit(c, blank_false=blank_bit_false)
