@@ -8,7 +8,7 @@ no fingerprints, so the whole has no ``ORACLE_SQL``; tests hold it against a bru
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from snapflow.llm import covering_simhash, line_dedup, line_rules, pairwise_quality, residual_packing
 from snapflow.llm.common import materialize, prepare, read_table
@@ -40,15 +40,20 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the one with the smallest id.  Rows that share an id are
-    one document; the first by text hash stays."""
+    """One row of each SimHash group: the one with the smallest id (null ids last), among rows of
+    that id the one with the least text digest, of equal rows any one."""
     prepare(spark)
-    found = covering_simhash.near_duplicates(docs)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-2 ** 63))
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("__key")).distinct()
-    first = Window.partitionBy("__key").orderBy(F.xxhash64("text"))
-    return (docs.withColumn("__key", key).join(stay, "__key", "left_semi")
-            .withColumn("__row", F.row_number().over(first)).filter("__row = 1").select(*docs.columns))
+    by = ["__none", "__id", "__digest"]
+
+    def keys(doc_id: Column, digest: Column) -> list[Column]:
+        return [doc_id.isNull().alias("__none"), F.coalesce(doc_id, F.lit(0)).alias("__id"), digest.alias("__digest")]
+
+    groups = covering_simhash.grouped(docs)
+    stay = groups.groupBy("root").agg(F.min(F.struct(*keys(F.col("doc_id"), F.col("digest")))).alias("m")).select("m.*")
+    # id and digest name one group: equal texts have one root
+    rows = docs.select("*", *keys(F.col("doc_id").cast("long"), covering_simhash.text_digest(F.col("text"))))
+    return (rows.withColumn("__row", F.row_number().over(Window.partitionBy(*by).orderBy("__digest"))).filter("__row = 1")
+            .join(stay, by, "left_semi").select(*docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from itertools import combinations, product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from snapflow.llm.common import DOC_ID, materialize, narrow, slices
 
@@ -67,14 +67,20 @@ def _fingerprints(words: int):
     def run(batches):
         for b in slices(batches):
             fp = np.array([simhash(t, words) for t in b.column("text").cast(pa.binary()).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64)), b.column("digest")],
+                                             names=["doc_id", "fp", "digest"])
     return run
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = DOC_ID, text_col: str = "text") -> DataFrame:
-    """``doc_id, fp``: the 64 bits as a signed long."""
-    d = narrow(docs, id_col, text_col).withColumn(DOC_ID, F.col(DOC_ID).cast("long"))
-    return d.mapInArrow(_fingerprints(words), "doc_id long, fp long")
+    """``doc_id, fp, digest``: the 64 bits as a signed long, and the text's digest."""
+    d = narrow(docs, id_col, text_col).select(F.col(DOC_ID).cast("long").alias(DOC_ID), "text", text_digest(F.col("text")).alias("digest"))
+    return d.mapInArrow(_fingerprints(words), "doc_id long, fp long, digest binary")
+
+
+def text_digest(text: Column) -> Column:
+    """16 bytes that stand for a text; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
 # ---- covering codes -------------------------------------------------------------------------
@@ -322,13 +328,21 @@ def components(edges: DataFrame) -> DataFrame:
     return e
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, layout: str | None = None,
-                    id_col: str = DOC_ID, text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row."""
+def grouped(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, layout: str | None = None,
+            id_col: str = DOC_ID, text_col: str = "text") -> DataFrame:
+    """``doc_id, fp, digest, root, component_id`` of every row.  ``root``, the smallest fingerprint of
+    the group, names each group, also those of null ids only; a text has one root."""
     fp = materialize(fingerprints(docs, words, id_col, text_col), "simhash")
     nodes = fp.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(linked(nodes, distance, layout))
     labelled = nodes.join(roots, nodes["fp"] == roots["u"], "left").select("fp", "first", F.coalesce("v", "fp").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = labelled.join(smallest, "root").select("fp", "component_id")
-    return fp.join(of, "fp").select(DOC_ID, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    of = labelled.join(smallest, "root").select("fp", "root", "component_id")
+    return fp.join(of, "fp").select(DOC_ID, "fp", "digest", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, layout: str | None = None,
+                    id_col: str = DOC_ID, text_col: str = "text") -> DataFrame:
+    """``doc_id, fingerprint, component_id`` of every row."""
+    return grouped(docs, words, distance, layout, id_col, text_col).select(
+        DOC_ID, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

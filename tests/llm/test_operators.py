@@ -309,3 +309,22 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in packed} <= kept and packed
     for _, stage in cp.STAGES[:-1]:
         assert stage(spark, docs.limit(0), sf).count() == 0
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    """Null ids and a repeated id: no group of the brute-force version is without its one row."""
+    import corpus_pipeline as cp
+    rng = random.Random(11)
+    alone = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(60)) for _ in range(12)]
+    base = alone[0]
+    rows = [(None, t) for t in alone[1:9]] + [(None, alone[1])]    # unrelated texts without id, one of them twice
+    rows += [(3, base), (None, base), (7, base.upper())]           # id 7 is a copy of document 3 ...
+    rows += [(7, t) for t in alone[9:]] + [(8, alone[9]), (None, None), (9, "")]   # ... and three other texts
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, k int").repartition(4)
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(_simhash(t or ""), []).append((i is None, i or 0, t or ""))
+    got = cp.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    kept = [((r["doc_id"] is None, r["doc_id"] or 0), r["text"] or "") for r in got.collect()]
+    assert sorted((k, _simhash(t)) for k, t in kept) == sorted((min(g)[:2], fp) for fp, g in groups.items())
