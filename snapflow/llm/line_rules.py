@@ -28,6 +28,9 @@ BOILERPLATE = (
     "log in", "subscribe to our newsletter", "click here", "read more", "share this",
     "licensed under", "copyright (c)", "lorem ipsum",
 )
+_IN_WORD = r"[\p{L}\p{M}\p{N}]"
+#: A phrase as whole words: no letter or digit goes on at an end that is a letter.
+WHOLE_PHRASE = "|".join(rf"(?<!{_IN_WORD})\Q{p}\E" + (rf"(?!{_IN_WORD})" if p[-1].isalnum() else "") for p in BOILERPLATE)
 # fixed values: marks that close a sentence or a quotation
 TERMINAL = ".!?…。！？\"'”’»)"
 
@@ -43,6 +46,9 @@ class LineRules:
     max_symbol_pct                      navigation: 100 * symbols / words of a line
     max_shout_pct                       boilerplate: 100 * words with ``!!`` / words of a line
     min_kept_pct                        word characters that must survive, of those of the document
+    whole_phrases, max_phrase_pct       boilerplate: phrases count as whole words only, and a line of
+                                        min_words or more fails only by 100 * words of phrases / words.
+                                        Off: any hit inside a word fails the line, as in ``sql.py``
     """
 
     min_words: int = 20
@@ -52,6 +58,8 @@ class LineRules:
     max_symbol_pct: int = 30
     max_shout_pct: int = 30
     min_kept_pct: int = 50
+    whole_phrases: bool = False
+    max_phrase_pct: int = 30
 
 
 def count_of(text: Column, chars: str) -> Column:
@@ -113,7 +121,7 @@ def line_passes(line: Column, words: Column, rules: LineRules) -> Column:
 
     punctuation   its last word ends in a closing mark, or it is long and another word ends a sentence
     navigation    few symbols a word (menus, tables and symbol noise have many)
-    boilerplate   no phrase of page furniture, and few words that shout ``!!``
+    boilerplate   no phrase of page furniture (see ``whole_phrases``), and few words that shout ``!!``
     """
     n = F.size(words)
 
@@ -130,7 +138,11 @@ def line_passes(line: Column, words: Column, rules: LineRules) -> Column:
         found = F.lit(False)
         for phrase in BOILERPLATE:
             found = found | F.contains(low, F.lit(phrase))
-        return found
+        if not rules.whole_phrases:
+            return found
+        phrase_words = F.aggregate(F.regexp_extract_all(low, F.lit(f"({WHOLE_PHRASE})"), F.lit(1)), F.lit(0),
+                                   lambda a, hit: a + F.size(F.split(hit, " ")))
+        return found & let(phrase_words, lambda k: (k > 0) & ((n < rules.min_words) | (100 * k > rules.max_phrase_pct * n)))
 
     return (n > 0) & punctuated & ~navigation & ~shouted & ~let(F.lower(line), furniture)
 

@@ -328,3 +328,16 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     assert got.columns == docs.columns
     kept = [((r["doc_id"] is None, r["doc_id"] or 0), r["text"] or "") for r in got.collect()]
     assert sorted((k, _simhash(t)) for k, t in kept) == sorted((min(g)[:2], fp) for fp, g in groups.items())
+
+
+def test_pipeline_keeps_lines_with_furniture_inside_words(spark):
+    import corpus_pipeline as cp
+    filler = "and the old bridge over the river was drawn again by the same careful hand during that long winter."
+    plain = f"They kept the design in a drawer, wrote a blog in spring, put the catalog in order, {filler}"
+    fixed = f"You have to log in before the two machines exchange their keys, {filler}"
+    rows = [(0, plain, [plain]), (1, fixed, [fixed]), (2, f"{plain}\nShort words of a blog in spring.\nPlease sign in.\nCopyright (c)2020 by us.",
+            [plain, "Short words of a blog in spring."]), (3, "Sign in. Log in. Read more. Click here. " * 6, None),
+            (4, f"Read more: {plain}", [f"Read more: {plain}"]), (5, f"Sign in, log in; read more, click here, share this {filler}", None)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in cp.quality_rules(spark, docs, "").collect()}
+    assert got == {i: "\n".join(lines) for i, _, lines in rows if lines}
