@@ -257,7 +257,7 @@ def q_lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_row_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each table is staged; rows counted on the way in (observed) and re-read.
+    """Each of ``STAGED_TABLES`` is staged; rows counted on the way in (observed) and re-read.
     The stages are independent, so their jobs are submitted together and share the cluster."""
     from concurrent.futures import ThreadPoolExecutor
     root = scratch_dir(spark, "reconcile")
@@ -272,11 +272,12 @@ def q_row_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, expected long, loaded long, diff long")
 
 
+# the tables that the SQL of both queries names; the other given tables are not staged here
 STAGED_TABLES = ("region", "nation", "supplier", "customer", "part", "orders", "lineitem")
 
 
 def q_empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R2: each table loads into its empty stage; a second load into the now non-empty stage is
+    """R2: each of ``STAGED_TABLES`` loads into its empty stage; a second load into the now non-empty stage is
     refused, so the stage holds exactly one copy."""
     root = scratch_dir(spark, "guarded")
     rows = []
