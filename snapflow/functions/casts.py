@@ -88,8 +88,8 @@ def strict_int(x, dtype: str = "int") -> Column:
 
 
 def int_text(x) -> Column:
-    """Id via integer to text, so ``123.0`` / ``1.23E8`` print as plain digits."""
-    return _integral(_c(x), "int").cast(T.StringType())
+    """Id via integer to text, so ``123.0`` / ``1.23E8`` print as plain digits.  Blank is NULL."""
+    return _integral(_blank_null(_c(x)), "int").cast(T.StringType())
 
 
 def lenient(x, dtype: str) -> Column:

@@ -179,7 +179,7 @@ def member_feed(snap: DataFrame, as_of: str) -> DataFrame:
     """The 118-column member feed (all text) for one monthly customer snapshot.
 
     Filled columns exercise each conversion: key and names (text widths), report month (blank
-    when the customer has no open order, so F1 drops the row), ids via int, dates in three
+    when the customer has no open order, so F1 drops the row), ids via int (some blank), dates in three
     layouts, ZIP with a dash, a bit, a lenient bigint and a junk lenient int, a float ZIP, a
     small int, a one-letter status, a decimal(3,2) that rounds, and a 23-character timestamp.
     Every other column is blank."""
@@ -191,8 +191,8 @@ def member_feed(snap: DataFrame, as_of: str) -> DataFrame:
         "MBR_HICN_NUM": F.concat(F.lit("H"), F.lpad(k.cast("string"), 10, "0")),
         "RPT_MO_KEY": F.when(F.col("open_priority").isNull(), F.lit(""))
                        .otherwise(F.col("snapshot_month")),
-        "MBR_INDV_ID": k.cast("string"),
-        "MBR_CRD_ID": (k * 7).cast("string"),
+        "MBR_INDV_ID": F.when(n == 7, F.lit("")).otherwise(k.cast("string")),
+        "MBR_CRD_ID": F.when(n == 9, F.lit("  ")).otherwise((k * 7).cast("string")),
         "MBR_LST_NM": F.col("c_name"),
         "MBR_FST_NM": F.col("c_mktsegment"),
         "MBR_DOB": F.when(layout == 0, F.date_format(dob, "yyyy-MM-dd"))

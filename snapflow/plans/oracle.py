@@ -326,9 +326,9 @@ def _member_typed(snap: str, as_of: str) -> str:
     filled = {
         "MBR_HICN_NUM": "'H' || lpad(CAST(c_custkey AS VARCHAR), 10, '0')",
         "RPT_MO_KEY": "CAST(snapshot_month AS INTEGER)",
-        "MBR_INDV_ID": "CAST(c_custkey AS INTEGER)",
-        "MBR_INDV_ID_STR": "CAST(c_custkey AS VARCHAR)",
-        "MBR_CRD_ID": "CAST(c_custkey * 7 AS VARCHAR)",
+        "MBR_INDV_ID": "CASE WHEN c_nationkey <> 7 THEN CAST(c_custkey AS INTEGER) END",
+        "MBR_INDV_ID_STR": "CASE WHEN c_nationkey <> 7 THEN CAST(c_custkey AS VARCHAR) END",
+        "MBR_CRD_ID": "CASE WHEN c_nationkey <> 9 THEN CAST(c_custkey * 7 AS VARCHAR) END",
         "MBR_LST_NM": "left(c_name, 100)",
         "MBR_FST_NM": "left(c_mktsegment, 100)",
         "MBR_DOB": "make_date(1940 + c_nationkey, 6, 15)",
