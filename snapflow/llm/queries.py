@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapflow.llm import (bottom_k, covering_simhash, hilbert, host_words, line_dedup, line_rules,
-                          pairwise_quality, residual_packing, sql, suffix_pieces, token_matrix)
+from snapflow.llm import (bottom_k, contour_whitening, covering_simhash, hilbert, host_words, line_dedup, line_rules, pair_bitmaps,
+                          pairwise_quality, residual_packing, sql, stable_search, suffix_pieces, token_matrix)
 from snapflow.llm.common import read_table
 
 DIMENSIONS = [hilbert.Dimension("source"), hilbert.Dimension("lang"),
@@ -61,7 +61,20 @@ def op10_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_pieces.encoded(read_table(spark, sf_dir, "documents"))
 
 
+def op11_contour_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contour_whitening.whitening_report(read_table(spark, sf_dir, "embeddings")).drop("deviation_exact")
+
+
+def op12_stable_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stable_search.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def op13_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_bitmaps.align(read_table(spark, sf_dir, "documents")).scored().drop("groups")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_pairwise_quality, op3_hilbert_shards, op4_covering_simhash, op5_bottom_k,
-    op6_token_matrix, op7_residual_packing, op8_host_words, op9_line_rules, op10_suffix_pieces)}
+    op6_token_matrix, op7_residual_packing, op8_host_words, op9_line_rules, op10_suffix_pieces,
+    op11_contour_whitening, op12_stable_search, op13_pair_bitmaps)}
 SQL = {"op1_line_dedup": sql.LINE_DEDUP, "op9_line_rules": sql.line_rules_sql()}
