@@ -47,44 +47,48 @@ def count_over_window(df: DataFrame, parts: dict[str, Column], out: str) -> Data
     return df.withColumn(out, F.count(F.lit(1)).over(w).cast(T.IntegerType()))
 
 
-def dense_index(df: DataFrame, order_col: str, out: str, start: int = 1,
-                num_buckets: int | None = None) -> DataFrame:
+def dense_index(df: DataFrame, order_col: str, out: str, start=1, num_buckets: int | None = None) -> DataFrame:
     """Consecutive ids ``start, start+1, ...`` in key order, with no single-partition window (M7).
 
-    Rows are range-partitioned by the key (numbers and text alike) and written once with their
-    range number, so that a lost executor cannot draw the ranges anew.  Counts a range (one row
-    each, a bounded table) give each range's offset, and a ``row_number`` inside each range gives
-    the local position.  The id is the key's rank: it depends on no setting, neither on the number
-    of ranges (``num_buckets``, default the shuffle partitions).  ``order_col`` should be unique (a
-    merge key after ``guard_keys``).
+    Rows are range-partitioned by the key (numbers and text alike), sorted, and written once with
+    their range and place in it, so that a lost executor cannot draw the ranges anew; nothing is
+    shuffled a second time.  Counts a range (one row each, a bounded table) give each range's
+    offset.  The id is the key's rank: it depends on no setting, neither on the number of ranges
+    (``num_buckets``, default the shuffle partitions).  ``order_col`` should be unique (a merge key
+    after ``guard_keys``).  ``start`` may be a function that takes the number of rows and gives the
+    first id (``VersionedTable.claim_ids``).
     """
     from snapflow.session import materialize
     n = [] if num_buckets is None else [num_buckets]
-    ranged = df.repartitionByRange(*n, F.col(order_col))
-    b = materialize(ranged.withColumn("_b", F.spark_partition_id()), "key_ranges")
-    counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = df.repartitionByRange(*n, F.col(order_col)).sortWithinPartitions(order_col)
+    # partition number in the upper bits, place in the partition in the lower 33
+    b = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()), "key_ranges")
+    counts = b.groupBy(F.shiftright("_at", 33).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    if callable(start):
+        start = start(b.count())
     # one row a range: the running total over this tiny table is cheap in one task
     offsets = counts.select(
         "_b", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_off"))
-    w = Window.partitionBy("_b").orderBy(F.col(order_col))
-    idx = (F.lit(start) + F.col("_off") + F.row_number().over(w) - 1).cast(T.LongType())
-    return (b.join(F.broadcast(offsets), "_b")
-            .withColumn(out, idx).drop("_b", "_off"))
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (b.join(F.broadcast(offsets), F.shiftright("_at", 33) == F.col("_b"))
+            .withColumn(out, (F.lit(start) + F.col("_off") + place).cast(T.LongType())).drop("_at", "_b", "_off"))
 
 
 def attach_surrogate(source: DataFrame, target: DataFrame | None, key: str, col: str,
                      start: int = 10_000_000_000, num_buckets: int | None = None,
-                     collation: str | None = None) -> DataFrame:
-    """M7 before a merge: keys of ``source`` absent from ``target`` get the next identity values
-    (``max(target.col) + 1, ...``); keys already in the target get NULL here and keep their
-    issued value in the merge.  Only key columns are shuffled for the anti join; the final
-    left join is on the merge key, so its partitioning is reused by the merge's join.
+                     collation: str | None = None, claim=None) -> DataFrame:
+    """M7 before a merge: keys of ``source`` absent from ``target`` get the next identity values;
+    keys already in the target get NULL here and keep their issued value in the merge.  The values
+    start at ``claim(number of new keys)`` (a table's high-water mark, no scan), without ``claim``
+    at ``max(target.col) + 1``.  Only key columns are shuffled for the anti join; the final left
+    join is on the merge key, so its partitioning is reused by the merge's join.
     ``collation`` matches text keys as the merge does."""
     base = start
     if target is not None:
-        mx = target.agg(F.max(col).alias("m")).first()["m"]
-        if mx is not None:
-            base = max(start, mx + 1)
+        if claim is None:
+            mx = target.agg(F.max(col).alias("m")).first()["m"]
+            if mx is not None:
+                base = max(start, mx + 1)
         sk, tk = source.select(key), target.select(F.col(key).alias("_tk"))
         if collation and isinstance(source.schema[key].dataType, T.StringType):
             cond = F.collate(sk[key], collation) == F.collate(tk["_tk"], collation)
@@ -93,5 +97,5 @@ def attach_surrogate(source: DataFrame, target: DataFrame | None, key: str, col:
         new_keys = sk.join(tk, cond, "left_anti")
     else:
         new_keys = source.select(key)
-    issued = dense_index(new_keys, key, col, start=base, num_buckets=num_buckets)
+    issued = dense_index(new_keys, key, col, start=claim or base, num_buckets=num_buckets)
     return source.join(issued, key, "left")

@@ -142,8 +142,35 @@ def snapshot_merge(target: DataFrame, source: DataFrame, ms: MergeSpec, as_of,
     ``as_of`` replaces GETDATE() so reruns are deterministic.  ``with_action`` adds a
     ``merge_action`` column (insert / update / unchanged / drop / still_dropped) used by the
     reconciliation metrics.  Keys must already be unique and non-null: call ``guard_keys``.
+
+    One full outer join.  Its output lies in no partitioning that Spark knows (the key is the
+    target's or the source's), so a bucketed write would shuffle it: see ``merge_parts``.
     """
-    ts = _ts(as_of)
+    s, t, cond = _sides(target, source, ms)
+    return _outcome(t.join(s, cond, "full_outer"), source, ms, as_of, with_action, "either")
+
+
+def merge_parts(target: DataFrame | None, source: DataFrame, ms: MergeSpec, as_of,
+                with_action: bool = False) -> list[DataFrame]:
+    """The rows of ``snapshot_merge`` in two frames: those of the target's keys and those of new keys.
+
+    The first is the target left outer join the snapshot, the second the snapshot's keys that the
+    target lacks; each keeps the hash partitioning of the side whose key it carries, so with two
+    sides bucketed alike neither the joins nor a bucketed write move a row.  The target's key
+    column is read twice.  Without a target all keys are new: one frame, no join."""
+    first = target is None
+    s, t, cond = _sides(empty_target(source.sparkSession, ms, source.schema) if first else target, source, ms)
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in t.schema.fields]
+    if first:
+        return [_outcome(s.select("*", *none), source, ms, as_of, with_action, "source")]
+    kept = _outcome(t.join(s.hint("merge"), cond, "left_outer"), source, ms, as_of, with_action, "target")
+    keys = t.select([f"t__{k}" for k in ms.key])
+    new = s.hint("merge").join(keys, cond, "left_anti")
+    return [kept, _outcome(new.select("*", *none), source, ms, as_of, with_action, "source")]
+
+
+def _sides(target: DataFrame, source: DataFrame, ms: MergeSpec) -> tuple[DataFrame, DataFrame, Column]:
+    """(source with columns ``s__*``, target with ``t__*``, join condition)."""
     src_names = set(source.columns)
     missing = [c for c in ms.insert_cols if c not in src_names]
     if missing:
@@ -169,10 +196,21 @@ def snapshot_merge(target: DataFrame, source: DataFrame, ms: MergeSpec, as_of,
 
     cond = reduce(operator.and_, [cmp(k, F.col(t_alias[k])) == cmp(k, F.col(s_alias[k]))
                                   for k in ms.key])
-    j = t.join(s, cond, "full_outer")
+    return s, t, cond
 
-    sc = {c: F.col(a) for c, a in s_alias.items()}
-    tc = {c: F.col(a) for c, a in t_alias.items()}
+
+def _outcome(j: DataFrame, source: DataFrame, ms: MergeSpec, as_of, with_action: bool, key_of: str) -> DataFrame:
+    """Merged rows of joined sides.  ``key_of``: the side whose key a row has (``either``, ``target``, ``source``)."""
+    ts = _ts(as_of)
+    src_names = set(source.columns)
+    tgt_cols = ms.target_cols()
+    text = {f.name for f in source.schema.fields if isinstance(f.dataType, T.StringType)}
+
+    def cmp(c: str, e: Column) -> Column:
+        return F.collate(e, ms.collation) if ms.collation and c in text else e
+
+    sc = {c: F.col(f"`s__{c}`") for c in ms.insert_cols}
+    tc = {c: F.col(f"`t__{c}`") for c in tgt_cols}
     k0 = ms.key[0]
     in_t = tc[k0].isNotNull()
     in_s = sc[k0].isNotNull()
@@ -197,7 +235,7 @@ def snapshot_merge(target: DataFrame, source: DataFrame, ms: MergeSpec, as_of,
     update = set(ms.update_cols)
     for c in ms.insert_cols:
         if c in ms.key:
-            expr = F.coalesce(tc[c], sc[c])
+            expr = {"either": F.coalesce(tc[c], sc[c]), "target": tc[c], "source": sc[c]}[key_of]
         elif c in update:
             expr = F.when(is_new | changed, sc[c]).otherwise(tc[c])
         else:  # insert-only (M5)
@@ -282,20 +320,34 @@ def merge_into_table(spark, table, source: DataFrame, ms: MergeSpec, as_of,
     source = copy = materialize(source, "merge_source", bucket_by=(key, n) if n else None)
     checks.guard_keys(source, key, "source", collation=ms.collation)
     previous = table.read()
-    target = previous if previous is not None else empty_target(spark, ms, source.schema)
     if ms.surrogate_col:
+        def issued():
+            return previous.agg(F.max(ms.surrogate_col)).first()[0] if previous is not None else None
+
+        claim = (lambda count: table.claim_ids(count, ms.surrogate_start, issued)) if hasattr(table, "claim_ids") else None
         source = attach_surrogate(source, previous, key[0], ms.surrogate_col, ms.surrogate_start,
-                                  collation=ms.collation)
-    merged = snapshot_merge(target, source, ms, as_of, with_action=True)
+                                  collation=ms.collation, claim=claim)
+    # collated keys are joined under another hash than the buckets'
+    clustered = bool(n) and not ms.collation
+    if clustered:
+        merged = merge_parts(previous, source, ms, as_of, with_action=True)
+    else:
+        target = previous if previous is not None else empty_target(spark, ms, source.schema)
+        merged = [snapshot_merge(target, source, ms, as_of, with_action=True)]
     from pyspark.sql import Observation
-    obs = Observation("merge")
     a = F.col("merge_action")
-    observed = merged.observe(
-        obs, F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(a == F.lit(x)).alias(x) for x in
-          (ACTION_INSERT, ACTION_UPDATE, ACTION_KEEP, ACTION_DROP, ACTION_GONE)])
-    version, path = table.write_next(observed.drop("merge_action"), key)
-    metrics = dict(obs.get)
+    observed = []
+    for part in merged:
+        obs = Observation(f"merge_{len(observed)}")
+        observed.append((obs, part.observe(
+            obs, F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(a == F.lit(x)).alias(x) for x in
+              (ACTION_INSERT, ACTION_UPDATE, ACTION_KEEP, ACTION_DROP, ACTION_GONE)]).drop("merge_action")))
+    version, path = table.write_next([part for _, part in observed], key, clustered=clustered)
+    metrics = {}
+    for obs, _ in observed:
+        for name, value in obs.get.items():
+            metrics[name] = metrics.get(name, 0) + value
     if audit:
         written = (table.read_version(version) if hasattr(table, "read_version")
                    else spark.read.parquet(path))

@@ -71,8 +71,13 @@ class VersionedTable:
     version is written with Spark's ``bucketBy(n, key)`` + ``sortBy(key)`` and read back as an
     external catalog table declared with the same clustering (K6).  The scan then reports
     hash partitioning on the key, so the next merge's join shuffles only the incoming
-    snapshot, never the accumulated table.  The bucket write itself needs no shuffle: the merge
-    output is already partitioned by the key with the same hash.
+    snapshot, never the accumulated table.  A merge hands over its result in parts that still lie in
+    those partitions (``merge.merge_parts``); ``write_next(..., clustered=True)`` writes them as they
+    are, one file a bucket and part, without a shuffle.  Any other frame is shuffled by key once.
+
+    Identities (M7) are claimed from a high-water mark beside the versions, ``root/_IDS.<first>``
+    with the number of ids taken: no scan of the table, and of two writers that want the same first
+    id one gets the next block.  A claim is never given back: a failed run leaves a gap.
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
@@ -97,7 +102,7 @@ class VersionedTable:
         try:
             reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
                 self.spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-            return reader.readLine().strip()
+            return (reader.readLine() or "").strip()
         finally:
             stream.close()
 
@@ -179,9 +184,36 @@ class VersionedTable:
                            f"LOCATION '{self.path_of(v)}'")
         return self.spark.table(name)
 
-    def write_next(self, df: DataFrame, key=None) -> tuple[int, str]:
+    def claim_ids(self, count: int, start: int, issued=None) -> int:
+        """The first of ``count`` consecutive ids that no other writer gets.  ``issued()``, asked only
+        for a table without claims, gives the highest id that was issued before claims were kept."""
+        import time
+        for _ in range(100):
+            taken = self._names("_IDS.")
+            if taken:
+                number = self._read_small(f"{self.root}/_IDS.{taken[-1]:020d}")
+                if not number:
+                    time.sleep(0.1)              # another writer has just created it
+                    continue
+                first = max(start, taken[-1] + int(number))
+            else:
+                highest = issued() if issued else None
+                first = start if highest is None else max(start, highest + 1)
+            if not count:
+                return first
+            try:
+                self._write_small(f"{self.root}/_IDS.{first:020d}", str(count))
+            except Exception:                    # noqa: BLE001 - raised again unless another writer was first
+                if first not in self._names("_IDS."):
+                    raise
+                continue
+            return first
+        raise RuntimeError(f"{self.root}: no identities could be claimed; the newest _IDS file may be an unfinished claim")
+
+    def write_next(self, df, key=None, clustered: bool = False) -> tuple[int, str]:
         """Write a new, unpublished version; with ``key`` rows are clustered by key inside each
-        file (K6), and bucketed by key when the table has (or is given) a bucket count."""
+        file (K6), and bucketed by key when the table has (or is given) a bucket count.  ``df`` is a
+        frame or a list of frames; ``clustered``: each lies in the buckets' hash partitions already."""
         v = (self.current_version() or 0) + 1
         keys = [key] if isinstance(key, str) else list(key or [])
         lay = self.layout()
@@ -193,16 +225,20 @@ class VersionedTable:
         if fs.exists(p):
             raise FileExistsError(f"{path} exists: another writer is at it, or one failed "
                                   "(then call drop_unpublished())")
-        if lay is not None:
-            bkeys, n = lay
-            # one file a bucket: without this each input task writes a file for each bucket
-            df = df.repartition(n, *bkeys)
-            (df.write.mode("errorifexists").format("parquet").bucketBy(n, *bkeys).sortBy(*bkeys)
-             .option("path", path).saveAsTable(self._table_name(v)))
-        else:
-            out = df.sortWithinPartitions(*keys) if keys else df
-            out.write.mode("errorifexists").parquet(path)
+        for k, part in enumerate(df if isinstance(df, list) else [df]):
+            self._write_part(part, v, keys, lay, clustered, "append" if k else "errorifexists")
         return v, path
 
+    def _write_part(self, df: DataFrame, version: int, keys: list[str], lay, clustered: bool, mode: str) -> None:
+        if lay is None:
+            out = df.sortWithinPartitions(*keys) if keys else df
+            out.write.mode(mode).parquet(self.path_of(version))
+            return
+        bkeys, n = lay
+        # one file a bucket: without this each input task writes a file for each bucket
+        out = df if clustered else df.repartition(n, *bkeys)
+        (out.write.mode(mode).format("parquet").bucketBy(n, *bkeys).sortBy(*bkeys)
+         .option("path", self.path_of(version)).saveAsTable(self._table_name(version)))
+
     def publish(self, version: int) -> None:
         self._write_small(self._pointer(version), str(version))

@@ -62,6 +62,60 @@ def test_bucketed_snapshot_copy_needs_no_exchange(spark, tmp):
     assert (m["insert"], m["update"], m["drop"]) == (50, 50, 50)
 
 
+def test_merge_write_moves_no_row(spark, tmp):
+    """The plans that are written: no exchange on either bucketed side, with and without new identities;
+    same rows as the plain merge; at most two files a bucket however often the table is merged."""
+    from pyspark.sql import functions as F
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spec = M.spec("k", ["k", "v"], ["v"], surrogate_col="pk", surrogate_start=1000)
+    for ms in (SPEC, spec):
+        table = VersionedTable(spark, os.path.join(tmp, f"w{ms.surrogate_col}"), buckets=n)
+        plain = VersionedTable(spark, os.path.join(tmp, f"p{ms.surrogate_col}"))
+        plans, orig = [], table._write_part
+
+        def spy(df, *rest):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return orig(df, *rest)
+        table._write_part = spy
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            for month, (lo, hi) in enumerate([(0, 300), (100, 400), (50, 350), (0, 500)], 1):
+                snap = spark.range(lo, hi).select(F.col("id").alias("k"), F.concat(F.lit("v"), (F.col("id") % (month + 1)).cast("string")).alias("v"))
+                plans.clear()
+                got = M.merge_into_table(spark, table, snap, ms, f"2024-0{month}-26 04:00:00")
+                want = M.merge_into_table(spark, plain, snap, ms, f"2024-0{month}-26 04:00:00")
+                assert {k: v for k, v in got.items()} == {k: v for k, v in want.items()}
+                assert len(plans) == (1 if month == 1 else 2)
+                for plan in plans:                   # with identities only the issued ones move, to their keys
+                    moved = plan.count("Exchange hashpartitioning")
+                    assert moved == plan.count("ReusedExchange") + moved <= (1 if ms.surrogate_col else 0), plan
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        assert sorted(map(tuple, table.read().collect())) == sorted(map(tuple, plain.read().collect()))
+        files = [f for f in os.listdir(table.path_of(4)) if f.startswith("part-")]
+        assert len(files) <= 2 * n
+
+
+def test_identities_of_two_writers(spark, tmp):
+    """Claims: consecutive, never the same for two writers, no scan once a claim exists."""
+    from concurrent.futures import ThreadPoolExecutor
+    root = os.path.join(tmp, "ids")
+    os.makedirs(root)
+    writers = [VersionedTable(spark, root) for _ in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        got = sorted(pool.map(lambda i: (writers[i % 4].claim_ids(i + 1, 100), i + 1), range(12)))
+    ends = [100]
+    for first, count in got:
+        assert first == ends[-1]
+        ends.append(first + count)
+    def scanned():
+        raise AssertionError("the table was scanned")
+    assert writers[0].claim_ids(5, 100, scanned) == ends[-1] and writers[1].claim_ids(0, 100, scanned) == ends[-1] + 5
+    old = VersionedTable(spark, os.path.join(tmp, "old"))
+    os.makedirs(old.root)
+    assert old.claim_ids(3, 100, lambda: 250) == 251 and old.claim_ids(1, 100, scanned) == 254
+
+
 def test_snapshot_copy_released_after_publish(spark, tmp):
     """The merge's snapshot copy is deleted once the new version is published."""
     from snapflow import session
