@@ -7,7 +7,10 @@ to the driver for the error message; counts travel as single numbers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from dataclasses import dataclass
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
 class DataCheckError(RuntimeError):
@@ -21,15 +24,6 @@ def key_violations(df: DataFrame, key, count_col: str = "n_rows") -> DataFrame:
             .where(F.col(count_col) > 1))
 
 
-def null_key_count(df: DataFrame, key) -> int:
-    key = [key] if isinstance(key, str) else list(key)
-    cond = None
-    for k in key:
-        c = F.col(k).isNull()
-        cond = c if cond is None else (cond | c)
-    return df.where(cond).count()
-
-
 def guard_keys(df: DataFrame, key, name: str = "source", sample: int = 10,
                collation: str | None = None) -> None:
     """M8: a merge needs a unique, non-null key; raise naming up to ``sample`` offenders.
@@ -57,12 +51,6 @@ def guard_keys(df: DataFrame, key, name: str = "source", sample: int = 10,
         raise DataCheckError(f"{name}: duplicate key {key}: {shown}")
 
 
-def dedupe_on_key(df: DataFrame, key, order_by) -> DataFrame:
-    """M8 ``on_duplicate='first'``: keep the first row per key under an explicit order."""
-    from snapflow.operators.dedupe import top1_per_key
-    return top1_per_key(df, key, order_by)
-
-
 def reconcile(expected: int, loaded: int, what: str = "rows") -> int:
     """Expected − loaded must be 0."""
     diff = expected - loaded
@@ -79,6 +67,44 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+@dataclass(frozen=True)
+class Contents:
+    """A table as a multiset of rows: their number and two sums of row hashes, which no order of
+    rows, files or tasks changes.  A changed, missing, doubled or swapped value changes the sums."""
+    rows: int
+    digest: tuple[Decimal, Decimal]
+
+
+def contents_aggregates(columns: list[str]) -> list[Column]:
+    """Aggregates of ``Contents``; they merge across tasks, so a write can observe them."""
+    # a NULL leaves a hash as it is: the flag before each value tells (NULL, a) from (a, NULL)
+    row = [x for c in sorted(columns) for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *row).cast("decimal(38,0)")).alias(f"digest_{seed}") for seed in (1, 2)]
+    return [F.count(F.lit(1)).alias("rows"), *sums]
+
+
+def _contents(found) -> Contents:
+    return Contents(int(found["rows"]), tuple(Decimal(found[f"digest_{seed}"] or 0) for seed in (1, 2)))
+
+
+def contents(df: DataFrame) -> Contents:
+    return _contents(df.agg(*contents_aggregates(df.columns)).first().asDict())
+
+
+def observed_contents(df: DataFrame, name: str) -> tuple[DataFrame, "Observation"]:
+    """Rows and contents noted as they stream through a write, without a second scan."""
+    import uuid
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:12]}")
+    return df.observe(obs, *contents_aggregates(df.columns)), obs
+
+
+def reconcile_contents(expected: Contents, loaded: Contents, what: str = "rows") -> None:
+    """As many rows as expected, and the same ones."""
+    reconcile(expected.rows, loaded.rows, what)
+    if expected != loaded:
+        raise DataCheckError(f"{what}: {loaded.rows} rows as expected, but their contents differ")
+
+
 def require_empty(df: DataFrame, what: str) -> None:
     """R2: refuse to load into a target that already holds rows."""
     if not df.isEmpty():

@@ -32,8 +32,9 @@ def top1_per_key(df: DataFrame, key, order_by, keyless: str = "keep",
     should end in a unique tie-break (Q3); the remaining columns are appended so the choice is
     deterministic anyway.
 
-    Q5: rows whose key is NULL or in ``blank_keys`` are "no key".  ``keyless="keep"`` passes
-    them all through untouched; ``"collapse"`` treats them as one key (reference parity).
+    Q5: rows whose key is NULL or in ``blank_keys`` are "no key".  ``keyless="keep"`` keeps
+    them all: each is a group of its own, named by its place in the scan, so the input is read once
+    and keyless rows spread evenly; ``"collapse"`` treats them as one key (reference parity).
     """
     key = [key] if isinstance(key, str) else list(key)
     order = _order(order_by)
@@ -50,6 +51,6 @@ def top1_per_key(df: DataFrame, key, order_by, keyless: str = "keep",
         if types.get(k) == "string":     # only text can be blank or the text 'nan'
             ok = ok & ~F.trim(F.col(k)).isin(*blank_keys)
         has_key = ok if has_key is None else (has_key & ok)
-    keyed = df.where(has_key)
-    ranked = keyed.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    return ranked.unionByName(df.where(~has_key))
+    alone = df.withColumn("_alone", F.when(~has_key, F.monotonically_increasing_id()))
+    w = Window.partitionBy("_alone", *[F.when(has_key, F.col(k)) for k in key]).orderBy(*(order + tie))
+    return alone.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_alone")

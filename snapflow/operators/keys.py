@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-import operator
-
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
@@ -23,22 +20,28 @@ def person_key(parts, lower_first: int = 2) -> Column:
     return F.upper(F.md5(F.concat_ws("", *cols)))
 
 
-def count_over(df: DataFrame, parts: dict[str, Column], out: str) -> DataFrame:
+def count_over(df: DataFrame, parts: dict[str, Column], out: str, heavy_share: int = 1000) -> DataFrame:
     """``COUNT(*) OVER (PARTITION BY parts)`` without funnelling a hot group into one task.
 
-    A window would sort and buffer the whole group in one task; here the counts are a hash
-    aggregate (partial counts before the shuffle) joined back on the same expressions, so a
-    group holding a third of all rows is split by the map side and by AQE's skew-join split.
-    NULL parts form one group, as in the window (null-safe join).
+    A window would sort and buffer the whole group in one task.  Here the rows are written once to
+    the shared folder with a hash of their group (128 bits; NULL parts form one group, as in the
+    window), so the lineage before is computed once.  Groups are counted on that column alone
+    (partial counts before the shuffle).  Groups of more than ``1 / heavy_share`` of all rows, so
+    fewer than ``heavy_share``, get their count by a broadcast join and never move; the rest by a
+    join on the hash.
     """
-    names = list(parts)
-    keyed = df.withColumns({f"_pk_{n}": e for n, e in parts.items()})
-    counts = (keyed.groupBy([f"_pk_{n}" for n in names])
-              .agg(F.count(F.lit(1)).cast(T.IntegerType()).alias(out))
-              .select([F.col(f"_pk_{n}").alias(f"_ck_{n}") for n in names] + [out]))
-    cond = reduce(operator.and_, [F.col(f"_pk_{n}").eqNullSafe(F.col(f"_ck_{n}")) for n in names])
-    joined = keyed.join(counts, cond, "left")
-    return joined.drop(*[f"_pk_{n}" for n in names], *[f"_ck_{n}" for n in names])
+    from snapflow.session import materialize
+    named = [x for n, e in parts.items() for x in (e.isNull(), F.coalesce(e.cast(T.StringType()), F.lit("")))]
+    text = F.concat_ws("\x1f", *[F.concat(F.length(x.cast(T.StringType())).cast(T.StringType()), F.lit(":"), x.cast(T.StringType()))
+                                 for x in named])
+    rows = materialize(df.withColumn("_g", F.md5(text)), "counted")
+    counts = materialize(rows.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")), "group_counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    limit = total // heavy_share
+    heavy = F.broadcast(counts.where(F.col("_n") > limit).select("_g", "_n")) if limit else counts.where("false")
+    rest = rows.join(heavy.select("_g"), "_g", "left_anti").join(counts, "_g")
+    found = rest.unionByName(rows.join(heavy, "_g")) if limit else rows.join(counts, "_g")
+    return found.withColumn(out, F.col("_n").cast(T.IntegerType())).drop("_g", "_n")
 
 
 def count_over_window(df: DataFrame, parts: dict[str, Column], out: str) -> DataFrame:

@@ -278,11 +278,6 @@ def _outcome(j: DataFrame, source: DataFrame, ms: MergeSpec, as_of, with_action:
     return merged.select([F.col(f"`{c}`") for c in cols])
 
 
-def merge_counts(merged: DataFrame) -> DataFrame:
-    """Rows per per-run action (needs ``with_action=True``)."""
-    return merged.groupBy("merge_action").agg(F.count(F.lit(1)).alias("n"))
-
-
 def merge_summary(table: DataFrame, ms: MergeSpec) -> DataFrame:
     """M9: rows per status / sub-status of the merged table."""
     return (table.groupBy(ms.status_col, ms.substatus_col)

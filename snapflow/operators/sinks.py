@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapflow.operators.checks import counted
+from snapflow.operators.checks import Contents, _contents, contents, counted, observed_contents
 
 
 def rebuild_stage(df: DataFrame, path: str, max_records_per_file: int | None = None,
@@ -26,6 +26,13 @@ def rebuild_stage(df: DataFrame, path: str, max_records_per_file: int | None = N
     return obs.get["rows"]
 
 
+def rebuild_reconciled(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[Contents, Contents]:
+    """K3 with R1: replace the stage with ``df``; (contents noted while writing, contents read back)."""
+    noted, obs = observed_contents(df, "stage")
+    noted.write.mode("overwrite").format(fmt).save(path)
+    return _contents(obs.get), contents(df.sparkSession.read.format(fmt).load(path))
+
+
 def load_into_empty(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     """R2: load ``df`` into the stage at ``path`` only if that stage holds no rows yet; a stage
     that already has rows is refused (``DataCheckError``) instead of being appended to twice.

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapflow.operators import checks
+from snapflow.operators.sinks import rebuild_reconciled
 
 
 def select_incidents(df: DataFrame, assignment: str, references, as_of: str,
@@ -39,11 +40,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict,
 
 def run(spark: SparkSession, source: DataFrame, stage_path: str, assignment: str, references,
         as_of: str, **cols) -> dict:
-    """Filter, stamp, replace the stage (K3) and reconcile the loaded count."""
+    """Filter, stamp, replace the stage (K3) and reconcile what it holds, rows and contents."""
     out = select_incidents(source, assignment, references, as_of, **cols)
-    observed, obs = checks.counted(out, "incidents")
-    observed.write.mode("overwrite").parquet(stage_path)
-    expected = obs.get["rows"]
-    loaded = spark.read.parquet(stage_path).count()
-    checks.reconcile(expected, loaded, "incidents")
-    return {"expected": expected, "loaded": loaded}
+    expected, loaded = rebuild_reconciled(out, stage_path)
+    checks.reconcile_contents(expected, loaded, "incidents")
+    return {"expected": expected.rows, "loaded": loaded.rows}

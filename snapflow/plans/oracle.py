@@ -23,6 +23,8 @@ def _snap(start: str, end: str) -> str:
       ON c.c_custkey = a.o_custkey"""
 
 
+_TABLES = ("region nation supplier customer part orders lineitem events documents embeddings pages benchmark labels "
+           "conversations").split()
 SNAP1 = _snap("1997-01-01", "1998-01-01")
 SNAP2 = _snap("1997-07-01", "1998-07-01")
 T1 = "TIMESTAMP '1998-01-01 04:00:00'"
@@ -286,14 +288,8 @@ SQL.update({
         SELECT c_custkey, TIMESTAMP '2024-06-26 04:00:00' AS date_ingested,
                'segment=' || c_mktsegment AS FileName
         FROM customer""",
-    "empty_guard": """
-        SELECT 'region' AS table_name, count(*) AS loaded, true AS refused, count(*) AS staged FROM region
-        UNION ALL SELECT 'nation', count(*), true, count(*) FROM nation
-        UNION ALL SELECT 'supplier', count(*), true, count(*) FROM supplier
-        UNION ALL SELECT 'customer', count(*), true, count(*) FROM customer
-        UNION ALL SELECT 'part', count(*), true, count(*) FROM part
-        UNION ALL SELECT 'orders', count(*), true, count(*) FROM orders
-        UNION ALL SELECT 'lineitem', count(*), true, count(*) FROM lineitem""",
+    "empty_guard": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS loaded, true AS refused, count(*) AS staged FROM {t}" for t in _TABLES),
     "column_exclusion": """
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
                CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment
@@ -301,14 +297,22 @@ SQL.update({
     "incidents_load": """
         SELECT *, TIMESTAMP '2024-07-26 04:00:00' AS Date_Ingested
         FROM events WHERE event_type = 'error' AND user_id IN (8, 9)""",
-    "row_reconcile": """
-        SELECT 'region' AS table_name, count(*) AS expected, count(*) AS loaded, CAST(0 AS BIGINT) AS diff FROM region
-        UNION ALL SELECT 'nation', count(*), count(*), 0 FROM nation
-        UNION ALL SELECT 'supplier', count(*), count(*), 0 FROM supplier
-        UNION ALL SELECT 'customer', count(*), count(*), 0 FROM customer
-        UNION ALL SELECT 'part', count(*), count(*), 0 FROM part
-        UNION ALL SELECT 'orders', count(*), count(*), 0 FROM orders
-        UNION ALL SELECT 'lineitem', count(*), count(*), 0 FROM lineitem""",
+    "row_reconcile": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS expected, count(*) AS loaded, CAST(0 AS BIGINT) AS diff, true AS same_contents FROM {t}"
+        for t in _TABLES),
+    "coerced_feed": """
+        SELECT CAST(o_orderkey AS INTEGER) AS order_id, CAST(o_orderkey AS BIGINT) * 10000000000 AS wide_id,
+               CASE WHEN o_orderstatus = 'O' THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(38,2)) END AS open_price,
+               CAST(CAST(o_orderkey AS VARCHAR) || 'e-3' AS DOUBLE) AS share,
+               CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS day,
+               lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS padded,
+               CASE WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y-%m-%d') ELSE CAST(o_orderkey AS VARCHAR) END AS mixed,
+               o_orderstatus
+        FROM orders""",
+    "quoted_breaks_scan": """
+        SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text
+        FROM documents""",
 })
 
 

@@ -39,6 +39,8 @@ QUERIES = {
     "enforce_schema": tq.q_enforce_schema,
     "delimited_scan": sq.q_delimited_scan,
     "tab_scan": sq.q_tab_scan,
+    "quoted_breaks_scan": sq.q_quoted_breaks_scan,
+    "coerced_feed": sq.q_coerced_feed,
     "bad_line_quarantine": sq.q_bad_line_quarantine,
     "quarantine_count": sq.q_quarantine_count,
     "stage_rebuild": sq.q_stage_rebuild,

@@ -1,4 +1,4 @@
-"""Delimited text feeds.
+r"""Delimited text feeds.
 
 Feeds are read with an explicit all-string schema (no inference: inference loses leading
 zeros, Q6).  Header names are matched after trimming (P1), and order may differ from the
@@ -9,16 +9,17 @@ reference's pandas reader applied (R3).  Spark's CSV modes alone do not give tha
 field reads as NULL, Q8), so lines are read as text and split with every field kept; the field
 count is then exact.
 
-Quotes: a field that begins with ``"`` runs to its closing quote, separators included; ``""``
-inside is one quote.  A quote inside an unquoted field is an ordinary character.  A record is a
-line (files stay splittable), so a line that ends inside a quoted field is quarantined.
+Quotes: a field that begins with ``"`` runs to its closing quote, separators and line breaks
+included; ``""`` inside is one quote.  A quote inside an unquoted field is an ordinary character.
+Files stay splittable (``records``): a first pass finds the headers and whether any line ends inside
+quotes.  A line break inside quotes becomes ``\n``.  Where a file ends inside quotes, every line from
+the opening quote on is quarantined, none is loaded.
 
 Files are split by size across tasks; compressed archives are expanded first (``archive``).
 """
 
 from __future__ import annotations
 
-import csv
 from dataclasses import dataclass
 import re
 
@@ -26,11 +27,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from snapflow.functions.text import NAN_TEXT, strip_all
 from snapflow.schemas import check_columns
+from snapflow.sources.records import feed_records
 
 @dataclass
 class DelimitedRead:
     good: DataFrame        # rows that fit the layout (+ lineage columns)
-    quarantine: DataFrame  # lines with surplus fields: file name, field count, raw line
+    quarantine: DataFrame  # records with surplus fields or without an end: file name, field count, raw text
     # with ``observe=True``: ``lines`` / ``quarantined`` counted while ``good`` is consumed
     metrics: Observation | None = None
 
@@ -45,7 +47,7 @@ def _quoted_parts(line: Column, sep: str) -> Column:
     """Fields of a line with quotes, each with the separator before it.  A field that does not
     close leaves a gap: the parts then no longer add up to the line."""
     s = re.escape(sep)
-    field = rf'{s}("[^"]*+(?:""[^"]*+)*+"[^{s}]*+|[^{s}"][^{s}]*+|(?={s}|$))'
+    field = rf'{s}("[^"]*+(?:""[^"]*+)*+"[^{s}]*+|[^{s}"][^{s}]*+|(?={s}|\z))'
     return F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(field), F.lit(0))
 
 
@@ -69,33 +71,10 @@ def open_quote(line: Column, sep: str) -> Column:
         (F.array_join(_quoted_parts(line, sep), "") != F.concat(F.lit(sep), line))
 
 
-def _header_fields(line: str, sep: str) -> list[str]:
-    return [h.strip() for h in next(csv.reader([line], delimiter=sep), [])]
-
-
-def headers_of(spark: SparkSession, path: str, sep: str, columns) -> list[tuple[list[str], list[str]]]:
-    """``(header, files)`` of every header layout below ``path``, the layout of most files first.
-
-    Reads one line a file through the file system API.  A file whose first line names none of
-    ``columns`` has no header and follows the first layout."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-    found: dict[tuple, list[str]] = {}
-    for file in sorted(spark.read.text(path).inputFiles()):
-        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
-        stream = p.getFileSystem(conf).open(p)
-        codec = codecs.getCodec(p)
-        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
-            codec.createInputStream(stream) if codec else stream, "UTF-8"))
-        try:
-            first = lines.readLine()
-        finally:
-            lines.close()
-        header = _header_fields(first, sep) if first else []
-        if set(header) & set(columns):
-            found.setdefault(tuple(header), []).append(file)
-    return sorted(((list(h), f) for h, f in found.items()), key=lambda x: (-len(x[1]), x[0]))
+def _layouts(headers: DataFrame) -> list[list[str]]:
+    """Distinct headers, that of most files first; as many rows as there are layouts."""
+    found = headers.groupBy("header").agg(F.count(F.lit(1)).alias("n")).collect()
+    return [r["header"] for r in sorted(found, key=lambda r: (-r["n"], r["header"]))]
 
 
 def read_delimited(spark: SparkSession, path: str, columns, sep: str = "|",
@@ -107,8 +86,8 @@ def read_delimited(spark: SparkSession, path: str, columns, sep: str = "|",
     """Read ``path`` (file, folder or glob) as text with ``columns`` as the declared layout.
 
     Lines are split on ``sep`` (one character) with every field kept (also trailing empty ones),
-    so the field count is exact: more fields than the header -> quarantine, as is a line that ends
-    inside quotes; fewer -> missing fields NULL.
+    so the field count is exact: more fields than the header -> quarantine, as are the lines of a
+    quote that the file never closes; fewer -> missing fields NULL.
     Empty fields stay ``''`` (the reference keeps blanks and converts them in SQL) unless
     ``blank_as_null``.  Header lines (one per file) and blank lines are skipped.
 
@@ -125,40 +104,38 @@ def read_delimited(spark: SparkSession, path: str, columns, sep: str = "|",
     """
     if len(sep) != 1:
         raise ValueError(f"separator must be one character: {sep!r}")
-    layouts = [(list(header_names), [])] if header_names else headers_of(spark, path, sep, columns)
-    names = layouts[0][0] if layouts else []
-    for header, _ in layouts or [(names, [])]:
+    raw, headers = feed_records(spark, path, sep, columns)
+    layouts = [list(header_names)] if header_names else _layouts(headers)
+    names = layouts[0] if layouts else []
+    for header in layouts or [names]:
         check_columns(header, columns)
-    raw = spark.read.text(path)
     line = F.col("value")
     # a header line contains the first header name; only such lines pay for the
     # whitespace-insensitive comparison (``And`` short-circuits in generated code)
     is_header = F.lit(False)
-    for header, _ in layouts:
+    for header in layouts:
         norm = re.sub(r"\s", "", sep.join(header), flags=re.ASCII)     # Java \s is ASCII-only
         bare = F.replace(F.regexp_replace(line, r"\s", ""), F.lit(QUOTE), F.lit(""))
         is_header = is_header | ((F.contains(line, F.lit(header[0])) if header[0] else F.lit(True))
                                  & (bare == F.lit(norm)))
-    file = F.col("_metadata.file_path")
-    parsed = (raw.where((line != F.lit("")) & ~is_header)
-              .select(split_fields(line, sep).alias("_f"), line.alias("_line"),
-                      open_quote(line, sep).alias("_open"), F.input_file_name().alias("_path"),
-                      (F.lit(feed_name) if feed_name else
-                       F.col("_metadata.file_name") if file_from == "name" else
-                       F.element_at(F.split(file, "/"), -2)).alias("_file")))
-    surplus = F.size("_f") > F.lit(len(names))
-    ordered = F.col("_f")
-    # files with another header: their own field count, their fields in the order of ``names``
-    for header, files in layouts[1:]:
-        here = F.col("_path").isin(files)
-        surplus = F.when(here, F.size("_f") > F.lit(len(header))).otherwise(surplus)
-        ordered = F.when(here, F.array(*[F.get("_f", F.lit(header.index(c))) if c in header else
-                                         F.lit(None).cast("string") for c in names])).otherwise(ordered)
+    records = raw.where((line != F.lit("")) & ~is_header)
+    own = []
     if len(layouts) > 1:
-        parsed = parsed.select("_f", "_line", "_open", "_file", ordered.alias("_fields"),
-                               (surplus | F.col("_open")).alias("_bad"))
-    else:
-        parsed = parsed.withColumn("_fields", F.col("_f")).withColumn("_bad", surplus | F.col("_open"))
+        # each file's own header by join; files without one follow the first layout
+        records = records.join(headers, "path", "left")
+        own = ["header"]
+    parsed = records.select(
+        split_fields(line, sep).alias("_f"), line.alias("_line"), "lost", *own,
+        (F.lit(feed_name) if feed_name else
+         F.col("name") if file_from == "name" else
+         F.element_at(F.split("path", "/"), -2)).alias("_file"))
+    surplus = F.size("_f") > (F.coalesce(F.size("header"), F.lit(len(names))) if own else F.lit(len(names)))
+    ordered = F.col("_f")
+    if own:
+        # fields of another header, in the order of ``names``
+        ordered = F.when(F.col("header").isNull() | (F.col("header") == F.array(*map(F.lit, names))), ordered).otherwise(
+            F.transform(F.array(*map(F.lit, names)), lambda c: F.get("_f", F.array_position("header", c).cast("int") - 1)))
+    parsed = parsed.select("_f", "_line", "_file", ordered.alias("_fields"), (surplus | F.col("lost")).alias("_bad"))
     obs = None
     if observe:
         import uuid

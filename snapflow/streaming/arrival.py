@@ -26,7 +26,7 @@ from snapflow.operators.sinks import open_table
 from snapflow.sources.delimited import open_quote, split_fields
 
 
-BAD_LINE = "_bad_line"
+BAD_LINE, OPEN_QUOTE = "_bad_line", "_open_quote"
 
 
 def snapshot_stream(spark: SparkSession, folder: str, schema: T.StructType, sep: str = "|",
@@ -34,8 +34,10 @@ def snapshot_stream(spark: SparkSession, folder: str, schema: T.StructType, sep:
     """Rows of newly landed delimited files, with the file name, one file per micro-batch.
 
     Lines are split by the rule of ``read_delimited``.  ``schema`` is the header's layout; a header
-    with the same names in another order fails the batch.  A line with surplus fields, or one that
-    ends inside quotes, has itself in ``_bad_line``; ``merge_arrivals`` never merges it."""
+    with the same names in another order fails the batch.  A line with surplus fields has itself in
+    ``_bad_line``; ``merge_arrivals`` never merges it.  A line that ends inside quotes
+    (``_open_quote``) fails the batch, as the lines after it belong to its record: snapshots with line
+    breaks inside quotes come as announced folders, which ``read_delimited`` reads."""
     names = [f.name for f in schema.fields]
     lines = (spark.readStream.schema("value string").option("maxFilesPerTrigger", 1)
              .option("pathGlobFilter", pattern).option("latestFirst", "false").text(folder))
@@ -52,7 +54,8 @@ def snapshot_stream(spark: SparkSession, folder: str, schema: T.StructType, sep:
     bad = (F.size("_f") > len(names)) | F.col("_open")
     return rows.where(is_row).select(
         *[F.nullif(F.get("_f", F.lit(i)), F.lit("")).cast(f.dataType).alias(f.name)
-          for i, f in enumerate(schema.fields)], "FileName", F.when(bad, line).alias(BAD_LINE))
+          for i, f in enumerate(schema.fields)], "FileName", F.when(bad, line).alias(BAD_LINE),
+        F.col("_open").alias(OPEN_QUOTE))
 
 
 def merge_arrivals(spark: SparkSession, stream: DataFrame, table_root: str, ms: M.MergeSpec,
@@ -69,6 +72,10 @@ def merge_arrivals(spark: SparkSession, stream: DataFrame, table_root: str, ms:
         if batch.isEmpty():
             return
         if BAD_LINE in batch.columns:
+            if OPEN_QUOTE in batch.columns:
+                if not batch.where(OPEN_QUOTE).isEmpty():
+                    raise DataCheckError(f"batch {epoch}: a line ends inside quotes; announce the snapshot as a folder")
+                batch = batch.drop(OPEN_QUOTE)
             bad = batch.where(F.col(BAD_LINE).isNotNull()).select("FileName", F.col(BAD_LINE).alias("line"))
             if quarantine:
                 bad.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch={epoch}")

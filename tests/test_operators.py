@@ -90,6 +90,75 @@ def test_count_over_matches_window(spark):
     assert got == exp
 
 
+def _scans(df, spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_count_over_spares_the_hot_group(spark, tmp):
+    """A group of a third of all rows is counted exactly and joined by broadcast; the input is read once."""
+    from pyspark.sql import functions as F
+    spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 400).alias("k"), "id") \
+        .write.parquet(f"{tmp}/t")
+    df = spark.read.parquet(f"{tmp}/t")
+    out = keys.count_over(df, {"k": F.col("k")}, "c", heavy_share=10)
+    plan = _scans(out, spark)
+    assert f"{tmp}/t" not in plan                      # what is left reads the copy, not the input
+    assert "BroadcastHashJoin" in plan
+    got = {(r["id"], r["k"]): r["c"] for r in out.collect()}
+    want = {(r["id"], r["k"]): r["c"] for r in keys.count_over_window(df, {"k": F.col("k")}, "c").collect()}
+    assert got == want and max(got.values()) == 1000
+
+
+def test_top1_reads_its_input_once(spark, tmp):
+    spark.createDataFrame([(i % 7 or None, i) for i in range(50)], "k long, v long").write.parquet(f"{tmp}/t")
+    plan = _scans(dedupe.top1_per_key(spark.read.parquet(f"{tmp}/t"), "k", ["v"]), spark)
+    assert plan.count("FileScan") == 1 and "WindowGroupLimit" in plan
+    got = sorted((r["k"] is None, r["k"] or 0, r["v"]) for r in dedupe.top1_per_key(spark.read.parquet(f"{tmp}/t"), "k", ["v"]).collect())
+    assert got == [(False, i, i) for i in range(1, 7)] + [(True, 0, 7 * i) for i in range(8)]
+
+
+def test_contents_tell_swapped_values(spark, tmp):
+    """Counts agree, two rows swap a value, a NULL moves to the next column, a row is doubled for another."""
+    import pytest
+    from snapflow.operators import checks, sinks
+    rows = [(1, "a", None, [1.0]), (2, "b", "x", None), (2, "b", "x", None), (3, None, "c", [])]
+    schema = "i int, s string, t string, v array<double>"
+    noted, found = sinks.rebuild_reconciled(spark.createDataFrame(rows, schema).repartition(3), f"{tmp}/s")
+    assert noted == found and noted.rows == 4
+    checks.reconcile_contents(noted, found)
+    assert checks.contents(spark.createDataFrame(rows[::-1], schema)) == noted
+    for other in ([(1, "b", None, [1.0]), (2, "a", "x", None), *rows[2:]], [(1, None, "a", [1.0]), *rows[1:]],
+                  [rows[0], rows[1], rows[0], rows[3]], [*rows[:3], (3, None, "c", None)]):
+        spark.createDataFrame(other, schema).write.mode("overwrite").parquet(f"{tmp}/s")
+        with pytest.raises(checks.DataCheckError, match="contents differ"):
+            checks.reconcile_contents(noted, checks.contents(spark.read.parquet(f"{tmp}/s")))
+    empty = checks.contents(spark.createDataFrame([], schema))
+    assert empty.rows == 0 and empty == checks.contents(spark.createDataFrame([], schema))
+
+
+def test_type_lattice(spark):
+    """The least type that holds all values; a value that does not fit an earlier feed's types is an error."""
+    import pytest
+    from snapflow.operators import clean
+    cases = {"int": ["1", " -7 ", "+3", "", None], "bigint": ["1", "9999999999"], "decimal(38,2)": ["1", "2.5", "-3.25"],
+             "decimal(38,0)": ["1", "9" * 25], "double": ["1.5", "2e3", "7"], "date": ["2024-01-31", "1/2/2024", ""],
+             "string": ["01", "2"], "string ": ["2024-01-31", "5"], "string  ": ["x", "1"], "string   ": ["", None], "string    ": ["nan", "1"],
+             "string     ": ["2024-02-31"], "string      ": ["1d"], "string       ": ["0.5", "00.5"], "double ": ["1" * 30 + ".5", "0." + "1" * 20]}
+    for want, values in cases.items():
+        df = spark.createDataFrame([(v,) for v in values], "c string")
+        assert clean.inferred_types(df) == {"c": want.strip()}, values
+    df = spark.createDataFrame([(" 1", "2.50", "01", "2024-1-5", ""), ("", "1", "x", "", None)], "a string, b string, c string, d string, e string")
+    out = clean.coerced(df)
+    assert [t for _, t in out.dtypes] == ["int", "decimal(38,2)", "string", "date", "string"]
+    assert [tuple(str(x) for x in r) for r in out.collect()] == [("1", "2.50", "01", "2024-01-05", ""), ("None", "1.00", "x", "None", "None")]
+    with pytest.raises(Exception):
+        clean.coerced(spark.createDataFrame([("x",)], "a string"), types={"a": "int"}).collect()
+
+
 def test_top1_keyless(spark):
     df = spark.createDataFrame([("1", "0", "a"), ("1", "1", "b"), (None, "1", "c"),
                                 ("nan", "1", "d"), ("", "0", "e")], "k string, f string, id string")

@@ -103,3 +103,72 @@ def test_newest_archive_only(spark, tmp):
     assert not os.path.exists(os.path.join(tmp, "Feed_202401.txt"))
     assert archive.expand_newest(spark, tmp, "Feed_*.zip", "Feed_*.txt") is None
     assert files.latest_feed(spark, tmp, "Feed_*.txt")[1] == "Feed_202402.txt"
+
+
+def _as_pandas(text, sep, columns):
+    import io
+    import pandas as pd
+    return sorted(pd.read_csv(io.StringIO(text), sep=sep, dtype=str, keep_default_na=False, usecols=columns)[columns].itertuples(index=False, name=None))
+
+
+def test_line_breaks_inside_quotes_across_ranges(spark, tmp):
+    """Ranges of a few bytes: records, some of many lines, cross their borders; nothing is quarantined."""
+    import random
+    from snapflow.sources.delimited import read_delimited
+    rnd = random.Random(8)
+    fields = ["x", "", '"p|q"', '"a""b"', 'm"id', '""', '"t"ail', '"two\nlines"', '"\n"', '"a|\n""\n|b"tail', '"' + "long\n" * 40 + '"', "plain text"]
+    for name in ("f1.txt", "f2.txt"):
+        body = [r for r in ("|".join(rnd.choices(fields, k=3)) for _ in range(60)) if r.strip("|")]
+        _put(os.path.join(tmp, "feed"), name, "\n".join(["a|b|c", *body]) + "\n")
+    _put(os.path.join(tmp, "feed"), "g.txt", "c|a|b\nz|1|\n\"y\ny\"|2|w\n")
+    want = []
+    for name in ("f1.txt", "f2.txt"):
+        with open(os.path.join(tmp, "feed", name)) as fh:
+            want += _as_pandas(fh.read(), "|", ["a", "b", "c"])
+    want += [("1", "", "z"), ("2", "w", "y\ny")]
+    key = lambda r: tuple((x is not None, x) for x in r)
+    for size in ("256b", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+        try:
+            got = read_delimited(spark, os.path.join(tmp, "feed"), ["a", "b", "c"], file_col=None, strip=False)
+            assert sorted(map(tuple, got.good.collect()), key=key) == sorted(want, key=key)
+            assert got.quarantine.isEmpty()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_quote_without_end_loads_nothing_after_it(spark, tmp):
+    from snapflow.sources.delimited import read_delimited
+    _put(tmp, "f.txt", 'a|b\n1|x\n2|"in\nside"\n3|"never closed\n4|y\n' + "5|z\n" * 30)
+    _put(tmp, "g.txt", "a|b\n6|w\n")
+    for size in ("64b", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+        try:
+            r = read_delimited(spark, tmp, ["a", "b"], file_col=None)
+            assert sorted(map(tuple, r.good.collect())) == [("1", "x"), ("2", "in\nside"), ("6", "w")]
+            assert sorted(x["line"] for x in r.quarantine.collect()) == ['3|"never closed', "4|y", *["5|z"] * 30]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_record_limit_and_moved_ranges(spark, tmp):
+    import pytest
+    from snapflow.sources import records
+    _put(tmp, "f.txt", 'a|b\n1|"' + "x\n" * 500 + '"\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        lines = records.lines_of(spark, tmp)
+        summary = records.range_summary(lines, "|", ["a", "b"]).collect()
+        assert len(summary) > 5
+        with pytest.raises(Exception, match="more than 300 characters"):
+            records.joined_records(lines, spark.createDataFrame(summary), "|", 300).collect()
+        with pytest.raises(Exception, match="RangesMoved"):
+            records.joined_records(lines, spark.createDataFrame(summary[:3]), "|").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")

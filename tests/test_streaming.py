@@ -94,6 +94,18 @@ def test_long_line_is_never_cut(spark, tmp):
         q.awaitTermination(120)
 
 
+def test_open_quote_fails_the_batch(spark, tmp):
+    """The line after an open quote belongs to its record, so nothing of the file is loaded."""
+    import pytest
+    land = os.path.join(tmp, "land"); os.makedirs(land)
+    _land(land, "snap_1.txt", [("a", 1), ("b", '"2'), ('c"', 3)])
+    q = merge_arrivals(spark, snapshot_stream(spark, land, all_string(COLS), pattern="snap_*.txt"), os.path.join(tmp, "t"), SPEC,
+                       os.path.join(tmp, "ck"), as_of_fn=lambda e: "2024-01-26 04:00:00", quarantine=os.path.join(tmp, "bad"))
+    with pytest.raises(Exception, match="inside quotes"):
+        q.awaitTermination(120)
+    assert VersionedTable(spark, os.path.join(tmp, "t")).read() is None
+
+
 def test_header_in_another_order_fails(spark, tmp):
     import pytest
     land = os.path.join(tmp, "land"); os.makedirs(land)
