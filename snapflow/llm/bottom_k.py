@@ -97,26 +97,39 @@ def _range_of(key: Column, cuts: list[int]) -> Column:
                        narrowed, lambda a: a["lo"])
 
 
+def _place(key: Column, ties: Column, cuts: list[int]) -> Column:
+    """Range of a row: by key, and for a key that several cuts fall on (a hot one) by ``ties`` too."""
+    upto = _range_of(key, cuts)
+    hot = sorted({c for c in cuts if cuts.count(c) > 1})
+    if not hot:
+        return upto
+    before = F.when(key == F.lit(-2 ** 63), F.lit(0)).otherwise(_range_of(key - 1, cuts))
+    share = ties.cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)
+    return F.when(key.isin(hot), before + F.least(F.floor(share * (upto - before + 1)).cast("int"), upto - before)).otherwise(upto)
+
+
 def with_next(d: DataFrame, order: str, columns: list[str], ties: str,
               derived: dict[str, Column] | None = None) -> DataFrame:
     """Each row with ``next_<column>`` of the row that follows by ``order`` (long, not null), then
-    ``ties``; the last row is followed by the first.
+    ``ties`` (a hash, long); the last row is followed by the first.
 
-    Rows go to as many ranges of ``order`` as there are shuffle partitions, in one exchange.  The
-    rows that open a range also travel, marked, to the end of the range before it, so each range
-    is complete by itself.  The driver sees one cut and one first value a range.  ``derived``
+    Rows go to as many ranges of (``order``, ``ties``) as there are shuffle partitions, in one
+    exchange; a value of ``order`` that many rows share is spread over ranges by ``ties``.  The
+    least row of each range also travels, marked, to the end of the range before it, so each range
+    is complete by itself.  The driver sees one cut and one first place a range.  ``derived``
     columns are added once the travelling rows are chosen, so that they are not made twice.
     """
     spark = d.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = d.agg(F.percentile_approx(order, [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0]
-    rng = _range_of(F.col(order), sorted(set(cuts or [])))
-    ranged = d.withColumn("__rng", rng)
-    firsts = sorted((r[0], r[1]) for r in ranged.groupBy("__rng").agg(F.min(order)).collect())
-    opens = [(first, firsts[i - 1][0]) for i, (_, first) in enumerate(firsts)]
-    guests = spark.createDataFrame(opens, "__first long, __to int")
-    visiting = (d.join(F.broadcast(guests), F.col(order) == F.col("__first"))
-                .select(*d.columns, F.col("__to").alias("__rng"), F.lit(1).alias("__guest")))
+    ranged = d.withColumn("__rng", _place(F.col(order), F.col(ties), sorted(cuts or [])))
+    firsts = sorted((r[0], r[1][0], r[1][1]) for r in ranged.groupBy("__rng").agg(F.min(F.struct(order, ties))).collect())
+    opens = [(key, tie, firsts[i - 1][0]) for i, (_, key, tie) in enumerate(firsts)]
+    guests = spark.createDataFrame(opens, "__first long, __tie long, __to int")
+    # rows of equal key and text are alike: one of them goes
+    visiting = (d.join(F.broadcast(guests), (F.col(order) == F.col("__first")) & (F.col(ties) == F.col("__tie")))
+                .groupBy(F.col("__to").alias("__rng")).agg(*[F.first(c).alias(c) for c in d.columns])
+                .select(*d.columns, "__rng", F.lit(1).alias("__guest")))
     w = Window.partitionBy("__rng").orderBy("__guest", order, ties)
     return (ranged.withColumn("__guest", F.lit(0)).withColumns(derived or {})
             .unionByName(visiting.withColumns(derived or {}))

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from snapflow.session import ensure_checkpoint_dir, materialize, ship_package
+from snapflow.session import ensure_checkpoint_dir, materialize, release, ship_package
 
 __all__ = ["ASCII_SPACE", "DOC_ID", "let", "materialize", "narrow", "prepare", "read_table",
-           "slices", "without", "words_of"]
+           "release", "slices", "without", "words_of"]
 
 # fixed values: the six ASCII white space characters, 0x20 and 0x09-0x0D
 ASCII_SPACE = " \t\n\x0b\x0c\r"

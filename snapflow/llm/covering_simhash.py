@@ -35,7 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from snapflow.llm.common import DOC_ID, materialize, narrow, slices
+from snapflow.llm.common import DOC_ID, materialize, release, narrow, slices
 
 WORDS = 4
 DISTANCE = 4
@@ -305,26 +305,25 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps: each node's larger (smaller) neighbours are tied
     to its smallest one.  Minima are pre-aggregated before the shuffle; rounds grow with the
-    logarithm of the longest chain, and each round is a shared table.
+    logarithm of the longest chain; each round is a shared table, kept until the next one is written.
     """
-    def signature(e: DataFrame):
-        r = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum(F.col("v") % 1_000_003)).first()
-        return tuple(r)
-
     e = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "links")
-    before = signature(e)
-    while before[0]:
+    n, old = e.count(), None
+    while n:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        e = materialize(small, "links")
-        after = signature(e)
-        if after == before:
+        if old is not None:
+            release(old)
+        old, e, before = e, materialize(small, "links"), n
+        n = e.count()
+        # both are sets: equally many rows and none of the new ones unknown before
+        if n == before and not e.join(old, ["u", "v"], "left_anti").limit(1).count():
+            release(old)
             break
-        before = after
     return e
 
 

@@ -141,11 +141,3 @@ def hilbert_shards(docs: DataFrame, dims: list[Dimension], shards: int = 24, bit
             .select(DOC_ID, "size", "text_crc32", F.lit("rows").alias("law"), "shard",
                     (F.col("__rank") - first).cast("long").alias("slot"),
                     F.lit(None).cast("int").alias("grown_shard"), "curve_index"))
-
-
-def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = DOC_ID) -> None:
-    """Write the documents as one folder a shard, rows in slot order inside each file."""
-    at = placed.select(F.col(DOC_ID).alias("__id"), "shard", "slot")
-    (docs.join(at, docs[id_col].eqNullSafe(F.col("__id"))).drop("__id")
-     .repartition("shard", F.floor(F.col("slot") / 100_000)).sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").parquet(path))

@@ -2,7 +2,8 @@
 
 Concatenated host names are split into words by a unigram Viterbi search (most probable split under
 the word counts of all pages); a multinomial naive Bayes model scores host words and path words.
-The urls that a rule judges are its training set, with a prior list of words that advertise.
+The urls that a rule judges are its training set; a prior list of words that advertise weighs as much
+as it takes to outweigh what speaks for most ordinary urls of a held-out part.
 
 Word counts, token counts and weights are tables that grow with the pages and are joined, never
 collected.  Substrings of distinct host labels meet the word counts in a join; the search then runs
@@ -10,7 +11,7 @@ on the matches of one label at a time.
 
 Defined results
     null url, no ``://``   host and path are empty; no rule fits; the class prior decides
-    very long url          whole url; host words are looked up to ``max_word`` letters
+    very long url          whole url; words of any length count, see ``split_labels``
     ties                   of equally long rules the first wins; equal class scores allow
     repeated rows          each judged; equal urls are scored once
     no url with a rule     the prior list alone decides
@@ -60,11 +61,10 @@ def words_in(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
 
 
-def word_counts(pages: DataFrame, max_word: int = 20) -> DataFrame:
+def word_counts(pages: DataFrame) -> DataFrame:
     """``word, n`` over the visible text and the url paths of all pages."""
     text = F.concat_ws(" ", F.regexp_replace(F.coalesce("html", F.lit("")), r"<[^>]*>", " "), path_of(F.col("url")))
-    return (pages.select(F.explode(words_in(text)).alias("word")).filter(F.char_length("word") <= max_word)
-            .groupBy("word").agg(F.count("*").alias("n")))
+    return (pages.select(F.explode(words_in(text)).alias("word")).groupBy("word").agg(F.count("*").alias("n")))
 
 
 def best_split(label: str, edges: list, total: float) -> list[str]:
@@ -89,11 +89,17 @@ def best_split(label: str, edges: list, total: float) -> list[str]:
     return out[::-1]
 
 
-def split_labels(labels: DataFrame, counts: DataFrame, max_word: int = 20) -> DataFrame:
-    """``label, words`` of distinct host labels (letters only)."""
+def split_labels(labels: DataFrame, counts: DataFrame, short_word: int = 20) -> DataFrame:
+    """``label, words`` of distinct host labels (letters only).  Spans of up to ``short_word`` letters
+    meet the counts at every length, longer ones only at lengths that counted words have."""
     total = float(counts.agg(F.sum("n")).first()[0] or 0)
+    longest = labels.agg(F.max(F.char_length("label"))).first()[0] or 0
+    size = F.char_length("word")
+    # at most as many lengths as the longest label has letters
+    lengths = [r[0] for r in counts.filter((size > short_word) & (size <= longest)).select(size).distinct().orderBy(size).collect()]
+    lengths = [*range(1, min(short_word, longest) + 1), *lengths]
     spans = (labels.select("label", F.explode(F.sequence(F.lit(0), F.char_length("label") - 1)).alias("i"))
-             .select("label", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(max_word), F.char_length("label") - F.col("i")))).alias("len"))
+             .select("label", "i", F.explode(F.filter(F.lit(lengths or [1]), lambda x: x <= F.char_length("label") - F.col("i"))).alias("len"))
              .withColumn("word", F.substring("label", F.col("i") + 1, F.col("len"))))
     edges = (spans.join(counts, "word").groupBy("label")
              .agg(F.sort_array(F.collect_list(F.struct("i", "len", "n"))).alias("edges")))
@@ -105,43 +111,83 @@ def split_labels(labels: DataFrame, counts: DataFrame, max_word: int = 20) -> Da
     return labels.join(edges, "label", "left").select("label", viterbi("label", "edges").alias("words"))
 
 
-def url_tokens(urls: DataFrame, counts: DataFrame, max_word: int = 20) -> DataFrame:
+def url_tokens(urls: DataFrame, counts: DataFrame) -> DataFrame:
     """``url, token``: words of host labels (``h:``) and path words (``p:``; digits count as ``#``)."""
     pieces = urls.select("url", F.explode(words_in(F.col("host"))).alias("label"))
-    words = split_labels(pieces.select("label").distinct(), counts, max_word)
+    words = split_labels(pieces.select("label").distinct(), counts)
     host = pieces.join(words, "label").select("url", F.explode("words").alias("w")).select("url", F.concat(F.lit("h:"), "w").alias("token"))
     runs = F.filter(F.split(F.regexp_replace(F.lower("path"), r"\d+", "/#/"), r"[^\p{L}#]+"), lambda w: w != "")
     path = urls.select("url", F.explode(runs).alias("w")).select("url", F.concat(F.lit("p:"), "w").alias("token"))
     return host.unionByName(path)
 
 
-def token_weights(tokens: DataFrame, judged: DataFrame, seeds: tuple[str, ...] = ADVERTISING,
-                  alpha: float = 1.0, seed_count: int = 50) -> tuple[DataFrame, float]:
+def held_out(url: Column) -> Column:
+    """Fold of a url that is kept from learning to set the prior list's strength: one in five."""
+    return F.crc32(url.cast("binary")) % 5 == 0
+
+
+def token_weights(tokens: DataFrame, judged: DataFrame, alpha: float = 1.0) -> tuple[DataFrame, float]:
     """``token, weight``: log odds of block over allow, and the log odds of the classes.
     ``judged``: ``url, n, block`` with ``n`` rows a url."""
-    spark = tokens.sparkSession
-    prior = spark.createDataFrame([(f"h:{w}", 0, seed_count) for w in seeds], "token string, a long, b long")
-    seen = (tokens.join(judged, "url").groupBy("token")
-            .agg(F.sum(F.when(F.col("block"), 0).otherwise(F.col("n"))).alias("a"), F.sum(F.when(F.col("block"), F.col("n")).otherwise(0)).alias("b")))
-    both = seen.unionByName(prior).groupBy("token").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    allow, block = F.sum(F.when(F.col("block"), 0).otherwise(F.col("n"))), F.sum(F.when(F.col("block"), F.col("n")).otherwise(0))
+    both = tokens.join(judged, "url").groupBy("token").agg(allow.alias("a"), block.alias("b"))
     a, b, v = both.agg(F.sum("a"), F.sum("b"), F.count("*")).first()
-    na, nb = judged.agg(F.sum(F.when(F.col("block"), 0).otherwise(F.col("n"))), F.sum(F.when(F.col("block"), F.col("n")).otherwise(0))).first()
-    smooth = alpha * (v or 0)
+    na, nb = judged.agg(allow, block).first()
+    smooth = alpha * ((v or 0) + 1)
     weight = F.log((F.col("b") + alpha) / (float(b or 0) + smooth)) - F.log((F.col("a") + alpha) / (float(a or 0) + smooth))
     return both.select("token", weight.alias("weight")), math.log(((nb or 0) + alpha) / ((na or 0) + alpha))
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], seeds: tuple[str, ...] = ADVERTISING, max_word: int = 20) -> DataFrame:
+def evidence(tokens: DataFrame, urls: DataFrame, weights: DataFrame) -> DataFrame:
+    """``url, evidence``: sum of the weights of a url's tokens; a token that was never seen says nothing."""
+    return (tokens.join(urls.select("url"), "url").join(weights, "token")
+            .groupBy("url").agg(F.round(F.sum("weight"), 9).alias("evidence")))
+
+
+def seed_weight(tokens: DataFrame, judged: DataFrame, share: float = 0.9) -> float:
+    """Strength of a word of the prior list: it outweighs what speaks for all but ``1 - share`` of the
+    allowed urls that were held out from learning, at any number of urls.  None held out: log 100."""
+    weights, odds = token_weights(tokens, judged.filter(~held_out(F.col("url"))))
+    ordinary = judged.filter(held_out(F.col("url")) & ~F.col("block"))
+    score = F.round(F.lit(odds) + F.coalesce("evidence", F.lit(0.0)), 2)          # hundredths: a bounded histogram
+    found = (ordinary.join(evidence(tokens, ordinary, weights), "url", "left").groupBy(score.alias("s")).agg(F.sum("n").alias("n"))
+             .agg(F.percentile(-F.col("s"), share, F.col("n"))).first()[0])
+    return math.log(100.0) if found is None else max(0.0, found) + 0.01
+
+
+def learnt(tokens: DataFrame, judged: DataFrame, seeds: tuple[str, ...] = ADVERTISING) -> tuple[DataFrame, float]:
+    """``token, weight`` with the prior list, which no learnt weight weakens, and the log odds of the classes."""
+    weights, odds = token_weights(tokens, judged)
+    prior = tokens.sparkSession.createDataFrame([(f"h:{w}", seed_weight(tokens, judged)) for w in seeds], "token string, weight double")
+    return weights.unionByName(prior).groupBy("token").agg(F.max("weight").alias("weight")), odds
+
+
+def held_out_recall(tokens: DataFrame, judged: DataFrame) -> tuple[float, float]:
+    """(share of blocked, share of allowed) held-out urls that the learnt weights judge as their rule does."""
+    weights, odds = token_weights(tokens, judged.filter(~held_out(F.col("url"))))
+    rest = judged.filter(held_out(F.col("url")))
+    right = (F.lit(odds) + F.coalesce("evidence", F.lit(0.0)) > 0) == F.col("block")
+    rows = dict(rest.join(evidence(tokens, rest, weights), "url", "left").groupBy("block")
+                .agg(F.sum(F.when(right, F.col("n")).otherwise(0)) / F.sum("n")).collect())
+    return rows.get(True, 1.0), rows.get(False, 1.0)
+
+
+def prepared(pages: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(distinct urls with host, path and rule; their tokens; the urls that rules judge)."""
+    p = pages.select(pages["url"].alias("url"), pages["html"].alias("html"))
+    urls = p.groupBy("url").agg(F.count("*").alias("n")).select("url", "n", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    urls = urls.withColumn("r", matching_rule(F.col("host"), F.col("path"), rules)).filter("url is not null")
+    tokens = materialize(url_tokens(urls.select("url", "host", "path"), word_counts(p)), "url-tokens")
+    return urls, tokens, urls.filter("r is not null").select("url", "n", (F.col("r.verdict") == "block").alias("block"))
+
+
+def judge_urls(pages: DataFrame, rules: list[Rule], seeds: tuple[str, ...] = ADVERTISING) -> DataFrame:
     """``page_id, host, path, rule, verdict, score`` of every row; ``score`` (log odds of block) is
     null where a rule decides."""
     p = pages.select(pages["page_id"].alias("page_id"), pages["url"].alias("url"))
-    urls = p.groupBy("url").agg(F.count("*").alias("n")).select("url", "n", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    urls = urls.withColumn("r", matching_rule(F.col("host"), F.col("path"), rules)).filter("url is not null")
-    tokens = materialize(url_tokens(urls.select("url", "host", "path"), word_counts(pages.select(pages["url"].alias("url"), pages["html"].alias("html")), max_word), max_word), "url-tokens")
-    judged = urls.filter("r is not null").select("url", "n", (F.col("r.verdict") == "block").alias("block"))
-    weights, odds = token_weights(tokens, judged, seeds)
-    scores = (tokens.join(urls.filter("r is null").select("url"), "url").join(weights, "token")
-              .groupBy("url").agg(F.round(F.sum("weight"), 9).alias("evidence")))
+    urls, tokens, judged = prepared(pages, rules)
+    weights, odds = learnt(tokens, judged, seeds)
+    scores = evidence(tokens, urls.filter("r is null"), weights)
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     out = p.join(scores, "url", "left").select("page_id", host.alias("host"), path.alias("path"),
                                               matching_rule(host, path, rules).alias("r"), "evidence")

@@ -14,9 +14,9 @@ Defined results
     null or empty text      one empty line, never dropped (shorter than ``min_chars``)
     a key                   the line without ASCII white space at both ends, A-Z in lower case;
                             16-byte digests (XXH3-128) stand for keys
-    a document              a row; equal lines inside a row count once.  Rows that share an id are
-                            counted one by one, and lines of the largest id stay in all its rows
-    null id                 smaller than every other id
+    a document              the rows of one id (those without id: one document); lines of the largest
+                            id stay in all its rows, and each row is reported by itself
+    null id                 never the largest: such rows lose every line that is dropped anywhere
     very long text          whole text in its own task
     empty table             empty result
     extra columns           pass through ``drop_repeated_lines`` untouched, whatever their names
@@ -134,7 +134,7 @@ def twice_seen(d: DataFrame, min_chars: int, bits: int) -> bytes:
 
 
 def _suspects(min_chars: int, bits: int, shared):
-    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("line", pa.int32()), ("key", pa.binary()), ("first", pa.bool_())])
+    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("line", pa.int32()), ("key", pa.binary())])
 
     def run(batches):
         seen = np.frombuffer(shared.value, np.uint8)
@@ -154,14 +154,10 @@ def _suspects(min_chars: int, bits: int, shared):
                 continue
             row = np.array(row)[hit]
             digest = [xxhash.xxh3_128_digest(keys[i]) for i in hit]
-            met, first = set(), []
-            for r, k in zip(row.tolist(), digest):
-                first.append((r, k) not in met)
-                met.add((r, k))
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(take), batch.column("th").take(take),
-                 pa.array(np.array(line, np.int32)[hit]), pa.array(digest, pa.binary()), pa.array(first)], schema=schema)
+                 pa.array(np.array(line, np.int32)[hit]), pa.array(digest, pa.binary())], schema=schema)
     return run
 
 
@@ -174,8 +170,8 @@ def repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, max_
     bits = filter_bits(total or 0, max_bits)
     shared = d.sparkSession.sparkContext.broadcast(twice_seen(d, min_chars, bits))
     suspects = materialize(d.mapInArrow(_suspects(min_chars, bits, shared),
-                                        "doc_id long, th long, line int, key binary, first boolean"), "suspect-lines")
-    held = materialize(suspects.filter("first").groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
+                                        "doc_id long, th long, line int, key binary"), "suspect-lines")
+    held = materialize(suspects.select("key", "doc_id").distinct().groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
                        .filter(F.col("n") >= min_docs), "held-lines")
     # lines of a thousandth of all suspects or more: a thousand keys at most, sent to every task
     common = suspects.count() / 1000

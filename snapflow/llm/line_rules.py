@@ -21,12 +21,18 @@ from snapflow.llm.common import DOC_ID, let, narrow, without, words_of
 
 SYMBOLS = "#*$%&|<>"
 
-# fixed values: phrases of page furniture (compared in lower case)
+# fixed values: phrases of page furniture in the corpus's four languages (compared in lower case)
 BOILERPLATE = (
     "all rights reserved", "privacy policy", "terms of service", "terms of use", "cookie policy",
     "we use cookies", "accept cookies", "javascript is disabled", "enable javascript", "sign in",
     "log in", "subscribe to our newsletter", "click here", "read more", "share this",
     "licensed under", "copyright (c)", "lorem ipsum",
+    "alle rechte vorbehalten", "wir verwenden cookies", "cookies akzeptieren", "hier klicken", "mehr lesen",
+    "newsletter abonnieren", "allgemeine nutzungsbedingungen",
+    "tous droits réservés", "politique de confidentialité", "conditions d'utilisation", "nous utilisons des cookies",
+    "accepter les cookies", "cliquez ici", "lire la suite",
+    "todos los derechos reservados", "política de privacidad", "condiciones de uso", "utilizamos cookies",
+    "aceptar cookies", "haga clic aquí", "leer más", "iniciar sesión",
 )
 _IN_WORD = r"[\p{L}\p{M}\p{N}]"
 #: A phrase as whole words: no letter or digit goes on at an end that is a letter.
@@ -46,9 +52,8 @@ class LineRules:
     max_symbol_pct                      navigation: 100 * symbols / words of a line
     max_shout_pct                       boilerplate: 100 * words with ``!!`` / words of a line
     min_kept_pct                        word characters that must survive, of those of the document
-    whole_phrases, max_phrase_pct       boilerplate: phrases count as whole words only, and a line of
-                                        min_words or more fails only by 100 * words of phrases / words.
-                                        Off: any hit inside a word fails the line, as in ``sql.py``
+    max_phrase_pct                      boilerplate: phrases count as whole words only; any of them fails a
+                                        line of less than min_words, a longer one 100 * words of phrases / words
     """
 
     min_words: int = 20
@@ -58,7 +63,6 @@ class LineRules:
     max_symbol_pct: int = 30
     max_shout_pct: int = 30
     min_kept_pct: int = 50
-    whole_phrases: bool = False
     max_phrase_pct: int = 30
 
 
@@ -121,7 +125,7 @@ def line_passes(line: Column, words: Column, rules: LineRules) -> Column:
 
     punctuation   its last word ends in a closing mark, or it is long and another word ends a sentence
     navigation    few symbols a word (menus, tables and symbol noise have many)
-    boilerplate   no phrase of page furniture (see ``whole_phrases``), and few words that shout ``!!``
+    boilerplate   no phrase of page furniture, or few for the line's length, and few words that shout ``!!``
     """
     n = F.size(words)
 
@@ -138,8 +142,6 @@ def line_passes(line: Column, words: Column, rules: LineRules) -> Column:
         found = F.lit(False)
         for phrase in BOILERPLATE:
             found = found | F.contains(low, F.lit(phrase))
-        if not rules.whole_phrases:
-            return found
         phrase_words = F.aggregate(F.regexp_extract_all(low, F.lit(f"({WHOLE_PHRASE})"), F.lit(1)), F.lit(0),
                                    lambda a, hit: a + F.size(F.split(hit, " ")))
         return found & let(phrase_words, lambda k: (k > 0) & ((n < rules.min_words) | (100 * k > rules.max_phrase_pct * n)))
@@ -187,11 +189,24 @@ def judge(docs: DataFrame, rules: LineRules = LineRules(), id_col: str = DOC_ID,
 
 def keep_clean(docs: DataFrame, rules: LineRules = LineRules(), text_col: str = "text") -> DataFrame:
     """The documents that the rules keep, without their failing lines; other columns as they came."""
-    kept = docs.filter(judgement(docs[text_col], rules)["kept"])
-    return kept.select(*[(cleaned_text(docs[c], rules) if c == text_col else docs[c]).alias(c) for c in docs.columns])
+    return docs.withColumn("__kept", kept_text(docs[text_col], rules)).filter("__kept is not null").select(
+        *[(F.col("__kept") if c == text_col else docs[c]).alias(c) for c in docs.columns])
 
 
-def cleaned_text(text: Column, rules: LineRules = LineRules()) -> Column:
-    """The text without its failing lines; blank lines stay."""
-    left = F.filter(split_lines(text), lambda x: (F.size(x["words"]) == 0) | line_passes(x["line"], x["words"], rules))
-    return F.array_join(F.transform(left, lambda x: x["line"]), "\n")
+def kept_text(text: Column, rules: LineRules = LineRules()) -> Column:
+    """The text without its failing lines, blank lines stay; null: the document is rejected.  Every
+    line is split and judged once."""
+    def verdict(lines: Column) -> Column:
+        def decide(w: Column) -> Column:
+            n = F.size(w)
+
+            def cut(left: Column) -> Column:
+                kept_chars = F.aggregate(left, F.lit(0).cast("long"), lambda a, x: a + word_chars(x["words"]))
+                enough = 100 * kept_chars >= rules.min_kept_pct * word_chars(w)
+                return F.when(enough, F.array_join(F.transform(left, lambda x: x["line"]), "\n"))
+
+            failed = (n < rules.min_words) | (100 * repeated_words(w, rules.window) > rules.max_repeat_pct * n)
+            return F.when(~failed, let(F.filter(lines, lambda x: (F.size(x["words"]) == 0) | line_passes(x["line"], x["words"], rules)), cut))
+        return let(F.flatten(F.transform(lines, lambda x: x["words"])), decide)
+
+    return let(split_lines(text), verdict)

@@ -128,6 +128,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 20_000, decide_at
         sample = part if sample is None else sample.unionByName(part)
     d = narrow(docs, id_col, text_col)
     rows = d.join(F.broadcast(sample), d[DOC_ID] == F.col("__id")).select(DOC_ID, "text", F.col("__q").alias("q"))
+    # one text a labelled id, so that the bound holds whatever the table repeats
+    rows = rows.groupBy(DOC_ID, "q").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def featured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:

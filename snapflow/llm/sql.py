@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
+import re
+
 from snapflow.llm.line_rules import BOILERPLATE, SYMBOLS, TERMINAL, LineRules
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORD = r"[^\x20\x09-\x0D]+"
 
+# rows of one id are one document when documents are counted (rows without id: one); each row is judged by itself
 LINE_DEDUP = f"""
 WITH parts AS (
-  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+  SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 lines AS (
-  SELECT doc_id, i, ls[i] AS line, translate(trim(ls[i], {_SPACES}), '{_UPPER}', '{_LOWER}') AS key
-  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM parts)),
+  SELECT row, doc_id, i, ls[i] AS line, translate(trim(ls[i], {_SPACES}), '{_UPPER}', '{_LOWER}') AS key
+  FROM (SELECT row, doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM parts)),
 held AS (
   SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40
-  GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+  GROUP BY key HAVING count(DISTINCT coalesce(doc_id::VARCHAR, 'none')) >= 5),
 judged AS (
-  SELECT l.doc_id, l.i, l.line, (h.key IS NOT NULL AND l.doc_id <> h.keeper) AS gone
+  SELECT l.row, l.doc_id, l.i, l.line, (h.key IS NOT NULL AND l.doc_id IS DISTINCT FROM h.keeper) AS gone
   FROM lines l LEFT JOIN held h ON l.key = h.key)
-SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM judged GROUP BY doc_id"""
+FROM judged GROUP BY row"""
 
 
 def _quoted(text: str) -> str:
@@ -30,7 +33,15 @@ def _quoted(text: str) -> str:
 
 
 def line_rules_sql(r: LineRules = LineRules()) -> str:
-    furniture = " OR ".join(f"contains(lower(line), {_quoted(p)})" for p in BOILERPLATE)
+    # characters outside words are doubled, so that two phrases do not share the one between them
+    mark, ends = r"[^\p{L}\p{M}\p{N}]", []
+    for p in BOILERPLATE:
+        doubled = "".join(re.escape(c) if c.isalnum() else re.escape(c) * 2 for c in p)
+        ends.append(f"(?:^|{mark}){doubled}" + (f"(?:$|{mark})" if p[-1].isalnum() else ""))
+    phrases = _quoted("|".join(ends))
+    hits = f"regexp_extract_all(regexp_replace(lower(line), '({mark})', '\\1\\1', 'g'), {phrases})"
+    furniture = f"""(coalesce(list_sum([len(regexp_extract_all(x, '[^ ]+')) FOR x IN {hits}]), 0) > 0
+      AND (len(lw) < {r.min_words} OR 100 * coalesce(list_sum([len(regexp_extract_all(x, '[^ ]+')) FOR x IN {hits}]), 0) > {r.max_phrase_pct} * len(lw)))"""
     return f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -53,7 +64,7 @@ judged AS (
       OR (len(lw) >= {r.min_open_words} AND len([x for x in lw if contains('.!?…', right(x, 1))]) > 0))
     AND 100 * (length(line) - length(regexp_replace(line, '[{SYMBOLS}]', '', 'g'))) <= {r.max_symbol_pct} * len(lw)
     AND 100 * len([x for x in lw if contains(x, '!!')]) <= {r.max_shout_pct} * len(lw)
-    AND NOT ({furniture}) AS passes
+    AND NOT {furniture} AS passes
   FROM lines WHERE len(lw) > 0),
 per AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS dup, coalesce(sum(chars) FILTER (WHERE passes), 0) AS kept_chars

@@ -12,7 +12,8 @@ Characters outside the vocabulary become their bytes' pieces.
 Defined results
     null or empty text   no ids
     blanks               U+2581 counts as a blank, as in the model
-    very long text       whole text; the index holds ``index_chars`` characters at a time
+    very long text       whole text; the index holds ``index_chars`` characters at a time, and a run
+                         without blank that is longer is indexed in windows that overlap by a piece
     ties                 merges of equal score: the leftmost first
     repeated rows        each encoded
     empty table          empty result
@@ -119,6 +120,10 @@ class Model:
         known = self.agrees[a << 24 | b] = self.merged(list(x + y)) == [x, y]
         return known
 
+    def joined(self, a: int, b: int) -> bool:
+        known = self.agrees.get(a << 24 | b)
+        return self.agree(a, b) if known is None else known
+
     def fallback(self, char: str) -> list[int]:
         return [self.bytes_id[b] for b in char.encode("utf-8", "replace")]
 
@@ -152,6 +157,34 @@ def suffix_edges(model: Model, text: str) -> tuple[np.ndarray, np.ndarray, np.nd
     return end[by], length[by], piece[by]
 
 
+def encode_long(model: Model, segment: str, index_chars: int) -> bytes:
+    """Ids of one long segment.  Windows of ``index_chars`` characters, each with the longest piece's
+    length before it, are indexed and settled from left to right; only the piece that ends at each
+    place is kept, in four bytes."""
+    from array import array
+    n = len(segment)
+    last = array("i", [-1]) * (n + 1)
+    for begin in range(0, n, index_chars):
+        low, high = max(0, begin - model.longest), min(n, begin + index_chars)
+        end, length, piece = suffix_edges(model, segment[low:high])
+        first = np.searchsorted(end, np.arange(high - low + 2)).tolist()
+        length, piece = length.tolist(), piece.tolist()
+        for at in range(begin + 1, high + 1):
+            for e in range(first[at - low], first[at - low + 1]):
+                start = at - length[e]
+                if start == 0 or model.joined(last[start], piece[e]):
+                    last[at] = piece[e]
+                    break
+            else:
+                last[at] = model.symbol(segment[at - 1])
+    out, at = bytearray(), n
+    while at:                                 # backwards, four bytes an id
+        b = last[at]
+        out += model.data_of[b][::-1]
+        at -= model.length_of[b]
+    return np.frombuffer(bytes(out), ">u4")[::-1].astype("<u4").tobytes()
+
+
 def encode_segments(model: Model, segments: list[str]) -> list[bytes]:
     """Little-endian 32-bit ids of each segment (blanks already as U+2581)."""
     gap = "\x00"
@@ -259,6 +292,10 @@ class Encoder:
                     buffer += known + close
                     continue
             todo.setdefault(key, []).append((buffer, close))
+        for key in [k for k in todo if len(k) > self.index_chars]:
+            data = encode_long(self.model, self._segment(key), self.index_chars)
+            for buffer, close in todo.pop(key):
+                buffer += data + close
         keys, at = list(todo), 0
         while at < len(keys):
             part, chars = [], 0

@@ -1,8 +1,9 @@
 """Packed token-id matrices: best-fit decreasing with a segment tree over the bins' rooms.
 
 Each task tokenizes its documents and packs them window by window (``window_tokens`` ids in memory).
-Nearly full bins leave as matrix rows; the others are opened again and packed with the next window,
-so only the last window of a task leaves bins with room.  Nothing is shuffled.
+Nearly full bins leave as matrix rows; the others, up to half a window of ids, emptiest first, are
+opened again and packed with the next window.  So a task never holds more than a window and one
+document, and each pass is paid for by half a window of new ids.  Nothing is shuffled.
 
 A row is a sequence of exactly ``capacity`` ids (padded), with the cumulative segment lengths that
 variable-length attention takes and the places where position ids start again at 0.
@@ -98,12 +99,14 @@ def _rows(vocabulary, capacity: int, window_tokens: int, full: int, width: str):
         def emit(last: bool):
             nonlocal held, tokens, number
             bins = best_fit_decreasing([len(x[2]) // 4 for x in held], capacity)
-            rows, rest = [], []
-            for b in bins:
+            bins = sorted((sum(len(held[i][2]) for i in b) // 4, k, b) for k, b in enumerate(bins))
+            rows, rest, left = [], [], 0
+            for n, _, b in bins:
                 parts = [held[i] for i in b]
-                n = sum(len(x[2]) for x in parts) // 4
-                if n < full and not last:
+                # opened again: the emptiest bins, up to half a window, so that every pass makes room
+                if n < full and not last and left + n <= window_tokens // 2:
                     rest += parts
+                    left += n
                     continue
                 ends = np.cumsum([len(x[2]) // 4 for x in parts]).tolist()
                 ids = np.frombuffer(b"".join([x[2] for x in parts]), "<u4").astype(width)
@@ -141,14 +144,3 @@ def packed_matrix(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | N
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
     d = narrow(docs, id_col, text_col).withColumn(DOC_ID, F.col(DOC_ID).cast("long"))
     return d.mapInArrow(_rows(shared, capacity, window_tokens, int(full_share * capacity), width), _ROWS)
-
-
-def position_ids(cu_seqlens: list[int], capacity: int = CAPACITY) -> np.ndarray:
-    """Position ids of a row: each segment counts from 0, and so does the padding."""
-    cuts = [*cu_seqlens, capacity]
-    return np.concatenate([np.arange(b - a) for a, b in zip(cuts, cuts[1:])]).astype("<i4")
-
-
-def write_matrix(rows: DataFrame, path: str) -> None:
-    """Rows as binary-column Parquet files, one sequence a row."""
-    rows.write.parquet(path)
