@@ -72,14 +72,22 @@ def text_n(x, n: int) -> Column:
     return F.left(_c(x).cast(T.StringType()), F.lit(n))
 
 
+def _strict(c: Column, dtype) -> Column:
+    """A cast that raises on text that does not fit, whether or not the session casts by ANSI."""
+    text = c.cast(T.StringType())
+    name = dtype.simpleString() if isinstance(dtype, T.DataType) else dtype
+    bad = F.raise_error(F.concat(F.lit(f"CAST_INVALID_INPUT: no {name}: "), text)).cast(dtype)
+    return F.when(c.isNotNull(), F.coalesce(c.try_cast(dtype), bad))
+
+
 def _integral(c: Column, dtype: str) -> Column:
     """Whole numbers as text, with or without a fraction of zeros or an exponent (``123.0``,
     ``1.23E8``: the text of a float column).  Other fractions and other text raise."""
     text = c.cast(T.StringType())
-    exact = text.cast(T.DecimalType(38, 6))
+    exact = _strict(text, T.DecimalType(38, 6))
     whole = F.when(exact != F.floor(exact), F.raise_error(
-        F.concat(F.lit("not a whole number: "), text)).cast(dtype)).otherwise(exact.cast(dtype))
-    return F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), text.cast(dtype)).otherwise(whole)
+        F.concat(F.lit("not a whole number: "), text)).cast(dtype)).otherwise(_strict(exact, dtype))
+    return F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), _strict(text, dtype)).otherwise(whole)
 
 
 def strict_int(x, dtype: str = "int") -> Column:
@@ -101,7 +109,7 @@ def decimal_text(x, precision: int, scale: int, strict: bool = False) -> Column:
     """``CONVERT(DECIMAL(p,s), x)``: half-up rounding; overflow raises (strict) or is NULL."""
     c = _blank_null(_c(x))
     t = T.DecimalType(precision, scale)
-    return c.cast(t) if strict else _digit_guarded(c, t)
+    return _strict(c, t) if strict else _digit_guarded(c, t)
 
 
 def float_text(x, width: int = 10) -> Column:

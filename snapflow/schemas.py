@@ -28,7 +28,8 @@ def check_columns(actual, expected, allow_missing: bool = False) -> None:
 
 
 _TYPES = {"date": T.DateType(), "boolean": T.BooleanType(), "int": T.IntegerType(),
-          "bigint": T.LongType(), "timestamp_ntz": T.TimestampNTZType()}
+          "bigint": T.LongType(), "timestamp_ntz": T.TimestampNTZType(), "smallint": T.ShortType(),
+          "double": T.DoubleType(), "string": T.StringType()}
 
 
 def _type(kind: str) -> T.DataType:
@@ -50,18 +51,19 @@ def layout(text: str) -> T.StructType:
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType, allow_missing: bool = False,
-                   check_not_null: bool = True) -> DataFrame:
+                   check_not_null: bool = True, fitted=()) -> DataFrame:
     """K4: select by name in declared order, cast to declared types, fill allowed-missing
     columns with typed NULLs, and fail the job (``raise_error``) on NULL in a NOT NULL column or
     on a text wider than its column (blanks at the end do not count and are cut).  The tests are
-    expressions in the same projection, so they cost no extra pass."""
+    expressions in the same projection, so they cost no extra pass.  ``fitted``: columns whose text
+    the caller has cut to the width already, which need no test."""
     check_columns(df.columns, schema.fieldNames(), allow_missing)
     present = set(df.columns)
     cols = []
     for f in schema.fields:
         c = F.col(f"`{f.name}`").cast(f.dataType) if f.name in present \
             else F.lit(None).cast(f.dataType)
-        if "max_chars" in f.metadata:
+        if "max_chars" in f.metadata and f.name not in fitted:
             n = f.metadata["max_chars"]
             wide = F.raise_error(F.lit(f"text wider than {n} in column {f.name}")).cast("string")
             c = F.when(F.char_length(F.rtrim(c)) > n, wide).otherwise(F.left(c, F.lit(n)))

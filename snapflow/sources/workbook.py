@@ -1,7 +1,7 @@
 """Workbook feeds (S4, P10): sheet 0 of each ``.xlsx`` file, row 0 as header.
 
 Workbooks are not splittable, so the unit of parallelism is the file: ``binaryFile`` makes one
-row per workbook and ``mapInPandas`` parses each with the standard library (``zipfile`` +
+row per workbook and ``mapInArrow`` parses each, giving rows away as it reads, with the standard library (``zipfile`` +
 ``ElementTree``: shared strings, inline strings, numbers, booleans and date-formatted cells).
 Date cells are emitted as ISO dates using the workbook's own date system (1900 or 1904 mode,
 time of day dropped, P10).  Every value is text, so the result is a staging table; the header
@@ -10,12 +10,13 @@ decides which output column a cell feeds (P9), an unknown header is an error.
 
 from __future__ import annotations
 
+from array import array
 import datetime as _dt
-import io
 import re
 import zipfile
 import xml.etree.ElementTree as ET
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
@@ -27,7 +28,7 @@ _EPOCH_1900 = _dt.date(1899, 12, 30)
 _EPOCH_1904 = _dt.date(1904, 1, 1)
 
 
-_ROW, _CELL, _VAL, _INLINE, _T = (f"{{{_NS['m']}}}{t}" for t in ("row", "c", "v", "is", "t"))
+_ROW, _CELL, _VAL, _INLINE, _T, _ITEM, _DATA = (f"{{{_NS['m']}}}{t}" for t in ("row", "c", "v", "is", "t", "si", "sheetData"))
 _WHOLE = re.compile(r"-?\d+\.0")
 _COLS: dict[str, int] = {}
 
@@ -47,9 +48,30 @@ def _text(el) -> str:
     return "".join(t.text or "" for t in el.iter(_T))
 
 
-def parse_workbook(content: bytes):
+class SharedStrings:
+    """The table of a workbook's texts as one buffer and its offsets: no object a text, and the XML
+    tree is dropped as it is read."""
+
+    def __init__(self):
+        self.data, self.ends = bytearray(), array("Q")
+
+    def read(self, stream) -> None:
+        root = None
+        for event, el in ET.iterparse(stream, events=("start", "end")):
+            if root is None:
+                root = el
+            if event == "end" and el.tag == _ITEM:
+                self.data += _text(el).encode("utf-8", "surrogatepass")
+                self.ends.append(len(self.data))
+                root.clear()
+
+    def text(self, i: int) -> str:
+        return self.data[self.ends[i - 1] if i else 0:self.ends[i]].decode("utf-8", "surrogatepass")
+
+
+def parse_workbook(content):
     """Yield rows (lists of text or None) of sheet 0; date cells as ISO dates."""
-    with zipfile.ZipFile(io.BytesIO(content)) as zf:
+    with zipfile.ZipFile(pa.BufferReader(content)) as zf:
         names = set(zf.namelist())
         wb = ET.fromstring(zf.read("xl/workbook.xml"))
         pr = wb.find("m:workbookPr", _NS)
@@ -63,10 +85,10 @@ def parse_workbook(content: bytes):
                 if rel.get("Id") == rid:
                     tgt = rel.get("Target").lstrip("/")
                     sheet_path = tgt if tgt.startswith("xl/") else "xl/" + tgt
-        shared = []
+        shared = SharedStrings()
         if "xl/sharedStrings.xml" in names:
-            sst = ET.fromstring(zf.read("xl/sharedStrings.xml"))
-            shared = [_text(si) for si in sst.findall("m:si", _NS)]
+            with zf.open("xl/sharedStrings.xml") as fh:
+                shared.read(fh)
         date_styles = set()
         if "xl/styles.xml" in names:
             st = ET.fromstring(zf.read("xl/styles.xml"))
@@ -82,7 +104,11 @@ def parse_workbook(content: bytes):
         # stream the sheet: each row element is cleared once read, so memory stays bounded by
         # one row however large the sheet is
         with zf.open(sheet_path) as fh:
-            for _, row in ET.iterparse(fh, events=("end",)):
+            sheet = None
+            for event, row in ET.iterparse(fh, events=("start", "end")):
+                if event == "start":
+                    sheet = row if row.tag == _DATA else sheet
+                    continue
                 if row.tag != _ROW:
                     continue
                 vals = {}
@@ -101,7 +127,7 @@ def parse_workbook(content: bytes):
                             inline = _text(ch)
                     t = c.get("t", "n")
                     if t == "s":
-                        val = shared[int(v)] if v is not None else None
+                        val = shared.text(int(v)) if v is not None else None
                     elif t == "inlineStr":
                         val = inline
                     elif t == "b":
@@ -116,19 +142,26 @@ def parse_workbook(content: bytes):
                             val = val[:-2]
                     vals[idx] = val
                 row.clear()
+                if sheet is not None:
+                    sheet.clear()                # the emptied row elements too
                 width = max(vals) + 1 if vals else 0
                 yield [vals.get(i) for i in range(width)]
 
 
-def _parser(columns):
-    import pandas as pd
+def _parser(columns, rows: int = 5000):
+    names = ["path", "row_no", *columns]
+    types = [pa.string(), pa.int64(), *[pa.string()] * len(columns)]
+
+    def batch_of(out):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
     def run(batches):
-        for pdf in batches:
-            out = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                rows = parse_workbook(content)
-                header = next(rows, None)
+        """At most ``rows`` rows are held, however many workbooks a batch has and however long they are."""
+        for batch in batches:
+            for i in range(batch.num_rows):
+                path = batch.column("path")[i].as_py()
+                parsed = parse_workbook(batch.column("content")[i].as_buffer())
+                header = next(parsed, None)
                 if header is None:
                     continue
                 header = [(h or "").strip() for h in header]
@@ -136,12 +169,15 @@ def _parser(columns):
                 if unknown:
                     raise ValueError(f"{path}: unknown columns {unknown}")
                 pos = {h: i for i, h in enumerate(header) if h}
-                for n, r in enumerate(rows, start=1):
-                    if not any(x not in (None, "") for x in r):
-                        continue
-                    out.append([path, n] + [r[pos[c]] if c in pos and pos[c] < len(r) else None
-                                            for c in columns])
-            yield pd.DataFrame(out, columns=["path", "row_no"] + list(columns))
+                out = []
+                for n, r in enumerate(parsed, start=1):
+                    if any(x not in (None, "") for x in r):
+                        out.append([path, n] + [r[pos[c]] if c in pos and pos[c] < len(r) else None for c in columns])
+                    if len(out) == rows:
+                        yield batch_of(out)
+                        out = []
+                if out:
+                    yield batch_of(out)
     return run
 
 
@@ -153,7 +189,7 @@ def read_workbooks(spark: SparkSession, path: str, columns, as_of: str | None =
                            T.StructField("row_no", T.LongType())]
                           + [T.StructField(c, T.StringType()) for c in columns])
     books = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
-    rows = books.select("path", "content").mapInPandas(_parser(list(columns)), schema)
+    rows = books.select("path", "content").mapInArrow(_parser(list(columns)), schema)
     if strip:
         from snapflow.operators.clean import strip_values
         rows = strip_values(rows, columns)

@@ -140,3 +140,21 @@ def test_whole_numbers_of_float_text(spark):
 def test_dates_without_padding_and_with_time(spark):
     got = _one(spark, C.parse_date, ["1/5/1950", "1950-1-5", "1950-01-05 00:00:00", "1/5/1950 12:30:00"])
     assert [str(d) for d in got] == ["1950-01-05"] * 4
+
+
+def test_strict_casts_raise_without_ansi(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from snapflow.functions import casts
+    good = spark.createDataFrame([(" 12 ", "7.0", "1.25"), ("", None, " ")], "a string, b string, c string")
+    bad = spark.createDataFrame([("x", "7.5", "1.2.3")], "a string, b string, c string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        row = good.select(casts.strict_int("a"), casts.int_text("b"), casts.decimal_text("c", 5, 2, strict=True)).collect()
+        assert [tuple(str(x) for x in r) for r in row] == [("12", "7", "1.25"), ("None", "None", "None")]
+        for c in (casts.strict_int("a"), casts.int_text("b"), casts.strict_int(F.lit("99999999999")), casts.decimal_text("c", 5, 2, strict=True),
+                  casts.decimal_text(F.lit("12345.6"), 5, 2, strict=True)):
+            with pytest.raises(Exception):
+                bad.select(c).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")

@@ -126,3 +126,14 @@ def test_quarantine_counted_in_stage_pass(spark, tmp):
         fh.write(_line(_member("X9")) + "|surplus\n")
     m = ME.run(spark, cfg, "2019-10-26 04:00:00")
     assert m["staged"] == 2 and m["quarantined"] == 1 and m["insert"] == 2
+
+
+def test_target_layout(spark):
+    """K4: every rule's type and width fits the target's 127 columns."""
+    from snapflow.operators import merge as M
+    assert len(ME.TARGET.fields) == 127 and {f.name for f in ME.TARGET.fields} == set(ME.spec().target_cols())
+    wide = {f.name for f in ME.TARGET.fields if "max_chars" in f.metadata and f.name in ME.TYPED_COLUMNS}
+    assert wide == ME.fitted_columns()
+    stage = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*ME.FEED_COLUMNS, "Date_Ingested", "FileName"]))
+    merged = M.empty_target(spark, ME.spec(), ME.target_source(stage).schema)
+    assert ME.target_table(merged).columns == ME.TARGET.fieldNames()

@@ -172,3 +172,22 @@ def test_record_limit_and_moved_ranges(spark, tmp):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_workbook_rows_leave_in_batches(spark, tmp):
+    """A batch of many workbooks: the largest list of rows held is one output batch; shared strings by number."""
+    import pyarrow as pa
+    from snapflow.plans.source_queries import _xlsx_bytes
+    from snapflow.sources import workbook
+    books = [_xlsx_bytes(["a", "b"], [[i, f"t{k}-{i}"] for i in range(230)], False) for k in range(6)]
+    batch = pa.RecordBatch.from_arrays([pa.array([f"b{k}.xlsx" for k in range(6)]), pa.array(books, pa.binary())], names=["path", "content"])
+    out = list(workbook._parser(["a", "b"], rows=100)([batch]))
+    assert max(b.num_rows for b in out) == 100 and sum(b.num_rows for b in out) == 6 * 230
+    assert sorted(x for b in out for x in b.column("b").to_pylist()) == sorted(f"t{k}-{i}" for k in range(6) for i in range(230))
+    import io
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    texts = ["", "x", "é€", "two parts", "last"]
+    xml = f'<sst {ns}>' + "".join(f"<si><t>{t}</t></si>" if t != "two parts" else "<si><r><t>two </t></r><r><t>parts</t></r></si>" for t in texts) + "</sst>"
+    shared = workbook.SharedStrings()
+    shared.read(io.BytesIO(xml.encode()))
+    assert [shared.text(i) for i in range(5)] == texts
