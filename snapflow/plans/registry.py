@@ -54,9 +54,12 @@ QUERIES = {
     "column_exclusion": sq.q_column_exclusion,
     "incidents_load": sq.q_incidents_load,
     "stream_arrival": st.q_stream_arrival,
+    "stream_deliveries": st.q_stream_deliveries,
     "super_users_job": jq.q_super_users_job,
     "member_extract_job": jq.q_member_extract_job,
 }
 
-# the streamed table must equal the batch merge of the same two snapshots
-ORACLE = {k: v for k, v in {**SQL, "stream_arrival": SQL["snapshot_merge"]}.items() if k in QUERIES}
+# the streamed table must equal the batch merge of the same two snapshots, whatever the order of arrival
+_ARRIVED = f"""SELECT * FROM (VALUES ('in order'), ('repeated'), ('older last')) AS a(arrival),
+               ({SQL['snapshot_merge']}) AS m"""
+ORACLE = {k: v for k, v in {**SQL, "stream_arrival": SQL["snapshot_merge"], "stream_deliveries": _ARRIVED}.items() if k in QUERIES}

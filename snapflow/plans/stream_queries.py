@@ -40,3 +40,34 @@ def q_stream_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     if q.exception() is not None:
         raise RuntimeError(f"arrival stream failed: {q.exception()}")
     return VersionedTable(spark, f"{root}/table").read()
+
+
+# order of arrival -> deliveries: (name, snapshot number or none for an old month, month)
+_ARRIVALS = {
+    "in order": [("a", 1, S.AS_OF_1), ("b", 2, S.AS_OF_2)],
+    "repeated": [("a", 1, S.AS_OF_1), ("a2", 1, S.AS_OF_1), ("b", 2, S.AS_OF_2), ("b2", 2, S.AS_OF_2), ("a3", 1, S.AS_OF_1)],
+    "older last": [("a", 1, S.AS_OF_1), ("b", 2, S.AS_OF_2), ("old", 2, "1997-12-01 04:00:00"), ("old2", 2, "1997-12-01 04:00:00")],
+}
+
+
+def q_stream_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two monthly snapshots in three orders of arrival, with deliveries repeated and an old
+    month after a newer one; each order leaves the same table."""
+    from snapflow.streaming.deliveries import announce_delivery, merge_deliveries
+    root = scratch_dir(spark, "deliveries")
+    snaps = S.snapshots(spark, sf_dir)
+    types = {f.name: f.dataType.simpleString() for f in snaps[0].schema.fields}
+    for n, snap in enumerate(snaps, 1):
+        write_delimited(snap, f"{root}/landing/snap_{n}", sep="|")
+    tables = []
+    for order, arrivals in _ARRIVALS.items():
+        base = f"{root}/{order.replace(' ', '_')}"
+        for name, n, as_of in arrivals:
+            announce_delivery(spark, f"{base}/markers", name, f"{root}/landing/snap_{n}", as_of, "customers", _typed_snapshot(types))
+        q = merge_deliveries(spark, marker_stream(spark, f"{base}/markers"), f"{base}/table", S.customer_spec(), f"{base}/checkpoint",
+                             _typed_snapshot(types), f"{base}/late", f"{base}/log")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"delivery stream failed: {q.exception()}")
+        tables.append(VersionedTable(spark, f"{base}/table").read().select(F.lit(order).alias("arrival"), "*"))
+    return tables[0].unionByName(tables[1]).unionByName(tables[2])

@@ -116,3 +116,37 @@ def test_header_in_another_order_fails(spark, tmp):
                        as_of_fn=lambda e: "2024-01-26 04:00:00")
     with pytest.raises(Exception, match="another order"):
         q.awaitTermination(120)
+
+
+def test_late_repeated_and_corrected_deliveries(spark, tmp):
+    """Decisions by keyed state, also over a restart; an old month lands in the side folder, not in the master."""
+    from snapflow.streaming.arrival import marker_stream
+    from snapflow.streaming.deliveries import announce_delivery, merge_deliveries
+
+    def read_snap(sp, folder):
+        return sp.read.parquet(folder)
+
+    markers, root, late, log = (os.path.join(tmp, n) for n in ("markers", "table", "late", "log"))
+    rows = {"jan": [("a", "1"), ("b", "1")], "mar": [("a", "3"), ("c", "3")], "feb": [("a", "2"), ("b", "2")], "fix": [("a", "4"), ("c", "3")]}
+    for name, r in rows.items():
+        spark.createDataFrame(r, "k string, v string").write.parquet(os.path.join(tmp, name))
+    spec, month = M.spec("k", COLS, ["v"]), "2024-{:02d}-26 04:00:00".format
+
+    def deliver(*names_months):
+        for name, folder, m in names_months:
+            announce_delivery(spark, markers, name, os.path.join(tmp, folder), month(m), "members", read_snap)
+        q = merge_deliveries(spark, marker_stream(spark, markers), root, spec, os.path.join(tmp, "ck"), read_snap, late, log)
+        q.awaitTermination(240)
+        assert q.exception() is None
+
+    deliver(("1", "jan", 1), ("2", "mar", 3))
+    first = sorted(map(tuple, VersionedTable(spark, root).read().collect()))
+    deliver(("3", "feb", 2), ("4", "mar", 3), ("5", "feb", 2))               # a new query: the state comes from the checkpoint
+    assert sorted(map(tuple, VersionedTable(spark, root).read().collect())) == first
+    deliver(("6", "fix", 3))                                                # the newest month again, corrected
+    t = {r["k"]: (r["v"], r["SubStatus"]) for r in VersionedTable(spark, root).read().collect()}
+    assert t == {"a": ("4", "Updated"), "b": ("1", "Dropped"), "c": ("3", "New")}
+    acted = {r["marker"]: r["action"] for r in spark.read.parquet(log).collect()}
+    assert acted == {"1.ready": "merge", "2.ready": "merge", "3.ready": "older", "4.ready": "repeated", "5.ready": "repeated", "6.ready": "merge"}
+    assert sorted(map(tuple, spark.read.parquet(f"{late}/3.ready").collect())) == rows["feb"]
+    assert os.listdir(late) == ["3.ready"]
