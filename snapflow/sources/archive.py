@@ -1,11 +1,12 @@
 """Archive expansion (S5, J3): expand zip archives that have not been expanded yet.
 
-Archives are read with ``binaryFile`` (one archive per row, so archives are spread over tasks;
-one archive is not splittable and must stay under ``binaryFile``'s 2 GB row limit — larger
-archives are expanded before landing).  Already-expanded archives are skipped with a
-``left_anti`` join on the base name against the text files present.  Expansion is a
-``mapInPandas`` over Arrow batches using the standard ``zipfile`` module; each member is emitted
-as lines, so the output is an ordinary line table that Spark can write as text.
+Archives are read with ``binaryFile`` (one archive per row, so archives are spread over tasks), from
+any store that Spark reads.  An archive near ``binaryFile``'s 2 GB row limit is read by the data source
+``zip_members`` instead: one partition a member, whose task reads the archive's directory and then the
+member's bytes as it decodes them, so neither is ever held whole.  Tasks reach the file through
+``pyarrow.fs`` (mounted folders, HDFS, S3, GCS).  Already-expanded archives are skipped with a
+``left_anti`` join on the base name against the text files present.  Each member is emitted as lines,
+so the output is an ordinary line table that Spark can write as text.
 """
 
 from __future__ import annotations
@@ -13,9 +14,11 @@ from __future__ import annotations
 import fnmatch
 import io
 import itertools
+from urllib.parse import quote
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from snapflow.functions.text import base_name, strip_extension
 from snapflow.sources.files import latest_file
@@ -47,6 +50,73 @@ def _expand(batches, rows: int = 20_000):
                                 "line": [ln.rstrip("\r\n") for _, ln in part]})
 
 
+#: Archives of this size and more do not go through ``binaryFile``, whose rows end at 2 GB.
+LARGE = 1_500_000_000
+
+
+class Member(InputPartition):
+    """One member of one archive."""
+
+    def __init__(self, archive: str, member: str):
+        super().__init__(0)
+        self.archive, self.member = archive, member
+
+
+def _opened(uri: str) -> zipfile.ZipFile:
+    """The archive by ranges: its directory now, a member's bytes when they are read."""
+    from pyarrow import fs
+    scheme, _, path = uri.partition(":")
+    if scheme == "file":
+        store, path = fs.LocalFileSystem(), "/" + path.lstrip("/")
+    else:
+        store, path = fs.FileSystem.from_uri(quote(uri, safe="/:@%"))
+    return zipfile.ZipFile(store.open_input_file(path))
+
+
+class _MemberReader(DataSourceReader):
+    def __init__(self, archives: list[str], rows: int):
+        self.archives, self.rows = archives, rows
+
+    def partitions(self):
+        found = []
+        for uri in self.archives:
+            with _opened(uri) as zf:
+                found += [Member(uri, i.filename) for i in zf.infolist() if not i.is_dir()]
+        return found
+
+    def read(self, partition):
+        import pyarrow as pa
+        if not isinstance(partition, Member):            # no member at all
+            return
+        with _opened(partition.archive) as zf, zf.open(partition.member) as fh:
+            numbered = enumerate(io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline=""))
+            while part := list(itertools.islice(numbered, self.rows)):
+                n = len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([partition.archive] * n), pa.array([partition.member] * n), pa.array([i for i, _ in part], pa.int64()),
+                     pa.array([ln.rstrip("\r\n") for _, ln in part])], names=LINES.fieldNames())
+
+
+class ZipMembers(DataSource):
+    """``spark.read.format("zip_members").option("archives", <uris, one a line>)``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "zip_members"
+
+    def schema(self) -> T.StructType:
+        return LINES
+
+    def reader(self, schema) -> DataSourceReader:
+        return _MemberReader([x for x in self.options["archives"].split("\n") if x], int(self.options.get("rows", 20_000)))
+
+
+def expand_members(spark: SparkSession, archives: list[str], rows: int = 20_000) -> DataFrame:
+    """S5 for archives of any size: the columns of ``expand``, one partition a member."""
+    spark.dataSource.register(ZipMembers)
+    return spark.read.format("zip_members").option("archives", "\n".join(archives)).option("rows", rows).load()
+
+
 def expanded_base(path: str, txt_pattern: str):
     """Base name of the text that a file belongs to: the file itself, or the feed folder it lies in."""
     like = fnmatch.translate(txt_pattern)
@@ -84,5 +154,7 @@ def expand_newest(spark: SparkSession, folder: str, zip_pattern: str = "*.zip",
     if pending.isEmpty():
         return None
     out = path[:path.rindex("/") + 1] + name[:name.rindex(".")] + ".txt"
-    expand(pending).select("line").write.mode("overwrite").text(out)
+    large = not pending.filter(F.col("length") >= LARGE).isEmpty()
+    lines = expand_members(spark, [path]) if large else expand(pending)
+    lines.select("line").write.mode("overwrite").text(out)
     return out

@@ -191,3 +191,29 @@ def test_workbook_rows_leave_in_batches(spark, tmp):
     shared = workbook.SharedStrings()
     shared.read(io.BytesIO(xml.encode()))
     assert [shared.text(i) for i in range(5)] == texts
+
+
+def test_archive_members_are_partitions(spark, tmp, monkeypatch):
+    """The member data source gives the lines of the other path; a member is read in pieces, whatever its size."""
+    import zipfile
+    from snapflow.sources import archive
+    paths = []
+    for k in range(2):
+        paths.append(os.path.join(tmp, f"Feed_{k} x.zip"))
+        with zipfile.ZipFile(paths[-1], "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("dir/", "")
+            for m in range(3):
+                zf.writestr(f"dir/m{m}.txt", "".join(f"line {k} {m} {i}\r\n" for i in range(m * 700)) + ("no break" if m == 1 else ""))
+    zf = spark.read.format("binaryFile").load(tmp)
+    uris = [r["path"] for r in zf.select("path").collect()]
+    parts = archive.expand_members(spark, uris, rows=100)
+    assert parts.rdd.getNumPartitions() == 6
+    key = lambda rs: sorted((r["member"], r["line_no"], r["line"]) for r in rs)
+    assert key(parts.collect()) == key(archive.expand(zf).collect()) and parts.count() == 2 * (700 + 1 + 1400)
+    batches = list(archive._MemberReader([], 100).read(archive.Member("file:" + paths[0], "dir/m2.txt")))
+    assert [b.num_rows for b in batches] == [100] * 14
+    monkeypatch.setattr(archive, "LARGE", 1)
+    with zipfile.ZipFile(os.path.join(tmp, "Big_1.zip"), "w") as one:
+        one.writestr("Big_1.txt", "a\n1\n2\n")
+    out = archive.expand_newest(spark, tmp, "Big_*.zip", "Big_*.txt")
+    assert sorted(r["value"] for r in spark.read.text(out).collect()) == ["1", "2", "a"]
