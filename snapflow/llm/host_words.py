@@ -177,7 +177,8 @@ def prepared(pages: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame,
     p = pages.select(pages["url"].alias("url"), pages["html"].alias("html"))
     urls = p.groupBy("url").agg(F.count("*").alias("n")).select("url", "n", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     urls = urls.withColumn("r", matching_rule(F.col("host"), F.col("path"), rules)).filter("url is not null")
-    tokens = materialize(url_tokens(urls.select("url", "host", "path"), word_counts(p)), "url-tokens")
+    counts = materialize(word_counts(p), "word-counts")         # one row a word; asked three times
+    tokens = materialize(url_tokens(urls.select("url", "host", "path"), counts), "url-tokens")
     return urls, tokens, urls.filter("r is not null").select("url", "n", (F.col("r.verdict") == "block").alias("block"))
 
 
