@@ -47,6 +47,7 @@ LOB_EI, LOB_MR, LOB_CS = "E&I", "M&R", "C&S"
 ORIGINS = {"mcd": "medicaid", "mcr": "medicare"}
 
 # The common layout of the union (text until the final projection types it).
+# Fixed values.
 UNION_LAYOUT = T.StructType([T.StructField(n, T.StringType()) for n in """LineOfBusiness YYYYMM
 Member_ID MemberFirstName MemberLastName Member_DOB Subscriber_ID Indv_ID MemberGender
 HCE_PredictiveScore PredictiveFlag PredictiveCutoff ACO_Flag ACO_Name ExchangeInd
@@ -55,6 +56,7 @@ MemberZipPlus4Cd MemberCityName MemberCounty MemberState RCT MR_ContractNumber M
 MR_PMG_Name GI CongestiveHeartFailure Diabetes EndStageRenal TCM_eng HRCM_eng AI_eng
 Any_Optum_Program CS_MemberKey CS_CompanyState CS_file_origin load_date_py FileName""".split()])
 
+# Fixed values.
 EI_MAP = {
     "Member_ID": "MBR_ID", "MemberFirstName": "MBR_FST_NM", "MemberLastName": "MBR_LST_NM",
     "Member_DOB": "dob", "Indv_ID": "indv_id", "MemberGender": "MBR_GDR_CD",
@@ -66,6 +68,7 @@ EI_MAP = {
     "MemberCounty": "MBR_HCFA_CNTY_NM", "MemberState": "MBR_ST_ABBR_CD", "RCT": "RCT",
     "FileName": "FileName",
 }
+# Fixed values.
 MR_MAP = {
     "Member_ID": "hicn", "MemberFirstName": "GPS_FIRST_NAME", "MemberLastName": "GPS_LAST_NAME",
     "Member_DOB": "bth_dt", "MemberGender": "FIN_GENDER", "HCE_PredictiveScore": "pred",
@@ -77,6 +80,7 @@ MR_MAP = {
     "HRCM_eng": "HRCM_eng", "AI_eng": "AI_eng", "Any_Optum_Program": "ANY_OPTUM_PGM",
     "FileName": "FileName",
 }
+# Fixed values.
 CS_MAP = {
     "Member_ID": "Member_Key", "MemberFirstName": "Member_First_Name",
     "MemberLastName": "Member_Last_Name", "Member_DOB": "Member_DOB",
@@ -87,17 +91,21 @@ CS_MAP = {
     "MemberState": "Member_State", "CS_MemberKey": "Member_Key", "CS_CompanyState": "COMPANY_DESC",
     "FileName": "FileName",
 }
+# Fixed values.
 ACO_KEEP = ["MBR_ID", "pred", "pred_flag", "aco_flag", "ACO", "group_nm", "referral",
             "PRSPCTV_RISK", "condition_count"]
 
 KEY = "Member_ID"
+# Fixed values.
 INSERT_ONLY = ("Member_Key", "LineOfBusiness", "YYYYMM", "Load_Date_Py")
+# Fixed values.
 COMPARED = """MemberFirstName MemberLastName Member_DOB Subscriber_ID Indv_ID MemberGender
 HCE_PredictiveScore Is_PSU PSU_Score_Cutoff ACO_Flag ACO_Name ExchangeInd CustomerSegmentNumber
 GroupName EI_Referral MarketRollup MarketSegment MemberZipCd MemberZipPlus4Cd MemberCityName
 MemberCounty MemberState RCT MR_ContractNumber MR_PBP MR_Product MR_PMG_Name GI
 CongestiveHeartFailure Diabetes EndStageRenal TCM_eng HRCM_eng AI_eng Any_Optum_Program
 CS_MemberKey CS_CompanyState CS_file_origin FileName""".split()
+# Fixed values.
 TARGET_COLUMNS = """Member_Key LineOfBusiness YYYYMM Member_ID MemberFirstName MemberLastName
 Member_DOB Subscriber_ID Indv_ID CS_MemberKey CS_CompanyState CS_file_origin MemberGender
 HCE_PredictiveScore Is_PSU PSU_Score_Cutoff ACO_Flag ACO_Name ExchangeInd CustomerSegmentNumber

@@ -251,8 +251,6 @@ def q_month_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", D.month_start("o_orderdate").alias("month_start"))
 
 
-# Origin codes of the two C&S feeds and the labels the reference maps them to.
-ORIGIN_LABELS = {"mcd": "medicaid", "mcr": "medicare"}
 
 
 def q_case_map(spark: SparkSession, sf_dir: str) -> DataFrame:
