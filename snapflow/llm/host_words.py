@@ -158,7 +158,8 @@ def seed_weight(tokens: DataFrame, judged: DataFrame, share: float = 0.9) -> flo
 def learnt(tokens: DataFrame, judged: DataFrame, seeds: tuple[str, ...] = ADVERTISING) -> tuple[DataFrame, float]:
     """``token, weight`` with the prior list, which no learnt weight weakens, and the log odds of the classes."""
     weights, odds = token_weights(tokens, judged)
-    prior = tokens.sparkSession.createDataFrame([(f"h:{w}", seed_weight(tokens, judged)) for w in seeds], "token string, weight double")
+    strength = seed_weight(tokens, judged)
+    prior = tokens.sparkSession.createDataFrame([(f"h:{w}", strength) for w in seeds], "token string, weight double")
     return weights.unionByName(prior).groupBy("token").agg(F.max("weight").alias("weight")), odds
 
 
