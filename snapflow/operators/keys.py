@@ -35,9 +35,8 @@ def count_over(df: DataFrame, parts: dict[str, Column], out: str, heavy_share: i
     text = F.concat_ws("\x1f", *[F.concat(F.length(x.cast(T.StringType())).cast(T.StringType()), F.lit(":"), x.cast(T.StringType()))
                                  for x in named])
     rows = materialize(df.withColumn("_g", F.md5(text)), "counted")
-    counts = materialize(rows.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")), "group_counts")
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    limit = total // heavy_share
+    counts = rows.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    limit = rows.count() // heavy_share
     heavy = F.broadcast(counts.where(F.col("_n") > limit).select("_g", "_n")) if limit else counts.where("false")
     rest = rows.join(heavy.select("_g"), "_g", "left_anti").join(counts, "_g")
     found = rest.unionByName(rows.join(heavy, "_g")) if limit else rows.join(counts, "_g")
