@@ -2,10 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; the caller writes it as Parquet
 and reads it again as the next one's ``docs``.  All but the last return the columns of ``documents``.
-No stage can be left out: the rules and the classifier decide by learnt or listed rules, and SQL has
-no fingerprints, so the whole has no ``ORACLE_SQL``.  Tests hold the rules' furniture lines and the
-near-dedup rows against plain-Python expectations on small fixtures; the classifier and line-dedup
-stages are not checked on rows there, and of the packed ids only that they were kept.
+The classifier decides by learnt weights, and SQL has no fingerprints, so the whole has no ``ORACLE_SQL``.  Tests hold every stage and the whole against plain
+Python, whole row sets, on a small corpus with rows that meet each stage's rule.
 """
 
 from __future__ import annotations
