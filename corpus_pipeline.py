@@ -2,8 +2,9 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; the caller writes it as Parquet
 and reads it again as the next one's ``docs``.  All but the last return the columns of ``documents``.
-The classifier decides by learnt weights, and SQL has no fingerprints, so the whole has no ``ORACLE_SQL``.  Tests hold every stage and the whole against plain
-Python, whole row sets, on a small corpus with rows that meet each stage's rule.
+The classifier decides by learnt weights, and SQL has no fingerprints, so the whole has no
+``ORACLE_SQL``.  Tests hold every stage and the whole against plain Python, whole row sets, on a
+small corpus with rows that meet each stage's rule.
 """
 
 from __future__ import annotations
