@@ -175,14 +175,86 @@ def q_super_users_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- G1: member extract -----------------------------------------------------------------------
 
+# How the feed's further columns are filled (see ``_filled``).
+FEED_FILL = {
+    "words": """
+        MBR_VDS_ID MBR_CURR_CMS_CONTR_NUM MBR_CURR_CMS_PBP_CD MBR_MIDL_INIT MBR_GDR_CD MBR_ADR_LN1_TXT
+        MBR_ADR_LN2_TXT MBR_ADR_CTY_NM MBR_ADR_ST_CD MBR_DAY_PH_NUM MBR_INCNT_PGM_IND MBR_TYP_CD SRC_SYS
+        ASGN_PROV_VDS_ID ASGN_PROV_LST_NM ASGN_PROV_FST_NM ASGN_PROV_ADR_LN1_TXT ASGN_PROV_ADR_LN2_TXT
+        ASGN_PROV_ADR_CTY_NM ASGN_PROV_ADR_ST_CD MSR_51_MAD_CYR_STS MSR_52_MAH_CYR_STS MSR_53_MAC_CYR_STS
+        MSR_100_SUPD_CYR_STS ASSOC_PROV_VDS_ID ASSOC_PROV_LST_NM ASSOC_PROV_FST_NM ASSOC_PROV_ADR_LN1_TXT
+        ASSOC_PROV_ADR_LN2_TXT ASSOC_PROV_ADR_CTY_NM ASSOC_PROV_ADR_ST_CD ASSOC_PROV_ASGN_RNDR_IND
+        ASSOC_PROV_GRP_TYP_CD ASSOC_PROV_GRP_ID ASSOC_PROV_GRP_NM ASSOC_HLTH_SYS_ID ASSOC_HLTH_SYS_NM
+        LST_HICN_BFR_MBI PARTD_ALRT_LVL_86""".split(),
+    "flag": """
+        MBR_DIAB_IND MSR_1_BCS_RSLT MSR_2_COL_RSLT MSR_3_CMCSCR_RSLT MSR_4_CDCLPP_RSLT MSR_5_GSO_RSLT
+        MSR_12_ABA_RSLT MSR_13_COAMR_RSLT MSR_14_COAFSA_RSLT MSR_15_COAPS_RSLT MSR_16_OMW_RSLT
+        MSR_91_OMWX_RSLT MSR_17_CDCEYE_RSLT MSR_18_CDCNEP_RSLT MSR_19_CDCA1C9_RSLT MSR_20_CDC100_RSLT
+        MSR_49_HRM_PYR_RSLT MSR_49_HRM_CYR_RSLT MSR_51_MAD_PYR_RSLT MSR_52_MAH_PYR_RSLT
+        MSR_53_MAC_PYR_RSLT MSR_100_SUPD_PYR_RSLT MSR_100_SUPD_CYR_RSLT MSR_101_SPC_RSLT MSR_58_FMI_RSLT
+        MSR_60_AMM_RSLT MSR_61_BBT_RSLT MSR_62_MPLM_RSLT MSR_64_COPD_RSLT MSR_71_PCE_SC_RSLT
+        MSR_72_PCEBRON_RSLT MSR_73_AODRINITOT_RSLT MSR_74_EADT_RSLT MSR_RSLT_86 MSR_RSLT_CY_86""".split(),
+    "day": "MBR_ANNL_CARE_VST_DT MBR_ANNL_CARE_VST_DT_HC MSR_16_OMW_DT MSR_91_OMWX_DT".split(),
+    "number": "ASGN_PROV_TIN_NUM ASSOC_PROV_MPIN_NUM ASSOC_PROV_TIN".split(),
+    "wide": ["ASSOC_PROV_NPI_NUM"],
+    "zip": ["ASSOC_PROV_ADR_ZIP_FULL_CD"],
+    "small": """
+        MSR_22_ART_RSLT MSR_51_MAD_CYR_RSLT MSR_51_MAD_FA_CYR_RSLT MSR_52_MAH_CYR_RSLT MSR_52_MAH_FA_CYR_RSLT
+        MSR_53_MAC_CYR_RSLT MSR_53_MAC_FA_CYR_RSLT""".split(),
+    "short": "MSR_51_MAD_AD MSR_51_MAD_DM45 MSR_52_MAH_AD MSR_52_MAH_DM45 MSR_53_MAC_AD MSR_53_MAC_DM45".split(),
+    "share": """
+        MSR_51_MAD_EOY_PDC_PRED MSR_52_MAH_CURR_PDC MSR_52_MAH_EOY_PDC_PRED MSR_53_MAC_CURR_PDC
+        MSR_53_MAC_EOY_PDC_PRED""".split(),
+}
+
+
+def _pick(index: Column, *texts) -> Column:
+    """The text at ``index`` modulo their number."""
+    return F.element_at(F.array(*[t if isinstance(t, Column) else F.lit(t) for t in texts]),
+                        (F.pmod(index, F.lit(len(texts))) + 1).cast("int"))
+
+
+def _filled(kind: str, j: int) -> Column:
+    """Raw text of column ``j`` of a kind: values that differ from column to column, blanks, several
+    spellings of one value, text wider than its target, and (lenient kinds) text that does not fit."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    kj = k + j
+
+    def text(c: Column) -> Column:
+        return c.cast("string")
+
+    if kind == "words":
+        long = F.concat(F.char(65 + F.pmod(kj, F.lit(26))), F.lit(f"{j}-"), F.repeat(F.concat("c_mktsegment", F.lit("_")), 30))
+        return F.when(F.pmod(k, F.lit(11)) == 5, F.lit("")).otherwise(long)
+    if kind == "flag":
+        return _pick(kj + F.col("is_frequent").cast("int"), "1", "0", "", "true", "False", "2.5", "-0.0")
+    if kind == "day":
+        d = F.make_date(1990 + n, (F.pmod(k, F.lit(12)) + 1).cast("int"), (F.pmod(kj, F.lit(28)) + 1).cast("int"))
+        return _pick(kj, "", *[F.date_format(d, p) for p in ("yyyy-MM-dd", "yyyyMMdd", "M/d/yyyy")])
+    if kind == "number":
+        return _pick(kj, text(k * 3 + j), "", F.concat(F.lit("T"), text(k)), "9999999999")
+    if kind == "wide":
+        return _pick(kj, F.concat(F.lit("1"), F.lpad(text(k), 9, "0")), "N/A", "")
+    if kind == "zip":
+        full = F.concat(F.lpad(text(n), 5, "0"), F.lit("-"), F.lpad(text(F.pmod(k, F.lit(10000))), 4, "0"))
+        return F.when(F.pmod(k, F.lit(5)) == 0, F.lit("")).otherwise(full)
+    if kind == "small":
+        v = text(F.pmod(k * 7 + j, F.lit(256)))
+        return _pick(kj, "", F.concat(v, F.lit(".0")), v, v, v)
+    if kind == "short":
+        v = text(F.pmod(k * 31 + j, F.lit(65536)) - 32768)
+        return _pick(kj, "", v, v, v, v)
+    v = F.concat(F.lit("0."), F.lpad(text(F.pmod(kj, F.lit(1000))), 3, "0"))
+    return _pick(kj, "", "n/a", "12.5", v, v)
+
+
 def member_feed(snap: DataFrame, as_of: str) -> DataFrame:
-    """The 118-column member feed (all text) for one monthly customer snapshot.
+    """The 118-column member feed (all text) for one monthly customer snapshot, every column filled.
 
-    Filled columns exercise each conversion: key and names (text widths), report month (blank
-    when the customer has no open order, so F1 drops the row), ids via int (some blank), dates in three
-    layouts, ZIP with a dash, a bit, a lenient bigint and a junk lenient int, a float ZIP, a
-    small int, a one-letter status, a decimal(3,2) that rounds, and a 23-character timestamp.
-    Every other column is blank."""
+    By name: key and names (text widths), report month (blank when the customer has no open order,
+    so F1 drops the row), ids via int (some blank), a date in three layouts, ZIP with a dash, a bit,
+    a lenient bigint and a junk lenient int, a float ZIP, a small int, a one-letter status, a
+    decimal(3,2) that rounds, and a 23-character timestamp.  The others by ``FEED_FILL``."""
     from snapflow.plans import member_extract as ME
     k, n = F.col("c_custkey"), F.col("c_nationkey")
     dob = F.make_date(F.lit(1940) + n, F.lit(6), F.lit(15))
@@ -211,6 +283,7 @@ def member_feed(snap: DataFrame, as_of: str) -> DataFrame:
                                   F.lit(" 04:00:00.123")),
         "SegmentID": n.cast("string"),
     }
+    vals.update({c: _filled(kind, j) for kind, names in FEED_FILL.items() for j, c in enumerate(names)})
     return _layout(snap, ME.FEED_COLUMNS, vals, blank="")
 
 

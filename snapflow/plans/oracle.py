@@ -318,15 +318,56 @@ SQL.update({
 
 # --- G1 member extract job: two monthly runs of the derived member feed ------------------------
 
-# SQL type of a blank (NULL) output per conversion rule; text rules keep the blank text ''.
-_BLANK_TYPE = {"int": "INTEGER", "try_int": "INTEGER", "bigint": "BIGINT",
-               "try_bigint": "BIGINT", "tinyint": "SMALLINT", "smallint": "SMALLINT",
-               "bit": "BOOLEAN", "date": "DATE", "try_date": "DATE", "timestamp": "TIMESTAMP",
-               "int_text": "VARCHAR", "float_text": "VARCHAR", "zip": "VARCHAR"}
+# Target widths of the text columns that the feed fills by kind.
+_MEMBER_WIDTHS = {
+    1: """MBR_MIDL_INIT MBR_GDR_CD MSR_51_MAD_CYR_STS MSR_52_MAH_CYR_STS MSR_53_MAC_CYR_STS MSR_100_SUPD_CYR_STS
+          ASSOC_PROV_ASGN_RNDR_IND PARTD_ALRT_LVL_86""",
+    2: "MBR_ADR_ST_CD ASGN_PROV_ADR_ST_CD ASSOC_PROV_ADR_ST_CD",
+    3: "MBR_CURR_CMS_PBP_CD",
+    5: "MBR_CURR_CMS_CONTR_NUM MBR_TYP_CD",
+    15: "MBR_DAY_PH_NUM LST_HICN_BFR_MBI",
+    25: "MBR_VDS_ID MBR_INCNT_PGM_IND SRC_SYS ASGN_PROV_VDS_ID ASSOC_PROV_VDS_ID",
+    30: "ASSOC_PROV_GRP_TYP_CD",
+    50: "MBR_ADR_CTY_NM ASGN_PROV_ADR_CTY_NM ASSOC_PROV_ADR_CTY_NM",
+    75: "ASGN_PROV_LST_NM ASGN_PROV_FST_NM ASSOC_PROV_LST_NM ASSOC_PROV_FST_NM",
+    100: """MBR_ADR_LN1_TXT MBR_ADR_LN2_TXT ASGN_PROV_ADR_LN1_TXT ASGN_PROV_ADR_LN2_TXT ASSOC_PROV_ADR_LN1_TXT
+            ASSOC_PROV_ADR_LN2_TXT""",
+    200: "ASSOC_PROV_GRP_ID",
+    255: "ASSOC_PROV_GRP_NM ASSOC_HLTH_SYS_ID ASSOC_HLTH_SYS_NM",
+}
 
 
-def _member_typed(snap: str, as_of: str) -> str:
-    from snapflow.plans.member_extract import RULES
+def _member_filled() -> dict[str, str]:
+    """What the columns filled by kind must become; ``j`` is a column's place in its kind."""
+    from snapflow.plans.job_queries import FEED_FILL
+    width = {c: w for w, names in _MEMBER_WIDTHS.items() for c in names.split()}
+
+    def value(kind: str, c: str, j: int) -> str:
+        kj = f"(c_custkey + {j})"
+        if kind == "words":
+            return (f"CASE WHEN c_custkey % 11 = 5 THEN '' ELSE left(chr(CAST(65 + {kj} % 26 AS INTEGER)) || '{j}-' || "
+                    f"repeat(c_mktsegment || '_', 30), {width[c]}) END")
+        if kind == "flag":
+            return f"CASE ({kj} + CAST(is_frequent AS INTEGER)) % 7 WHEN 2 THEN NULL WHEN 1 THEN false WHEN 4 THEN false WHEN 6 THEN false ELSE true END"
+        if kind == "day":
+            return f"CASE WHEN {kj} % 4 <> 0 THEN make_date(1990 + c_nationkey, 1 + c_custkey % 12, 1 + {kj} % 28) END"
+        if kind == "number":
+            return f"CASE WHEN {kj} % 4 = 0 THEN CAST(c_custkey * 3 + {j} AS INTEGER) END"
+        if kind == "wide":
+            return f"CASE WHEN {kj} % 3 = 0 THEN 1000000000 + CAST(c_custkey AS BIGINT) END"
+        if kind == "zip":
+            return "CASE WHEN c_custkey % 5 <> 0 THEN lpad(CAST(c_nationkey AS VARCHAR), 5, '0') || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') END"
+        if kind == "small":
+            return f"CASE WHEN {kj} % 5 <> 0 THEN CAST((c_custkey * 7 + {j}) % 256 AS SMALLINT) END"
+        if kind == "short":
+            return f"CASE WHEN {kj} % 5 <> 0 THEN CAST((c_custkey * 31 + {j}) % 65536 - 32768 AS SMALLINT) END"
+        return f"CASE WHEN {kj} % 5 >= 3 THEN CAST('0.' || lpad(CAST({kj} % 1000 AS VARCHAR), 3, '0') AS DECIMAL(3,2)) END"
+
+    return {c: value(kind, c, j) for kind, names in FEED_FILL.items() for j, c in enumerate(names)}
+
+
+def _member_columns() -> dict[str, str]:
+    """All columns of the target that come from the feed, each with its SQL."""
     filled = {
         "MBR_HICN_NUM": "'H' || lpad(CAST(c_custkey AS VARCHAR), 10, '0')",
         "RPT_MO_KEY": "CAST(snapshot_month AS INTEGER)",
@@ -338,6 +379,7 @@ def _member_typed(snap: str, as_of: str) -> str:
         "MBR_DOB": "make_date(1940 + c_nationkey, 6, 15)",
         "MBR_ADR_ZIP_FULL_CD": "lpad(CAST(c_nationkey AS VARCHAR), 5, '0') || '1234'",
         "MBR_ANNL_CARE_VST_FLG": "is_frequent",
+        "ASGN_PROV_MPIN_NUM": "CAST(NULL AS INTEGER)",
         "ASGN_PROV_NPI_NUM": "CAST('1' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS BIGINT)",
         "ASGN_PROV_ADR_ZIP_FULL_CD": "CAST(10000 + c_nationkey AS VARCHAR)",
         "MSR_21_CBP_RSLT": "CAST(substr(best_priority, 1, 1) AS SMALLINT)",
@@ -346,16 +388,11 @@ def _member_typed(snap: str, as_of: str) -> str:
         "ROW_INSRT_DT": "CAST(make_date(1998, 1, 1 + c_nationkey) AS TIMESTAMP) + INTERVAL 4 HOUR",
         "SegmentID": "CAST(c_nationkey AS SMALLINT)",
     }
-    cols = []
-    for r in RULES:
-        if r.name in filled:
-            cols.append(f"{filled[r.name]} AS {r.name}")
-        elif r.kind == "text":
-            cols.append(f"'' AS {r.name}")
-        elif r.kind == "decimal":
-            cols.append(f"CAST(NULL AS DECIMAL({r.arg[0]},{r.arg[1]})) AS {r.name}")
-        else:
-            cols.append(f"CAST(NULL AS {_BLANK_TYPE[r.kind]}) AS {r.name}")
+    return filled | _member_filled()
+
+
+def _member_typed(snap: str, as_of: str) -> str:
+    cols = [f"{expr} AS {name}" for name, expr in _member_columns().items()]
     cols.append(f"TIMESTAMP '{as_of}' AS Load_Date_Py")
     cols.append("'Master_Extract_Data_Mart_1998.txt' AS FileName")
     # a customer without an open order has a blank report month and is not loaded
@@ -363,11 +400,10 @@ def _member_typed(snap: str, as_of: str) -> str:
 
 
 def _member_job_sql() -> str:
-    from snapflow.plans.member_extract import RULES
     a1, a2 = "1998-01-01 04:00:00", "1998-07-01 04:00:00"
     k = "MBR_HICN_NUM"
     cols = [f"coalesce(t.{k}, s.{k}) AS {k}"]
-    names = [r.name for r in RULES if r.name != k] + ["Load_Date_Py", "FileName"]
+    names = [c for c in _member_columns() if c != k] + ["Load_Date_Py", "FileName"]
     # fixed values: the columns that are not compared
     changed = " OR ".join(f"coalesce(s.{c} <> t.{c}, false)" for c in names
                           if c not in ("RPT_MO_KEY", "MBR_INDV_ID_STR", "Load_Date_Py"))
