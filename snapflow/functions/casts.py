@@ -21,11 +21,17 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _blank_null(c: Column) -> Column:
-    c = c.cast(T.StringType())
+def filled(x) -> Column:
+    """The text, NULL where it is blank.  Casts with ``blanks=False`` take such text as it is, so that
+    a projection can clean a column once, in a step before, instead of once a use."""
+    c = _c(x).cast(T.StringType())
     return F.when(F.trim(c) == F.lit(""), F.lit(None).cast(T.StringType())).otherwise(c)
 
 
+def _text(x, blanks: bool) -> Column:
+    return filled(x) if blanks else _c(x)
+
+
 def _digit_guarded(c: Column, dtype) -> Column:
     """``try_cast`` of text that holds no digit at all.  Such text can never become an integer
     or a decimal, so it is NULL without calling the cast: a failing ``try_cast`` raises and
@@ -90,63 +96,62 @@ def _integral(c: Column, dtype: str) -> Column:
     return F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), _strict(text, dtype)).otherwise(whole)
 
 
-def strict_int(x, dtype: str = "int") -> Column:
+def strict_int(x, dtype: str = "int", blanks: bool = True) -> Column:
     """``CONVERT(INT|TINYINT|SMALLINT, x)``; bad text raises (ANSI).  Blank is NULL."""
-    return _integral(_blank_null(_c(x)), dtype)
+    return _integral(_text(x, blanks), dtype)
 
 
-def int_text(x) -> Column:
+def int_text(x, blanks: bool = True) -> Column:
     """Id via integer to text, so ``123.0`` / ``1.23E8`` print as plain digits.  Blank is NULL."""
-    return _integral(_blank_null(_c(x)), "int").cast(T.StringType())
+    return _integral(_text(x, blanks), "int").cast(T.StringType())
 
 
-def lenient(x, dtype: str) -> Column:
+def lenient(x, dtype: str, blanks: bool = True) -> Column:
     """``TRY_CONVERT(t, x)``: blank or malformed text is NULL; surrounding blanks ignored."""
-    return _try(_blank_null(_c(x)), dtype)
+    return _try(_text(x, blanks), dtype)
 
 
-def decimal_text(x, precision: int, scale: int, strict: bool = False) -> Column:
+def decimal_text(x, precision: int, scale: int, strict: bool = False, blanks: bool = True) -> Column:
     """``CONVERT(DECIMAL(p,s), x)``: half-up rounding; overflow raises (strict) or is NULL."""
-    c = _blank_null(_c(x))
+    c = _text(x, blanks)
     t = T.DecimalType(precision, scale)
     return _strict(c, t) if strict else _digit_guarded(c, t)
 
 
-def float_text(x, width: int = 10) -> Column:
+def float_text(x, width: int = 10, blanks: bool = True) -> Column:
     """Float-typed ZIP to text without exponent: via DECIMAL(20,0), then VARCHAR(width)."""
-    c = _blank_null(_c(x))
+    c = _text(x, blanks)
     return F.left(_digit_guarded(c, T.DecimalType(20, 0)).cast(T.StringType()), F.lit(width))
 
 
-def to_bit(x, blank_false: bool = False) -> Column:
+def to_bit(x, blank_false: bool = False, blanks: bool = True) -> Column:
     """``CAST(x AS BIT)``: any non-zero number is true, ``true``/``false`` text accepted.
 
     Blank is NULL by default; ``blank_false=True`` is the T-SQL result (Q18).
     """
-    raw = _c(x).cast(T.StringType())
-    c = _blank_null(raw)
+    c = _text(x, blanks)
     num = try_double(c)
     # Spark's text booleans are t/true/y/yes/1 and f/false/n/no/0 (any case): text without any
     # of those letters is NULL without the cast (a failing cast raises per row)
     as_bool = F.when(c.rlike("(?i)[tyfn01]"), c.try_cast(T.BooleanType()))
-    # the missing-value text ``nan`` and infinities are no numbers: NULL, never TRUE
-    finite = ~F.isnan(num) & (F.abs(num) != F.lit(float("inf")))
-    bit = F.when(num.isNotNull(), F.when(finite, num != F.lit(0.0))).otherwise(as_bool)
+    # the missing-value text ``nan`` and infinities are no numbers (and no booleans): NULL, never TRUE
+    bit = F.coalesce(F.when(F.abs(num) < F.lit(float("inf")), num != F.lit(0.0)), as_bool)
     if blank_false:
+        raw = _c(x).cast(T.StringType())
         bit = F.when(raw.isNotNull() & (F.trim(raw) == F.lit("")), F.lit(False)).otherwise(bit)
     return bit
 
 
-def parse_date(x, formats=DATE_FORMATS) -> Column:
+def parse_date(x, formats=DATE_FORMATS, blanks: bool = True) -> Column:
     """X10 lenient: first layout that parses; blank, ``nan`` or malformed text is NULL (Q7, Q20)."""
-    c = _date_part(x)
+    c = _date_part(x, blanks)
     return F.coalesce(*[_layout_guard(c, f) for f in formats])
 
 
-def _date_part(x) -> Column:
+def _date_part(x, blanks: bool) -> Column:
     """The text without blanks around it and without a time of day (taken off once, so that no
     layout is needed twice)."""
-    c = F.trim(_blank_null(_c(x)))
+    c = F.trim(_text(x, blanks))
     return F.when(F.contains(c, F.lit(":")), F.regexp_replace(c, _TIME_OF_DAY, "")).otherwise(c)
 
 
@@ -165,8 +170,8 @@ def _layout_guard(c: Column, fmt: str) -> Column:
     return F.when(cond, F.try_to_date(c, fmt))
 
 
-def strict_date(x, formats=DATE_FORMATS) -> Column:
+def strict_date(x, formats=DATE_FORMATS, blanks: bool = True) -> Column:
     """X10 strict: like ``parse_date`` but non-blank text that fits no layout raises."""
     raw = _c(x).cast(T.StringType())
     fail = F.raise_error(F.concat(F.lit("unparseable date: "), raw)).cast(T.DateType())
-    return F.coalesce(parse_date(raw, formats), F.when(_blank_null(raw).isNotNull(), fail))
+    return F.coalesce(parse_date(raw, formats, blanks), F.when(_text(raw, blanks).isNotNull(), fail))
