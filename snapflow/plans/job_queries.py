@@ -21,13 +21,14 @@ folder also holds an older delivery, and lines with a surplus field that must st
 
 from __future__ import annotations
 
+from functools import partial
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from snapflow.plans import super_users as SU
 from snapflow.plans.snapshots import read
-from snapflow.session import scratch_dir
+from snapflow.session import scratch_dir, spread, together
 from snapflow.sources.delimited import write_delimited
 
 AS_OF, AS_OF_2 = "2024-06-26 04:00:00", "2024-07-26 04:00:00"
@@ -86,13 +87,13 @@ def _workbook_writer(folder: str, columns, prefix: str):
 def land_workbooks(df: DataFrame, folder: str, columns, block: Column, order: list[Column],
                    prefix: str) -> None:
     """One workbook per bounded block (``applyInPandas`` per block, written to the shared
-    landing folder)."""
+    landing folder); the blocks are spread over the cluster."""
     os.makedirs(folder.replace("file:", "", 1), exist_ok=True)
     out = df.select(*columns, block.alias("_blk"),
                     *[o.alias(f"_order{i}") for i, o in enumerate(order)])
-    out.groupBy("_blk").applyInPandas(_workbook_writer(folder, columns, prefix),
-                                      "workbook string, n_rows long") \
-        .write.format("noop").mode("overwrite").save()
+    landed = spread(out, "_blk").groupBy("_blk").applyInPandas(_workbook_writer(folder, columns, prefix),
+                                                               "workbook string, n_rows long")
+    landed.write.format("noop").mode("overwrite").save()
 
 
 def land_super_user_feeds(spark: SparkSession, sf_dir: str, root: str, run: int) -> SU.Config:
@@ -113,18 +114,20 @@ def land_super_user_feeds(spark: SparkSession, sf_dir: str, root: str, run: int)
         "Exchange_Ind": F.lit("N"), "MBR_ZIP_CD": p["zip5"],
         "pred": p["pred"], "pred_flag": p["flag"], "pred_cutoff": F.lit("5000"),
         "RCT": F.lit("1")}, blank="")
-    write_delimited(ei.withColumn("MBR_FST_NM", F.lit("Older")), f"{root}/ei/ei_delivery_1.txt", sep="\t")
-    write_delimited(ei, f"{root}/ei/ei_delivery_2.txt", sep="\t")
-    surplus = ei.where("MKT_SEG_CD = 'FUR'").withColumn("MBR_ID", F.concat(F.lit("X"), "MBR_ID"))
-    surplus.select(F.concat_ws("\t", *SU.EI_COLUMNS, F.lit("surplus"))).write.mode("append").text(
-        f"{root}/ei/ei_delivery_2.txt")
+
+    def land_ei():
+        write_delimited(ei.withColumn("MBR_FST_NM", F.lit("Older")), f"{root}/ei/ei_delivery_1.txt", sep="\t")
+        write_delimited(ei, f"{root}/ei/ei_delivery_2.txt", sep="\t")
+        surplus = ei.where("MKT_SEG_CD = 'FUR'").withColumn("MBR_ID", F.concat(F.lit("X"), "MBR_ID"))
+        surplus.select(F.concat_ws("\t", *SU.EI_COLUMNS, F.lit("surplus"))).write.mode("append").text(
+            f"{root}/ei/ei_delivery_2.txt")
 
     co = c.join(o, c["c_custkey"] == o["o_custkey"], "inner")
     aco = _layout(co.where(seg == "BUILDING"), SU.EI_ACO_COLUMNS, {
         "MBR_ID": F.concat(F.lit("E"), key), "referral": F.lit("Y"), "aco_flag": F.lit("1"),
         "group_nm": F.concat(F.lit("Group"), F.col("c_nationkey").cast("string")),
         "ACO": F.lit("ACO1"), "pred": p["pred"], "pred_flag": p["flag"]}, blank="")
-    write_delimited(aco, f"{root}/aco", sep="\t")
+    landings = [land_ei, partial(write_delimited, aco, f"{root}/aco", sep="\t")]
 
     # one M&R row per (customer, order status): up to three copies of each member, all in the
     # member's own workbook, so the job's DISTINCT (which includes the file name) collapses them
@@ -141,9 +144,9 @@ def land_super_user_feeds(spark: SparkSession, sf_dir: str, root: str, run: int)
                                      F.lpad(F.col("c_nationkey").cast("string"), 4, "0")),
         "CHF_eng": F.when(F.col("c_acctbal") > 0, F.lit("1")).otherwise(F.lit("0")),
         "c_custkey": F.col("c_custkey"), "o_orderstatus": F.col("o_orderstatus")})
-    land_workbooks(mr, f"{root}/mr", SU.MR_COLUMNS,
-                   F.floor(F.col("c_custkey") / BLOCK).cast("long"),
-                   [F.col("c_custkey"), F.col("o_orderstatus")], "mr")
+    landings.append(partial(land_workbooks, mr, f"{root}/mr", SU.MR_COLUMNS,
+                            F.floor(F.col("c_custkey") / BLOCK).cast("long"),
+                            [F.col("c_custkey"), F.col("o_orderstatus")], "mr"))
 
     cs_people = c.where(seg.isin("HOUSEHOLD", "AUTOMOBILE"))
     cs_vals = {
@@ -154,9 +157,10 @@ def land_super_user_feeds(spark: SparkSession, sf_dir: str, root: str, run: int)
         "pred_model_cutoff": F.lit("5000"), "c_custkey": F.col("c_custkey")}
     for origin, cond in (("mcr", F.col("c_acctbal") >= 0), ("mcd", F.col("c_acctbal") < 0)):
         cs = _layout(cs_people.where(cond), SU.CS_COLUMNS + ["c_custkey"], cs_vals)
-        land_workbooks(cs, f"{root}/{origin}", SU.CS_COLUMNS,
-                       F.floor(F.col("c_custkey") / BLOCK).cast("long"), [F.col("c_custkey")],
-                       origin)
+        landings.append(partial(land_workbooks, cs, f"{root}/{origin}", SU.CS_COLUMNS,
+                                F.floor(F.col("c_custkey") / BLOCK).cast("long"), [F.col("c_custkey")],
+                                origin))
+    together(*landings)
     return SU.Config(ei=f"{root}/ei", ei_aco=f"{root}/aco", mr=f"{root}/mr",
                      cs_mcr=f"{root}/mcr", cs_mcd=f"{root}/mcd", target=target,
                      patterns={"ei": "ei_delivery_*.txt"}, stage=f"{root}/stage")

@@ -17,7 +17,7 @@ from snapflow.operators import conform as CF
 from snapflow.operators.checks import DataCheckError
 from snapflow.operators.sinks import load_into_empty, rebuild_reconciled, rebuild_stage
 from snapflow.plans.snapshots import read
-from snapflow.session import scratch_dir
+from snapflow.session import scratch_dir, spread
 from snapflow.sources import archive, files
 from snapflow.sources.delimited import read_delimited, write_delimited
 
@@ -181,7 +181,7 @@ def q_archive_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat_ws("|", *[F.col(c) for c in CUST_COLS])
     blocks = t.select("c_mktsegment", (F.col("c_custkey").cast("long") / 250).cast("long")
                       .alias("blk"), line.alias("line"))
-    landed = blocks.groupBy("c_mktsegment", "blk").applyInPandas(
+    landed = spread(blocks, "c_mktsegment", "blk").groupBy("c_mktsegment", "blk").applyInPandas(
         _archive_writer(folder, "BUILDING"), "archive string, n_lines long")
     landed.write.format("noop").mode("overwrite").save()
     lines = archive.expand(archive.pending_archives(spark, folder))
@@ -267,8 +267,8 @@ def q_workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "workbooks")
     o = read(spark, sf_dir, "orders").withColumn(
         "blk", F.floor(F.col("o_orderkey") / WORKBOOK_BLOCK).cast("long"))
-    landed = o.groupBy("blk").applyInPandas(_workbook_writer(folder),
-                                             "workbook string, n_rows long")
+    landed = spread(o, "blk").groupBy("blk").applyInPandas(_workbook_writer(folder),
+                                                           "workbook string, n_rows long")
     landed.write.format("noop").mode("overwrite").save()
     from snapflow.sources.workbook import read_workbooks
     w = read_workbooks(spark, folder, ORDER_COLS)

@@ -10,6 +10,7 @@ person group is split), then is merged on ``Member_ID`` with surrogate identitie
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -19,7 +20,7 @@ from snapflow.operators.checks import reconcile
 from snapflow.operators.dedupe import top1_per_key
 from snapflow.operators.sinks import rebuild_stage
 from snapflow.schemas import enforce_schema, layout
-from snapflow.session import scratch_dir
+from snapflow.session import scratch_dir, together
 from snapflow.sources import files
 from snapflow.sources.delimited import read_delimited
 from snapflow.sources.workbook import read_workbooks
@@ -272,8 +273,8 @@ def stage_feeds(spark: SparkSession, cfg: Config, as_of: str) -> tuple[dict[str,
     """Every feed is read once, written to its stage and counted there.  Lines that the
     delimited reader refuses (R3) are kept below ``quarantine/`` and counted as well."""
     root = (cfg.stage or scratch_dir(spark, "super_users_stage")).rstrip("/")
-    staged, metrics = {}, {"staged": {}, "quarantined": {}}
-    for feed, columns in FEEDS.items():
+
+    def one(feed: str, columns: list[str]) -> tuple[DataFrame, int, int | None]:
         path, name = getattr(cfg, feed), None
         if feed in cfg.patterns:
             newest = files.latest_feed(spark, path, cfg.patterns[feed])
@@ -287,13 +288,18 @@ def stage_feeds(spark: SparkSession, cfg: Config, as_of: str) -> tuple[dict[str,
         else:
             read, rows = None, read_workbooks(spark, path, columns, as_of)
         written = rebuild_stage(rows, f"{root}/{feed}")
-        staged[feed] = spark.read.parquet(f"{root}/{feed}")
-        reconcile(written, staged[feed].count(), f"stage {feed}")
-        metrics["staged"][feed] = written
-        if read:
-            bad = metrics["quarantined"][feed] = read.metrics.get["quarantined"]
-            if bad:
-                read.quarantine.write.mode("overwrite").parquet(f"{root}/quarantine/{feed}")
+        loaded = spark.read.parquet(f"{root}/{feed}")
+        reconcile(written, loaded.count(), f"stage {feed}")
+        bad = read.metrics.get["quarantined"] if read else None
+        if bad:
+            read.quarantine.write.mode("overwrite").parquet(f"{root}/quarantine/{feed}")
+        return loaded, written, bad
+
+    # the feeds do not depend on each other
+    done = dict(zip(FEEDS, together(*[partial(one, feed, columns) for feed, columns in FEEDS.items()])))
+    staged = {feed: loaded for feed, (loaded, _, _) in done.items()}
+    metrics = {"staged": {feed: written for feed, (_, written, _) in done.items()},
+               "quarantined": {feed: bad for feed, (_, _, bad) in done.items() if bad is not None}}
     return staged, metrics
 
 

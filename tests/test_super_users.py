@@ -171,3 +171,38 @@ def test_target_layout_enforced(spark, tmp):
     with pytest.raises(Exception, match="NOT NULL column Member_ID"):
         SU.run(spark, cfg, AS_OF, readers=_feeds(spark, [dict(EI[1], MBR_ID=None)], ACO, MR, CS))
     assert VersionedTable(spark, cfg.target).read() is None
+
+
+def test_feeds_are_staged_together(spark, tmp, monkeypatch):
+    """Each feed's stage waits until all five are at theirs; one after the other they would never meet."""
+    import threading
+    meet, write = threading.Barrier(len(SU.FEEDS)), SU.rebuild_stage
+
+    def met(*args):
+        meet.wait(60)
+        return write(*args)
+    monkeypatch.setattr(SU, "rebuild_stage", met)
+    staged, m = SU.stage_feeds(spark, _land_feeds(tmp, [_ei_line(MBR_ID="E1", indv_id=1)]), AS_OF)
+    assert {f: d.count() for f, d in staged.items()} == m["staged"] == {"ei": 1, "ei_aco": 0, "mr": 2, "cs_mcr": 1, "cs_mcd": 1}
+
+
+def test_workbook_blocks_are_spread(spark, tmp, monkeypatch):
+    """Narrow rows of many blocks are written by several tasks, one workbook a block."""
+    from pyspark.sql import functions as F
+    from pyspark import TaskContext
+    from snapflow.plans import job_queries as J
+    real = J._workbook_writer
+
+    def noted(folder, columns, prefix):
+        write = real(folder, columns, prefix)
+
+        def run(g):
+            open(os.path.join(folder, f"task_{TaskContext.get().partitionId()}"), "w").close()
+            return write(g)
+        return run
+    monkeypatch.setattr(J, "_workbook_writer", noted)
+    rows = spark.range(40).select(F.col("id").cast("string").alias("Member_Key"), "id").repartition(3)
+    J.land_workbooks(rows, tmp, ["Member_Key"], F.col("id"), [F.col("id")], "b")
+    found = os.listdir(tmp)
+    assert sorted(f for f in found if f.endswith(".xlsx")) == sorted(f"b_{i}.xlsx" for i in range(40))
+    assert sum(f.startswith("task_") for f in found) > 1
