@@ -299,9 +299,11 @@ def q_member_extract_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     from snapflow.plans import member_extract as ME
     from snapflow.plans import snapshots as S
     root = scratch_dir(spark, "member_extract")
-    for run, (snap, as_of) in enumerate(zip(S.snapshots(spark, sf_dir), (S.AS_OF_1, S.AS_OF_2)), 1):
-        cfg = ME.Config(landing=f"{root}/landing{run}", stage=f"{root}/stage", target=f"{root}/target")
-        write_delimited(member_feed(snap, as_of),
-                        f"{cfg.landing}/Master_Extract_Data_Mart_1998.txt", sep="|")
+    runs = [(ME.Config(landing=f"{root}/landing{run}", stage=f"{root}/stage", target=f"{root}/target"), snap, as_of)
+            for run, (snap, as_of) in enumerate(zip(S.snapshots(spark, sf_dir), (S.AS_OF_1, S.AS_OF_2)), 1)]
+    # a snapshot's rows are narrow, the feed's some 12 kB of text each
+    together(*[partial(write_delimited, member_feed(spread(snap, "c_custkey"), as_of),
+                       f"{cfg.landing}/Master_Extract_Data_Mart_1998.txt", sep="|") for cfg, snap, as_of in runs])
+    for cfg, _, as_of in runs:
         ME.run(spark, cfg, as_of)
     return open_table(spark, cfg.target).read()

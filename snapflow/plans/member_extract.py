@@ -369,7 +369,8 @@ def run(spark: SparkSession, cfg: Config, as_of: str) -> dict:
     refused = feed.metrics.get["quarantined"]
     # refused records are kept, in the same replace-per-run manner as the stage; none: no second scan
     kept = (cfg.quarantine or cfg.stage.rstrip("/") + "_quarantine").rstrip("/")
-    empty = spark.createDataFrame([], feed.quarantine.schema)
+    # no rows, known to the optimizer: no Python worker is started for them
+    empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in feed.quarantine.schema])
     rebuild_stage(feed.quarantine if refused else empty, kept)
     loaded = spark.read.parquet(cfg.stage).count()
     from snapflow.operators.checks import reconcile

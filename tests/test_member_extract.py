@@ -137,3 +137,31 @@ def test_target_layout(spark):
     stage = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*ME.FEED_COLUMNS, "Date_Ingested", "FileName"]))
     merged = M.empty_target(spark, ME.spec(), ME.target_source(stage).schema)
     assert ME.target_table(merged).columns == ME.TARGET.fieldNames()
+
+
+def test_both_feeds_land_in_several_files(spark, tmp, monkeypatch):
+    """The wide feed text is written by several tasks, however few bytes the snapshot shuffles."""
+    from snapflow.plans import job_queries as J
+    from conftest import SF
+    landed = []
+
+    class Landed(Exception):
+        pass
+
+    def stop(spark, cfg, as_of):
+        landed.append(cfg.landing)
+        raise Landed
+    monkeypatch.setattr(ME, "run", stop)
+    with pytest.raises(Landed):
+        J.q_member_extract_job(spark, SF)
+    feed = landed[0].replace("file:", "", 1) + "/Master_Extract_Data_Mart_1998.txt"
+    assert sum(f.startswith("part-") for f in os.listdir(feed)) > 1
+
+
+def test_no_refused_records_leave_an_empty_quarantine(spark, tmp):
+    land, cfg = _cfg(tmp, "clean")
+    _land(land, "Master_Extract_Data_Mart_201910.txt", [_member("A1")])
+    m = ME.run(spark, cfg, "2019-10-26 04:00:00")
+    kept = spark.read.parquet(m["quarantine"])
+    assert m["quarantined"] == 0 and kept.count() == 0
+    assert kept.dtypes == [("file_name", "string"), ("n_fields", "int"), ("line", "string")]
