@@ -508,3 +508,13 @@ def test_pipeline_keeps_lines_with_furniture_inside_words(spark):
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in cp.quality_rules(spark, docs, "").collect()}
     assert got == {i: "\n".join(lines) for i, _, lines in rows if lines}
+
+
+def test_line_drops_meet_texts_without_a_sort(spark):
+    """Whole texts pass by the line numbers of their partition; a merge join would sort them."""
+    docs = spark.createDataFrame([(i, f"{'a line that five documents hold ' * 2}\nown {i}") for i in range(9)], "doc_id long, text string")
+    report = line_dedup.line_report(docs)
+    plan = report._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan.split("Project")[1]
+    assert {r["doc_id"]: r["kept_text"] for r in report.collect()} == {
+        i: f"own {i}" if i < 8 else docs.where("doc_id = 8").first()["text"] for i in range(9)}
