@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from snapflow.plans import super_users as SU
 from snapflow.plans.snapshots import read
-from snapflow.session import scratch_dir, spread, together
+from snapflow.session import drop_folder, scratch_dir, spread, together
 from snapflow.sources.delimited import write_delimited
 
 AS_OF, AS_OF_2 = "2024-06-26 04:00:00", "2024-07-26 04:00:00"
@@ -291,19 +291,27 @@ def member_feed(snap: DataFrame, as_of: str) -> DataFrame:
     return _layout(snap, ME.FEED_COLUMNS, vals, blank="")
 
 
+# a gzip file is read by one task: some 600 MB of feed text
+FEED_FILE_ROWS = 50_000
+
+
 def q_member_extract_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1 end to end, two monthly runs: each run's feed lands in its own folder under the same
     delivered name, so the other compared columns decide what was updated; the job stages it,
-    types it and merges it.  The table after the second run."""
+    types it and merges it.  The table after the second run.
+
+    A feed is by far the largest thing on disk (some 12 kB of text a customer): it lands as gzip text
+    when its run is due and is deleted after it, so one feed is there at a time."""
     from snapflow.operators.sinks import open_table
     from snapflow.plans import member_extract as ME
     from snapflow.plans import snapshots as S
     root = scratch_dir(spark, "member_extract")
-    runs = [(ME.Config(landing=f"{root}/landing{run}", stage=f"{root}/stage", target=f"{root}/target"), snap, as_of)
-            for run, (snap, as_of) in enumerate(zip(S.snapshots(spark, sf_dir), (S.AS_OF_1, S.AS_OF_2)), 1)]
-    # a snapshot's rows are narrow, the feed's some 12 kB of text each
-    together(*[partial(write_delimited, member_feed(spread(snap, "c_custkey"), as_of),
-                       f"{cfg.landing}/Master_Extract_Data_Mart_1998.txt", sep="|") for cfg, snap, as_of in runs])
-    for cfg, _, as_of in runs:
+    for run, (snap, as_of) in enumerate(zip(S.snapshots(spark, sf_dir), (S.AS_OF_1, S.AS_OF_2)), 1):
+        cfg = ME.Config(landing=f"{root}/landing{run}", stage=f"{root}/stage", target=f"{root}/target")
+        # a snapshot's rows are narrow: spread before they are widened
+        write_delimited(member_feed(spread(snap, "c_custkey"), as_of),
+                        f"{cfg.landing}/Master_Extract_Data_Mart_1998.txt", sep="|",
+                        compression="gzip", rows_per_file=FEED_FILE_ROWS)
         ME.run(spark, cfg, as_of)
+        drop_folder(spark, cfg.landing)
     return open_table(spark, cfg.target).read()

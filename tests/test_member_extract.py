@@ -158,6 +158,37 @@ def test_both_feeds_land_in_several_files(spark, tmp, monkeypatch):
     assert sum(f.startswith("part-") for f in os.listdir(feed)) > 1
 
 
+def test_one_compressed_feed_is_on_disk_at_a_time(spark, tmp, monkeypatch):
+    """Each feed lands as gzip files of bounded rows when its run is due and is gone after it."""
+    import gzip
+    from snapflow.plans import job_queries as J
+    seen, sf = [], os.path.join(tmp, "sf")
+    spark.range(60).selectExpr("id c_custkey", "concat('Customer#', id) c_name", "cast(id % 25 as int) c_nationkey", "id * 1.5D c_acctbal",
+                               "'BUILDING' c_mktsegment").write.parquet(f"{sf}/customer.parquet")
+    spark.range(60).selectExpr("id o_orderkey", "id o_custkey", "'O' o_orderstatus", "timestamp_ntz'1997-09-01 00:00:00' o_orderdate",
+                               "'1-URGENT' o_orderpriority").write.parquet(f"{sf}/orders.parquet")
+
+    class Landed(Exception):
+        pass
+
+    def run(spark, cfg, as_of):
+        root = os.path.dirname(cfg.landing.replace("file:", "", 1))
+        files = [os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.startswith("part-")]
+        texts = [gzip.open(f, "rt").read().splitlines() for f in files]
+        seen.append(({os.path.relpath(f, root).split("/")[0] for f in files}, texts))
+        if len(seen) == 2:
+            raise Landed
+    monkeypatch.setattr(ME, "run", run)
+    monkeypatch.setattr(J, "FEED_FILE_ROWS", 2)
+    with pytest.raises(Landed):
+        J.q_member_extract_job(spark, sf)
+    assert [folders for folders, _ in seen] == [{"landing1"}, {"landing2"}]
+    for _, texts in seen:
+        assert all(t[0].split("|") == ME.FEED_COLUMNS and len(t) <= 3 for t in texts)
+        assert len(texts) > 4 * spark.sparkContext.defaultParallelism      # more files than tasks
+        assert len({r for t in texts for r in t[1:]}) == sum(len(t) - 1 for t in texts) == 60
+
+
 def test_no_refused_records_leave_an_empty_quarantine(spark, tmp):
     land, cfg = _cfg(tmp, "clean")
     _land(land, "Master_Extract_Data_Mart_201910.txt", [_member("A1")])
