@@ -9,6 +9,8 @@ reading from.  Readers follow the pointer, so a failed or audited-out run never
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from snapflow.operators.checks import Contents, _contents, contents, counted, observed_contents
@@ -116,6 +118,13 @@ class VersionedTable:
     def _write_small(self, path: str, text: str) -> None:
         """Create a one-line file; an existing one is an error."""
         fs, p = _fs(self.spark, path)
+        if fs.getUri().getScheme() == "file":
+            # Hadoop's local file system looks for the file and creates it in two steps, so two writers could both succeed
+            local = p.toUri().getPath()
+            os.makedirs(os.path.dirname(local), exist_ok=True)
+            with open(local, "x") as out:
+                out.write(text)
+            return
         stream = fs.create(p, False)
         try:
             stream.write(bytearray(text.encode()))

@@ -116,6 +116,29 @@ def test_identities_of_two_writers(spark, tmp):
     assert old.claim_ids(3, 100, lambda: 250) == 251 and old.claim_ids(1, 100, scanned) == 254
 
 
+def test_of_writers_that_create_one_file_one_succeeds(spark, tmp):
+    """Pointers and claims: in each of 200 rounds six writers create the same file at once."""
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+    gate, root = Barrier(6), os.path.join(tmp, "race")
+
+    def write(i):
+        table, created = VersionedTable(spark, root), []
+        for k in range(200):
+            gate.wait(60)
+            try:
+                table._write_small(f"{root}/x.{k}", f"{i}" * (i + 1))
+            except Exception:                    # noqa: BLE001 - the others' error
+                continue
+            created.append(k)
+        return created
+    with ThreadPoolExecutor(6) as pool:
+        created = list(pool.map(write, range(6)))
+    assert sorted(k for c in created for k in c) == list(range(200))
+    for i, c in enumerate(created):
+        assert all(VersionedTable(spark, root)._read_small(f"{root}/x.{k}") == f"{i}" * (i + 1) for k in c)
+
+
 def test_snapshot_copy_released_after_publish(spark, tmp):
     """The merge's snapshot copy is deleted once the new version is published."""
     from snapflow import session
