@@ -169,8 +169,8 @@ def write_delimited(df: DataFrame, path: str, sep: str = "|", header: bool = Tru
                     mode: str = "overwrite", compression: str | None = None,
                     rows_per_file: int | None = None) -> None:
     """Land a frame as delimited text (used to stage feeds and by round-trip checks).  Values
-    with a separator or a quote are quoted.  ``compression`` (``gzip``) lands wide text in less
-    space; such a file is read by one task, so ``rows_per_file`` bounds it (each has its header)."""
+    with a separator or a quote are quoted.  ``compression`` (``gzip``, ``snappy``) lands wide
+    text in less space; such a file is read by one task, so ``rows_per_file`` bounds it (each has its header)."""
     w = (df.write.mode(mode).option("sep", sep).option("header", str(header).lower())
          .option("quote", QUOTE).option("escape", QUOTE).option("nullValue", "").option("emptyValue", "")
          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))

@@ -85,15 +85,16 @@ def test_written_feed_reads_back(spark, tmp):
 
 
 def test_compressed_feed_reads_back(spark, tmp):
-    """Gzip files of bounded rows, each with its header; line breaks inside quotes too."""
+    """Compressed files of bounded rows, each with its header; line breaks inside quotes too."""
     from snapflow.sources.delimited import read_delimited, write_delimited
     rows = [("1", "x|y"), ("2", 'q"r'), ("3", "two\nlines"), ("4", "plain"), ("5", "")]
-    path = os.path.join(tmp, "f")
-    write_delimited(spark.createDataFrame(rows, "k string, v string").coalesce(1), path, compression="gzip", rows_per_file=2)
-    parts = [f for f in os.listdir(path) if f.startswith("part-")]
-    assert len(parts) == 3 and all(f.endswith(".gz") for f in parts)
-    got = read_delimited(spark, path, ["k", "v"], file_col=None).good
-    assert sorted(map(tuple, got.collect())) == rows
+    for codec, suffix in (("gzip", ".gz"), ("snappy", ".snappy")):
+        path = os.path.join(tmp, codec)
+        write_delimited(spark.createDataFrame(rows, "k string, v string").coalesce(1), path, compression=codec, rows_per_file=2)
+        parts = [f for f in os.listdir(path) if f.startswith("part-")]
+        assert len(parts) == 3 and all(f.endswith(suffix) for f in parts)
+        got = read_delimited(spark, path, ["k", "v"], file_col=None).good
+        assert sorted(map(tuple, got.collect())) == rows
 
 
 def test_latest_feed_below_folder_of_same_name(spark, tmp):
